@@ -1,0 +1,556 @@
+"""Registered queries: one per operator of the inventory, each with the SQL
+statement (DuckDB dialect, over the driver's tables) that states the expected
+result independently of the Spark implementation.
+
+Every query reads the full driver tables (through :mod:`stratus.standin`)
+and runs the operator under test through the library.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from stratus import standin as S
+from stratus.functions import (
+    combine_date_time, combine_date_time_multi, compass_degrees, date_from_path, f_to_c,
+    in_to_mm, inhg_to_hpa, iso_timestamp, mph_to_kmh, parse_measure, sanitize_frame, to_double,
+    to_timestamp_coerce, ts_to_iso,
+)
+from stratus.operators import dedup as D, quality as Q, queries as QQ
+from stratus.schema import MEASURE_COLUMNS, RULESETS, UNIFIED_COLUMNS
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = sql.strip()
+        return fn
+    return deco
+
+
+OBS = f"WITH obs AS (SELECT {S.obs_select_sql('duck')} FROM events)"
+U23 = ", ".join(UNIFIED_COLUMNS)
+
+
+def ev(spark: SparkSession, sf: str) -> DataFrame:
+    return S.table(spark, sf, "events")
+
+
+# ===========================================================================
+# X1-X4 unit conversions
+
+@query("f_to_c", "SELECT event_id, round((value - 32) * 5 / 9, 2) AS temp_c FROM events")
+def q_f_to_c(spark, sf):
+    return ev(spark, sf).select("event_id", f_to_c("value").alias("temp_c"))
+
+
+@query("mph_to_kmh", "SELECT event_id, round(value * 1.60934, 2) AS speed_kmh FROM events")
+def q_mph(spark, sf):
+    return ev(spark, sf).select("event_id", mph_to_kmh("value").alias("speed_kmh"))
+
+
+@query("inhg_to_hpa", "SELECT event_id, round(value * 33.8639, 2) AS pressure_hpa FROM events")
+def q_inhg(spark, sf):
+    return ev(spark, sf).select("event_id", inhg_to_hpa("value").alias("pressure_hpa"))
+
+
+@query("in_to_mm", "SELECT event_id, round(value * 25.4, 2) AS precip_mm FROM events")
+def q_in(spark, sf):
+    return ev(spark, sf).select("event_id", in_to_mm("value").alias("precip_mm"))
+
+
+# ===========================================================================
+# X5, X6, X8 text parsing
+
+MEASURE_TEXT = """CASE event_id % 8
+  WHEN 0 THEN printf('%.2f', value) || chr(160) || '°F'
+  WHEN 1 THEN replace(printf('%.2f', value), '.', ',')
+  WHEN 2 THEN '--'
+  WHEN 3 THEN 'N/A'
+  WHEN 4 THEN '<' || printf('%.2f', value) || ' in'
+  WHEN 5 THEN printf('%.2f', value) || '°F'
+  WHEN 6 THEN '  ' || CAST(event_id % 100 AS STRING) || chr(160) || '%'
+  ELSE NULL END"""
+
+
+@query("parse_measure", f"""
+SELECT event_id, {MEASURE_TEXT} AS raw,
+  CASE event_id % 8 WHEN 0 THEN value WHEN 1 THEN value WHEN 4 THEN value
+    WHEN 6 THEN CAST(event_id % 100 AS DOUBLE) ELSE NULL END AS measure
+FROM events""")
+def q_parse_measure(spark, sf):
+    t = ev(spark, sf).selectExpr("event_id", f"{MEASURE_TEXT} AS raw")
+    return t.select("event_id", "raw", parse_measure("raw").alias("measure"))
+
+
+COMPASS_LIST = ", ".join(f"'{t}'" for t in S.COMPASS_TEXTS + [" NNE ", "north"])
+
+
+@query("wind_to_degrees", f"""
+SELECT event_id, [{COMPASS_LIST}][event_id % 20 + 1] AS wind,
+  CASE WHEN event_id % 20 < 16 THEN (event_id % 20) * 22.5
+       WHEN event_id % 20 = 18 THEN 22.5 ELSE NULL END AS wind_direction_deg
+FROM events""")
+def q_wind(spark, sf):
+    t = ev(spark, sf).selectExpr("event_id", f"element_at(array({COMPASS_LIST}), CAST(event_id % 20 + 1 AS INT)) AS wind")
+    return t.select("event_id", "wind", compass_degrees("wind").alias("wind_direction_deg"))
+
+
+NUM_TEXT = """CASE event_id % 5
+  WHEN 0 THEN CAST(value AS STRING)
+  WHEN 1 THEN ' ' || CAST(event_id % 50 AS STRING) || ' '
+  WHEN 2 THEN 'abc'
+  WHEN 3 THEN '1_000'
+  ELSE '1e3' END"""
+
+
+@query("to_numeric_coerce", """
+SELECT event_id, CASE event_id % 5 WHEN 0 THEN value WHEN 1 THEN CAST(event_id % 50 AS DOUBLE)
+  WHEN 4 THEN 1000.0 ELSE NULL END AS num
+FROM events""")
+def q_to_numeric(spark, sf):
+    t = ev(spark, sf).selectExpr("event_id", f"{NUM_TEXT} AS raw")
+    return t.select("event_id", to_double("raw").alias("num"))
+
+
+# ===========================================================================
+# X7 sanitize
+
+@query("sanitize_non_finite", f"""
+SELECT event_id AS pos,
+  CASE WHEN event_id % 37 = 0 OR event_id % 41 = 0 THEN NULL ELSE value / 8 - 15 END AS temperature_c,
+  CASE WHEN event_id % 43 = 0 THEN NULL ELSE value / 7 END AS wind_speed_kmh,
+  value / 10 - 20 AS dew_point_c
+FROM events""")
+def q_sanitize(spark, sf):
+    t = ev(spark, sf).selectExpr(
+        "event_id AS pos",
+        f"{S.NONFINITE_EXPRS['temperature_c']} AS temperature_c",
+        f"{S.NONFINITE_EXPRS['wind_speed_kmh']} AS wind_speed_kmh",
+        "value / 10 - 20 AS dew_point_c")
+    return sanitize_frame(t)
+
+
+@query("sanitize_nested", """
+SELECT event_id AS pos,
+  CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS s_value,
+  CASE WHEN event_id % 4 = 0 THEN NULL ELSE value / 2 END AS a0,
+  value / 4 AS a1,
+  CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END AS m_x
+FROM events""")
+def q_sanitize_nested(spark, sf):
+    t = ev(spark, sf).selectExpr(
+        "event_id AS pos",
+        "named_struct('value', CASE WHEN event_id % 3 = 0 THEN CAST('NaN' AS DOUBLE) ELSE value END, "
+        "'label', event_type) AS s",
+        "array(CASE WHEN event_id % 4 = 0 THEN CAST('Infinity' AS DOUBLE) ELSE value / 2 END, value / 4) AS a",
+        "map('x', CASE WHEN event_id % 5 = 0 THEN CAST('-Infinity' AS DOUBLE) ELSE value END) AS m")
+    c = sanitize_frame(t)
+    return c.select("pos", F.col("s.value").alias("s_value"), F.col("a")[0].alias("a0"),
+                    F.col("a")[1].alias("a1"), F.col("m")["x"].alias("m_x"))
+
+
+# ===========================================================================
+# X9-X15 time
+
+TS_TEXT = """CASE event_id % 4
+  WHEN 0 THEN {fmt_space}
+  WHEN 1 THEN {fmt_t}
+  WHEN 2 THEN 'garbage'
+  ELSE NULL END"""
+
+
+@query("to_timestamp_coerce", """
+SELECT event_id, CASE WHEN event_id % 4 IN (0, 1) THEN date_trunc('second', ts) END AS ts_parsed
+FROM events""")
+def q_to_ts(spark, sf):
+    txt = TS_TEXT.format(fmt_space="date_format(ts, 'yyyy-MM-dd HH:mm:ss')",
+                         fmt_t="date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\")")
+    t = ev(spark, sf).selectExpr("event_id", f"{txt} AS raw")
+    return t.select("event_id", to_timestamp_coerce("raw").alias("ts_parsed"))
+
+
+@query("date_from_path", """
+SELECT event_id,
+  CASE event_id % 3 WHEN 0 THEN CAST(ts AS DATE)
+    WHEN 1 THEN CAST(try_strptime(strftime(ts, '%m%d%y'), '%d%m%y') AS DATE) END AS day_dmy,
+  CASE event_id % 3 WHEN 0 THEN CAST(try_strptime(strftime(ts, '%d%m%y'), '%m%d%y') AS DATE)
+    WHEN 1 THEN CAST(ts AS DATE) END AS day_mdy
+FROM events""")
+def q_date_from_path(spark, sf):
+    t = ev(spark, sf).select("event_id", F.when(F.col("event_id") % 3 == 0,
+                                                F.concat(F.lit("/raw/BE/"), F.date_format("ts", "ddMMyy"), F.lit("/f.jsonl")))
+                             .when(F.col("event_id") % 3 == 1,
+                                   F.concat(F.lit("/raw/"), F.date_format("ts", "MMddyy"), F.lit("/x.jsonl")))
+                             .otherwise(F.concat(F.lit("/raw/nodate/"), F.col("event_id").cast("string"))).alias("p"))
+    return t.select("event_id", date_from_path("p", "DMY").alias("day_dmy"), date_from_path("p", "MDY").alias("day_mdy"))
+
+
+@query("combine_date_time", """
+SELECT event_id,
+  CASE WHEN event_id % 6 IN (0, 1, 2) THEN date_trunc('minute', ts)
+       WHEN event_id % 6 = 4 AND hour(ts) BETWEEN 1 AND 12 THEN date_trunc('minute', ts)
+       ELSE NULL END AS ts_combined
+FROM events""")
+def q_combine(spark, sf):
+    e = F.col("event_id")
+    txt = (F.when(e % 6 == 0, F.date_format("ts", "h:mm a"))
+           .when(e % 6 == 1, F.concat(F.date_format("ts", "h:mm"), F.lit(" "), F.date_format("ts", "a")))
+           .when(e % 6 == 2, F.lower(F.date_format("ts", "h:mm a")))
+           .when(e % 6 == 3, F.date_format("ts", "H:mm"))
+           .when(e % 6 == 4, F.date_format("ts", "HH:mm a")))
+    t = ev(spark, sf).select("event_id", F.to_date("ts").alias("d"), txt.alias("t"))
+    return t.select("event_id", combine_date_time("d", "t").alias("ts_combined"))
+
+
+@query("combine_date_time_multi", """
+SELECT event_id,
+  CASE event_id % 4 WHEN 0 THEN date_trunc('minute', ts) WHEN 3 THEN date_trunc('minute', ts)
+    ELSE date_trunc('second', ts) END AS ts_combined
+FROM events""")
+def q_combine_multi(spark, sf):
+    e = F.col("event_id")
+    txt = (F.when(e % 4 == 0, F.date_format("ts", "h:mm a"))
+           .when(e % 4 == 1, F.date_format("ts", "HH:mm:ss"))
+           .when(e % 4 == 2, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+           .otherwise(F.date_format("ts", "H:mm")))
+    t = ev(spark, sf).select("event_id", F.to_date("ts").alias("d"), txt.alias("t"))
+    return t.select("event_id", combine_date_time_multi("d", "t").alias("ts_combined"))
+
+
+ISO_TEXT_SPARK = """CASE event_id % 5
+  WHEN 0 THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss") || 'Z'
+  WHEN 1 THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss") || '+02:00'
+  WHEN 2 THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss") || '-05:30'
+  WHEN 3 THEN date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+  ELSE '2024' END"""
+
+
+@query("iso_to_utc", """
+SELECT event_id, CASE event_id % 5
+  WHEN 0 THEN date_trunc('second', ts)
+  WHEN 1 THEN date_trunc('second', ts) - INTERVAL 2 HOUR
+  WHEN 2 THEN date_trunc('second', ts) + INTERVAL 330 MINUTE
+  WHEN 3 THEN date_trunc('second', ts)
+  ELSE NULL END AS ts_utc
+FROM events""")
+def q_iso_utc(spark, sf):
+    t = ev(spark, sf).selectExpr("event_id", f"{ISO_TEXT_SPARK} AS raw")
+    return t.select("event_id", iso_timestamp("raw", "convert").alias("ts_utc"))
+
+
+@query("iso_drop_zone", """
+SELECT event_id, CASE WHEN event_id % 5 < 4 THEN date_trunc('second', ts) END AS ts_wall
+FROM events""")
+def q_iso_drop(spark, sf):
+    t = ev(spark, sf).selectExpr("event_id", f"{ISO_TEXT_SPARK} AS raw")
+    return t.select("event_id", iso_timestamp("raw", "drop").alias("ts_wall"))
+
+
+@query("ts_to_iso", """
+SELECT event_id, CASE
+  WHEN event_id % 2 = 1 OR epoch_us(ts) % 1000000 = 0 THEN strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S')
+  ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS iso
+FROM events""")
+def q_ts_to_iso(spark, sf):
+    t = ev(spark, sf).select("event_id", F.when(F.col("event_id") % 2 == 1,
+                                                F.date_trunc("second", "ts").cast("timestamp_ntz"))
+                             .otherwise(F.col("ts")).alias("t"))
+    return t.select("event_id", ts_to_iso("t").alias("iso"))
+
+
+# ===========================================================================
+# Metrics over the typed observations
+
+def obs(spark, sf):
+    return S.observations(spark, sf)
+
+
+def _null_rate_sql(c: str, section: str | None = None) -> str:
+    rate = f'round(CAST(count_if("{c}" IS NULL) AS DOUBLE) / count(*) * 100, 2)'
+    if section is None:
+        return f"SELECT '{c}' AS column_name, {rate} AS null_rate_pct FROM obs"
+    return f"SELECT '{section}' AS section, '{c}' AS key, {rate} AS num, CAST(NULL AS VARCHAR) AS txt FROM obs"
+
+
+NULL_RATES_SQL = "\nUNION ALL ".join(_null_rate_sql(c) for c in UNIFIED_COLUMNS)
+
+
+@query("count_total", f"{OBS} SELECT count(*) AS total_records FROM obs")
+def q_count_total(spark, sf):
+    return Q.count_total(obs(spark, sf))
+
+
+@query("count_by_source", f"{OBS} SELECT source, count(*) AS records FROM obs GROUP BY source")
+def q_count_by_source(spark, sf):
+    return Q.count_by(obs(spark, sf), "source")
+
+
+@query("count_by_station", f"{OBS} SELECT station_id, count(*) AS records FROM obs GROUP BY station_id")
+def q_count_by_station(spark, sf):
+    return Q.count_by(obs(spark, sf), "station_id")
+
+
+@query("time_span", f'{OBS} SELECT min("timestamp") AS ts_min, max("timestamp") AS ts_max FROM obs')
+def q_time_span(spark, sf):
+    return Q.time_span(obs(spark, sf))
+
+
+@query("null_rates", f"{OBS} {NULL_RATES_SQL}")
+def q_null_rates(spark, sf):
+    return Q.null_rates(obs(spark, sf))
+
+
+@query("high_null_columns", f"{OBS} SELECT * FROM ({NULL_RATES_SQL}) WHERE null_rate_pct > 50")
+def q_high_null(spark, sf):
+    return Q.high_null_columns(obs(spark, sf))
+
+
+DUPS_SQL = 'SELECT count(*) AS n FROM obs GROUP BY station_id, "timestamp"'
+
+
+@query("duplicates_all", f"{OBS} SELECT CAST(COALESCE(SUM(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS duplicates "
+                         f"FROM ({DUPS_SQL})")
+def q_dups_all(spark, sf):
+    return D.duplicates_all(obs(spark, sf))
+
+
+@query("duplicates_extra", f"{OBS} SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicates FROM ({DUPS_SQL})")
+def q_dups_extra(spark, sf):
+    return D.duplicates_extra(obs(spark, sf))
+
+
+@query("key_null_counts", f'{OBS} SELECT count_if("timestamp" IS NULL) AS invalid_timestamp, '
+                          f"count_if(station_id IS NULL) AS missing_station_id FROM obs")
+def q_key_nulls(spark, sf):
+    return Q.key_null_counts(obs(spark, sf))
+
+
+ANOMALY_SQL_LOCAL = """
+SELECT 'Température min suspecte: ' || CAST(t_min AS VARCHAR) || '°C' AS anomaly FROM ext WHERE t_min < -50
+UNION ALL SELECT 'Température max suspecte: ' || CAST(t_max AS VARCHAR) || '°C' FROM ext WHERE t_max > 60
+UNION ALL SELECT 'Humidité > 100%: ' || CAST(h_max AS VARCHAR) FROM ext WHERE h_max > 100
+UNION ALL SELECT 'Pression min suspecte: ' || CAST(p_min AS VARCHAR) || ' hPa' FROM ext WHERE p_min < 870"""
+EXT_SQL = ("ext AS (SELECT min(temperature_c) AS t_min, max(temperature_c) AS t_max, "
+           "max(humidity_pct) AS h_max, min(pressure_hpa) AS p_min FROM obs)")
+
+
+@query("anomalies", f"{OBS}, {EXT_SQL} {ANOMALY_SQL_LOCAL}")
+def q_anomalies(spark, sf):
+    return Q.anomalies(obs(spark, sf), "local")
+
+
+STRICT_REQ = RULESETS["strict"]["required"]
+MISSING_SQL = "\nUNION ALL ".join(
+    f"SELECT '{c}' AS field, count_if(\"{c}\" IS NULL) AS missing FROM obs" for c in STRICT_REQ)
+
+
+@query("missing_required", f"{OBS} SELECT * FROM ({MISSING_SQL}) WHERE missing > 0")
+def q_missing_required(spark, sf):
+    return Q.missing_required(obs(spark, sf), STRICT_REQ)
+
+
+MISS_SUM = " + ".join(f'count_if("{c}" IS NULL)' for c in STRICT_REQ)
+
+
+@query("conformity_rate", f"{OBS} SELECT round(CAST(count(*) - ({MISS_SUM}) AS DOUBLE) / count(*) * 100, 2) "
+                          f"AS conformity_pct FROM obs")
+def q_conformity(spark, sf):
+    return Q.conformity_rate(obs(spark, sf), STRICT_REQ)
+
+
+@query("distinct_stations", f"{OBS} SELECT count(DISTINCT station_id) AS stations FROM obs")
+def q_distinct_stations(spark, sf):
+    return Q.distinct_stations(obs(spark, sf))
+
+
+@query("station_temp_stats", f"""{OBS}
+SELECT station_id, round(avg(temperature_c), 4) AS avg_temp, min(temperature_c) AS min_temp,
+  max(temperature_c) AS max_temp, count(*) AS "count"
+FROM obs GROUP BY station_id""")
+def q_station_temp(spark, sf):
+    return QQ.station_temp_stats(obs(spark, sf)).withColumn("avg_temp", F.round("avg_temp", 4))
+
+
+@query("share_by_source", f"""{OBS}
+SELECT source, count(*) AS records, round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () * 100, 1) AS share_pct
+FROM obs GROUP BY source""")
+def q_share_source(spark, sf):
+    return QQ.share_by(obs(spark, sf), "source")
+
+
+@query("share_by_station", f"""{OBS}
+SELECT station_id, count(*) AS records,
+  round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () * 100, 1) AS share_pct
+FROM obs GROUP BY station_id""")
+def q_share_station(spark, sf):
+    return QQ.share_by(obs(spark, sf), "station_id")
+
+
+def _ts_txt(c: str) -> str:
+    return f"strftime({c}, '%Y-%m-%d %H:%M:%S')"
+
+
+QUALITY_LOCAL_SQL = f"""{OBS}, {EXT_SQL},
+g AS (SELECT count(*) AS total, min("timestamp") AS tmin, max("timestamp") AS tmax,
+  count_if("timestamp" IS NULL) AS ts_null, count_if(station_id IS NULL) AS sid_null FROM obs)
+SELECT 'total_records' AS section, CAST(NULL AS VARCHAR) AS key, CAST(total AS DOUBLE) AS num,
+  CAST(NULL AS VARCHAR) AS txt FROM g
+UNION ALL SELECT 'date_range', 'min', NULL, {_ts_txt('tmin')} FROM g
+UNION ALL SELECT 'date_range', 'max', NULL, {_ts_txt('tmax')} FROM g
+UNION ALL {"UNION ALL ".join(_null_rate_sql(c, 'null_rates') + chr(10) for c in UNIFIED_COLUMNS)}
+UNION ALL SELECT 'invalid_timestamp', NULL, ts_null, NULL FROM g
+UNION ALL SELECT 'missing_station_id', NULL, sid_null, NULL FROM g
+UNION ALL SELECT 'anomalies', NULL, NULL, anomaly FROM ({ANOMALY_SQL_LOCAL})
+UNION ALL SELECT 'records_per_source', source, count(*), NULL FROM obs GROUP BY source
+UNION ALL SELECT 'records_per_station', station_id, count(*), NULL FROM obs GROUP BY station_id
+UNION ALL SELECT 'duplicates', NULL, COALESCE(SUM(n) FILTER (WHERE n > 1), 0), NULL FROM ({DUPS_SQL})"""
+
+
+@query("quality_report", QUALITY_LOCAL_SQL)
+def q_quality_report(spark, sf):
+    return Q.quality_report(obs(spark, sf), "local")
+
+
+POST_LOAD_SQL = f"""{OBS},
+g AS (SELECT count(*) AS total, min("timestamp") AS tmin, max("timestamp") AS tmax FROM obs),
+miss AS ({MISSING_SQL})
+SELECT 'total_documents' AS section, CAST(NULL AS VARCHAR) AS key, CAST(total AS DOUBLE) AS num,
+  CAST(NULL AS VARCHAR) AS txt FROM g
+UNION ALL SELECT 'schema_conformity_rate_pct', NULL,
+  round(CAST(total - (SELECT sum(missing) FROM miss) AS DOUBLE) / total * 100, 2), NULL FROM g
+UNION ALL SELECT 'date_range', 'min', NULL, {_ts_txt('tmin')} FROM g
+UNION ALL SELECT 'date_range', 'max', NULL, {_ts_txt('tmax')} FROM g
+UNION ALL {"UNION ALL ".join(_null_rate_sql(c, 'null_rates_pct') + chr(10) for c in MEASURE_COLUMNS)}
+UNION ALL SELECT 'missing_required_fields', field, missing, NULL FROM miss WHERE missing > 0
+UNION ALL SELECT 'by_source', source, count(*), NULL FROM obs GROUP BY source"""
+
+
+@query("post_load_report", POST_LOAD_SQL)
+def q_post_load_report(spark, sf):
+    return Q.post_load_report(obs(spark, sf), "strict")
+
+
+# ===========================================================================
+# W1, K8, P15-P17, T1, T4, P7, K5, K6
+
+@query("dedup_keep_first", f"""{OBS}
+SELECT pos, {U23} FROM obs QUALIFY row_number() OVER (PARTITION BY station_id, "timestamp" ORDER BY pos) = 1""")
+def q_dedup(spark, sf):
+    return D.dedup_keep_first(obs(spark, sf), ["station_id", "timestamp"], ["pos"])
+
+
+@query("unique_key_violations", f"""{OBS}
+SELECT station_id, "timestamp", count(*) AS n FROM obs GROUP BY station_id, "timestamp" HAVING count(*) > 1""")
+def q_unique_viol(spark, sf):
+    return D.unique_key_violations(obs(spark, sf))
+
+
+@query("filter_station", f"{OBS} SELECT pos, {U23} FROM obs WHERE station_id = '7'")
+def q_filter_station(spark, sf):
+    return QQ.filter_station(obs(spark, sf), "7")
+
+
+@query("day_slice", f"""{OBS} SELECT pos, {U23} FROM obs
+WHERE "timestamp" >= TIMESTAMP '2024-01-15 00:00:00' AND "timestamp" < TIMESTAMP '2024-01-16 00:00:00'""")
+def q_day_slice(spark, sf):
+    return QQ.day_slice(obs(spark, sf), dt.date(2024, 1, 15))
+
+
+@query("strong_wind", f"{OBS} SELECT pos, {U23} FROM obs WHERE wind_speed_kmh > 50")
+def q_strong_wind(spark, sf):
+    return QQ.strong_wind(obs(spark, sf), 50.0)
+
+
+@query("latest_10", f"""{OBS} SELECT pos, {U23} FROM obs WHERE station_id = '7'
+ORDER BY "timestamp" DESC NULLS LAST, pos DESC LIMIT 10""")
+def q_latest_10(spark, sf):
+    return QQ.latest_n(obs(spark, sf), "7", 10, tie_break=[F.col("pos").desc()])
+
+
+@query("sample_row", f"""{OBS} SELECT pos, {U23} FROM obs WHERE source = 'weather_underground'
+ORDER BY station_id NULLS FIRST, "timestamp" NULLS FIRST, pos LIMIT 1""")
+def q_sample_row(spark, sf):
+    return QQ.sample_row(obs(spark, sf), "weather_underground", ["station_id", "timestamp", "pos"])
+
+
+SPARSE = ["visibility_m", "cloud_cover_octas", "snow_depth_cm", "weather_code"]
+
+
+@query("drop_all_null", f"""{OBS} SELECT pos, {", ".join(SPARSE)} FROM obs
+WHERE NOT ({" AND ".join(f"{c} IS NULL" for c in SPARSE)})""")
+def q_drop_all_null(spark, sf):
+    from stratus.operators.normalize import drop_all_null
+    return drop_all_null(obs(spark, sf).select("pos", *SPARSE), SPARSE)
+
+
+@query("update_where", f"""{OBS} SELECT pos, station_id,
+  CASE WHEN station_id = '3' THEN NULL ELSE temperature_c END AS temperature_c FROM obs""")
+def q_update_where(spark, sf):
+    from stratus.sinks.tables import update_where
+    o = obs(spark, sf)
+    out = update_where(o, F.col("station_id") == "3", {"temperature_c": F.lit(None).cast("double")})
+    return out.select("pos", "station_id", "temperature_c")
+
+
+@query("delete_where", f"{OBS} SELECT pos, source FROM obs WHERE source <> 'manual' OR source IS NULL")
+def q_delete_where(spark, sf):
+    from stratus.sinks.tables import delete_where
+    return delete_where(obs(spark, sf), F.col("source") == "manual").select("pos", "source")
+
+
+@query("upsert_by_key", f"""{OBS},
+tgt AS (SELECT * FROM obs QUALIFY row_number() OVER (PARTITION BY station_id, "timestamp" ORDER BY pos) = 1),
+upd AS (SELECT pos, station_id, "timestamp", temperature_c + 100 AS temperature_c FROM obs
+        WHERE station_type = 'view'
+        QUALIFY row_number() OVER (PARTITION BY station_id, "timestamp" ORDER BY pos DESC) = 1)
+SELECT pos, station_id, "timestamp", temperature_c FROM tgt
+WHERE NOT EXISTS (SELECT 1 FROM upd WHERE upd.station_id IS NOT DISTINCT FROM tgt.station_id
+                  AND upd."timestamp" IS NOT DISTINCT FROM tgt."timestamp")
+UNION ALL SELECT pos, station_id, "timestamp", temperature_c FROM upd""")
+def q_upsert(spark, sf):
+    from stratus.sinks.tables import upsert
+    o = obs(spark, sf).select("pos", "station_id", "timestamp", "temperature_c", "station_type")
+    tgt = D.dedup_keep_first(o, ["station_id", "timestamp"], ["pos"]).drop("station_type")
+    upd = (o.filter(F.col("station_type") == "view").drop("station_type")
+           .withColumn("temperature_c", F.col("temperature_c") + 100))
+    return upsert(tgt, upd, order="pos")
+
+
+# ===========================================================================
+# Station dimension joins
+
+DIM_SQL = """dim AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS station_id, s_name AS station_name, CAST(s_nationkey * 2.0 AS DOUBLE) AS latitude,
+    s_acctbal / 1000 AS longitude, 10.0::DOUBLE AS elevation, 'synop' AS station_type, s_suppkey AS pos FROM supplier
+  UNION ALL
+  SELECT CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey * 10.0 AS DOUBLE), 5.0::DOUBLE, 20.0::DOUBLE, 'manual',
+    n_nationkey + 10000000 FROM nation),
+lastdim AS (SELECT * FROM dim QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY pos DESC) = 1)"""
+
+
+@query("station_enrich", f"""{OBS}, {DIM_SQL}
+SELECT o.pos, o.station_id, d.station_name, d.latitude, d.longitude, d.elevation, d.station_type
+FROM obs o LEFT JOIN lastdim d ON o.station_id = d.station_id""")
+def q_station_enrich(spark, sf):
+    from stratus.operators.joins import enrich_stations
+    out = enrich_stations(S.obs_for_join(spark, sf), S.stations_dim(spark, sf))
+    return out.select("pos", "station_id", "station_name", "latitude", "longitude", "elevation", "station_type")
+
+
+@query("station_enrich_default", f"""{OBS}, {DIM_SQL}
+SELECT o.pos, o.station_id, CASE WHEN d.station_id IS NULL THEN 'Unknown_' || o.station_id ELSE d.station_name END
+  AS station_name, d.latitude, d.longitude, d.elevation,
+  CASE WHEN d.station_id IS NULL THEN 'weather_underground' ELSE d.station_type END AS station_type
+FROM obs o LEFT JOIN lastdim d ON o.station_id = d.station_id""")
+def q_station_enrich_default(spark, sf):
+    from stratus.operators.joins import enrich_stations_default
+    out = enrich_stations_default(S.obs_for_join(spark, sf), S.stations_dim(spark, sf))
+    return out.select("pos", "station_id", "station_name", "latitude", "longitude", "elevation", "station_type")

@@ -54,7 +54,8 @@ def _fact(section: str, key, num=None, txt=None) -> Column:
 
 
 def _pct(count: Column, total: Column) -> Column:
-    return F.coalesce(F.round(F.try_divide(count * 100.0, total), 2), F.lit(0.0))
+    """count / total * 100 in double precision, 2 dp; 0.0 when total is 0."""
+    return F.coalesce(F.round(F.try_divide(count.cast("double"), total) * 100, 2), F.lit(0.0))
 
 
 # ---------------------------------------------------------------------------

@@ -31,9 +31,11 @@ def strong_wind(df: DataFrame, threshold: float = 50.0) -> DataFrame:
     return df.filter(F.col("wind_speed_kmh") > F.lit(threshold)).orderBy(F.col("wind_speed_kmh").desc())
 
 
-def latest_n(df: DataFrame, station_id: str, n: int = 10) -> DataFrame:
-    """The ``n`` latest rows of a station (top-k, no full sort)."""
-    return filter_station(df, station_id).orderBy(F.col("timestamp").desc_nulls_last()).limit(n)
+def latest_n(df: DataFrame, station_id: str, n: int = 10, tie_break: list | None = None) -> DataFrame:
+    """The ``n`` latest rows of a station (top-k, no full sort);
+    ``tie_break`` orders rows with equal timestamps deterministically."""
+    order = [F.col("timestamp").desc_nulls_last(), *(tie_break or [])]
+    return filter_station(df, station_id).orderBy(*order).limit(n)
 
 
 def sample_row(df: DataFrame, source: str, order: list[str] | None = None) -> DataFrame:
@@ -55,7 +57,7 @@ def share_by(df: DataFrame, col: str) -> DataFrame:
     (small) grouped result, not over the rows."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("records"))
     total = F.sum("records").over(Window.partitionBy())
-    return g.withColumn("share_pct", F.round(F.col("records") * 100.0 / total, 1))
+    return g.withColumn("share_pct", F.round(F.col("records").cast("double") / total * 100, 1))
 
 
 def reject_counts(rejected: DataFrame, col: str = "reject_type") -> DataFrame:

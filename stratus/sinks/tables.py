@@ -104,10 +104,10 @@ def upsert(target: DataFrame, updates: DataFrame, order: str = "pos") -> DataFra
     from pyspark.sql import Window
     w = Window.partitionBy(*KEY_COLUMNS).orderBy(F.col(order).desc())
     last = (updates.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
-            .select(*UNIFIED_COLUMNS))
+            .select(*target.columns))
     keys = last.select(*KEY_COLUMNS)
     cond = [target[k].eqNullSafe(keys[k]) for k in KEY_COLUMNS]
-    kept = target.join(keys, cond, "left_anti").select(*UNIFIED_COLUMNS)
+    kept = target.join(keys, cond, "left_anti").select(*target.columns)
     return kept.unionByName(last)
 
 

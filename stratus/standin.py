@@ -65,7 +65,7 @@ def obs_select_sql(dialect: str) -> str:
     for name, expr in OBS_EXPRS:
         if expr is None:
             expr = OBS_TS_SPARK if dialect == "spark" else OBS_TS_DUCK
-        parts.append(f"{expr} AS {name}")
+        parts.append(f"{expr} AS `{name}`" if dialect == "spark" else f'{expr} AS "{name}"')
     return ",\n  ".join(parts)
 
 
