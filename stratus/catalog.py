@@ -554,3 +554,174 @@ def q_station_enrich_default(spark, sf):
     from stratus.operators.joins import enrich_stations_default
     out = enrich_stations_default(S.obs_for_join(spark, sf), S.stations_dim(spark, sf))
     return out.select("pos", "station_id", "station_name", "latitude", "longitude", "elevation", "station_type")
+
+
+# ===========================================================================
+# Raw wrapped JSON-lines: S2, S6, P1, P8, P20, P2, P3, U1, E2
+
+RAW_SQL = """WITH raw AS (
+  SELECT *,
+    CASE WHEN event_type IN ('view', 'click', 'signup') THEN 'wu' WHEN event_type = 'purchase' THEN 'ic'
+         ELSE 'misc' END AS kind,
+    strftime(ts, '%d%m%y') AS day,
+    CASE user_id % 3 WHEN 0 THEN 'BE' WHEN 1 THEN 'FR' ELSE 'NL' END AS country,
+    event_id % 151 = 0 AS is_blank,
+    (event_id % 151 <> 0 AND event_id % 149 = 0) AS is_bad
+  FROM events),
+raw2 AS (
+  SELECT *, CASE kind WHEN 'wu' THEN '/raw/' || country || '/' || day || '/' || event_type || '.jsonl'
+                      WHEN 'ic' THEN '/raw/infoclimat/' || day || '/hourly.jsonl'
+                      ELSE '/raw/misc/' || day || '/log.json' END AS file_path
+  FROM raw),
+good AS (SELECT * FROM raw2 WHERE NOT is_blank AND NOT is_bad)"""
+
+WU_COLS_SQL = """'weather_underground' AS source,
+  CASE user_id % 3 WHEN 0 THEN 'IICHTE19' WHEN 1 THEN 'ILAMAD25' ELSE 'UNKNOWN' END AS station_id,
+  CASE user_id % 3 WHEN 0 THEN 'WeerstationBS' WHEN 1 THEN 'La Madeleine' ELSE 'Unknown_UNKNOWN' END AS station_name,
+  CAST(CASE user_id % 3 WHEN 0 THEN 51.092 WHEN 1 THEN 50.659 END AS DOUBLE) AS latitude,
+  CAST(CASE user_id % 3 WHEN 0 THEN 2.999 WHEN 1 THEN 3.07 END AS DOUBLE) AS longitude,
+  CAST(CASE user_id % 3 WHEN 0 THEN 15.0 WHEN 1 THEN 23.0 END AS DOUBLE) AS elevation,
+  'weather_underground' AS station_type,
+  date_trunc('minute', ts) AS "timestamp",
+  round((value - 32) * 5 / 9, 2) AS temperature_c,
+  round((CAST(printf('%.2f', value - 10) AS DOUBLE) - 32) * 5 / 9, 2) AS dew_point_c,
+  CAST(event_id % 101 AS DOUBLE) AS humidity_pct,
+  CASE WHEN event_id % 18 < 16 THEN (event_id % 18) * 22.5 END AS wind_direction_deg,
+  round(CAST(CAST(event_id % 40 AS VARCHAR) || '.' || CAST(event_id % 10 AS VARCHAR) AS DOUBLE) * 1.60934, 2)
+    AS wind_speed_kmh,
+  CASE WHEN event_id % 4 <> 0 THEN round(CAST(CAST(event_id % 60 AS VARCHAR) || '.5' AS DOUBLE) * 1.60934, 2) END
+    AS wind_gust_kmh,
+  round(CAST(CAST(28 + event_id % 3 AS VARCHAR) || '.' || lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') AS DOUBLE)
+    * 33.8639, 2) AS pressure_hpa,
+  CASE WHEN event_id % 6 <> 0 THEN round(CAST('0.0' || CAST(event_id % 10 AS VARCHAR) AS DOUBLE) * 25.4, 2) END
+    AS precip_rate_mm,
+  round(CAST('0.' || lpad(CAST(event_id % 50 AS VARCHAR), 2, '0') AS DOUBLE) * 25.4, 2) AS precip_accum_mm,
+  CAST(NULL AS DOUBLE) AS visibility_m, CAST(NULL AS DOUBLE) AS cloud_cover_octas,
+  CAST(NULL AS DOUBLE) AS snow_depth_cm, CAST(NULL AS VARCHAR) AS weather_code,
+  CAST(event_id % 11 AS DOUBLE) AS uv_index, CAST(event_id % 900 AS DOUBLE) AS solar_radiation_wm2"""
+
+IC_COLS_SQL = """'infoclimat' AS source, CAST(user_id AS VARCHAR) AS station_id,
+  CAST(NULL AS VARCHAR) AS station_name, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude,
+  CAST(NULL AS DOUBLE) AS elevation, 'infoclimat_api' AS station_type,
+  date_trunc('second', ts) AS "timestamp",
+  value / 8 - 15 AS temperature_c, value / 10 - 20 AS dew_point_c,
+  CAST(event_id % 100 AS DOUBLE) AS humidity_pct, CAST((event_id % 36) * 10 AS DOUBLE) AS wind_direction_deg,
+  value / 7 AS wind_speed_kmh, CASE WHEN event_id % 5 <> 0 THEN value / 5 END AS wind_gust_kmh,
+  CAST(980 + event_id % 60 AS DOUBLE) AS pressure_hpa,
+  CASE WHEN event_id % 6 <> 0 THEN CAST(event_id % 7 AS DOUBLE) END AS precip_rate_mm,
+  CASE WHEN event_id % 9 <> 0 THEN CAST(event_id % 9 AS DOUBLE) END AS precip_accum_mm,
+  CASE WHEN event_id % 80 = 0 THEN CAST(event_id % 10000 AS DOUBLE) END AS visibility_m,
+  CASE WHEN event_id % 200 = 0 THEN CAST(event_id % 9 AS DOUBLE) END AS cloud_cover_octas,
+  CAST(NULL AS DOUBLE) AS snow_depth_cm,
+  CASE WHEN event_id % 50 = 0 THEN CAST(event_id % 100 AS VARCHAR) END AS weather_code,
+  CAST(NULL AS DOUBLE) AS uv_index, CAST(NULL AS DOUBLE) AS solar_radiation_wm2"""
+
+PROJECTED_SQL = f"""projected AS (
+  SELECT event_id AS row_id, file_path, {WU_COLS_SQL} FROM good WHERE kind = 'wu'
+  UNION ALL
+  SELECT event_id AS row_id, file_path, {IC_COLS_SQL} FROM good WHERE kind = 'ic')"""
+
+
+def raw(spark, sf):
+    return S.raw_lines(spark, sf)
+
+
+def _records(spark, sf):
+    from stratus.plans.pipelines import cloud_records
+    return cloud_records(raw(spark, sf))
+
+
+@query("parse_quarantine", f"""{RAW_SQL}
+SELECT event_id AS row_id, 'invalid JSON' AS error,
+  '{{"_airbyte_data": {{"Time": "' || strftime(ts, '%-I:%M') AS raw
+FROM raw2 WHERE is_bad""")
+def q_parse_quarantine(spark, sf):
+    from stratus.sources.jsonl import nonblank, parse_records, quarantine
+    return quarantine(parse_records(nonblank(raw(spark, sf)))).select("row_id", "error", "raw")
+
+
+@query("rows_per_file", f"{RAW_SQL} SELECT file_path, count(*) AS records FROM good GROUP BY file_path")
+def q_rows_per_file(spark, sf):
+    from stratus.sources.jsonl import nonblank, parse_records, rows_per_file
+    return rows_per_file(parse_records(nonblank(raw(spark, sf))))
+
+
+@query("airbyte_unwrap", f"""{RAW_SQL}
+SELECT event_id AS row_id, event_id % 7 <> 3 AS wrapped,
+  CAST(CASE kind WHEN 'wu' THEN 12 WHEN 'ic' THEN 15 ELSE 2 END AS BIGINT) AS n_keys
+FROM good""")
+def q_unwrap(spark, sf):
+    from stratus.operators.normalize import WRAPPER_KEY, unwrap
+    from stratus.sources.jsonl import nonblank, parse_records
+    p = parse_records(nonblank(raw(spark, sf))).filter(F.col("parse_error").isNull())
+    return p.select("row_id", F.map_contains_key("rec", F.lit(WRAPPER_KEY)).alias("wrapped"),
+                    F.size(unwrap("rec")).cast("long").alias("n_keys"))
+
+
+@query("detect_source", f"""{RAW_SQL}
+SELECT DISTINCT file_path, CASE kind WHEN 'wu' THEN 'weather_underground' WHEN 'ic' THEN 'infoclimat'
+  ELSE 'unknown' END AS kind FROM good""")
+def q_detect_source(spark, sf):
+    return _records(spark, sf).select("file_path", "kind").distinct()
+
+
+@query("infer_station", f"""{RAW_SQL}
+SELECT DISTINCT file_path AS rel_path,
+  CASE WHEN kind = 'wu' AND country = 'BE' THEN 'IICHTE19' WHEN kind = 'wu' AND country = 'FR' THEN 'ILAMAD25'
+       ELSE 'UNKNOWN' END AS station_id
+FROM raw2""")
+def q_infer_station(spark, sf):
+    from stratus.operators.normalize import infer_station
+    return raw(spark, sf).select("rel_path").distinct().select("rel_path", infer_station("rel_path").alias("station_id"))
+
+
+@query("infoclimat_project", f"{RAW_SQL} SELECT event_id AS row_id, {IC_COLS_SQL} FROM good WHERE kind = 'ic'")
+def q_ic_project(spark, sf):
+    from stratus.operators.normalize import infoclimat_columns, unified_select
+    r = _records(spark, sf).filter(F.col("kind") == "infoclimat")
+    return r.select("row_id", *unified_select(infoclimat_columns(F.col("payload"))))
+
+
+@query("wu_project", f"{RAW_SQL} SELECT event_id AS row_id, {WU_COLS_SQL} FROM good WHERE kind = 'wu'")
+def q_wu_project(spark, sf):
+    from stratus.operators.normalize import infer_station, unified_select, wu_columns
+    r = _records(spark, sf).filter(F.col("kind") == "weather_underground")
+    cols = wu_columns(F.col("payload"), infer_station(F.col("rel_path")), date_from_path(F.col("rel_path")), "cloud")
+    return r.select("row_id", *unified_select(cols))
+
+
+@query("union_sources", f"{RAW_SQL}, {PROJECTED_SQL} SELECT row_id, {U23} FROM projected")
+def q_union(spark, sf):
+    from stratus.operators.normalize import union_sources
+    ic = q_ic_project(spark, sf)
+    wu = q_wu_project(spark, sf)
+    return union_sources(ic, wu).select("row_id", *UNIFIED_COLUMNS)
+
+
+@query("pipeline_cloud", f"""{RAW_SQL}, {PROJECTED_SQL}
+SELECT row_id, {U23} FROM projected
+QUALIFY row_number() OVER (PARTITION BY station_id, "timestamp" ORDER BY file_path, row_id) = 1""")
+def q_pipeline_cloud(spark, sf):
+    from stratus.plans.pipelines import cloud_transform
+    return cloud_transform(raw(spark, sf)).select("row_id", *UNIFIED_COLUMNS)
+
+
+@query("quality_report_cloud", f"""{RAW_SQL}, {PROJECTED_SQL},
+obs AS (SELECT * FROM projected
+        QUALIFY row_number() OVER (PARTITION BY station_id, "timestamp" ORDER BY file_path, row_id) = 1),
+{EXT_SQL},
+g AS (SELECT count(*) AS total, min("timestamp") AS tmin, max("timestamp") AS tmax FROM obs)
+SELECT 'total_records' AS section, CAST(NULL AS VARCHAR) AS key, CAST(total AS DOUBLE) AS num,
+  CAST(NULL AS VARCHAR) AS txt FROM g
+UNION ALL SELECT 'date_range', 'min', NULL, {_ts_txt('tmin')} FROM g
+UNION ALL SELECT 'date_range', 'max', NULL, {_ts_txt('tmax')} FROM g
+UNION ALL {"UNION ALL ".join(_null_rate_sql(c, 'null_rates') + chr(10) for c in UNIFIED_COLUMNS)}
+UNION ALL SELECT 'anomalies', NULL, NULL, 'Temp min: ' || CAST(t_min AS VARCHAR) || ' degC' FROM ext WHERE t_min < -50
+UNION ALL SELECT 'anomalies', NULL, NULL, 'Temp max: ' || CAST(t_max AS VARCHAR) || ' degC' FROM ext WHERE t_max > 60
+UNION ALL SELECT 'records_per_source', source, count(*), NULL FROM obs WHERE source IS NOT NULL GROUP BY source
+UNION ALL SELECT 'records_per_station', station_id, count(*), NULL FROM obs WHERE station_id IS NOT NULL
+  GROUP BY station_id
+UNION ALL SELECT 'duplicates', NULL, COALESCE(SUM(n - 1), 0), NULL FROM ({DUPS_SQL})""")
+def q_quality_cloud(spark, sf):
+    from stratus.plans.pipelines import cloud_transform
+    return Q.quality_report(cloud_transform(raw(spark, sf)), "cloud")
