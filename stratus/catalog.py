@@ -725,3 +725,364 @@ UNION ALL SELECT 'duplicates', NULL, COALESCE(SUM(n - 1), 0), NULL FROM ({DUPS_S
 def q_quality_cloud(spark, sf):
     from stratus.plans.pipelines import cloud_transform
     return Q.quality_report(cloud_transform(raw(spark, sf)), "cloud")
+
+
+# ===========================================================================
+# Load: S8, X13/X14, P9-P14, A15, A16, T5, K3, K4, E3
+
+LOAD_SQL = f"""{OBS},
+ln AS (
+  SELECT *, pos AS row_id,
+    pos % 307 = 0 AS is_blank,
+    (pos % 307 <> 0 AND pos % 293 = 0) AS is_bad,
+    station_name IS NULL AND pos % 2 = 0 AS name_absent,
+    pos % 61 = 2 AND weather_code IS NULL AS code_numeric,
+    CASE WHEN "timestamp" IS NULL THEN NULL WHEN pos % 41 = 4 THEN "timestamp"
+         WHEN pos % 43 = 5 THEN "timestamp" - INTERVAL 2 HOUR WHEN pos % 47 = 6 THEN NULL
+         ELSE "timestamp" END AS ts_conv
+  FROM obs),
+chk AS (
+  SELECT *, concat_ws(', ',
+      CASE WHEN name_absent THEN 'required:station_name' END,
+      CASE WHEN station_id IS NULL THEN 'type:station_id' END,
+      CASE WHEN station_name IS NULL AND NOT name_absent THEN 'type:station_name' END,
+      CASE WHEN latitude < -90 THEN 'minimum:latitude' END,
+      CASE WHEN latitude > 90 THEN 'maximum:latitude' END,
+      CASE WHEN ts_conv IS NULL THEN 'type:timestamp' END,
+      CASE WHEN temperature_c < -60 THEN 'minimum:temperature_c' END,
+      CASE WHEN temperature_c > 60 THEN 'maximum:temperature_c' END,
+      CASE WHEN humidity_pct > 100 THEN 'maximum:humidity_pct' END,
+      CASE WHEN pressure_hpa < 870 THEN 'minimum:pressure_hpa' END,
+      CASE WHEN code_numeric THEN 'type:weather_code' END,
+      CASE WHEN source NOT IN ('infoclimat', 'weather_underground') THEN 'enum:source' END) AS viols
+  FROM ln WHERE NOT is_blank AND NOT is_bad),
+firsts AS (SELECT station_id, ts_conv, min(pos) AS first_pos FROM chk WHERE viols = '' GROUP BY station_id, ts_conv),
+outcome AS (
+  SELECT c.*, CASE WHEN c.viols <> '' THEN 'schema_validation'
+                   WHEN c.pos <> f.first_pos THEN 'duplicate_key' END AS reject_type
+  FROM chk c LEFT JOIN firsts f
+    ON c.station_id IS NOT DISTINCT FROM f.station_id AND c.ts_conv IS NOT DISTINCT FROM f.ts_conv)"""
+
+LOADED_COLS_SQL = ", ".join('ts_conv AS "timestamp"' if c == "timestamp" else c for c in UNIFIED_COLUMNS)
+
+
+def _outcome(spark, sf):
+    from stratus.plans.pipelines import load
+    return load(S.unified_lines(spark, sf))
+
+
+def _rules(spark, sf, *prefixes):
+    o = _outcome(spark, sf).filter(F.col("parse_error").isNull())
+    r = o.select("row_id", F.explode("violations").alias("rule"))
+    cond = F.lit(False)
+    for p in prefixes:
+        cond = cond | F.col("rule").startswith(p)
+    return r.filter(cond)
+
+
+def _rules_sql(*prefixes):
+    like = " OR ".join(f"rule LIKE '{p}%'" for p in prefixes)
+    return (f"{LOAD_SQL} SELECT row_id, rule FROM (SELECT row_id, unnest(string_split(viols, ', ')) AS rule "
+            f"FROM chk WHERE viols <> '') WHERE {like}")
+
+
+@query("validate_required", _rules_sql("required:"))
+def q_validate_required(spark, sf):
+    return _rules(spark, sf, "required:")
+
+
+@query("validate_types", _rules_sql("type:"))
+def q_validate_types(spark, sf):
+    return _rules(spark, sf, "type:")
+
+
+@query("validate_range", _rules_sql("minimum:", "maximum:"))
+def q_validate_range(spark, sf):
+    return _rules(spark, sf, "minimum:", "maximum:")
+
+
+@query("validate_enum", _rules_sql("enum:"))
+def q_validate_enum(spark, sf):
+    return _rules(spark, sf, "enum:")
+
+
+@query("validate_split", f"{LOAD_SQL} SELECT row_id, viols = '' AS accepted, viols AS violations FROM chk")
+def q_validate_split(spark, sf):
+    o = _outcome(spark, sf).filter(F.col("parse_error").isNull())
+    return o.select("row_id", (F.size("violations") == 0).alias("accepted"),
+                    F.array_join("violations", ", ").alias("violations"))
+
+
+@query("classify_rejects", f"{LOAD_SQL} SELECT row_id, reject_type FROM outcome WHERE reject_type IS NOT NULL")
+def q_classify(spark, sf):
+    return _outcome(spark, sf).filter(F.col("reject_type").isNotNull()).select("row_id", "reject_type")
+
+
+@query("reject_counts", f"""{LOAD_SQL} SELECT reject_type, count(*) AS errors FROM outcome
+WHERE reject_type IS NOT NULL GROUP BY reject_type""")
+def q_reject_counts(spark, sf):
+    return QQ.reject_counts(_outcome(spark, sf).filter(F.col("reject_type").isNotNull()))
+
+
+ACCOUNTING_SQL = f"""{LOAD_SQL}
+SELECT (SELECT count(*) FROM ln WHERE NOT is_blank) AS total_lines,
+  (SELECT count(*) FROM chk) AS total_parsed, (SELECT count(*) FROM chk) AS total_submitted,
+  count_if(reject_type IS NULL) AS total_inserted, count_if(reject_type IS NOT NULL) AS total_errors,
+  count_if(reject_type = 'schema_validation') AS schema_validation,
+  count_if(reject_type = 'duplicate_key') AS duplicate_key
+FROM outcome"""
+
+
+@query("import_accounting", ACCOUNTING_SQL)
+def q_accounting(spark, sf):
+    from stratus.plans.pipelines import import_accounting
+    return import_accounting(_outcome(spark, sf))
+
+
+@query("reject_sample", f"""{LOAD_SQL}
+SELECT row_id, reject_type, left(CASE WHEN viols <> '' THEN 'failed validation: ' || viols
+  ELSE 'duplicate key: ' || station_id || ' ' || CAST(ts_conv AS VARCHAR) END, 250) AS message
+FROM outcome WHERE reject_type IS NOT NULL ORDER BY pos LIMIT 15""")
+def q_reject_sample(spark, sf):
+    from stratus.plans.pipelines import rejection_messages
+    r = rejection_messages(_outcome(spark, sf))
+    return QQ.reject_sample(r, ["pos"], 15).select("row_id", "reject_type", "message")
+
+
+@query("normalize_record", f"""{LOAD_SQL}
+SELECT row_id, CASE WHEN solar_radiation_wm2 IS NULL THEN 'null' ELSE 'double' END AS solar_strict,
+  CASE WHEN solar_radiation_wm2 IS NULL THEN 'null' WHEN pos % 3 = 0 THEN 'int' ELSE 'double' END AS solar_core
+FROM chk""")
+def q_normalize_record(spark, sf):
+    from stratus.operators.validate import parse_documents, stage_variant_fields
+    from stratus.schema import WIDEN_CORE, WIDEN_STRICT
+    from stratus.sources.jsonl import nonblank
+    d = parse_documents(nonblank(S.unified_lines(spark, sf))).filter(F.col("parse_error").isNull())
+    d = d.select("row_id", "doc")
+    f = "solar_radiation_wm2"
+    a, va = stage_variant_fields(d, "doc", [f], WIDEN_STRICT)
+    a = a.select("row_id", "doc", va[f].tag.alias("solar_strict"))
+    b, vb = stage_variant_fields(a, "doc", [f], WIDEN_CORE)
+    return b.select("row_id", "solar_strict", vb[f].tag.alias("solar_core"))
+
+
+def _loaded_table(spark, sf, twice: bool = False):
+    from stratus.plans.pipelines import run_load
+    from stratus.session import shared_dir
+    path = shared_dir(spark, "table")
+    lines = S.unified_lines(spark, sf)
+    run_load(spark, lines, path, "reset").collect()
+    if twice:
+        run_load(spark, lines, path, "append").collect()
+    return spark.read.parquet(path).select(*UNIFIED_COLUMNS)
+
+
+@query("load_overwrite", f"{LOAD_SQL} SELECT {LOADED_COLS_SQL} FROM outcome WHERE reject_type IS NULL")
+def q_load_overwrite(spark, sf):
+    return _loaded_table(spark, sf)
+
+
+@query("load_insert_ignore", f"{LOAD_SQL} SELECT {LOADED_COLS_SQL} FROM outcome WHERE reject_type IS NULL")
+def q_load_insert_ignore(spark, sf):
+    return _loaded_table(spark, sf, twice=True)
+
+
+PIPELINE_LOAD_SQL = f"""{LOAD_SQL},
+acct AS ({ACCOUNTING_SQL.replace(LOAD_SQL, "")}),
+tbl AS (SELECT {LOADED_COLS_SQL} FROM outcome WHERE reject_type IS NULL),
+g AS (SELECT count(*) AS total, min("timestamp") AS tmin, max("timestamp") AS tmax FROM tbl)
+SELECT 'import' AS section, k AS key, CAST(v AS DOUBLE) AS num, CAST(NULL AS VARCHAR) AS txt FROM (
+  SELECT 'total_lines' AS k, total_lines AS v FROM acct UNION ALL SELECT 'total_parsed', total_parsed FROM acct
+  UNION ALL SELECT 'total_submitted', total_submitted FROM acct UNION ALL SELECT 'total_inserted', total_inserted FROM acct
+  UNION ALL SELECT 'total_errors', total_errors FROM acct
+  UNION ALL SELECT 'schema_validation', schema_validation FROM acct
+  UNION ALL SELECT 'duplicate_key', duplicate_key FROM acct)
+UNION ALL SELECT 'total_documents', NULL, total, NULL FROM g
+UNION ALL SELECT 'schema_conformity_rate_pct', NULL, 100.0, NULL FROM g
+UNION ALL SELECT 'date_range', 'min', NULL, {_ts_txt('tmin')} FROM g
+UNION ALL SELECT 'date_range', 'max', NULL, {_ts_txt('tmax')} FROM g
+UNION ALL {"UNION ALL ".join(_null_rate_sql(c, 'null_rates_pct').replace('FROM obs', 'FROM tbl') + chr(10)
+                             for c in MEASURE_COLUMNS)}
+UNION ALL SELECT 'by_source', source, count(*), NULL FROM tbl GROUP BY source"""
+
+
+@query("pipeline_load", PIPELINE_LOAD_SQL)
+def q_pipeline_load(spark, sf):
+    from stratus.plans.pipelines import run_load
+    from stratus.session import shared_dir
+    return run_load(spark, S.unified_lines(spark, sf), shared_dir(spark, "table"), "reset")
+
+
+@query("post_load_check", f"""{OBS},
+g AS (SELECT count(*) AS total, min("timestamp") AS tmin, max("timestamp") AS tmax FROM obs),
+s AS (SELECT * FROM obs WHERE source = 'weather_underground'
+      ORDER BY {", ".join(f'"{c}" NULLS FIRST' for c in UNIFIED_COLUMNS)} LIMIT 1)
+SELECT 'total_documents' AS section, CAST(NULL AS VARCHAR) AS key, CAST(total AS DOUBLE) AS num,
+  CAST(NULL AS VARCHAR) AS txt FROM g
+UNION ALL SELECT 'date_range', 'min', NULL, {_ts_txt('tmin')} FROM g
+UNION ALL SELECT 'date_range', 'max', NULL, {_ts_txt('tmax')} FROM g
+UNION ALL SELECT 'by_source', source, count(*), NULL FROM obs GROUP BY source
+UNION ALL SELECT 'by_station', station_id, count(*), NULL FROM obs GROUP BY station_id
+UNION ALL SELECT 'sample', 'station_id', NULL, station_id FROM s
+UNION ALL SELECT 'sample', 'temperature_c', temperature_c, NULL FROM s
+UNION ALL SELECT 'sample', 'timestamp', NULL, {_ts_txt('"timestamp"')} FROM s""")
+def q_post_load_check(spark, sf):
+    from stratus.plans.pipelines import post_load_check
+    return post_load_check(obs(spark, sf).drop("pos"))
+
+
+# ===========================================================================
+# Files: S1, S3, S7, S8, K1, K7
+
+@query("scan_jsonl", f"""{RAW_SQL}
+SELECT '/a=' || CASE kind WHEN 'wu' THEN country WHEN 'ic' THEN 'infoclimat' ELSE 'misc' END || '/b=' || day AS folder,
+  count(*) AS lines, count_if(NOT is_blank) AS nonblank_lines
+FROM raw2 GROUP BY folder""")
+def q_scan_jsonl(spark, sf):
+    from stratus.session import shared_dir
+    from stratus.sources.jsonl import scan_lines
+    from stratus.functions.text import is_blank
+    root = shared_dir(spark, "raw")
+    r = raw(spark, sf)
+    (r.select("value", F.regexp_extract("file_path", r"^/raw/([^/]+)/", 1).alias("a"),
+              F.regexp_extract("file_path", r"^/raw/[^/]+/(\d{6})/", 1).alias("b"))
+     .write.partitionBy("a", "b").text(root))
+    lines = scan_lines(spark, root, glob="*.txt")
+    folder = F.regexp_extract("rel_path", r"^(.*)/[^/]+$", 1)
+    return (lines.groupBy(folder.alias("folder"))
+            .agg(F.count(F.lit(1)).alias("lines"), F.count_if(~is_blank("value")).alias("nonblank_lines")))
+
+
+@query("scan_prefix", """
+SELECT '/json/event_type=' || event_type AS folder, count(*) AS lines FROM events GROUP BY event_type""")
+def q_scan_prefix(spark, sf):
+    from stratus.session import shared_dir
+    from stratus.sources.jsonl import scan_lines
+    root = shared_dir(spark, "prefix")
+    e = ev(spark, sf).select("event_id", "event_type", "value")
+    e.write.partitionBy("event_type").json(f"{root}/json")
+    e.select(F.to_json(F.struct("*")).alias("value")).write.text(f"{root}/txt")
+    lines = scan_lines(spark, root)  # default suffix filter: .jsonl / .json, all levels
+    folder = F.regexp_extract("rel_path", r"^(.*)/[^/]+$", 1)
+    return lines.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+def _written_obs(spark, sf):
+    from stratus.session import shared_dir
+    from stratus.sinks.tables import write_layout
+    path = shared_dir(spark, "obs")
+    write_layout(obs(spark, sf), path)
+    return path
+
+
+@query("scan_table", f"{OBS} SELECT {U23} FROM obs")
+def q_scan_table(spark, sf):
+    from stratus.sinks.tables import scan_table
+    return scan_table(spark, _written_obs(spark, sf))
+
+
+@query("layout_scan", f"""{OBS} SELECT {U23} FROM obs WHERE station_id = '7'
+AND "timestamp" >= TIMESTAMP '2024-01-10 00:00:00' AND "timestamp" < TIMESTAMP '2024-01-20 00:00:00'""")
+def q_layout_scan(spark, sf):
+    from stratus.sinks.tables import scan_table
+    t = scan_table(spark, _written_obs(spark, sf))
+    ts = F.col("timestamp")
+    return t.filter((F.col("station_id") == "7")
+                    & (ts >= F.lit(dt.datetime(2024, 1, 10)).cast("timestamp_ntz"))
+                    & (ts < F.lit(dt.datetime(2024, 1, 20)).cast("timestamp_ntz")))
+
+
+EXPORT_COLS_SQL = ", ".join(
+    "CASE WHEN pos % 37 = 0 OR pos % 41 = 0 THEN NULL ELSE _v / 8 - 15 END AS temperature_c" if c == "temperature_c"
+    else "CASE WHEN pos % 43 = 0 THEN NULL ELSE _v / 7 END AS wind_speed_kmh" if c == "wind_speed_kmh"
+    else f'"{c}"' for c in UNIFIED_COLUMNS)
+
+
+@query("export_jsonl_roundtrip", f"""WITH obs AS (SELECT {S.obs_select_sql('duck')}, value AS _v FROM events)
+SELECT {EXPORT_COLS_SQL} FROM obs""")
+def q_export_roundtrip(spark, sf):
+    from stratus.session import shared_dir
+    from stratus.sinks.tables import export_jsonl, read_unified
+    path = shared_dir(spark, "export")
+    export_jsonl(S.observations_nonfinite(spark, sf), path)
+    return read_unified(spark, path)
+
+
+@query("read_unified", f"{OBS} SELECT {U23} FROM obs")
+def q_read_unified(spark, sf):
+    from stratus.session import shared_dir
+    from stratus.sinks.tables import export_jsonl, read_unified
+    path = shared_dir(spark, "export")
+    export_jsonl(obs(spark, sf), path)
+    return read_unified(spark, path)
+
+
+# ===========================================================================
+# Local transform: S4, S5, E1
+
+DOC_ROWS_SQL = """SELECT 'infoclimat' AS source, CAST(user_id AS VARCHAR) AS station_id,
+  CASE WHEN user_id % 5 <> 4 THEN 'Station ' || CAST(user_id AS VARCHAR) END AS station_name,
+  CASE WHEN user_id % 5 <> 4 THEN 42.0 + CAST(user_id % 90 AS DOUBLE) / 10 END AS latitude,
+  CASE WHEN user_id % 5 <> 4 THEN -4.0 + CAST(user_id % 80 AS DOUBLE) / 8 END AS longitude,
+  CASE WHEN user_id % 5 <> 4 THEN CAST(user_id % 400 AS DOUBLE) END AS elevation,
+  CASE WHEN user_id % 5 <> 4 THEN 'synop' END AS station_type,
+  CASE WHEN event_id % 29 <> 0 THEN date_trunc('second', ts) END AS "timestamp",
+  CASE WHEN event_id % 31 <> 0 THEN value / 8 - 15 END AS temperature_c,
+  value / 10 - 20 AS dew_point_c, CAST(event_id % 100 AS DOUBLE) AS humidity_pct,
+  CAST((event_id % 36) * 10 AS DOUBLE) AS wind_direction_deg, value / 7 AS wind_speed_kmh,
+  CAST(NULL AS DOUBLE) AS wind_gust_kmh, CAST(980 + event_id % 60 AS DOUBLE) AS pressure_hpa,
+  CAST(NULL AS DOUBLE) AS precip_rate_mm, CAST(NULL AS DOUBLE) AS precip_accum_mm,
+  CAST(NULL AS DOUBLE) AS visibility_m, CAST(NULL AS DOUBLE) AS cloud_cover_octas,
+  CAST(NULL AS DOUBLE) AS snow_depth_cm,
+  CASE WHEN event_id % 50 = 0 THEN CAST(event_id % 100 AS VARCHAR) END AS weather_code,
+  CAST(NULL AS DOUBLE) AS uv_index, CAST(NULL AS DOUBLE) AS solar_radiation_wm2
+FROM events WHERE event_type = 'purchase'"""
+
+SHEET_ROWS_SQL = """SELECT 'weather_underground' AS source,
+  CASE WHEN user_id % 4 = 0 THEN 'IICHTE19' ELSE 'ILAMAD25' END AS station_id,
+  CASE WHEN user_id % 4 = 0 THEN 'WeerstationBS' ELSE 'La Madeleine' END AS station_name,
+  CASE WHEN user_id % 4 = 0 THEN 51.092 ELSE 50.659 END::DOUBLE AS latitude,
+  CASE WHEN user_id % 4 = 0 THEN 2.999 ELSE 3.07 END::DOUBLE AS longitude,
+  CASE WHEN user_id % 4 = 0 THEN 15.0 ELSE 23.0 END::DOUBLE AS elevation,
+  'weather_underground' AS station_type,
+  CASE WHEN event_id % 3 = 0 THEN date_trunc('minute', ts) ELSE date_trunc('second', ts) END AS "timestamp",
+  round((value - 32) * 5 / 9, 2) AS temperature_c, CAST(NULL AS DOUBLE) AS dew_point_c,
+  CAST(event_id % 101 AS DOUBLE) AS humidity_pct,
+  CASE WHEN event_id % 18 < 16 THEN (event_id % 18) * 22.5 END AS wind_direction_deg,
+  round(CAST(CAST(event_id % 40 AS VARCHAR) || '.' || CAST(event_id % 10 AS VARCHAR) AS DOUBLE) * 1.60934, 2)
+    AS wind_speed_kmh,
+  CAST(NULL AS DOUBLE) AS wind_gust_kmh,
+  round(CAST(CAST(28 + event_id % 3 AS VARCHAR) || '.' || lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') AS DOUBLE)
+    * 33.8639, 2) AS pressure_hpa,
+  round(CAST('0.0' || CAST(event_id % 10 AS VARCHAR) AS DOUBLE) * 25.4, 2) AS precip_rate_mm,
+  CAST(NULL AS DOUBLE) AS precip_accum_mm, CAST(NULL AS DOUBLE) AS visibility_m,
+  CAST(NULL AS DOUBLE) AS cloud_cover_octas, CAST(NULL AS DOUBLE) AS snow_depth_cm,
+  CAST(NULL AS VARCHAR) AS weather_code, CAST(event_id % 11 AS DOUBLE) AS uv_index,
+  CAST(NULL AS DOUBLE) AS solar_radiation_wm2
+FROM events WHERE event_type IN ('view', 'click') AND user_id % 4 <= 1 AND event_id % 23 <> 0"""
+
+
+@query("infoclimat_explode", DOC_ROWS_SQL)
+def q_ic_explode(spark, sf):
+    from stratus.sources.document import explode_documents
+    return explode_documents(S.documents(spark, sf)).select(*UNIFIED_COLUMNS)
+
+
+def _sheet_rows(spark, sf):
+    from stratus.operators.normalize import sheet_rows
+    from stratus.sources.jsonl import nonblank, parse_records
+    p = parse_records(nonblank(S.sheet_lines(spark, sf))).filter(F.col("parse_error").isNull())
+    p = p.withColumnRenamed("rec", "payload")
+    station = F.regexp_extract(F.col("file_path"), r"([^/]+)/[^/]+$", 1)
+    return sheet_rows(p, station, "payload")
+
+
+@query("wu_sheet_rows", SHEET_ROWS_SQL)
+def q_sheet_rows(spark, sf):
+    return _sheet_rows(spark, sf).select(*UNIFIED_COLUMNS)
+
+
+@query("pipeline_local", f"{DOC_ROWS_SQL}\nUNION ALL\n{SHEET_ROWS_SQL}")
+def q_pipeline_local(spark, sf):
+    from stratus.plans.pipelines import local_transform
+    return local_transform(S.documents(spark, sf), S.sheet_lines(spark, sf)).select(*UNIFIED_COLUMNS)

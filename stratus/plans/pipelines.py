@@ -171,13 +171,14 @@ def post_load_check(table: DataFrame, sample_source: str = "weather_underground"
     """Total, by source, by station, span, one sample row (empty table ok)."""
     from stratus.operators.queries import sample_row
     rep = post_load_report(table, "core")
-    s = sample_row(table, sample_source)
+    s = sample_row(table, sample_source, order=UNIFIED_COLUMNS)
+    def fact(key, num, txt):
+        return F.struct(F.lit("sample").alias("section"), F.lit(key).alias("key"),
+                        num.cast("double").alias("num"), txt.cast("string").alias("txt"))
     sample = s.select(F.explode(F.array(
-        F.struct(F.lit("sample").alias("section"), F.lit("station_id").alias("key"),
-                 F.lit(None).cast("double").alias("num"), F.col("station_id").alias("txt")),
-        F.struct(F.lit("sample"), F.lit("temperature_c"), F.col("temperature_c"), F.lit(None).cast("string")),
-        F.struct(F.lit("sample"), F.lit("timestamp"), F.lit(None).cast("double"),
-                 F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")),
+        fact("station_id", F.lit(None), F.col("station_id")),
+        fact("temperature_c", F.col("temperature_c"), F.lit(None)),
+        fact("timestamp", F.lit(None), F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")),
     )).alias("f")).select("f.*")
     return rep.unionByName(sample)
 

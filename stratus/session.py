@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -56,10 +55,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
-    path = f"{root}/stratus/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1) if path.startswith("file:") else path, exist_ok=True)
-    return path
+    return f"{root}/stratus/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df, name: str = "stage"):
