@@ -372,11 +372,11 @@ def q_distinct_stations(spark, sf):
 
 
 @query("station_temp_stats", f"""{OBS}
-SELECT station_id, round(avg(temperature_c), 4) AS avg_temp, min(temperature_c) AS min_temp,
+SELECT station_id, round(avg(CAST(temperature_c AS DECIMAL(38,10))), 4) AS avg_temp, min(temperature_c) AS min_temp,
   max(temperature_c) AS max_temp, count(*) AS "count"
 FROM obs GROUP BY station_id""")
 def q_station_temp(spark, sf):
-    return QQ.station_temp_stats(obs(spark, sf)).withColumn("avg_temp", F.round("avg_temp", 4))
+    return QQ.station_temp_stats(obs(spark, sf)).withColumn("avg_temp", F.round("avg_temp", 4).cast("double"))
 
 
 @query("share_by_source", f"""{OBS}

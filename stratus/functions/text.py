@@ -15,9 +15,19 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# Blank characters folded to a plain space before trimming (Python's
+# ``str.strip``/``split`` treat them all as whitespace).
+BLANKS = "\u00a0\t\n\r\u000b\u000c\u2007\u202f"
+
+
+def to_spaces(x) -> Column:
+    """Map the common blank characters (NBSP, tab, newlines...) to a space."""
+    return F.translate(_c(x), BLANKS, " " * len(BLANKS))
+
+
 def strip_blank(x) -> Column:
-    """Trim Unicode whitespace at both ends (Python ``str.strip``)."""
-    return F.regexp_replace(_c(x), r"^(?U)\s+|(?U)\s+$", "")
+    """Trim whitespace at both ends (Python ``str.strip``), no regex."""
+    return F.trim(to_spaces(x))
 
 
 def is_blank(x) -> Column:
@@ -30,6 +40,19 @@ def to_double(x) -> Column:
     return F.when(s.rlike(NUMBER_RE), s.try_cast("double"))
 
 
+def measure_token(x) -> Column:
+    """X5, first half: the cleaned numeric token of a measurement text."""
+    s = strip_blank(_c(x).cast("string"))
+    token = F.translate(F.substring_index(s, " ", 1), ",", ".")
+    return F.when(token.startswith("<"), F.regexp_replace(token, "^<+", "")).otherwise(token)
+
+
+def token_to_double(token) -> Column:
+    """Guarded cast of a cleaned token (null unless it is a plain number)."""
+    t = _c(token)
+    return F.when(t.rlike(NUMBER_RE), t.try_cast("double"))
+
+
 def parse_measure(x) -> Column:
     """``'57.7\\xa0°F'`` -> 57.7.
 
@@ -37,9 +60,9 @@ def parse_measure(x) -> Column:
     leading ``<`` stripped; then a guarded cast. ``''``, ``-``, ``--``,
     ``N/A`` and anything else non-numeric give null.
     """
-    s = strip_blank(F.regexp_replace(_c(x).cast("string"), "\u00a0", " "))
-    token = F.regexp_extract(s, r"^(?U)(\S+)", 1)
-    token = F.regexp_replace(F.regexp_replace(token, ",", "."), "^<+", "")
+    s = strip_blank(_c(x).cast("string"))
+    token = F.translate(F.substring_index(s, " ", 1), ",", ".")
+    token = F.when(token.startswith("<"), F.regexp_replace(token, "^<+", "")).otherwise(token)
     return F.when(token.rlike(NUMBER_RE), token.try_cast("double"))
 
 

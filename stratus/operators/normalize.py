@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stratus.functions import (
     CONVERTERS, combine_date_time, combine_date_time_multi, compass_degrees,
-    date_from_path, parse_measure, sheet_date, to_double, to_timestamp_coerce,
+    date_from_path, parse_measure, sheet_date, strip_blank, to_double, to_timestamp_coerce,
 )
+from stratus.functions.text import measure_token, token_to_double
 from stratus.operators.joins import broadcast_if_small
 from stratus.schema import (
     INFOCLIMAT_FIELDS, SOURCE_INFOCLIMAT, SOURCE_WU, UNIFIED_COLUMNS, UNIFIED_SCHEMA,
@@ -43,28 +44,35 @@ def record_kind(payload) -> Column:
 
 
 def detect_source(records: DataFrame, payload: str = "payload", file_count: int | None = None,
-                  per: str = "file") -> DataFrame:
+                  per: str = "file", file_attrs: dict[str, Column] | None = None) -> DataFrame:
     """Add ``kind``. ``per='file'``: every record of a file takes the kind
     of the file's first parsed record (H9); ``per='record'``: each its own.
 
-    The per-file table has one row per file; it is broadcast only when the
-    file count is known (listing) or checked to be small.
+    ``file_attrs`` are expressions over ``rel_path`` (station, path date...);
+    in per-file mode they are evaluated once per file on the per-file table.
+    That table has one row per file; it is broadcast only when the file count
+    is known from the listing, otherwise AQE chooses from measured sizes.
     """
+    attrs = file_attrs or {}
     kinds = records.withColumn("_kind", record_kind(payload))
     if per == "record":
-        return kinds.withColumnRenamed("_kind", "kind")
-    first = (kinds.groupBy("file_path")
+        out = kinds.withColumnRenamed("_kind", "kind")
+        for k, v in attrs.items():
+            out = out.withColumn(k, v)
+        return out
+    first = (kinds.groupBy("file_path", "rel_path")
              .agg(F.min_by("_kind", F.struct("split_start", "row_id")).alias("kind")))
+    first = first.select("file_path", "kind", *[v.alias(k) for k, v in attrs.items()])
     return kinds.drop("_kind").join(broadcast_if_small(first, bound=file_count), "file_path", "left")
 
 
 def infer_station(rel_path) -> Column:
     """P20: station id from the path below the input root."""
     p = F.col(rel_path) if isinstance(rel_path, str) else rel_path
-    low = F.lower(p)
-    # FIXED VALUES: path markers and the station ids they map to.
-    return (F.when(p.contains("BE") | low.contains("ichtegem"), F.lit("IICHTE19"))
-            .when(p.contains("FR") | low.contains("madeleine"), F.lit("ILAMAD25"))
+    # FIXED VALUES: path markers and the station ids they map to
+    # (case-insensitive name match without a per-row lower-casing pass).
+    return (F.when(p.contains("BE") | p.rlike("(?iu)ichtegem"), F.lit("IICHTE19"))
+            .when(p.contains("FR") | p.rlike("(?iu)madeleine"), F.lit("ILAMAD25"))
             .otherwise(F.lit("UNKNOWN")))
 
 
@@ -80,16 +88,17 @@ def _wu_meta(station: Column, field: str, unknown_default: Column | None) -> Col
 
 
 def infoclimat_columns(p: Column, station_id: Column | None = None,
-                       meta: Column | None = None) -> dict[str, Column]:
+                       meta: Column | None = None, staged=None) -> dict[str, Column]:
     """Nested-source record -> unified columns.
 
     Cloud form (``meta`` None): station name/coords null, type ``infoclimat_api``,
     station id from ``id_station`` (missing -> ``''``). Local form: station id
     given, station fields from the ``meta`` struct (null when unknown).
     """
+    raw = staged.raw if staged else p.getItem
     out: dict[str, Column] = {"source": F.lit(SOURCE_INFOCLIMAT)}
     if meta is None:
-        out["station_id"] = F.coalesce(p.getItem("id_station"), F.lit(""))
+        out["station_id"] = F.coalesce(raw("id_station"), F.lit(""))
         out["station_name"] = F.lit(None).cast("string")
         out["latitude"] = F.lit(None).cast("double")
         out["longitude"] = F.lit(None).cast("double")
@@ -103,19 +112,19 @@ def infoclimat_columns(p: Column, station_id: Column | None = None,
         out["elevation"] = to_double(meta.getItem("elevation"))
         out["station_type"] = meta.getItem("type")
     for src, dst in INFOCLIMAT_FIELDS.items():
-        v = p.getItem(src)
+        v = raw(src)
         if dst == "timestamp":
             out[dst] = to_timestamp_coerce(v)
         elif dst == "weather_code":
             out[dst] = v  # not coerced
         else:
-            out[dst] = to_double(v)
+            out[dst] = token_to_double(staged.clean(src)) if staged else to_double(v)
     out["uv_index"] = F.lit(None).cast("double")
     out["solar_radiation_wm2"] = F.lit(None).cast("double")
     return out
 
 
-def wu_columns(p: Column, station: Column, day: Column, variant: str = "cloud") -> dict[str, Column]:
+def wu_columns(p: Column, station: Column, day: Column, variant: str = "cloud", staged=None) -> dict[str, Column]:
     """Sheet-source record -> unified columns (7 unit conversions).
 
     ``variant='cloud'``: 12-hour clock text + path date, unknown station ->
@@ -129,16 +138,18 @@ def wu_columns(p: Column, station: Column, day: Column, variant: str = "cloud")
         out[f] = _wu_meta(station, f, F.lit(None).cast("double") if variant == "cloud" else None)
     out["station_type"] = _wu_meta(station, "station_type",
                                    F.lit(SOURCE_WU) if variant == "cloud" else None)
+    raw = staged.raw if staged else p.getItem
+    measure = (lambda k: token_to_double(staged.token(k))) if staged else (lambda k: parse_measure(p.getItem(k)))
     if variant == "cloud":
-        out["timestamp"] = combine_date_time(day, p.getItem("Time"))
+        out["timestamp"] = combine_date_time(day, raw("Time"))
     else:
-        out["timestamp"] = combine_date_time_multi(day, p.getItem("Time"))
+        out["timestamp"] = combine_date_time_multi(day, raw("Time"))
     for src, dst, conv in WU_FIELDS:
-        v = parse_measure(p.getItem(src))
+        v = measure(src)
         out[dst] = CONVERTERS[conv](v) if conv else v
-    out["precip_rate_mm"] = CONVERTERS["in_to_mm"](parse_measure(p.getItem(WU_RAIN_RATE_KEYS[variant])))
-    out["wind_direction_deg"] = compass_degrees(p.getItem("Wind"))
-    out["uv_index"] = parse_measure(p.getItem("UV")) if variant == "cloud" else to_double(p.getItem("UV"))
+    out["precip_rate_mm"] = CONVERTERS["in_to_mm"](measure(WU_RAIN_RATE_KEYS[variant]))
+    out["wind_direction_deg"] = compass_degrees(raw("Wind"))
+    out["uv_index"] = measure("UV") if variant == "cloud" else to_double(raw("UV"))
     for f in ("visibility_m", "cloud_cover_octas", "snow_depth_cm"):
         out[f] = F.lit(None).cast("double")
     out["weather_code"] = F.lit(None).cast("string")
@@ -156,15 +167,54 @@ def unified_select(cols: dict[str, Column]) -> list[Column]:
 def project_by_kind(records: DataFrame, payload: str = "payload", kind: str = "kind",
                     rel_path: str = "rel_path", date_order: str = "DMY",
                     keep: tuple[str, ...] = ("file_path", "split_start", "row_id")) -> DataFrame:
-    """P2+P3 in one pass: each row is projected by its kind; unknown kinds dropped."""
+    """P2+P3 in one pass: each row is projected by its kind; unknown kinds
+    dropped. Uses per-file ``file_station`` / ``file_date`` when present."""
     p = F.col(payload)
-    ic = infoclimat_columns(p)
-    station = infer_station(F.col(rel_path))
-    wu = wu_columns(p, station, date_from_path(F.col(rel_path), date_order), "cloud")
-    is_ic = F.col(kind) == F.lit(SOURCE_INFOCLIMAT)
+    cols = records.columns
+    station = F.col("file_station") if "file_station" in cols else infer_station(F.col(rel_path))
+    day = F.col("file_date") if "file_date" in cols else date_from_path(F.col(rel_path), date_order)
+    recs = records.filter(F.col(kind).isin(SOURCE_INFOCLIMAT, SOURCE_WU))
+    staged_df, st = stage_fields(recs.select(*keep, F.col(kind).alias("_kind"), station.alias("_station"),
+                                             day.alias("_day"), p.alias("_payload")), "_payload",
+                                 raw_keys=["id_station", "Time", "Wind"] + list(INFOCLIMAT_FIELDS),
+                                 clean_keys=[k for k, v in INFOCLIMAT_FIELDS.items()
+                                             if v not in ("timestamp", "weather_code")],
+                                 token_keys=[f[0] for f in WU_FIELDS] + [WU_RAIN_RATE_KEYS["cloud"], "UV"])
+    ic = infoclimat_columns(p, staged=st)
+    wu = wu_columns(p, F.col("_station"), F.col("_day"), "cloud", staged=st)
+    is_ic = F.col("_kind") == F.lit(SOURCE_INFOCLIMAT)
     merged = {c: F.when(is_ic, ic[c]).otherwise(wu[c]) for c in UNIFIED_COLUMNS}
-    return (records.filter(F.col(kind).isin(SOURCE_INFOCLIMAT, SOURCE_WU))
-            .select(*keep, *unified_select(merged)))
+    return staged_df.select(*keep, *unified_select(merged))
+
+
+class _Staged:
+    def __init__(self, raw, clean, token):
+        self._raw, self._clean, self._token = raw, clean, token
+
+    def raw(self, k: str) -> Column:
+        return F.col(self._raw[k])
+
+    def clean(self, k: str) -> Column:
+        return F.col(self._clean[k])
+
+    def token(self, k: str) -> Column:
+        return F.col(self._token[k])
+
+
+def stage_fields(df: DataFrame, payload: str, raw_keys: list[str], clean_keys: list[str],
+                 token_keys: list[str]) -> tuple[DataFrame, _Staged]:
+    """Extract each payload key once, then its cleaned text / numeric token
+    once, as real columns: the final projection refers to them instead of
+    repeating map lookups and string clean-up inside every CASE branch."""
+    keys = list(dict.fromkeys(raw_keys + clean_keys + token_keys))
+    raw = {k: f"_raw{i}" for i, k in enumerate(keys)}
+    p = F.col(payload)
+    s1 = df.select("*", *[p.getItem(k).alias(raw[k]) for k in keys]).drop(payload)
+    clean = {k: f"_cln{i}" for i, k in enumerate(clean_keys)}
+    token = {k: f"_tok{i}" for i, k in enumerate(token_keys)}
+    s2 = s1.select("*", *[strip_blank(F.col(raw[k])).alias(clean[k]) for k in clean_keys],
+                   *[measure_token(F.col(raw[k])).alias(token[k]) for k in token_keys])
+    return s2, _Staged(raw, clean, token)
 
 
 def sheet_rows(records: DataFrame, station_of_file: Column, payload: str = "payload",

@@ -44,10 +44,16 @@ def sample_row(df: DataFrame, source: str, order: list[str] | None = None) -> Da
     return df.filter(F.col("source") == F.lit(source)).orderBy(*order).limit(1)
 
 
-def station_temp_stats(df: DataFrame) -> DataFrame:
-    """Per-station temperature avg/min/max/count, highest average first."""
+def station_temp_stats(df: DataFrame, exact: bool = True) -> DataFrame:
+    """Per-station temperature avg/min/max/count, highest average first.
+
+    ``exact``: the mean is summed in DECIMAL(38,10), so it does not depend on
+    how rows are split over partitions (a double sum does).
+    """
+    t = F.col("temperature_c")
+    mean = F.avg(t.cast("decimal(38,10)")) if exact else F.avg(t)
     return (df.groupBy("station_id")
-            .agg(F.avg("temperature_c").alias("avg_temp"), F.min("temperature_c").alias("min_temp"),
+            .agg(mean.alias("avg_temp"), F.min("temperature_c").alias("min_temp"),
                  F.max("temperature_c").alias("max_temp"), F.count(F.lit(1)).alias("count"))
             .orderBy(F.col("avg_temp").desc_nulls_last(), "station_id"))
 

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratus.functions.text import truncate
 from stratus.operators.dedup import dedup_keep_first
+from stratus.functions.time import date_from_path
 from stratus.operators.normalize import (
-    detect_source, project_by_kind, sheet_rows, union_sources, unwrap,
+    detect_source, infer_station, project_by_kind, sheet_rows, union_sources, unwrap,
 )
 from stratus.operators.quality import REPORT_SCHEMA, post_load_report, quality_report
 from stratus.operators.validate import classify, normalize_documents, parse_documents
@@ -31,19 +32,23 @@ ORDER = ["file_path", "split_start", "row_id"]
 # ---------------------------------------------------------------------------
 # E2
 
-def cloud_records(lines: DataFrame, file_count: int | None = None, detect: str = "file") -> DataFrame:
-    """S1 blank drop -> S2 parse -> P1 unwrap -> P8 kind (per file by default)."""
+def cloud_records(lines: DataFrame, file_count: int | None = None, detect: str = "file",
+                  date_order: str = "DMY") -> DataFrame:
+    """S1 blank drop -> S2 parse -> P1 unwrap -> P8 kind (per file by default),
+    with the per-file station (P20) and path date (X10)."""
     parsed = parse_records(nonblank(lines))
     good = parsed.filter(F.col("parse_error").isNull()).withColumn("payload", unwrap("rec"))
     good = good.filter(F.col("payload").isNotNull())
-    return detect_source(good, "payload", file_count=file_count, per=detect)
+    attrs = {"file_station": infer_station(F.col("rel_path")),
+             "file_date": date_from_path(F.col("rel_path"), date_order)}
+    return detect_source(good, "payload", file_count=file_count, per=detect, file_attrs=attrs)
 
 
 def cloud_transform(lines: DataFrame, date_order: str = "DMY", dedup: bool = True,
                     file_count: int | None = None, detect: str = "file") -> DataFrame:
     """Lines (file_path, split_start, row_id, value, rel_path) -> unified
     rows, keep-first dedup on (station_id, timestamp) in input order."""
-    recs = cloud_records(lines, file_count, detect)
+    recs = cloud_records(lines, file_count, detect, date_order)
     rows = project_by_kind(recs, "payload", "kind", "rel_path", date_order)
     if dedup:
         rows = dedup_keep_first(rows, KEY_COLUMNS, ORDER)
