@@ -724,7 +724,10 @@ UNION ALL SELECT 'records_per_station', station_id, count(*), NULL FROM obs WHER
 UNION ALL SELECT 'duplicates', NULL, COALESCE(SUM(n - 1), 0), NULL FROM ({DUPS_SQL})""")
 def q_quality_cloud(spark, sf):
     from stratus.plans.pipelines import cloud_transform
-    return Q.quality_report(cloud_transform(raw(spark, sf)), "cloud")
+    from stratus.session import cut_lineage
+    # the report's branches read the stored transform output instead of
+    # recomputing the transform once per branch
+    return Q.quality_report(cut_lineage(cloud_transform(raw(spark, sf)), "transformed"), "cloud")
 
 
 # ===========================================================================

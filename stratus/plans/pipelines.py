@@ -58,15 +58,17 @@ def cloud_transform(lines: DataFrame, date_order: str = "DMY", dedup: bool = Tru
 def run_cloud(spark: SparkSession, input_root: str, output_dir: str, date_order: str = "DMY") -> DataFrame:
     """E2 end to end: scan the prefix, transform, write JSONL and the report."""
     from stratus.operators.quality import report_struct
-    from stratus.sinks.tables import export_jsonl, write_report
+    from stratus.sinks.tables import export_jsonl, read_unified, write_report
     from stratus.sources.jsonl import require_rows
     lines = scan_lines(spark, input_root)
     n_files = len(lines.inputFiles())
     out = cloud_transform(lines, date_order, file_count=n_files)
-    require_rows(out, f"nothing parsed under {input_root}")
     export_jsonl(out, f"{output_dir}/weather_data")
-    write_report(report_struct(quality_report(out, "cloud")), f"{output_dir}/weather_data.quality")
-    return out
+    # the report reads the written export: the transform runs once
+    written = read_unified(spark, f"{output_dir}/weather_data")
+    require_rows(written, f"nothing parsed under {input_root}")
+    write_report(report_struct(quality_report(written, "cloud")), f"{output_dir}/weather_data.quality")
+    return written
 
 
 # ---------------------------------------------------------------------------
@@ -88,14 +90,15 @@ def local_transform(docs: DataFrame, sheets: DataFrame, sheet_station=None,
 
 def run_local(spark: SparkSession, docs_root: str, sheets_root: str, output_dir: str) -> DataFrame:
     from stratus.operators.quality import report_struct
-    from stratus.sinks.tables import export_jsonl, write_report
+    from stratus.sinks.tables import export_jsonl, read_unified, write_report
     from stratus.sources.jsonl import require_rows
     sheets = scan_lines(spark, sheets_root)
     out = local_transform(read_documents(spark, docs_root), sheets, file_count=len(sheets.inputFiles()))
-    require_rows(out, "no input rows")
     export_jsonl(out, f"{output_dir}/weather_data")
-    write_report(report_struct(quality_report(out, "local")), f"{output_dir}/weather_data.quality")
-    return out
+    written = read_unified(spark, f"{output_dir}/weather_data")
+    require_rows(written, "no input rows")
+    write_report(report_struct(quality_report(written, "local")), f"{output_dir}/weather_data.quality")
+    return written
 
 
 # ---------------------------------------------------------------------------

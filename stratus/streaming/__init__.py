@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming operator (no watermark, window, state or
+late-data handling); its re-runs are whole-batch and its "streaming" loader
+is a line generator, which here is simply the Spark file scan. Incremental
+ingestion of newly landed files would reuse the batch jobs in
+:mod:`stratus.plans.pipelines` unchanged (e.g. from ``foreachBatch``), so no
+separate operator is provided.
+"""

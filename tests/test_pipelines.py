@@ -177,3 +177,25 @@ def test_dedup_idempotent(spark):
     twice = dedup_keep_first(once, order=["pos"])
     assert once.count() == twice.count()
     assert once.select("pos").subtract(twice.select("pos")).count() == 0
+
+
+def test_run_cloud_end_to_end(spark, tmp_path):
+    root = str(tmp_path / "raw2")
+    write(root, "BE/011024/a.jsonl", [json.dumps({"_airbyte_data": wu("12:04 AM")}),
+                                      json.dumps({"_airbyte_data": wu("12:05 AM")})])
+    out_dir = str(tmp_path / "out")
+    written = P.run_cloud(spark, root, out_dir)
+    assert written.count() == 2
+    rep = spark.read.json(f"{out_dir}/weather_data.quality").first()
+    assert rep.total_records == 2 and rep.duplicates == 0
+    exported = [json.loads(line) for f in os.listdir(f"{out_dir}/weather_data") if f.endswith(".json")
+                for line in open(f"{out_dir}/weather_data/{f}")]
+    assert all(len(r) == 23 for r in exported)
+    assert {r["timestamp"] for r in exported} == {"2024-10-01T00:04:00", "2024-10-01T00:05:00"}
+
+
+def test_require_rows_raises(spark):
+    import pytest
+    from stratus.sources.jsonl import require_rows
+    with pytest.raises(ValueError):
+        require_rows(spark.range(0), "empty")
