@@ -175,26 +175,24 @@ def quality_report(df: DataFrame, variant: str = "local") -> DataFrame:
     member of a repeated key, four anomaly rules, key-null counts; empty
     input -> ``DataFrame vide``. ``variant='cloud'``: extras-only duplicates,
     two anomaly rules, empty -> ``Empty`` and nothing else.
+
+    Two scans: (1) one partial+final aggregation per (source, station_id),
+    rolled up by grouping sets (source / station / all) over that small
+    result, feeding every section through one explode; (2) the key-count
+    aggregation over the two key columns, which also carries the total and
+    hence the empty-table form.
     """
     cols = UNIFIED_COLUMNS
     pre = _station_rollup(df, cols)
-    if variant == "cloud":
-        pre_src = pre.filter(F.col("source").isNotNull())
-        pre_sta = pre.filter(F.col("station_id").isNotNull())
-    else:
-        pre_src = pre_sta = pre
-    by_source = (pre_src.groupBy("source").agg(F.sum("_n").alias("n"))
-                 .select(_fact("records_per_source", F.col("source"), F.col("n")).alias("f")))
-    by_station = (pre_sta.groupBy("station_id").agg(F.sum("_n").alias("n"))
-                  .select(_fact("records_per_station", F.col("station_id"), F.col("n")).alias("f")))
-    g = pre.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),
+    roll = pre.groupingSets([["source"], ["station_id"], []], "source", "station_id").agg(
+        F.grouping_id().alias("_gid"),
+        F.sum("_n").alias("total"),
         F.min("_ts_min").alias("ts_min"), F.max("_ts_max").alias("ts_max"),
         F.min("_t_min").alias("t_min"), F.max("_t_max").alias("t_max"),
         F.max("_h_max").alias("h_max"), F.min("_p_min").alias("p_min"),
-        *[F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(f"null_{i}") for i in range(len(cols))],
-        F.coalesce(F.sum(F.when(F.col("station_id").isNull(), F.col("_n"))), F.lit(0)).alias("sid_null"),
+        *[F.sum(f"_null_{i}").alias(f"null_{i}") for i in range(len(cols))],
     )
+    gid = F.col("_gid")  # 1: by source, 2: by station, 3: all rows
     total = F.col("total")
     facts = [_fact("total_records", None, total),
              _fact("date_range", "min", None, ts_text(F.col("ts_min"))),
@@ -202,23 +200,36 @@ def quality_report(df: DataFrame, variant: str = "local") -> DataFrame:
     facts += [_fact("null_rates", c, _pct(F.col(f"null_{i}"), total)) for i, c in enumerate(cols)]
     if variant == "local":
         facts += [_fact("invalid_timestamp", None, F.col(f"null_{cols.index('timestamp')}")),
-                  _fact("missing_station_id", None, F.col("sid_null"))]
+                  _fact("missing_station_id", None, F.col(f"null_{cols.index('station_id')}"))]
     anom = F.transform(anomaly_texts(F.col("t_min"), F.col("t_max"), F.col("h_max"), F.col("p_min"), variant),
                        lambda a: _fact("anomalies", None, None, a))
+    no_facts = F.array().cast(f"array<struct<{REPORT_SCHEMA.replace(' string', ':string').replace(' double', ':double')}>>")
+    by_source = F.array(_fact("records_per_source", F.col("source"), total))
+    by_station = F.array(_fact("records_per_station", F.col("station_id"), total))
+    if variant == "cloud":  # null keys are not counted
+        by_source = F.when(F.col("source").isNotNull(), by_source).otherwise(no_facts)
+        by_station = F.when(F.col("station_id").isNotNull(), by_station).otherwise(no_facts)
+    rows = (F.when(gid == 1, by_source).when(gid == 2, by_station)
+            .otherwise(F.concat(F.array(*facts), anom)))
+    main = roll.select(F.explode(rows).alias("f"))
+
+    keys = df.select(*KEY_COLUMNS).groupBy(*KEY_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    dup = keys.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+                   F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("dups_all"),
+                   F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("dups_extra"))
+    dups = F.col("dups_all") if variant == "local" else F.col("dups_extra")
     empty_note = "DataFrame vide" if variant == "local" else "Empty"  # FIXED VALUE
     if variant == "local":
         empty = F.array(_fact("total_records", None, F.lit(0)),
                         _fact("date_range", "min"), _fact("date_range", "max"),
+                        _fact("duplicates", None, F.lit(0)),
                         _fact("anomalies", None, None, F.lit(empty_note)))
     else:
         empty = F.array(_fact("total_records", None, F.lit(0)),
                         _fact("anomalies", None, None, F.lit(empty_note)))
-    rows = F.when(total > 0, F.concat(F.array(*facts), anom)).otherwise(empty)
-    glob = g.select(F.explode(rows).alias("f"))
-    dup_df = duplicates_all(df.select(*KEY_COLUMNS)) if variant == "local" else duplicates_extra(df.select(*KEY_COLUMNS))
-    dups = dup_df.select(_fact("duplicates", None, F.col("duplicates")).alias("f"))
-    out = glob.unionByName(by_source).unionByName(by_station).unionByName(dups)
-    return out.select("f.*")
+    tail = dup.select(F.explode(F.when(F.col("total") > 0, F.array(_fact("duplicates", None, dups)))
+                                .otherwise(empty)).alias("f"))
+    return main.unionByName(tail).select("f.*")
 
 
 def post_load_report(df: DataFrame, variant: str = "strict",
