@@ -86,35 +86,48 @@ def variant_tag(v: Column) -> Column:
     return F.coalesce(F.try_element_at(lookup, word), F.when(v.isNotNull(), F.lit("other")))
 
 
+_TAG_MAP_SQL = "map(" + ", ".join(f"'{k}', '{t}'" for k, t in _VARIANT_TYPE_TAGS.items()) + ")"
+
+
+def _tag_sql(v: str) -> str:
+    return (f"coalesce(try_element_at({_TAG_MAP_SQL}, regexp_extract(schema_of_variant({v}), '^([A-Z]+)', 1)), "
+            f"CASE WHEN {v} IS NOT NULL THEN 'other' END)")
+
+
 def stage_variant_fields(df: DataFrame, doc: str, fields: list[str], widen: list[str],
                          zone: str = "convert") -> tuple[DataFrame, dict[str, FieldView]]:
     """Views over a parsed JSON document, after the loader's normalisation:
     integers widened to double for ``widen`` fields (X14) and ``timestamp``
     text parsed (X13; always present afterwards, null when unparseable).
 
-    Computed in stages as real columns (value, then type, then view) so each
-    VARIANT extraction runs once per row and the plan stays small.
+    Computed in two staged projections of real columns (type tag, then the
+    view) so each VARIANT extraction runs once per row and the plan stays
+    small; the projections are generated as SQL text (one parse per stage).
     """
     n = {f: f"_f{i}" for i, f in enumerate(fields)}
-    d = F.col(doc)
-    path = lambda f: f"$['{f}']"
-    df = df.select("*", *[variant_tag(F.variant_get(d, path(f), "variant")).alias(f"{n[f]}_t0") for f in fields])
-    cols = []
+    get = {f: f"variant_get(`{doc}`, '$.{f}', 'variant')" for f in fields}
+    df = df.selectExpr("*", *[f"{_tag_sql(get[f])} AS {n[f]}_t0" for f in fields])
+    exprs = []
     for f in fields:
-        t0 = F.col(f"{n[f]}_t0")
-        num = F.when(t0.isin("int", "long", "double"), F.try_variant_get(d, path(f), "double"))
-        text = F.when(t0 == "string", F.try_variant_get(d, path(f), "string"))
-        present = t0.isNotNull()
+        t0 = f"{n[f]}_t0"
+        num = f"CASE WHEN {t0} IN ('int', 'long', 'double') THEN try_variant_get(`{doc}`, '$.{f}', 'double') END"
+        text = f"CASE WHEN {t0} = 'string' THEN try_variant_get(`{doc}`, '$.{f}', 'string') END"
+        present = f"{t0} IS NOT NULL"
         tag = t0
         if f in widen:
-            tag = F.when(t0.isin("int", "long"), F.lit("double")).otherwise(t0)
+            tag = f"CASE WHEN {t0} IN ('int', 'long') THEN 'double' ELSE {t0} END"
         if f == "timestamp":
-            ts = iso_timestamp(text, zone)
-            cols += [ts.alias(f"{n[f]}_ts")]
-            present = F.lit(True)
-            tag = F.when(ts.isNotNull(), F.lit("date")).otherwise(F.lit("null"))
-        cols += [present.alias(f"{n[f]}_p"), tag.alias(f"{n[f]}_t"), num.alias(f"{n[f]}_n"), text.alias(f"{n[f]}_s")]
-    df = df.select("*", *cols).drop(*[f"{n[f]}_t0" for f in fields])
+            exprs.append(f"{text} AS {n[f]}_txt")
+        exprs += [f"{present} AS {n[f]}_p", f"{tag} AS {n[f]}_t", f"{num} AS {n[f]}_n", f"{text} AS {n[f]}_s"]
+    df = df.selectExpr("*", *exprs).drop(*[f"{n[f]}_t0" for f in fields])
+    if "timestamp" in fields:
+        k = n["timestamp"]
+        ts = iso_timestamp(F.col(f"{k}_txt"), zone)
+        df = (df.withColumn(f"{k}_ts", ts)
+              .withColumn(f"{k}_p", F.lit(True))
+              .withColumn(f"{k}_t", F.when(F.col(f"{k}_ts").isNotNull(), F.lit("date")).otherwise(F.lit("null")))
+              .withColumn(f"{k}_s", F.when(F.col(f"{k}_ts").isNotNull(), F.col(f"{k}_txt")))
+              .drop(f"{k}_txt"))
     views = {f: FieldView(F.col(f"{n[f]}_p"), F.col(f"{n[f]}_t"), F.col(f"{n[f]}_n"), F.col(f"{n[f]}_s"))
              for f in fields}
     return df, views

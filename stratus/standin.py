@@ -47,7 +47,8 @@ def materialized(builder):
         path = _WRITTEN.get(key)
         if path is None:
             path = shared_dir(spark, f"standin-{builder.__name__}")
-            builder(spark, sf_dir).write.mode("overwrite").parquet(path)
+            (builder(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+             .write.mode("overwrite").parquet(path))
             _WRITTEN[key] = path
         return spark.read.parquet(path)
     wrapper.__name__ = builder.__name__
