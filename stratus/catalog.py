@@ -991,8 +991,8 @@ def q_layout_scan(spark, sf):
     t = scan_table(spark, _written_obs(spark, sf))
     ts = F.col("timestamp")
     return t.filter((F.col("station_id") == "7")
-                    & (ts >= F.lit(dt.datetime(2024, 1, 10)).cast("timestamp_ntz"))
-                    & (ts < F.lit(dt.datetime(2024, 1, 20)).cast("timestamp_ntz")))
+                    & (ts >= F.lit("2024-01-10 00:00:00").cast("timestamp_ntz"))
+                    & (ts < F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")))
 
 
 EXPORT_COLS_SQL = ", ".join(

@@ -75,7 +75,12 @@ def iso_timestamp(x, zone: str = "convert") -> Column:
     s = _c(x).cast("string")
     guarded = F.when(s.rlike(ISO_PREFIX_RE), s)
     if zone == "convert":
-        return guarded.try_cast("timestamp").cast("timestamp_ntz")
+        # text with an offset: the instant, as UTC wall time (independent of
+        # the session time zone); text without one: its wall time as is
+        has_zone = s.rlike(r"\d{2}:\d{2}(:\d{2}(\.\d*)?)?(Z|[+-]\d{2}(:?\d{2})?)$")
+        local = guarded.try_cast("timestamp").cast("timestamp_ntz")
+        utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+        return F.when(has_zone, utc).otherwise(guarded.try_cast("timestamp_ntz"))
     if zone == "drop":
         return guarded.try_cast("timestamp_ntz")
     raise ValueError(zone)

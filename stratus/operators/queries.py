@@ -22,8 +22,8 @@ def day_slice(df: DataFrame, day: dt.date) -> DataFrame:
     lo = dt.datetime(day.year, day.month, day.day)
     hi = lo + dt.timedelta(days=1)
     ts = F.col("timestamp")
-    return (df.filter((ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz")))
-            .orderBy("timestamp"))
+    bound = lambda t: F.lit(t.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return df.filter((ts >= bound(lo)) & (ts < bound(hi))).orderBy("timestamp")
 
 
 def strong_wind(df: DataFrame, threshold: float = 50.0) -> DataFrame:

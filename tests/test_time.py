@@ -44,3 +44,15 @@ def test_ts_to_iso(spark):
                                "t timestamp_ntz")
     out = [r[0] for r in df.select(ts_to_iso("t")).collect()]
     assert out == ["2024-10-01T00:04:00", "2024-10-01T00:04:05.120000"]
+
+
+def test_iso_convert_independent_of_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([("2024-10-01T10:00:00+02:00",), ("2024-10-01T10:00:00",), ("2024-10-01",)],
+                                   "x string")
+        out = [r[0] for r in df.select(iso_timestamp("x", "convert")).collect()]
+        assert out == [dt.datetime(2024, 10, 1, 8), dt.datetime(2024, 10, 1, 10), dt.datetime(2024, 10, 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
