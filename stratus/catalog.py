@@ -1089,3 +1089,14 @@ def q_sheet_rows(spark, sf):
 def q_pipeline_local(spark, sf):
     from stratus.plans.pipelines import local_transform
     return local_transform(S.documents(spark, sf), S.sheet_lines(spark, sf)).select(*UNIFIED_COLUMNS)
+
+
+@query("parse_error_sample", f"""{RAW_SQL}
+SELECT event_id AS row_id, 'invalid JSON' AS error,
+  '{{"_airbyte_data": {{"Time": "' || strftime(ts, '%-I:%M') AS raw
+FROM raw2 WHERE is_bad ORDER BY file_path, event_id LIMIT 10""")
+def q_parse_error_sample(spark, sf):
+    """T5 (parse side): the first 10 unparseable lines in input order, raw text cut to 200."""
+    from stratus.sources.jsonl import ORDER, nonblank, parse_records, quarantine
+    q = quarantine(parse_records(nonblank(raw(spark, sf))), raw_chars=200)
+    return q.orderBy(*ORDER).limit(10).select("row_id", "error", "raw")
