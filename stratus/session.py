@@ -39,13 +39,16 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, **extra:
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Read from the session. Only when nothing is configured (local tests) a
-    private folder is created and registered as the checkpoint directory.
+    Read from the session. Where nothing is configured, a local session (tests)
+    gets a private folder; any other session must name one, as executors on
+    other machines do not see this machine's folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="stratus-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
