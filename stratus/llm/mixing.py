@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from stratus.llm.common import WORD, store
 
 #: Rows that one window of the queue order holds, about; and most slices of a source.
-ROWS_PER_SLICE, MAX_SLICES = 2000, 65536
+ROWS_PER_SLICE, MAX_SLICES = 250, 65536
 
 #: The weights of the contract, repeating over the sources in code point order.
 CYCLE = (5, 2, 1)
