@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from stratus.llm import licenses, mixing, packing
+from stratus.llm import langid, licenses, mixing, packing
 from stratus.llm.common import table
 
 QUERIES = {
     "op2_packing": lambda spark, sf_dir: packing.op2_packing(table(spark, sf_dir, "documents")),
+    "op5_langid": lambda spark, sf_dir: langid.op5_langid(table(spark, sf_dir, "documents")),
     "op7_mix": lambda spark, sf_dir: mixing.op7_mix(table(spark, sf_dir, "documents")),
     "op8_licenses": lambda spark, sf_dir: licenses.op8_licenses(table(spark, sf_dir, "documents")),
 }
