@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from stratus.llm import fingerprint, langid, licenses, mixing, packing
+from stratus.llm import fingerprint, langid, licenses, mixing, neardup, packing
 from stratus.llm.common import table
 
 QUERIES = {
     "op2_packing": lambda spark, sf_dir: packing.op2_packing(table(spark, sf_dir, "documents")),
+    "op3_neardup": lambda spark, sf_dir: neardup.op3_neardup(table(spark, sf_dir, "documents")),
     "op4_fingerprint": lambda spark, sf_dir: fingerprint.op4_fingerprint(table(spark, sf_dir, "documents")),
     "op5_langid": lambda spark, sf_dir: langid.op5_langid(table(spark, sf_dir, "documents")),
     "op7_mix": lambda spark, sf_dir: mixing.op7_mix(table(spark, sf_dir, "documents")),
