@@ -53,7 +53,8 @@ def text_slices(batches, column: str = "text"):
         while at < batch.num_rows:
             done = ends[at - 1] if at else 0
             to = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
-            yield batch.slice(at, to - at)
+            # a copy: some of pyarrow's string functions misread slices
+            yield batch if to - at == batch.num_rows else batch.take(pa.array(np.arange(at, to)))
             at = to
 
 
@@ -66,6 +67,8 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array, lower: bool = True):
+        if texts.offset:  # some of pyarrow's string functions misread slices
+            texts = texts.take(pa.array(np.arange(len(texts))))
         texts = texts.cast(pa.large_string()).fill_null("")
         parts = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
         coded = parts.values.dictionary_encode()
