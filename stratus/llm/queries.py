@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratus.llm import fingerprint, langid, licenses, mixing, neardup, packing, passages
+from stratus.llm import fingerprint, langid, licenses, mixing, neardup, packing, passages, toxicity
 from stratus.llm.common import table
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_langid": lambda spark, sf_dir: langid.op5_langid(table(spark, sf_dir, "documents")),
     "op7_mix": lambda spark, sf_dir: mixing.op7_mix(table(spark, sf_dir, "documents")),
     "op8_licenses": lambda spark, sf_dir: licenses.op8_licenses(table(spark, sf_dir, "documents")),
+    "op9_toxicity": lambda spark, sf_dir: toxicity.op9_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op10_passages": lambda spark, sf_dir: passages.op10_passages(table(spark, sf_dir, "documents")),
 }
 
