@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from stratus.llm import fingerprint, langid, licenses, mixing, neardup, packing, passages, toxicity
+from stratus.llm import ann, fingerprint, langid, licenses, mixing, neardup, packing, passages, toxicity
 from stratus.llm.common import table
 
 QUERIES = {
+    "op1_ann": lambda spark, sf_dir: ann.op1_ann(table(spark, sf_dir, "embeddings")),
     "op2_packing": lambda spark, sf_dir: packing.op2_packing(table(spark, sf_dir, "documents")),
     "op3_neardup": lambda spark, sf_dir: neardup.op3_neardup(table(spark, sf_dir, "documents")),
     "op4_fingerprint": lambda spark, sf_dir: fingerprint.op4_fingerprint(table(spark, sf_dir, "documents")),
