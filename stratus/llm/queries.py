@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratus.llm import ann, fingerprint, langid, licenses, mixing, neardup, packing, passages, toxicity
+from stratus.llm import ann, fingerprint, langid, licenses, mixing, neardup, packing, passages, token_counts, toxicity
 from stratus.llm.common import table
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_neardup": lambda spark, sf_dir: neardup.op3_neardup(table(spark, sf_dir, "documents")),
     "op4_fingerprint": lambda spark, sf_dir: fingerprint.op4_fingerprint(table(spark, sf_dir, "documents")),
     "op5_langid": lambda spark, sf_dir: langid.op5_langid(table(spark, sf_dir, "documents")),
+    "op6_token_counts": lambda spark, sf_dir: token_counts.op6_token_counts(table(spark, sf_dir, "documents")),
     "op7_mix": lambda spark, sf_dir: mixing.op7_mix(table(spark, sf_dir, "documents")),
     "op8_licenses": lambda spark, sf_dir: licenses.op8_licenses(table(spark, sf_dir, "documents")),
     "op9_toxicity": lambda spark, sf_dir: toxicity.op9_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
