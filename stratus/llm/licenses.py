@@ -101,6 +101,7 @@ def rules() -> list[tuple[str, str, str, int, float]]:
     for label, keyword, name, versions in LICENSES:
         for v in versions:
             full = f"{label}-{v}" if v else label
+            out.append((full, "spdx", "spdx licen[cs]e identifier " + full.replace("-", " ").replace(".", " "), 4, 1.0))
             if v:
                 number = r" ".join(v.split(".")) if v.count(".") and not v.endswith(".0") else v.split(".")[0] + "(?: 0)?"
                 named = rf"{name}(?: version| v)? ?{number}(?! \d)"
@@ -110,7 +111,6 @@ def rules() -> list[tuple[str, str, str, int, float]]:
             out.append((full, keyword, NOTICE + named, 3 if v else 2, 1.0 if v else 0.9))
             if v:
                 out.append((f"{full}-or-later", keyword, named + r"(?: of the licen[cs]e)? or (?:at your option )?(?:any )?later(?: version)?", 4, 1.0))
-        out.append((label, keyword, r"spdx licen[cs]e identifier " + name, 4, 1.0))
     out += [(label, keyword, expression, 4, 1.0) for label, keyword, expression in SENTENCES]
     return out
 
@@ -138,7 +138,8 @@ SUPPRESS = """aggregate(array_sort(hits),
 
 def scan(docs: DataFrame) -> DataFrame:
     """``docs`` with n_words, base (array of start, label), found (struct of
-    labels and score after suppression); both null where no keyword stands."""
+    labels and score after suppression); both null where no keyword stands.
+    Columns of these names, and of the names normal and hits, are replaced."""
     low = F.lower(F.coalesce("text", F.lit("")))
     gate = low.rlike(CC_BY)
     for stem in STEMS:
@@ -171,7 +172,7 @@ def literal(value) -> str:
 
 def op8_licenses(docs: DataFrame) -> DataFrame:
     """The contract's rows: base detections are kept whatever the method says."""
-    s = scan(docs)
+    s = scan(docs.select("doc_id", "text"))
     base_labels = F.array_sort(F.array_distinct(F.coalesce(F.expr("transform(base, b -> b.label)"), F.array().cast("array<string>"))))
     own = F.coalesce(F.col("found.labels"), F.array().cast("array<string>"))
     return s.select(

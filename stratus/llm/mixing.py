@@ -107,11 +107,10 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     chosen = (mix(docs, **options).where("size > 0")
               .withColumn("copies", F.floor((F.col("taken") + F.col("size") / 2) / F.col("size")).cast("int"))
               .where("copies > 0")
-              .select(F.col("doc_id").alias("q_doc"), F.col("size").alias("q_size"), "copies")
-              .groupBy("q_doc", "q_size").agg(F.max("copies").alias("copies")))
-    sized = docs.withColumn("q_own", words(F.col("text")))
-    return (sized.join(chosen, F.col("doc_id").eqNullSafe(F.col("q_doc")) & (F.col("q_own") == F.col("q_size")))
-            .withColumn("q_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+              .groupBy(F.col("doc_id").alias("__mix_id"), F.col("size").alias("__mix_size")).agg(F.max("copies").alias("__mix_copies")))
+    return (docs.withColumn("__mix_own", words(F.col("text")))
+            .join(chosen, F.col("doc_id").eqNullSafe(F.col("__mix_id")) & (F.col("__mix_own") == F.col("__mix_size")))
+            .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
             .select(*docs.columns))
 
 

@@ -7,11 +7,13 @@ estimates from the weight of an XOR how similar two are, and pairs far below
 the threshold are dropped; the rest is confirmed on the full sets. Confirmed
 links are joined into components.
 
-No bucket is expanded into all its pairs. First each member of a bucket is
-compared with the bucket's smallest class only, which settles groups of near
-copies. Then only members of one bucket whose components still differ are
-compared, behind the sketch filter within the join. So every pair that shares a
-band is confirmed, dropped by its sketches, or already linked.
+No bucket is expanded into all its pairs. Each member of a bucket is compared
+with the bucket's smallest class, its centre, which settles most groups of near
+copies; the comparison keeps the member's set as its difference from the
+centre's. Then members of one centre whose components still differ are compared
+in blocks, inside the tasks: sketches first, then a bound from what both share
+with the centre, then exactly. Only links leave a block. So every pair that
+shares a band is compared, dropped by its sketches, or already linked.
 
 At the defaults a pair at a similarity of 0.85 shares no band with probability
 4e-7, and its sketches fall below the filter with 1e-6 (the XOR weight spreads by
@@ -31,7 +33,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratus.llm.common import Words, components, mix64, shuffle_partitions, signed, store, text_slices, window_hashes
@@ -40,6 +42,8 @@ BANDS, ROWS = 25, 5
 SKETCH_BITS = 256
 #: Members of a star that one task compares with its centre, about.
 STAR_PART = 200
+#: Members of an open star in a block: an eighth of the star, within these.
+BLOCK_LEAST, BLOCK_MOST = 128, 1024
 
 CHUNK = 1 << 16  # shingles that are hashed at once, for the cache
 
@@ -112,11 +116,6 @@ def most_bits(similarity: float, bits: int, k: int) -> int:
     return math.floor(bits / 2 * (1 - math.exp(-4 * k * (1 - similarity) / bits)))
 
 
-def sketch_weight(a: str, b: str, words: int) -> Column:
-    return sum((F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(1, words)),
-               F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))))
-
-
 def describe(docs: DataFrame, k: int, bands: int, rows: int, bits: int) -> DataFrame:
     """(doc_id, n_shingles, cls, bands, s0..) per row; cls identifies the set, null if empty."""
     words_n = bits // 64
@@ -143,41 +142,120 @@ def describe(docs: DataFrame, k: int, bands: int, rows: int, bits: int) -> DataF
         run, "doc_id long, n_shingles long, cls binary, bands array<long>, " + ", ".join(f"s{i} long" for i in range(words_n)))
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of the pairs (centre, member) those whose full sets are similar enough.
+def compare(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Each pair (centre, member) on its full sets: whether it is a link, and
+    the member's set as bits over the centre's sorted shingles and the rest of
+    its hashes (both null for the only member of a centre).
 
     Members meet their centre in parts of about STAR_PART, each with a copy of
     the centre's text, so a centre of many members is split over tasks.
     """
     spark = pairs.sparkSession
-    parts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / STAR_PART).cast("int").alias("parts"))
+    parts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / STAR_PART).cast("int").alias("parts"), (F.count("*") == 1).alias("alone"))
     members = (pairs.join(parts, "centre").withColumn("part", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int"))
                .join(texts.withColumnRenamed("cls", "member"), "member")
-               .select("centre", "part", F.lit(1).alias("side"), "member", "text"))
+               .select("centre", "part", F.lit(1).alias("side"), "alone", "member", "text"))
     centres = (parts.join(texts.withColumnRenamed("cls", "centre"), "centre")
                .select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"),
-                       F.col("centre").alias("member"), "text"))
+                       "alone", F.col("centre").alias("member"), "text"))
 
     def run(batches):
         now, own = None, None
         for batch in text_slices(batches):
             sets, at = shingle_sets(Words(batch.column("text")), k)
-            a, b = [], []
-            for i, (centre, part, side, member) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("centre", "part", "side", "member")), strict=True)):
+            rows = []
+            for i, (centre, part, side, alone, member) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("centre", "part", "side", "alone", "member")), strict=True)):
                 x = sets[at[i]:at[i + 1]]
                 if side == 0:
                     now, own = (centre, part), x
                     continue
                 if now != (centre, part):
                     raise ValueError("a centre's text is missing")
-                both = len(np.intersect1d(own, x, assume_unique=True))
-                if 100 * both >= percent * (len(own) + len(x) - both):
-                    a.append(centre)
-                    b.append(member)
-            yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+                common = np.isin(own, x, assume_unique=True)
+                both = int(common.sum())
+                linked = 100 * both >= percent * (len(own) + len(x) - both)
+                bits, rest = (None, None) if alone else (np.packbits(common).tobytes(), np.setdiff1d(x, own, assume_unique=True).tobytes())
+                rows.append((centre, member, linked, len(x), bits, rest))
+            if rows:
+                types = [pa.binary(), pa.binary(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()]
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                      names=["centre", "member", "linked", "n", "bits", "rest"])
 
     return (members.union(centres).repartition(shuffle_partitions(spark), "centre", "part")
-            .sortWithinPartitions("centre", "part", "side").mapInArrow(run, "a binary, b binary"))
+            .sortWithinPartitions("centre", "part", "side").mapInArrow(run, "centre binary, member binary, linked boolean, n long, bits binary, rest binary"))
+
+
+def links_in_block(left: list[dict], right: list[dict] | None, percent: int, weight: int):
+    """Links (a, b) between members of two blocks of one centre (of one block, if
+    ``right`` is None) that are in different components."""
+    rows = left + (right or [])
+    root = np.unique([r["root"] for r in rows], return_inverse=True)[1]
+    n = np.array([r["n"] for r in rows])
+    bits = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8).reshape(len(rows), -1)
+    shared = np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+    rest = n - shared
+    sketch = np.array([r["sketch"] for r in rows], np.int64).view(np.uint64)
+    first = len(left) if right is not None else len(rows)
+    # one side of a pair from different components is outside the largest
+    most = np.bincount(root).argmax()
+    for i in np.flatnonzero(root != most):
+        if right is None:
+            at = np.arange(len(rows))
+        else:
+            at = np.arange(first, len(rows)) if i < first else np.arange(first)
+        at = at[(root[at] != root[i]) & ((root[at] == most) | (at > i))]
+        at = at[np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1) <= weight]
+        both = np.bitwise_count(bits[at] & bits[i]).sum(axis=1).astype(np.int64)
+        top = both + np.minimum(rest[at], rest[i])  # at most so many shingles in common
+        able = 100 * top >= percent * (n[at] + n[i] - top)
+        for j, b in zip(at[able], both[able], strict=True):
+            b += len(np.intersect1d(np.frombuffer(rows[i]["rest"], np.uint64), np.frombuffer(rows[j]["rest"], np.uint64), assume_unique=True))
+            if 100 * b >= percent * (n[i] + n[j] - b):
+                yield rows[i]["member"], rows[j]["member"]
+
+
+def open_links(compared: DataFrame, roots: DataFrame, meta: DataFrame, words_n: int, percent: int, weight: int) -> DataFrame:
+    """Links between members of one centre whose components differ.
+
+    A centre's members are dealt into blocks, and each pair of blocks meets in
+    one group; so a group is bounded, and a centre of many members is split.
+    """
+    spark = compared.sparkSession
+    placed = (compared.where("bits is not null").alias("m").join(roots.alias("r"), F.col("m.member") == F.col("r.node"), "left")
+              .select("centre", "member", "n", "bits", "rest", F.coalesce("root", "member").alias("root")))
+    stars = (placed.groupBy("centre").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
+             .select("centre", F.ceil(F.col("size") / F.least(F.lit(BLOCK_MOST), F.greatest(F.lit(BLOCK_LEAST), F.col("size") / 8))).cast("int").alias("blocks")))
+    sketch = meta.select(F.col("cls").alias("member"), F.array(*(f"s{i}" for i in range(words_n))).alias("sketch"))
+    rows = (placed.join(stars, "centre").join(sketch, "member")
+            .withColumn("own", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("centre", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "member", "n", "bits", "rest", "root", "sketch"))
+
+    def run(batches):
+        now, group = None, []
+
+        def links():
+            if not group:
+                return
+            left = [r for r in group if r["own"] == now[1]]
+            right = [r for r in group if r["own"] != now[1]] if now[1] != now[2] else None
+            if right is None or (left and right):
+                found = list(links_in_block(left, right, percent, weight))
+                if found:
+                    a, b = zip(*found, strict=True)
+                    yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                key = (r["centre"], r["lo"], r["hi"])
+                if key != now:
+                    yield from links()
+                    now, group = key, []
+                group.append(r)
+        yield from links()
+
+    return (rows.repartition(shuffle_partitions(spark), "centre", "lo", "hi").sortWithinPartitions("centre", "lo", "hi", "member")
+            .mapInArrow(run, "a binary, b binary"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
@@ -193,7 +271,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     # only the classes that share a band with another one have candidates
     banded = classes.select("cls", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("cls").alias("centre"), F.count("*").alias("n")).where("n > 1")
-    members = store(banded.join(shared, "band").select("band", "cls", "centre", "n"), "members")
+    members = store(banded.join(shared, "band").select("cls", "centre").distinct(), "members")  # with each centre as its own member
     meta = store(classes.join(members.select("cls").distinct(), "cls", "left_semi").drop("bands"), "classes")
 
     found = meta.select("cls", F.col("doc_id").alias("found_id"))
@@ -201,26 +279,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), own.alias("text")).join(found, F.col("doc_id").eqNullSafe(F.col("found_id")))
     texts = store(texts.select("cls", "text").transform(lambda d: only_own(d, k)), "texts")
 
-    stars = members.where("cls <> centre").select(F.col("centre"), F.col("cls").alias("member")).distinct()
-    stars = similar(stars, meta, words_n, weight)
-    links = store(confirm(stars, texts, k, percent), "links")
-
-    # members of one band whose components differ, other than those compared above
+    stars = members.where("cls <> centre").select("centre", F.col("cls").alias("member"))
+    compared = store(compare(stars, texts, k, percent), "compared")
+    links = compared.where("linked").select(F.col("centre").alias("a"), F.col("member").alias("b"))
     roots = components(links)
-    placed = (members.where("n > 2").alias("m").join(roots.alias("r"), F.col("m.cls") == F.col("r.node"), "left")
-              .select("band", "cls", "centre", F.coalesce("root", "cls").alias("root")))
-    open_bands = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band")
-    placed = store(placed.where("cls <> centre").join(open_bands, "band", "left_semi")
-                   .join(meta.drop("doc_id"), "cls"), "open")
-    x, y = placed.alias("x"), placed.alias("y")
-    rest = (x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.root") != F.col("y.root"))
-                   & (sketch_weight("x", "y", words_n) <= weight))
-            .select(F.col("x.cls").alias("centre"), F.col("y.cls").alias("member")).distinct())
-    more = store(confirm(rest, texts, k, percent), "links")
-    if more.isEmpty():
-        final = roots
-    else:
-        final = components(links.union(more))
+    more = store(open_links(compared, roots, meta, words_n, percent, weight), "links")
+    final = roots if more.isEmpty() else components(links.union(more))
 
     # a component's id is its smallest doc_id; classes without a link are their own component
     tops = (final.alias("f").join(meta.select("cls", "doc_id").alias("c"), F.col("f.node") == F.col("c.cls"))
@@ -244,12 +308,6 @@ def only_own(texts: DataFrame, k: int) -> DataFrame:
     return texts.mapInArrow(run, "cls binary, text string").dropDuplicates(["cls"])
 
 
-def similar(pairs: DataFrame, meta: DataFrame, words_n: int, weight: int) -> DataFrame:
-    """The pairs (centre, member) whose odd sketches are near enough."""
-    return (pairs.join(meta.alias("c"), F.col("centre") == F.col("c.cls")).join(meta.alias("m"), F.col("member") == F.col("m.cls"))
-            .where(sketch_weight("c", "m", words_n) <= weight).select("centre", "member"))
-
-
 def op3_neardup(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs, k=3, percent=85)
 
@@ -257,10 +315,10 @@ def op3_neardup(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One row of ``docs`` per component, in all its columns: that of the smallest
     doc_id, and of rows that repeat it one."""
-    kept = store(near_duplicates(docs, **options).where("kept").groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("n")), "kept")
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id"))
-    out = docs.join(kept.where("n = 1"), same, "left_semi")
-    repeated = kept.where("n > 1")
+    kept = store(near_duplicates(docs, **options).where("kept").groupBy(F.col("doc_id").alias("__kept_id")).agg(F.count("*").alias("__kept_n")), "kept")
+    same = F.col("doc_id").eqNullSafe(F.col("__kept_id"))
+    out = docs.join(kept.where("__kept_n = 1"), same, "left_semi")
+    repeated = kept.where("__kept_n > 1")
     if repeated.isEmpty():
         return out
     return out.union(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -336,11 +336,11 @@ def cut_passages(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without their passages: the texts' words go, the first document
     keeps them; a document of which no word is left goes too. Texts without
     passages are left as they are."""
-    found = (passages(docs, **options).groupBy(F.col("doc_id").alias("cut_id"))
-             .agg(F.array_sort(F.collect_list(F.struct("start_word", "stop_word"))).alias("cuts")))  # bounded by the text
+    found = (passages(docs, **options).groupBy(F.col("doc_id").alias("__cut_id"))
+             .agg(F.array_sort(F.collect_list(F.struct("start_word", "stop_word"))).alias("__cuts")))  # bounded by the text
     columns = docs.columns
     place = columns.index("text")
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("cut_id")), "left").select(*(docs[c] for c in columns), F.col("cuts").alias("__cuts"))
+    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__cut_id")), "left").select(*columns, "__cuts")
 
     def run(batches):
         for batch in text_slices(batches):
