@@ -32,6 +32,8 @@ from stratus.llm.common import shuffle_partitions, store
 
 CURVES, DIMS, BITS = 8, 8, 8
 WINDOW = 0.2
+#: Rows of a window at least.
+LEAST_ROWS = 512
 #: Rows of a block at most, and blocks that a window is made of.
 BLOCK_ROWS, BLOCKS = 4096, 3
 #: Vectors that the projections' ranges are taken from, about (chosen by a hash of the id).
@@ -136,7 +138,7 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, curves: int = CURVES,
     sample = matrix(sample, width) if len(sample) else matrix(some.select("v").limit(1).toArrow()["v"].combine_chunks(), width)
     placed = ranked(some, Curves(sample, curves, dims, seed), width, curves)
 
-    rows = math.ceil(window * total)
+    rows = min(total, max(LEAST_ROWS, k + 1, math.ceil(window * total)))
     block = max(1, min(BLOCK_ROWS, math.ceil(rows / BLOCKS)))
     members = placed.join(some, "vec_id")
     lo = F.greatest(F.lit(0), F.least(F.col("place") - rows // 2, F.col("n") - rows))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -9,6 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import stratus
 from stratus.session import cut_lineage
 
 #: Java pattern of one word of the contracts: no blank and no ASCII control blank.
@@ -18,7 +23,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 8 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per context, so
+    that they need no copy of the repository on their path."""
+    context = spark.sparkContext
+    if getattr(context, "_stratus_shipped", False):
+        return
+    root = Path(stratus.__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="stratus-ship-"), "stratus.zip")  # the driver serves it from here
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, Path("stratus", file.relative_to(root)))
+    context.addPyFile(str(path))
+    context._stratus_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -33,8 +33,9 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from stratus.llm.common import Words, components, mix64, shuffle_partitions, signed, store, text_slices, window_hashes
 
@@ -258,10 +259,17 @@ def open_links(compared: DataFrame, roots: DataFrame, meta: DataFrame, words_n:
             .mapInArrow(run, "a binary, b binary"))
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
-                    bits: int = SKETCH_BITS, slack: float = 0.2) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per row of ``docs``: texts are
-    linked when 100 * intersection >= percent * union of their k-word shingles."""
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) per row of ``docs``; options as
+    in :func:`mark`."""
+    return mark(docs, **options).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def mark(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
+         bits: int = SKETCH_BITS, slack: float = 0.2) -> DataFrame:
+    """:func:`near_duplicates` with each row's class and one class of its
+    component as ``root`` (null for texts without shingles). Texts are linked
+    when 100 * intersection >= percent * union of their k-word shingles."""
     words_n = bits // 64
     sketch = [f"s{i}" for i in range(words_n)]
     weight = most_bits(percent / 100 - slack, bits, bands * rows)
@@ -290,11 +298,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     tops = (final.alias("f").join(meta.select("cls", "doc_id").alias("c"), F.col("f.node") == F.col("c.cls"))
             .select("node", "root", "doc_id"))
     ids = tops.groupBy("root").agg(F.min("doc_id").alias("top"))
-    tops = tops.join(ids, "root").select(F.col("node").alias("cls"), "top")
-    tops = classes.select("cls", "doc_id").join(tops, "cls", "left").select(F.col("cls").alias("t_cls"), F.coalesce("top", "doc_id").alias("top"))
+    tops = tops.join(ids, "root").select(F.col("node").alias("cls"), "root", "top")
+    tops = (classes.select("cls", "doc_id").join(tops, "cls", "left")
+            .select(F.col("cls").alias("t_cls"), F.coalesce("root", "cls").alias("root"), F.coalesce("top", "doc_id").alias("top")))
     return (described.join(tops, F.col("cls") == F.col("t_cls"), "left")
             .withColumn("component_id", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("top")))
-            .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+            .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "cls", "root"))
 
 
 def only_own(texts: DataFrame, k: int) -> DataFrame:
@@ -312,13 +321,30 @@ def op3_neardup(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs, k=3, percent=85)
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+def with_class(docs: DataFrame, k: int) -> DataFrame:
+    """``docs`` with the class of each text as ``__cls``."""
+    def run(batches):
+        for batch in text_slices(batches):
+            sets, at = shingle_sets(Words(batch.column("text")), k)
+            yield pa.record_batch([*batch.columns, pa.array(set_keys(sets, at), pa.binary())], names=[*batch.schema.names, "__cls"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__cls", BinaryType())]))
+
+
+def drop_near_duplicates(docs: DataFrame, k: int = 5, **options) -> DataFrame:
     """One row of ``docs`` per component, in all its columns: that of the smallest
-    doc_id, and of rows that repeat it one."""
-    kept = store(near_duplicates(docs, **options).where("kept").groupBy(F.col("doc_id").alias("__kept_id")).agg(F.count("*").alias("__kept_n")), "kept")
-    same = F.col("doc_id").eqNullSafe(F.col("__kept_id"))
-    out = docs.join(kept.where("__kept_n = 1"), same, "left_semi")
-    repeated = kept.where("__kept_n > 1")
+    doc_id and, of rows that repeat it, the smallest text. Texts without
+    shingles stay, but for repeated rows."""
+    marked = store(mark(docs, k=k, **options).select("doc_id", "cls", "root", "kept"), "marked")
+    ids = store(marked.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"), F.max("kept").alias("__any")).where("__any"), "kept")
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    out = docs.join(ids.where("__n = 1"), same, "left_semi")
+    repeated = ids.where("__n > 1")
     if repeated.isEmpty():
         return out
-    return out.union(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    # an id on several rows: their classes tell which of them stay
+    rows = with_class(docs.join(repeated, same, "left_semi"), k)
+    stay = marked.where("kept").select(F.col("doc_id").alias("__id"), F.col("cls").alias("__own"), F.col("root").alias("__root")).distinct()
+    rows = rows.join(stay, same & F.col("__cls").eqNullSafe(F.col("__own")))
+    first = Window.partitionBy("doc_id", "__root", F.when(F.col("__root").isNull(), F.col("text"))).orderBy("text")
+    return out.union(rows.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").select(*docs.columns))

@@ -71,6 +71,11 @@ def plain(vocab: list[str]) -> pa.Array:
     return pc.utf8_lower(pc.ascii_trim(pa.array(vocab, pa.large_string()), characters="!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"))
 
 
+def beginning(words: pa.Array, size: int) -> pa.Array:
+    """The first ``size`` letters of longer words; empty for others."""
+    return pc.if_else(pc.greater(pc.utf8_length(words), size), pc.utf8_slice_codeunits(words, 0, size), "")
+
+
 def votes(texts: pa.Array, words: list[str], prefixes: dict[int, list[str]]) -> np.ndarray:
     """(texts, voters) of booleans: which voters fire."""
     found = Words(texts)
@@ -91,7 +96,7 @@ def votes(texts: pa.Array, words: list[str], prefixes: dict[int, list[str]]) ->
     out.append(lookup(vocab, words, list(range(len(words))), len(words)))
     for size in PREFIXES:
         own = prefixes[size]
-        out.append(lookup(pc.utf8_slice_codeunits(vocab, 0, size), own, list(range(len(own))), len(own)))
+        out.append(lookup(beginning(vocab, size), own, list(range(len(own))), len(own)))
     for lexicon in LEXICONS.values():
         out.append(lookup(vocab, list(lexicon), [0] * len(lexicon), 1))
     whole = texts.fill_null("")
@@ -113,9 +118,9 @@ def mine(sample: DataFrame, positives: int, negatives: int) -> tuple[list[str],
             vocab = plain(found.vocab)
             length = pc.utf8_length(vocab).to_numpy()
             for size in (0, *PREFIXES):
-                coded = (pc.utf8_slice_codeunits(vocab, 0, size) if size else vocab).dictionary_encode()
+                coded = (beginning(vocab, size) if size else vocab).dictionary_encode()
                 of = coded.indices.to_numpy()[found.codes]
-                fits = (length >= size if size else (length > 0) & (length <= LONGEST))[found.codes]
+                fits = (length > size if size else (length > 0) & (length <= LONGEST))[found.codes]
                 pairs = np.unique(doc[fits] * np.int64(len(coded.dictionary)) + of[fits])
                 d, f = np.divmod(pairs, np.int64(max(1, len(coded.dictionary))))
                 bad = np.bincount(f, weights=toxic[d], minlength=len(coded.dictionary)).astype(np.int64)
