@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratus.llm import langid, mixing, neardup, packing, passages
-from stratus.llm.common import store, table
+from stratus.llm.common import ship, store, table
 
 #: Least score of a document's language; below it, or without a letter, it goes.
 LEAST_LANGUAGE_SCORE = 0.1
@@ -20,6 +20,7 @@ LEAST_LANGUAGE_SCORE = 0.1
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; learned from those that name theirs."""
+    ship(spark)
     return langid.keep_identified(docs, langid.train(docs), LEAST_LANGUAGE_SCORE)
 
 
