@@ -16,8 +16,10 @@ def _c(x) -> Column:
 
 
 # Blank characters folded to a plain space before trimming (Python's
-# ``str.strip``/``split`` treat them all as whitespace).
-BLANKS = "\u00a0\t\n\r\u000b\u000c\u2007\u202f"
+# ``str.strip``/``split`` treat them all as whitespace): every Unicode blank.
+BLANKS = ("\t\n\u000b\u000c\r\u001c\u001d\u001e\u001f\u0085\u00a0\u1680"
+          "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+          "\u2028\u2029\u202f\u205f\u3000")
 
 
 def to_spaces(x) -> Column:
@@ -60,10 +62,7 @@ def parse_measure(x) -> Column:
     leading ``<`` stripped; then a guarded cast. ``''``, ``-``, ``--``,
     ``N/A`` and anything else non-numeric give null.
     """
-    s = strip_blank(_c(x).cast("string"))
-    token = F.translate(F.substring_index(s, " ", 1), ",", ".")
-    token = F.when(token.startswith("<"), F.regexp_replace(token, "^<+", "")).otherwise(token)
-    return F.when(token.rlike(NUMBER_RE), token.try_cast("double"))
+    return token_to_double(measure_token(x))
 
 
 def compass_degrees(x) -> Column:

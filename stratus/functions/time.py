@@ -34,6 +34,20 @@ def _norm_blanks(t: Column) -> Column:
     return F.regexp_replace(t, r"(?U)\s+", " ")
 
 
+def _clock12(day: Column, t: Column, pattern: str) -> Column:
+    """ISO text of a day and a 12-hour clock: groups hour, minute, seconds or '', am/pm."""
+    part = lambda i: F.regexp_extract(t, pattern, i)
+    hour = part(1).try_cast("int")
+    hour24 = F.pmod(hour, F.lit(12)) + F.when(F.lower(part(4)) == "pm", 12).otherwise(0)
+    sec = F.when(part(3) == "", "00").otherwise(part(3))
+    text = F.concat(day, F.lit(" "), F.lpad(hour24.cast("string"), 2, "0"), F.lit(":"), F.lpad(part(2), 2, "0"), F.lit(":"), F.lpad(sec, 2, "0"))
+    return F.when(t.rlike(pattern) & hour.between(1, 12), text)
+
+
+CLOCK12_RE = r"^(\d{1,2}):(\d{1,2})() ([AaPp][Mm])$"
+CLOCK12_ANY_RE = r"^(\d{1,2}):(\d{1,2})(?::(\d{1,2}))? ?([AaPp][Mm])$"
+
+
 def combine_date_time(date, time_text) -> Column:
     """X11: date + 12-hour clock text (``%I:%M %p``) -> TIMESTAMP_NTZ.
 
@@ -41,28 +55,24 @@ def combine_date_time(date, time_text) -> Column:
     invalid clock gives null.
     """
     t = _norm_blanks(_c(time_text).cast("string"))
-    txt = F.concat(F.date_format(_c(date), "yyyy-MM-dd"), F.lit(" "), t)
-    ok = t.rlike(r"^\d{1,2}:\d{1,2} [AaPp][Mm]$")
-    return F.when(ok, F.try_to_timestamp(txt, F.lit("yyyy-MM-dd h:m a")).cast("timestamp_ntz"))
+    return _clock12(F.date_format(_c(date), "yyyy-MM-dd"), t, CLOCK12_RE).try_cast("timestamp_ntz")
 
 
 def combine_date_time_multi(date, time_text) -> Column:
-    """Date + a time cell in any accepted form (12-hour clock,
-    ``HH:mm``, ``HH:mm:ss``, or a full timestamp whose time part is kept)."""
+    """Date + a time cell in any accepted form (12-hour clock with or
+    without seconds and blank, ``HH:mm``, ``HH:mm:ss``, or a full timestamp
+    whose time part is kept). All by wall time: no session zone is involved."""
     t = F.trim(_norm_blanks(_c(time_text).cast("string")))
     d = F.date_format(_c(date), "yyyy-MM-dd")
-    full = F.when(t.rlike(ISO_PREFIX_RE), F.try_to_timestamp(t))
-    clock = F.coalesce(
-        F.when(t.rlike(r"^\d{1,2}:\d{1,2} [AaPp][Mm]$"),
-               F.try_to_timestamp(F.concat(d, F.lit(" "), t), F.lit("yyyy-MM-dd h:m a"))),
-        F.when(t.rlike(r"^\d{1,2}:\d{1,2}:\d{1,2}$"),
-               F.try_to_timestamp(F.concat(d, F.lit(" "), t), F.lit("yyyy-MM-dd H:m:s"))),
-        F.when(t.rlike(r"^\d{1,2}:\d{1,2}$"),
-               F.try_to_timestamp(F.concat(d, F.lit(" "), t), F.lit("yyyy-MM-dd H:m"))),
-        F.try_to_timestamp(F.concat(d, F.lit(" "), F.date_format(full, "HH:mm:ss.SSSSSS")),
-                           F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")),
+    full = F.when(t.rlike(ISO_PREFIX_RE), t.try_cast("timestamp_ntz"))
+    clock = r"^(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?$"
+    part = lambda i: F.lpad(F.regexp_extract(t, clock, i), 2, "0")
+    text = F.coalesce(
+        _clock12(d, t, CLOCK12_ANY_RE),
+        F.when(t.rlike(clock), F.concat(d, F.lit(" "), part(1), F.lit(":"), part(2), F.lit(":"), part(3))),
+        F.concat(d, F.lit(" "), F.date_format(full, "HH:mm:ss.SSSSSS")),
     )
-    return F.when(_c(date).isNotNull(), clock.cast("timestamp_ntz"))
+    return text.try_cast("timestamp_ntz")
 
 
 def iso_timestamp(x, zone: str = "convert") -> Column:
@@ -70,7 +80,7 @@ def iso_timestamp(x, zone: str = "convert") -> Column:
 
     ``zone='convert'``: values with an offset are converted to UTC.
     ``zone='drop'``: the offset is discarded, wall time kept.
-    The session time zone must be UTC (``stratus.session``).
+    Neither depends on the session time zone.
     """
     s = _c(x).cast("string")
     guarded = F.when(s.rlike(ISO_PREFIX_RE), s)
@@ -78,8 +88,8 @@ def iso_timestamp(x, zone: str = "convert") -> Column:
         # text with an offset: the instant, as UTC wall time (independent of
         # the session time zone); text without one: its wall time as is
         has_zone = s.rlike(r"\d{2}:\d{2}(:\d{2}(\.\d*)?)?(Z|[+-]\d{2}(:?\d{2})?)$")
-        local = guarded.try_cast("timestamp").cast("timestamp_ntz")
-        utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+        micros = F.unix_micros(guarded.try_cast("timestamp")).cast("decimal(20,0)")
+        utc = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=micros / 1_000_000)
         return F.when(has_zone, utc).otherwise(guarded.try_cast("timestamp_ntz"))
     if zone == "drop":
         return guarded.try_cast("timestamp_ntz")

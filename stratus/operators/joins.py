@@ -1,31 +1,9 @@
-"""Size-checked broadcast and the station-dimension joins."""
+"""Station-dimension joins (J1, J2). No broadcast hints: AQE chooses from measured bytes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Rows above which a dimension is never broadcast (the shuffle join with AQE
-# skew handling takes over).
-MAX_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                       bound: int | None = None, check: bool = False) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven <= ``max_rows``.
-
-    ``bound`` is a known upper bound (e.g. the number of listed input files).
-    With ``check=True`` and no bound, the rows are counted with
-    ``limit(max_rows + 1)`` (for cheap inputs such as dimension tables).
-    Otherwise no hint is given and AQE picks broadcast or shuffle join from
-    the sizes measured at run time.
-    """
-    if bound is None and check:
-        bound = df.limit(max_rows + 1).count()
-    if bound is not None and bound <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def latest_per_key(dim: DataFrame, key: str, order: str) -> DataFrame:
     """Dimension dedup: for a repeated key the row with the largest ``order`` wins."""
     cols = [c for c in dim.columns if c not in (key, order)]
@@ -38,14 +16,14 @@ def enrich_stations(obs: DataFrame, dim: DataFrame, key: str = "station_id",
                     order: str = "pos") -> DataFrame:
     """Left join observations x station dimension; unknown -> nulls; last wins."""
     d = latest_per_key(dim, key, order)
-    return obs.join(broadcast_if_small(d, check=True), key, "left")
+    return obs.join(d, key, "left")
 
 
 def enrich_stations_default(obs: DataFrame, dim: DataFrame, key: str = "station_id",
                             order: str = "pos", default_type: str = "weather_underground") -> DataFrame:
     """Like J1, but an unknown station gets ``Unknown_<id>`` and a default type."""
     d = latest_per_key(dim, key, order).withColumn("_known", F.lit(True))
-    out = obs.join(broadcast_if_small(d, check=True), key, "left")
+    out = obs.join(d, key, "left")
     known = F.col("_known").isNotNull()
     return (out.withColumn("station_name", F.when(known, F.col("station_name"))
                            .otherwise(F.concat(F.lit("Unknown_"), F.col(key))))

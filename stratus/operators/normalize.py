@@ -14,7 +14,6 @@ from stratus.functions import (
     date_from_path, parse_measure, sheet_date, strip_blank, to_double, to_timestamp_coerce,
 )
 from stratus.functions.text import measure_token, token_to_double
-from stratus.operators.joins import broadcast_if_small
 from stratus.schema import (
     INFOCLIMAT_FIELDS, SOURCE_INFOCLIMAT, SOURCE_WU, UNIFIED_COLUMNS, UNIFIED_SCHEMA,
     WU_FIELDS, WU_RAIN_RATE_KEYS, WU_STATIONS,
@@ -27,13 +26,21 @@ WRAPPER_KEY = "_airbyte_data"  # FIXED VALUE: payload key of the ingestion wrapp
 def unwrap(rec) -> Column:
     """The wrapped payload when the wrapper key is present, else the record.
 
-    A wrapper whose value is not an object gives null (quarantined upstream).
+    A wrapper whose value is not an object gives null; see
+    :func:`payload_quarantine`.
     """
     rec = F.col(rec) if isinstance(rec, str) else rec
     inner = F.from_json(rec.getItem(WRAPPER_KEY), "map<string,string>")
     return F.when(F.map_contains_key(rec, F.lit(WRAPPER_KEY)), inner).otherwise(rec)
 
 
+def payload_quarantine(parsed: DataFrame, raw_chars: int = 200) -> DataFrame:
+    """Parsed records whose wrapped payload is null or not an object."""
+    return (parsed.filter(F.col("parse_error").isNull() & unwrap("rec").isNull())
+            .select("file_path", "split_start", "row_id", F.lit("payload is not an object").alias("error"),
+                    F.left("value", F.lit(raw_chars)).alias("raw")))
+
+
 def record_kind(payload) -> Column:
     """P8 on one record: nested-source keys -> infoclimat; sheet keys -> WU."""
     p = F.col(payload) if isinstance(payload, str) else payload
@@ -43,15 +50,14 @@ def record_kind(payload) -> Column:
             .otherwise(F.lit(UNKNOWN)))
 
 
-def detect_source(records: DataFrame, payload: str = "payload", file_count: int | None = None,
-                  per: str = "file", file_attrs: dict[str, Column] | None = None) -> DataFrame:
+def detect_source(records: DataFrame, payload: str = "payload", per: str = "file",
+                   file_attrs: dict[str, Column] | None = None) -> DataFrame:
     """Add ``kind``. ``per='file'``: every record of a file takes the kind
     of the file's first parsed record (H9); ``per='record'``: each its own.
 
     ``file_attrs`` are expressions over ``rel_path`` (station, path date...);
     in per-file mode they are evaluated once per file on the per-file table.
-    That table has one row per file; it is broadcast only when the file count
-    is known from the listing, otherwise AQE chooses from measured sizes.
+    That table has one row per file; AQE chooses its join from measured sizes.
     """
     attrs = file_attrs or {}
     kinds = records.withColumn("_kind", record_kind(payload))
@@ -63,7 +69,7 @@ def detect_source(records: DataFrame, payload: str = "payload", file_count: int
     first = (kinds.groupBy("file_path", "rel_path")
              .agg(F.min_by("_kind", F.struct("split_start", "row_id")).alias("kind")))
     first = first.select("file_path", "kind", *[v.alias(k) for k, v in attrs.items()])
-    return kinds.drop("_kind").join(broadcast_if_small(first, bound=file_count), "file_path", "left")
+    return kinds.drop("_kind").join(first, "file_path", "left")
 
 
 def infer_station(rel_path) -> Column:
@@ -92,13 +98,14 @@ def infoclimat_columns(p: Column, station_id: Column | None = None,
     """Nested-source record -> unified columns.
 
     Cloud form (``meta`` None): station name/coords null, type ``infoclimat_api``,
-    station id from ``id_station`` (missing -> ``''``). Local form: station id
+    station id from ``id_station`` (missing -> ``''``, null stays null). Local form: station id
     given, station fields from the ``meta`` struct (null when unknown).
     """
     raw = staged.raw if staged else p.getItem
     out: dict[str, Column] = {"source": F.lit(SOURCE_INFOCLIMAT)}
     if meta is None:
-        out["station_id"] = F.coalesce(raw("id_station"), F.lit(""))
+        present = F.col(staged.has_id) if staged else F.map_contains_key(p, F.lit("id_station"))
+        out["station_id"] = F.when(present, raw("id_station")).otherwise(F.lit(""))
         out["station_name"] = F.lit(None).cast("string")
         out["latitude"] = F.lit(None).cast("double")
         out["longitude"] = F.lit(None).cast("double")
@@ -175,7 +182,8 @@ def project_by_kind(records: DataFrame, payload: str = "payload", kind: str = "k
     day = F.col("file_date") if "file_date" in cols else date_from_path(F.col(rel_path), date_order)
     recs = records.filter(F.col(kind).isin(SOURCE_INFOCLIMAT, SOURCE_WU))
     staged_df, st = stage_fields(recs.select(*keep, F.col(kind).alias("_kind"), station.alias("_station"),
-                                             day.alias("_day"), p.alias("_payload")), "_payload",
+                                             day.alias("_day"), p.alias("_payload"),
+                                             F.map_contains_key(p, F.lit("id_station")).alias("_has_id")), "_payload",
                                  raw_keys=["id_station", "Time", "Wind"] + list(INFOCLIMAT_FIELDS),
                                  clean_keys=[k for k, v in INFOCLIMAT_FIELDS.items()
                                              if v not in ("timestamp", "weather_code")],
@@ -188,6 +196,8 @@ def project_by_kind(records: DataFrame, payload: str = "payload", kind: str = "k
 
 
 class _Staged:
+    has_id = "_has_id"
+
     def __init__(self, raw, clean, token):
         self._raw, self._clean, self._token = raw, clean, token
 
@@ -218,7 +228,7 @@ def stage_fields(df: DataFrame, payload: str, raw_keys: list[str], clean_keys: l
 
 
 def sheet_rows(records: DataFrame, station_of_file: Column, payload: str = "payload",
-               sheet_name: Column | None = None, file_count: int | None = None) -> DataFrame:
+               sheet_name: Column | None = None) -> DataFrame:
     """S5 + P3 (local): sheet files (one file = one day) -> unified rows.
 
     A sheet is skipped when its name has no valid DDMMYY date, when every row
@@ -235,7 +245,7 @@ def sheet_rows(records: DataFrame, station_of_file: Column, payload: str = "payl
     sheets = (rows.groupBy("file_path")
               .agg(F.max(F.map_contains_key(p, F.lit("Time")).cast("int")).alias("_has_time")))
     ok = sheets.filter(F.col("_has_time") == 1).select("file_path")
-    rows = rows.join(broadcast_if_small(ok, bound=file_count), "file_path", "left_semi")
+    rows = rows.join(ok, "file_path", "left_semi")
     rows = rows.filter(F.col("_day").isNotNull())
     known = F.col("_station").isin(*WU_STATIONS.keys())
     station = F.when(known, F.col("_station")).otherwise(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F, Window
+from pyspark.sql import DataFrame, functions as F
 
 from stratus.functions.text import truncate
 
@@ -59,13 +59,17 @@ def station_temp_stats(df: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def share_by(df: DataFrame, col: str) -> DataFrame:
-    """Share of rows per group in %, 1 dp. The total is a window over the
-    (small) grouped result, not over the rows."""
+    """Share of rows per group in %, 1 dp; the total is a one-value subquery."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("records"))
-    total = F.sum("records").over(Window.partitionBy())
+    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
     return g.withColumn("share_pct", F.round(F.col("records").cast("double") / total * 100, 1))
 
 
+def frequency_table(df: DataFrame, col: str) -> DataFrame:
+    """Rows per value, most frequent first, ties by value."""
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("records")).orderBy(F.desc("records"), col)
+
+
 def reject_counts(rejected: DataFrame, col: str = "reject_type") -> DataFrame:
     """Rejections by type."""
     return rejected.groupBy(col).agg(F.count(F.lit(1)).alias("errors"))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratus.functions.time import iso_timestamp
 from stratus.schema import RULESETS, UNIFIED_SCHEMA
+from stratus.sources.jsonl import in_array, only_value
 
 INT32_MAX = 2**31 - 1
 
@@ -108,14 +109,19 @@ def stage_variant_fields(df: DataFrame, doc: str, fields: list[str], widen: list
     get = {f: f"variant_get(`{doc}`, '$.{f}', 'variant')" for f in fields}
     df = df.selectExpr("*", *[f"{_tag_sql(get[f])} AS {n[f]}_t0" for f in fields])
     exprs = []
+    numeric = {f.name for f in UNIFIED_SCHEMA.fields if isinstance(f.dataType, T.NumericType)}
     for f in fields:
         t0 = f"{n[f]}_t0"
+        # JSON integers beyond 32 bits are ``long``
+        wide = f"abs(try_variant_get(`{doc}`, '$.{f}', 'double')) > {INT32_MAX}"
         num = f"CASE WHEN {t0} IN ('int', 'long', 'double') THEN try_variant_get(`{doc}`, '$.{f}', 'double') END"
         text = f"CASE WHEN {t0} = 'string' THEN try_variant_get(`{doc}`, '$.{f}', 'string') END"
         present = f"{t0} IS NOT NULL"
         tag = t0
         if f in widen:
             tag = f"CASE WHEN {t0} IN ('int', 'long') THEN 'double' ELSE {t0} END"
+        elif f in numeric:
+            tag = f"CASE WHEN {t0} = 'int' AND {wide} THEN 'long' ELSE {t0} END"
         if f == "timestamp":
             exprs.append(f"{text} AS {n[f]}_txt")
         exprs += [f"{present} AS {n[f]}_p", f"{tag} AS {n[f]}_t", f"{num} AS {n[f]}_n", f"{text} AS {n[f]}_s"]
@@ -186,7 +192,11 @@ def classify(violations_col: str = "violations", duplicate: Column | None = None
 def parse_documents(lines: DataFrame) -> DataFrame:
     """S8 (raw form): each non-blank line as VARIANT ``doc``; ``parse_error``
     for lines that are not JSON objects."""
-    parsed = lines.withColumn("doc", F.try_parse_json("value"))
+    # of a repeated key the last value counts, as in the reference's parser
+    lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    one = F.try_variant_get(F.try_parse_json(F.when(only_value("value"), in_array("value"))), "$", "array<variant>")
+    parsed = lines.withColumn("_one", one)
+    parsed = parsed.withColumn("doc", F.when(F.size("_one") == 1, F.element_at("_one", 1))).drop("_one")
     kind = F.schema_of_variant(F.col("doc"))
     return parsed.withColumn("parse_error", F.when(F.col("doc").isNull(), F.lit("invalid JSON"))
                              .when(~kind.startswith("OBJECT"), F.lit("not a JSON object")))

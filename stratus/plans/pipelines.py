@@ -10,21 +10,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratus.functions.text import truncate
 from stratus.operators.dedup import dedup_keep_first
 from stratus.functions.time import date_from_path
 from stratus.operators.normalize import (
-    detect_source, infer_station, project_by_kind, sheet_rows, union_sources, unwrap,
+    detect_source, infer_station, payload_quarantine, project_by_kind, sheet_rows, union_sources, unwrap,
 )
 from stratus.operators.quality import REPORT_SCHEMA, post_load_report, quality_report
 from stratus.operators.validate import classify, normalize_documents, parse_documents
 from stratus.schema import KEY_COLUMNS, UNIFIED_COLUMNS
 from stratus.session import cut_lineage
 from stratus.sinks.tables import insert_ignore_plan
-from stratus.sources.document import explode_documents, read_documents
-from stratus.sources.jsonl import nonblank, parse_records, scan_lines
+from stratus.sources.document import document_quarantine, explode_documents, read_documents
+from stratus.sources.jsonl import nonblank, parse_records, quarantine, scan_lines
 
 ORDER = ["file_path", "split_start", "row_id"]
 
@@ -32,8 +34,7 @@ ORDER = ["file_path", "split_start", "row_id"]
 # ---------------------------------------------------------------------------
 # E2
 
-def cloud_records(lines: DataFrame, file_count: int | None = None, detect: str = "file",
-                  date_order: str = "DMY") -> DataFrame:
+def cloud_records(lines: DataFrame, detect: str = "file", date_order: str = "DMY") -> DataFrame:
     """S1 blank drop -> S2 parse -> P1 unwrap -> P8 kind (per file by default),
     with the per-file station (P20) and path date (X10)."""
     parsed = parse_records(nonblank(lines))
@@ -41,14 +42,14 @@ def cloud_records(lines: DataFrame, file_count: int | None = None, detect: str =
     good = good.filter(F.col("payload").isNotNull())
     attrs = {"file_station": infer_station(F.col("rel_path")),
              "file_date": date_from_path(F.col("rel_path"), date_order)}
-    return detect_source(good, "payload", file_count=file_count, per=detect, file_attrs=attrs)
+    return detect_source(good, "payload", per=detect, file_attrs=attrs)
 
 
 def cloud_transform(lines: DataFrame, date_order: str = "DMY", dedup: bool = True,
-                    file_count: int | None = None, detect: str = "file") -> DataFrame:
+                    detect: str = "file") -> DataFrame:
     """Lines (file_path, split_start, row_id, value, rel_path) -> unified
     rows, keep-first dedup on (station_id, timestamp) in input order."""
-    recs = cloud_records(lines, file_count, detect, date_order)
+    recs = cloud_records(lines, detect, date_order)
     rows = project_by_kind(recs, "payload", "kind", "rel_path", date_order)
     if dedup:
         rows = dedup_keep_first(rows, KEY_COLUMNS, ORDER)
@@ -56,26 +57,40 @@ def cloud_transform(lines: DataFrame, date_order: str = "DMY", dedup: bool = Tru
 
 
 def run_cloud(spark: SparkSession, input_root: str, output_dir: str, date_order: str = "DMY") -> DataFrame:
-    """E2 end to end: scan the prefix, transform, write JSONL and the report."""
+    """E2 end to end: scan the prefix, transform, write JSONL, the lines that
+    could not be used, and the report."""
+    lines = scan_lines(spark, input_root)
+    parsed = parse_records(nonblank(lines))
+    unusable = quarantine(parsed).unionByName(payload_quarantine(parsed))
+    return _export(spark, cloud_transform(lines, date_order), unusable, output_dir, "cloud", f"nothing parsed under {input_root}")
+
+
+def _export(spark: SparkSession, out: DataFrame, unusable: DataFrame, output_dir: str, form: str, empty: str) -> DataFrame:
+    """Write the export aside and put it in place only if it has rows; an
+    earlier export stays when there is nothing to write. The report reads the
+    written export, so the transform runs once."""
     from stratus.operators.quality import report_struct
-    from stratus.sinks.tables import export_jsonl, read_unified, write_report
+    from stratus.sinks.tables import delete_path, export_jsonl, read_unified, replace_path, write_report
     from stratus.sources.jsonl import require_rows
-    lines = scan_lines(spark, input_root)
-    n_files = len(lines.inputFiles())
-    out = cloud_transform(lines, date_order, file_count=n_files)
-    export_jsonl(out, f"{output_dir}/weather_data")
-    # the report reads the written export: the transform runs once
-    written = read_unified(spark, f"{output_dir}/weather_data")
-    require_rows(written, f"nothing parsed under {input_root}")
-    write_report(report_struct(quality_report(written, "cloud")), f"{output_dir}/weather_data.quality")
+    target = f"{output_dir}/weather_data"
+    aside = f"{target}.{uuid.uuid4().hex[:12]}"
+    export_jsonl(out, aside)
+    try:
+        require_rows(read_unified(spark, aside), empty)
+    except ValueError:
+        delete_path(spark, aside)
+        raise
+    replace_path(spark, aside, target)
+    written = read_unified(spark, target)
+    unusable.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{target}.quarantine")
+    write_report(report_struct(quality_report(written, form)), f"{target}.quality")
     return written
 
 
 # ---------------------------------------------------------------------------
 # E1
 
-def local_transform(docs: DataFrame, sheets: DataFrame, sheet_station=None,
-                    file_count: int | None = None) -> DataFrame:
+def local_transform(docs: DataFrame, sheets: DataFrame, sheet_station=None) -> DataFrame:
     """Nested documents (file_path, value) + sheet lines -> unified rows,
     no dedup. ``sheet_station`` maps a sheet file to its station id (default:
     the name of the folder holding the sheet)."""
@@ -84,21 +99,16 @@ def local_transform(docs: DataFrame, sheets: DataFrame, sheet_station=None,
     good = parsed.filter(F.col("parse_error").isNull()).withColumnRenamed("rec", "payload")
     if sheet_station is None:
         sheet_station = F.regexp_extract(F.col("file_path"), r"([^/]+)/[^/]+$", 1)
-    wu = sheet_rows(good, sheet_station, "payload", file_count=file_count)
+    wu = sheet_rows(good, sheet_station, "payload")
     return union_sources(ic, wu).select("_part", *ORDER, *UNIFIED_COLUMNS)
 
 
 def run_local(spark: SparkSession, docs_root: str, sheets_root: str, output_dir: str) -> DataFrame:
-    from stratus.operators.quality import report_struct
-    from stratus.sinks.tables import export_jsonl, read_unified, write_report
-    from stratus.sources.jsonl import require_rows
-    sheets = scan_lines(spark, sheets_root)
-    out = local_transform(read_documents(spark, docs_root), sheets, file_count=len(sheets.inputFiles()))
-    export_jsonl(out, f"{output_dir}/weather_data")
-    written = read_unified(spark, f"{output_dir}/weather_data")
-    require_rows(written, "no input rows")
-    write_report(report_struct(quality_report(written, "local")), f"{output_dir}/weather_data.quality")
-    return written
+    """E1 end to end: documents and sheets -> JSONL, what could not be used, the report."""
+    docs, sheets = read_documents(spark, docs_root), scan_lines(spark, sheets_root)
+    unusable = (document_quarantine(docs).select("file_path", F.col("rec_pos").cast("long").alias("row_id"), "error", "raw")
+                .unionByName(quarantine(parse_records(nonblank(sheets))).drop("split_start")))
+    return _export(spark, local_transform(docs, sheets), unusable, output_dir, "local", "no input rows")
 
 
 # ---------------------------------------------------------------------------
@@ -129,17 +139,19 @@ def load(lines: DataFrame, ruleset: str = "strict", zone: str = "convert",
     return tagged.withColumn("status", status).withColumn("reject_type", rtype)
 
 
-def import_accounting(outcome: DataFrame) -> DataFrame:
-    """Lines, parsed, submitted, inserted, errors, errors by type - one pass."""
+def import_accounting(outcome: DataFrame, names: str = "local") -> DataFrame:
+    """Lines, parsed, submitted, inserted, errors, errors by type (under the
+    type names in use) - one pass."""
     st = F.col("status")
+    # FIXED VALUES: type names of the two loaders.
+    types = ("schema_validation", "duplicate_key") if names == "local" else ("validation", "duplicate", "other")
     return outcome.agg(
         F.count(F.lit(1)).alias("total_lines"),
         F.count_if(st != "parse_error").alias("total_parsed"),
         F.count_if(st != "parse_error").alias("total_submitted"),
         F.count_if(st == "inserted").alias("total_inserted"),
         F.count_if(st == "rejected").alias("total_errors"),
-        F.count_if(F.col("reject_type") == "schema_validation").alias("schema_validation"),
-        F.count_if(F.col("reject_type") == "duplicate_key").alias("duplicate_key"),
+        *[F.count_if((st == "rejected") & F.coalesce(F.col("reject_type"), F.lit("other")).eqNullSafe(t)).alias(t) for t in types],
     )
 
 
@@ -154,18 +166,19 @@ def rejection_messages(outcome: DataFrame, chars: int = 250) -> DataFrame:
 
 
 def run_load(spark: SparkSession, lines: DataFrame, table_path: str, mode: str = "reset",
-             ruleset: str = "strict") -> DataFrame:
+             ruleset: str = "strict", zone: str = "convert", names: str = "local") -> DataFrame:
     """E3 end to end: validate, insert (reset = overwrite, append = insert-or-
-    ignore vs stored keys), return the long-form import + post-load report."""
-    from stratus.sinks.tables import _existing_keys, write_layout
+    ignore vs stored keys), return the long-form import + post-load report.
+    The cloud loader is ``ruleset="core", zone="drop", names="cloud"``."""
+    from stratus.sinks.tables import _existing_keys, scan_table, write_layout
     existing = None if mode == "reset" else _existing_keys(spark, table_path)
     # the validated stage inside ``load`` is already stored, so the key join is
     # re-run from it for the accounting instead of writing the outcome again
-    ckpt = load(lines, ruleset, existing=existing)
+    ckpt = load(lines, ruleset, zone, existing=existing, names=names)
     inserted = ckpt.filter(F.col("status") == "inserted").select(*UNIFIED_COLUMNS)
     write_layout(inserted, table_path, "overwrite" if mode == "reset" else "append")
-    table = spark.read.parquet(table_path).select(*UNIFIED_COLUMNS)
-    acct = import_accounting(ckpt)
+    table = scan_table(spark, table_path).select(*UNIFIED_COLUMNS)  # declared schema: an empty table is one too
+    acct = import_accounting(ckpt, names)
     acct_long = acct.select(F.explode(F.array(*[
         F.struct(F.lit("import").alias("section"), F.lit(c).alias("key"),
                  F.col(c).cast("double").alias("num"), F.lit(None).cast("string").alias("txt"))

@@ -44,7 +44,8 @@ def read_unified(spark: SparkSession, path: str) -> DataFrame:
     """S8 (typed form): read unified JSONL with declared types (fast path)."""
     text_schema = ", ".join(f"`{f.name}` {'string' if f.name == 'timestamp' else f.dataType.simpleString()}"
                             for f in UNIFIED_SCHEMA.fields)
-    raw = spark.read.schema(text_schema).json(path)
+    # a line or value that does not fit the schema is an error, not a null row
+    raw = spark.read.schema(text_schema).option("mode", "FAILFAST").json(path)
     from stratus.functions.time import iso_timestamp
     return raw.withColumn("timestamp", iso_timestamp(F.col("timestamp")))
 
@@ -59,7 +60,8 @@ def write_layout(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """
     (df.select(*UNIFIED_COLUMNS)
      .repartitionByRange("station_id", "timestamp")
-     .sortWithinPartitions("station_id", "timestamp")
+     # the partition column first: the writer sorts by it anyway, and keeps this order
+     .sortWithinPartitions("source", "station_id", "timestamp")
      .write.mode(mode).partitionBy("source").parquet(path))
 
 
@@ -68,13 +70,31 @@ def load_overwrite(accepted: DataFrame, path: str) -> None:
     write_layout(accepted, path, "overwrite")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def replace_path(spark: SparkSession, source: str, target: str) -> None:
+    """Put a finished folder in the place of ``target``."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    a, b = jvm_path(source), jvm_path(target)
+    fs = a.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(b, True)
+    if not fs.rename(a, b):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _existing_keys(spark: SparkSession, path: str | None) -> DataFrame | None:
-    if path is None:
-        return None
-    try:
-        return spark.read.parquet(path).select(*KEY_COLUMNS)
-    except Exception:  # no table yet
+    """Stored keys, None where there is no table; a table that cannot be read is an error."""
+    if path is None or not path_exists(spark, path):
         return None
+    return scan_table(spark, path).select(*KEY_COLUMNS)
 
 
 def insert_ignore_plan(rows: DataFrame, existing: DataFrame | None, order: str = "pos",
@@ -118,11 +138,9 @@ def upsert(target: DataFrame, updates: DataFrame, order: str = "pos") -> DataFra
 
 def update_where(df: DataFrame, predicate, assignments: dict) -> DataFrame:
     """K6: set fields on rows matching ``predicate``."""
-    out = df
-    for col, value in assignments.items():
-        v = value if not isinstance(value, (int, float, str)) else F.lit(value)
-        out = out.withColumn(col, F.when(predicate, v).otherwise(F.col(col)))
-    return out
+    new = {c: v if not isinstance(v, (int, float, str)) else F.lit(v) for c, v in assignments.items()}
+    # one projection: predicate and values see the row as it was
+    return df.select(*[F.when(predicate, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in df.columns])
 
 
 def delete_where(df: DataFrame, predicate) -> DataFrame:

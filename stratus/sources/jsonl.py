@@ -18,10 +18,24 @@ LINES_COLUMNS = ["file_path", "split_start", "row_id", "value"]
 ORDER = ["file_path", "split_start", "row_id"]
 
 
+SCHEME_RE = r"^[A-Za-z][\w+.-]*:/*"
+
+
+def resolved_root(spark: SparkSession, root: str) -> str:
+    """The scan root as the file system names it, encoded like file URIs are."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.makeQualified(path).toUri().toString().rstrip("/")
+
+
 def relative_path(file_path: Column, root: str) -> Column:
-    """Path of a file relative to the scan root, with a leading ``/`` (H6)."""
-    tail = re.sub(r"^[A-Za-z][\w+.-]*:/*", "/", root.rstrip("/"))
-    return F.regexp_extract(file_path, "^.*?" + re.escape(tail) + "(/.*)$", 1)
+    """Path of a file relative to the resolved scan root, decoded, with a leading
+    ``/`` (H6). A file that is not under the root is an error."""
+    prefix = re.sub(SCHEME_RE, "/", root)
+    path = F.regexp_replace(file_path, SCHEME_RE, "/")
+    tail = F.url_decode(F.replace(F.substr(path, F.lit(len(prefix) + 1)), F.lit("+"), F.lit("%2B")))
+    return F.when(path.startswith(prefix + "/"), tail).otherwise(
+        F.raise_error(F.concat(F.lit(f"not under {root}: "), file_path)))
 
 
 def scan_lines(spark: SparkSession, root: str, glob: str = "*.{jsonl,json}",
@@ -40,7 +54,7 @@ def scan_lines(spark: SparkSession, root: str, glob: str = "*.{jsonl,json}",
         F.col("_metadata.file_block_start").alias("split_start"),
         F.monotonically_increasing_id().alias("row_id"),
         "value",
-    ).withColumn("rel_path", relative_path(F.col("file_path"), root))
+    ).withColumn("rel_path", relative_path(F.col("file_path"), resolved_root(spark, root)))
 
 
 def nonblank(lines: DataFrame) -> DataFrame:
@@ -51,14 +65,39 @@ def nonblank(lines: DataFrame) -> DataFrame:
 def parse_records(lines: DataFrame, col: str = "rec") -> DataFrame:
     """Parse each line as a JSON object into ``MAP<STRING,STRING>``.
 
-    Nested objects stay as JSON text; a line that is not a JSON object gives
-    a null ``rec`` and ``parse_error`` explains why.
+    Nested objects stay as JSON text; of a repeated key the last value counts.
+    A line that is not exactly one JSON object gives a null ``rec`` and
+    ``parse_error`` explains why.
     """
-    rec = F.from_json(F.col("value"), "map<string,string>")
-    err = (F.when(rec.isNotNull(), F.lit(None).cast("string"))
-           .when(F.try_parse_json("value").isNull(), F.lit("invalid JSON"))
+    one = F.from_json(F.when(only_value("value"), in_array("value")), "array<map<string,string>>")
+    parsed = lines.withColumn("_one", one)
+    rec = F.when(F.size("_one") == 1, last_values(F.element_at("_one", 1)))
+    err = (F.when(F.col(col).isNotNull(), F.lit(None).cast("string"))
+           .when(F.try_parse_json(in_array("value")).isNull() | (F.size("_one") > 1) | ~only_value("value"), F.lit("invalid JSON"))
            .otherwise(F.lit("not a JSON object")))
-    return lines.withColumn(col, rec).withColumn("parse_error", err)
+    return parsed.withColumn(col, rec).withColumn("parse_error", err).drop("_one")
+
+
+def in_array(value) -> Column:
+    """The text as the only element of a JSON array: the parser reads to the
+    array's end, so text behind a first value is an error or a second element."""
+    return F.concat(F.lit("["), F.col(value), F.lit("]"))
+
+
+def only_value(value) -> Column:
+    """False for an object's text that would end the array of :func:`in_array`
+    early. The second parse runs only where an inner list of objects closes."""
+    v = F.trim(F.col(value))
+    alone = F.from_json(F.concat(F.lit('{"r":'), v, F.lit("}")), "struct<r:string>")["r"].isNotNull()
+    return ~v.startswith("{") | (v.endswith("}") & (~v.rlike(r"\}\s*\]\s*\S") | alone))
+
+
+def last_values(rec: Column) -> Column:
+    """The map with the last value of each repeated key."""
+    keys = F.map_keys(rec)
+    own = F.array_distinct(keys)
+    last = lambda k: F.element_at(F.filter(F.map_entries(rec), lambda e: e["key"] == k), -1)["value"]
+    return F.when(F.size(own) == F.size(keys), rec).otherwise(F.map_from_arrays(own, F.transform(own, last)))
 
 
 def quarantine(parsed: DataFrame, raw_chars: int = 200) -> DataFrame:

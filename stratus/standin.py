@@ -20,18 +20,8 @@ COMPASS_TEXTS = ["North", "NNE", "NE", "ENE", "East", "ESE", "SE", "SSE",
                  "South", "SSW", "SW", "WSW", "West", "WNW", "NW", "NNW", "Calm", "Variable"]
 
 
-# Tables large enough to be worth spreading over the cluster. Each driver
-# table is one Parquet file with few row groups, i.e. one or two scan tasks;
-# real inputs arrive as many files. A round-robin repartition gives the
-# stand-in the same parallel shape.
-SPREAD = {"events"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in SPREAD:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # Generated inputs are written once per session and sf to the shared folder
@@ -47,8 +37,8 @@ def materialized(builder):
         path = _WRITTEN.get(key)
         if path is None:
             path = shared_dir(spark, f"standin-{builder.__name__}")
-            (builder(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
-             .write.mode("overwrite").parquet(path))
+            # several files, as landed inputs are; no shuffle
+            builder(spark, sf_dir).write.option("maxRecordsPerFile", 20_000).mode("overwrite").parquet(path)
             _WRITTEN[key] = path
         return spark.read.parquet(path)
     wrapper.__name__ = builder.__name__

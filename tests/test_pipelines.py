@@ -48,7 +48,7 @@ def test_cloud_transform_files(spark, tmp_path):
     write(root, "BE/011024/ignored.txt", [json.dumps({"_airbyte_data": wu("2:00 PM")})])
     lines = scan_lines(spark, root)
     assert len(lines.inputFiles()) == 4  # suffix filter, all levels
-    out = P.cloud_transform(lines, file_count=len(lines.inputFiles()))
+    out = P.cloud_transform(lines)
     rows = {(r.station_id, r.timestamp): r for r in out.collect()}
     assert len(rows) == 6
     be = rows[("IICHTE19", dt.datetime(2024, 10, 1, 0, 4))]
