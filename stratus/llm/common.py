@@ -147,19 +147,23 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         r = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         return r[0], r[1]
 
-    current = store(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    def small_star(e: DataFrame) -> DataFrame:
+        """Each node's smaller neighbours, and itself, at the smallest of them."""
+        least = e.groupBy("a").agg(F.min("b").alias("m"))
+        return (e.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+                .distinct())
+
+    pointed = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    current = store(small_star(pointed), "edges")  # first of all: it makes one edge of many for nodes of several stars
     before = mark(current)
     if not before[0]:
         return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     for _ in range(max_rounds):
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        large = both.join(least, F.col("a") == F.col("u")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        # each node of `large` has only smaller neighbours, so b is the star's side
-        small_min = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        small = (large.join(small_min, "a")
-                 .select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-                 .distinct())
+        # edges point from larger to smaller nodes: a node's larger neighbours are the edges that point at it
+        large = current.join(least, F.col("b") == F.col("u")).select("a", F.col("m").alias("b")).distinct()
+        small = small_star(large)
         current = store(small, "edges")
         now = mark(current)
         if now == before:
