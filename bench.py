@@ -37,7 +37,9 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus))
     # inputs: stand-in files are generated and stored before timing starts
     from stratus.standin import prepare
+    from stratus.catalog import stored_obs
     prepare(spark, sf_dir)
+    stored_obs(spark, sf_dir)
     # warm-up: JVM, class loading, file listing
     QUERIES["count_total"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}

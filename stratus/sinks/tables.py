@@ -50,15 +50,16 @@ def read_unified(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("timestamp", iso_timestamp(F.col("timestamp")))
 
 
-def write_layout(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_layout(df: DataFrame, path: str, mode: str = "overwrite", keep: tuple[str, ...] = ()) -> None:
     """K7: partition by source, cluster by (station_id, timestamp) inside
     files so Parquet min/max statistics prune station and time filters.
 
     Range partitioning on (station_id, timestamp) samples the key
     distribution, so a station holding a large share of the rows is split
     over several tasks by time range instead of landing in one.
+    Columns of ``keep`` are stored too.
     """
-    (df.select(*UNIFIED_COLUMNS)
+    (df.select(*UNIFIED_COLUMNS, *keep)
      .repartitionByRange("station_id", "timestamp")
      # the partition column first: the writer sorts by it anyway, and keeps this order
      .sortWithinPartitions("source", "station_id", "timestamp")

@@ -214,7 +214,7 @@ def unified_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------------------
 # Nested documents (local transform input): one document per (user, day) of
-# purchase events, /docs/<user>_<yyyyMMdd>.json, with
+# events, /docs/<user>_<yyyyMMdd>.json, with
 #   stations: the user's station twice (first with a stale name; last wins),
 #             omitted when user_id % 5 = 4 (unknown station)
 #   hourly:   {"<user>": [records...], "_params": {...}}
@@ -223,7 +223,7 @@ def unified_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @materialized
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase")
+    ev = table(spark, sf_dir, "events")
     eid, value = F.col("event_id"), F.col("value")
     rec = F.struct(
         eid.alias("event_id"),
@@ -257,15 +257,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(path.alias("file_path"), doc.alias("value"))
 
 
-# Sheet files (local transform input): view/click events of users with
-# user_id % 4 in (0, 1); one file per (station workbook, day):
+# Sheet files (local transform input): all events, one file per (station
+# workbook, day):
 # /sheets/<IICHTE19|ILAMAD25>/<ddMMyy>.jsonl. Event id % 23 = 0 -> an
 # all-null row; clock text rotates through 12-hour, 24-hour and full forms.
 
 @materialized
 def sheet_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").filter(
-        F.col("event_type").isin("view", "click") & (F.col("user_id") % 4 <= 1))
+    ev = table(spark, sf_dir, "events")
     eid, ts, value = F.col("event_id"), F.col("ts"), F.col("value")
     nb = F.lit("\u00a0")
     s = lambda c: c.cast("string")
