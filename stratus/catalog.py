@@ -1249,3 +1249,29 @@ def q_job_cloud(spark, sf):
     from stratus.plans.pipelines import run_cloud
     from stratus.session import shared_dir
     return run_cloud(spark, _landed_files(spark, sf), shared_dir(spark, "cloud-out"))
+
+
+# ===========================================================================
+# K5, K6 on stored tables
+
+@query("edit_table", f"""{OBS},
+kept AS (SELECT {U23} FROM obs WHERE source <> 'manual'),
+upd AS (SELECT {U23} FROM obs WHERE source = 'infoclimat' AND pos % 5 = 0
+        QUALIFY row_number() OVER (PARTITION BY station_id, "timestamp" ORDER BY pos DESC) = 1),
+merged AS (
+  SELECT * FROM kept k WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.station_id IS NOT DISTINCT FROM k.station_id
+    AND u."timestamp" IS NOT DISTINCT FROM k."timestamp")
+  UNION ALL SELECT * REPLACE ('infoclimat' AS source, 'corrected' AS station_type) FROM upd)
+SELECT * REPLACE (CASE WHEN station_id = '3' THEN 1.5 ELSE temperature_c END AS temperature_c) FROM merged""")
+def q_edit_table(spark, sf):
+    """A stored table after a delete (a whole partition goes), an upsert and an update."""
+    from stratus.session import shared_dir
+    from stratus.sinks.tables import delete_from_table, scan_table, update_table, upsert_table, write_layout
+    path = shared_dir(spark, "edited")
+    o = obs(spark, sf)
+    write_layout(o, path)
+    delete_from_table(spark, path, F.col("source") == "manual")
+    updates = o.where((F.col("source") == "infoclimat") & (F.col("pos") % 5 == 0)).withColumn("station_type", F.lit("corrected"))
+    upsert_table(spark, path, updates)
+    update_table(spark, path, F.col("station_id") == "3", {"temperature_c": 1.5})
+    return scan_table(spark, path).select(*UNIFIED_COLUMNS)

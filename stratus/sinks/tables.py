@@ -14,6 +14,7 @@ from stratus.functions.sanitize import sanitize_frame
 from stratus.functions.time import ts_to_iso
 from stratus.operators.dedup import first_arrival
 from stratus.schema import KEY_COLUMNS, UNIFIED_COLUMNS, UNIFIED_SCHEMA
+from stratus.session import cut_lineage
 
 
 def to_export_frame(df: DataFrame) -> DataFrame:
@@ -147,3 +148,49 @@ def update_where(df: DataFrame, predicate, assignments: dict) -> DataFrame:
 def delete_where(df: DataFrame, predicate) -> DataFrame:
     """K6: drop rows matching ``predicate`` (null predicate keeps the row)."""
     return df.filter(~F.coalesce(predicate, F.lit(False)))
+
+
+def _rewrite_partitions(spark: SparkSession, path: str, touched: DataFrame, change) -> None:
+    """Replace the partitions named in ``touched`` (column ``source``) by
+    ``change`` of their rows; other partitions are neither read nor written.
+
+    The new rows are stored aside first, so a failure while they are computed
+    leaves the table as it was. ``touched`` is one row per partition.
+    """
+    sources = [r.source for r in touched.select("source").distinct().collect()]
+    if not sources:
+        return
+    hit = F.col("source").isin(*[x for x in sources if x is not None])
+    if None in sources:
+        hit = hit | F.col("source").isNull()
+    new = cut_lineage(change(scan_table(spark, path).filter(hit)).select(*UNIFIED_COLUMNS), "rewrite")
+    left = {r.source for r in new.select("source").distinct().collect()}
+    (new.repartitionByRange("station_id", "timestamp").sortWithinPartitions("source", "station_id", "timestamp")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(path))
+    for gone in set(sources) - left:  # a partition of which no row is left is not overwritten
+        name = "__HIVE_DEFAULT_PARTITION__" if gone is None else gone
+        delete_path(spark, f"{path}/source={name}")
+
+
+def upsert_table(spark: SparkSession, path: str, updates: DataFrame, order: str = "pos") -> None:
+    """K5 on a stored table: :func:`upsert`, rewriting only the partitions that
+    hold an updated key or get one."""
+    keys = updates.select(*KEY_COLUMNS).distinct()
+    target = scan_table(spark, path)
+    cond = [target[k].eqNullSafe(keys[k]) for k in KEY_COLUMNS]
+    touched = target.join(keys, cond, "left_semi").select("source").union(updates.select("source"))
+    _rewrite_partitions(spark, path, touched, lambda rows: upsert(rows, updates, order))
+
+
+def update_table(spark: SparkSession, path: str, predicate, assignments: dict) -> None:
+    """K6 on a stored table: :func:`update_where`; ``source`` is not assigned to."""
+    if "source" in assignments:
+        raise ValueError("the partition column cannot be updated in place")
+    touched = scan_table(spark, path).filter(predicate).select("source")
+    _rewrite_partitions(spark, path, touched, lambda rows: update_where(rows, predicate, assignments))
+
+
+def delete_from_table(spark: SparkSession, path: str, predicate) -> None:
+    """K6 on a stored table: :func:`delete_where`."""
+    touched = scan_table(spark, path).filter(predicate).select("source")
+    _rewrite_partitions(spark, path, touched, lambda rows: delete_where(rows, predicate))
