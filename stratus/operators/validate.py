@@ -66,32 +66,19 @@ def typed_views(df: DataFrame, fields: list[str]) -> dict[str, FieldView]:
     return out
 
 
-# type word of ``schema_of_variant`` -> JSON/BSON type tag
+# first letters of ``schema_of_variant`` -> JSON/BSON type tag
 _VARIANT_TYPE_TAGS = {
-    "BIGINT": "int", "INT": "int", "SMALLINT": "int", "TINYINT": "int",
-    "DECIMAL": "double", "DOUBLE": "double", "FLOAT": "double",
-    "STRING": "string", "VOID": "null", "BOOLEAN": "bool",
-    "OBJECT": "object", "ARRAY": "array",
+    "BIG": "int", "INT": "int", "SMA": "int", "TIN": "int",
+    "DEC": "double", "DOU": "double", "FLO": "double",
+    "STR": "string", "VOI": "null", "BOO": "bool", "OBJ": "object", "ARR": "array",
 }
 
-
-def variant_tag(v: Column) -> Column:
-    """Type tag of a VARIANT value (null when the value is absent).
-
-    One ``schema_of_variant`` and one map lookup: each sub-expression is
-    referenced once, which keeps plans small when many fields are checked.
-    Integers are tagged ``int`` whatever their width.
-    """
-    lookup = F.create_map(*[x for k, t in _VARIANT_TYPE_TAGS.items() for x in (F.lit(k), F.lit(t))])
-    word = F.regexp_extract(F.schema_of_variant(v), r"^([A-Z]+)", 1)
-    return F.coalesce(F.try_element_at(lookup, word), F.when(v.isNotNull(), F.lit("other")))
-
-
 _TAG_MAP_SQL = "map(" + ", ".join(f"'{k}', '{t}'" for k, t in _VARIANT_TYPE_TAGS.items()) + ")"
 
 
 def _tag_sql(v: str) -> str:
-    return (f"coalesce(try_element_at({_TAG_MAP_SQL}, regexp_extract(schema_of_variant({v}), '^([A-Z]+)', 1)), "
+    """Type tag of a VARIANT value; null where the value is absent."""
+    return (f"coalesce(try_element_at({_TAG_MAP_SQL}, left(schema_of_variant({v}), 3)), "
             f"CASE WHEN {v} IS NOT NULL THEN 'other' END)")
 
 
