@@ -348,3 +348,21 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, **options) -> DataFrame:
     rows = rows.join(stay, same & F.col("__cls").eqNullSafe(F.col("__own")))
     first = Window.partitionBy("doc_id", "__root", F.when(F.col("__root").isNull(), F.col("text"))).orderBy("text")
     return out.union(rows.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").select(*docs.columns))
+
+
+#: The same rows by comparing every pair of documents that shares a shingle.
+ORACLE = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.top AS component_id, d.doc_id = c.top AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS top FROM r GROUP BY doc_id) c USING (doc_id)
+"""

@@ -18,4 +18,4 @@ QUERIES = {
     "op10_passages": lambda spark, sf_dir: passages.op10_passages(table(spark, sf_dir, "documents")),
 }
 
-ORACLE = {"op7_mix": mixing.ORACLE}
+ORACLE = {"op3_neardup": neardup.ORACLE, "op7_mix": mixing.ORACLE}
