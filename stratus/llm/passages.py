@@ -151,6 +151,7 @@ def matches_of(seeds: DataFrame) -> DataFrame:
               .agg(F.min("doc").alias("origin"), F.max("doc").alias("last"),
                    F.min_by("pos", F.when(F.col("pos") >= 0, F.col("doc"))).alias("there"))
               .where("origin < last").select("seed", "origin", "there"))
+    origin = store(origin, "origins")  # a join of two plain shuffles: one that many occurrences share can then be split
     return (seeds.join(origin, "seed").where("doc <> origin")
             .select("doc", "origin", F.when(F.col("pos") < 0, -1 - F.col("pos")).otherwise(F.col("pos")).alias("pos"), "there"))
 
