@@ -301,6 +301,7 @@ def mark(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, row
     tops = tops.join(ids, "root").select(F.col("node").alias("cls"), "root", "top")
     tops = (classes.select("cls", "doc_id").join(tops, "cls", "left")
             .select(F.col("cls").alias("t_cls"), F.coalesce("root", "cls").alias("root"), F.coalesce("top", "doc_id").alias("top")))
+    tops = store(tops, "tops")  # a join of two plain shuffles: a class of many copies can then be split
     return (described.join(tops, F.col("cls") == F.col("t_cls"), "left")
             .withColumn("component_id", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("top")))
             .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "cls", "root"))
