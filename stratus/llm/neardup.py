@@ -7,6 +7,9 @@ estimates from the weight of an XOR how similar two are, and pairs far below
 the threshold are dropped; the rest is confirmed on the full sets. Confirmed
 links are joined into components.
 
+Aggregates that are joined back are stored first, so that the join is one of two
+plain shuffles and a key with many rows can be split at run time.
+
 No bucket is expanded into all its pairs. Each member of a bucket is compared
 with the bucket's smallest class, its centre, which settles most groups of near
 copies; the comparison keeps the member's set as its difference from the
@@ -152,7 +155,7 @@ def compare(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     the centre's text, so a centre of many members is split over tasks.
     """
     spark = pairs.sparkSession
-    parts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / STAR_PART).cast("int").alias("parts"), (F.count("*") == 1).alias("alone"))
+    parts = store(pairs.groupBy("centre").agg(F.ceil(F.count("*") / STAR_PART).cast("int").alias("parts"), (F.count("*") == 1).alias("alone")), "parts")
     members = (pairs.join(parts, "centre").withColumn("part", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int"))
                .join(texts.withColumnRenamed("cls", "member"), "member")
                .select("centre", "part", F.lit(1).alias("side"), "alone", "member", "text"))
@@ -224,8 +227,8 @@ def open_links(compared: DataFrame, roots: DataFrame, meta: DataFrame, words_n:
     spark = compared.sparkSession
     placed = (compared.where("bits is not null").alias("m").join(roots.alias("r"), F.col("m.member") == F.col("r.node"), "left")
               .select("centre", "member", "n", "bits", "rest", F.coalesce("root", "member").alias("root")))
-    stars = (placed.groupBy("centre").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
-             .select("centre", F.ceil(F.col("size") / F.least(F.lit(BLOCK_MOST), F.greatest(F.lit(BLOCK_LEAST), F.col("size") / 8))).cast("int").alias("blocks")))
+    stars = store(placed.groupBy("centre").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
+             .select("centre", F.ceil(F.col("size") / F.least(F.lit(BLOCK_MOST), F.greatest(F.lit(BLOCK_LEAST), F.col("size") / 8))).cast("int").alias("blocks")), "stars")
     sketch = meta.select(F.col("cls").alias("member"), F.array(*(f"s{i}" for i in range(words_n))).alias("sketch"))
     rows = (placed.join(stars, "centre").join(sketch, "member")
             .withColumn("own", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
@@ -278,7 +281,7 @@ def mark(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, row
                     .agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), *(F.first(s).alias(s) for s in sketch)), "classes")
     # only the classes that share a band with another one have candidates
     banded = classes.select("cls", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("cls").alias("centre"), F.count("*").alias("n")).where("n > 1")
+    shared = store(banded.groupBy("band").agg(F.min("cls").alias("centre"), F.count("*").alias("n")).where("n > 1").drop("n"), "shared")
     members = store(banded.join(shared, "band").select("cls", "centre").distinct(), "members")  # with each centre as its own member
     meta = store(classes.join(members.select("cls").distinct(), "cls", "left_semi").drop("bands"), "classes")
 

@@ -209,7 +209,7 @@ def slices_of(docs: DataFrame, chains: DataFrame) -> DataFrame:
                        (F.element_at("blocks", last - 2 + at) + F.element_at("blocks", last) + MARGIN).alias("hi"))
     wanted = (chains.select(F.col("doc").alias("text_of"), "doc", "origin", "n", F.lit(0).alias("side"), *ends(0))
               .union(chains.select(F.col("origin").alias("text_of"), "doc", "origin", "n", F.lit(1).alias("side"), *ends(1))))
-    parts = wanted.groupBy("text_of").agg(F.ceil(F.count("*") / REQUESTS).cast("int").alias("parts"))
+    parts = store(wanted.groupBy("text_of").agg(F.ceil(F.count("*") / REQUESTS).cast("int").alias("parts")), "parts")
     asked = (wanted.join(parts, "text_of").withColumn("part", F.pmod(F.xxhash64("doc", "origin", "n"), F.col("parts")))
              .groupBy("text_of", "part").agg(F.collect_list(F.struct("doc", "origin", "n", "side", "lo", "hi")).alias("asked")))
 
