@@ -191,7 +191,8 @@ def compare(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
 
 def links_in_block(left: list[dict], right: list[dict] | None, percent: int, weight: int):
     """Links (a, b) between members of two blocks of one centre (of one block, if
-    ``right`` is None) that are in different components."""
+    ``right`` is None) that are in different components: as many as join them.
+    A pair whose components a link of this block has joined is not looked at."""
     rows = left + (right or [])
     root = np.unique([r["root"] for r in rows], return_inverse=True)[1]
     n = np.array([r["n"] for r in rows])
@@ -201,21 +202,24 @@ def links_in_block(left: list[dict], right: list[dict] | None, percent: int, wei
     sketch = np.array([r["sketch"] for r in rows], np.int64).view(np.uint64)
     first = len(left) if right is not None else len(rows)
     # one side of a pair from different components is outside the largest
-    most = np.bincount(root).argmax()
+    most, now = np.bincount(root).argmax(), root.copy()
     for i in np.flatnonzero(root != most):
         if right is None:
             at = np.arange(len(rows))
         else:
             at = np.arange(first, len(rows)) if i < first else np.arange(first)
-        at = at[(root[at] != root[i]) & ((root[at] == most) | (at > i))]
+        at = at[(now[at] != now[i]) & ((root[at] == most) | (at > i))]
         at = at[np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1) <= weight]
         both = np.bitwise_count(bits[at] & bits[i]).sum(axis=1).astype(np.int64)
         top = both + np.minimum(rest[at], rest[i])  # at most so many shingles in common
         able = 100 * top >= percent * (n[at] + n[i] - top)
         for j, b in zip(at[able], both[able], strict=True):
+            if now[j] == now[i]:
+                continue
             b += len(np.intersect1d(np.frombuffer(rows[i]["rest"], np.uint64), np.frombuffer(rows[j]["rest"], np.uint64), assume_unique=True))
             if 100 * b >= percent * (n[i] + n[j] - b):
                 yield rows[i]["member"], rows[j]["member"]
+                now[now == now[j]] = now[i]
 
 
 def open_links(compared: DataFrame, roots: DataFrame, meta: DataFrame, words_n: int, percent: int, weight: int) -> DataFrame:
