@@ -2,9 +2,11 @@
 
 Every text gives seeds: of each ``WINDOW`` consecutive runs of k words the one
 with the smallest hash, so texts that share ``WINDOW + k - 1`` words in a row
-share a seed at the same place. A seed's first document (the smallest doc_id
-that has it) is its origin; every other occurrence is one match with the origin,
-however many documents share the seed. The matches of a pair of documents are
+share a seed at the same place; and likewise long seeds, so that any ``PIECE``
+words in a row have one. A seed's first document (the smallest doc_id that has
+it) is its origin; every other occurrence is matched with the origin and with the
+last document before its own, however many documents share the seed: short runs
+that also stand in other texts hide no longer passage. The matches of a pair are
 chained: the best-scoring ordered subset under gap costs, found with a Fenwick
 tree over the origin's positions. Chains are then aligned word by word, and the
 pieces of a text that an earlier document has are joined into passages.
@@ -30,6 +32,8 @@ from pyspark.sql import functions as F
 from stratus.llm.common import Words, mix64, shuffle_partitions, signed, store, text_slices, window_hashes
 
 K, WINDOW = 5, 14
+#: Runs of k words that a long seed has. Any PIECE words in a row have a long seed.
+LONG = 3
 #: Words that a passage has at least, and a piece of one; share of its words that are equal.
 LEAST, PIECE, SAME = 50, 25, 0.8
 #: Score of a seed; cost of each word that a chain advances, mean of both sides.
@@ -44,27 +48,40 @@ REQUESTS = 64
 FIRST = -2**63  # stands for a null doc_id
 
 
+def chosen_of(rank: np.ndarray, count: np.ndarray, ends: np.ndarray, of: np.ndarray, window: int) -> np.ndarray:
+    """Places of the smallest rank of each ``window`` consecutive runs of a text."""
+    chosen = [np.zeros(0, np.int64)]
+    if len(rank) >= window:
+        best = np.lib.stride_tricks.sliding_window_view(rank, window).argmin(axis=1) + np.arange(len(rank) - window + 1)
+        chosen.append(best[np.arange(len(best)) + window <= ends[of[:len(best)]]])
+    for d in np.flatnonzero((count > 0) & (count < window)):
+        lo = ends[d] - count[d]
+        chosen.append(np.array([lo + rank[lo:ends[d]].argmin()]))
+    return np.unique(np.concatenate(chosen))
+
+
 def seeds_of(docs: DataFrame, k: int, window: int) -> DataFrame:
-    """(seed, doc, pos); pos is -1 - pos where the text has the seed before."""
+    """(seed, doc, pos); pos is -1 - pos where the text has the seed before. Odd
+    seeds stand for runs of LONG * k words, even ones for runs of k."""
     def run(batches):
         for batch in text_slices(batches):
             words = Words(batch.column("text"))
             hashes, first = window_hashes(words.hashes(), words.offsets, k)
             if not len(hashes):
                 continue
-            rank = mix64(hashes ^ np.uint64(0x51ED2701))
             doc = np.searchsorted(words.offsets, first, side="right") - 1
             count = np.bincount(doc, minlength=batch.num_rows)
-            ends = np.cumsum(count)
-            chosen = []
-            if len(rank) >= window:
-                best = np.lib.stride_tricks.sliding_window_view(rank, window).argmin(axis=1) + np.arange(len(rank) - window + 1)
-                chosen.append(best[np.arange(len(best)) + window <= ends[doc[:len(best)]]])
-            for d in np.flatnonzero((count > 0) & (count < window)):
-                lo = ends[d] - count[d]
-                chosen.append(np.array([lo + rank[lo:ends[d]].argmin()]))
-            at = np.unique(np.concatenate(chosen))
-            seed, of, pos = hashes[at], doc[at], first[at] - words.offsets[doc[at]]
+            at = chosen_of(mix64(hashes ^ np.uint64(0x51ED2701)), count, np.cumsum(count), doc, window)
+            seed = hashes[at] & ~np.uint64(1)
+            begins = np.flatnonzero(np.arange(len(hashes)) + (LONG - 1) * k < np.cumsum(count)[doc])
+            if len(begins):
+                runs = np.zeros(len(begins), np.uint64)
+                for i in range(LONG):
+                    runs = mix64(runs ^ hashes[begins + i * k]) + np.uint64(0x9E3779B97F4A7C15)
+                count = np.maximum(count - (LONG - 1) * k, 0)
+                far = chosen_of(mix64(runs ^ np.uint64(0x51ED2701)), count, np.cumsum(count), doc[begins], max(1, PIECE - LONG * k + 1))
+                at, seed = np.concatenate([at, begins[far]]), np.concatenate([seed, runs[far] | np.uint64(1)])
+            of, pos = doc[at], first[at] - words.offsets[doc[at]]
             order = np.lexsort((pos, seed, of))
             again = np.zeros(len(at), bool)
             again[order[1:]] = (seed[order[1:]] == seed[order[:-1]]) & (of[order[1:]] == of[order[:-1]])
@@ -98,7 +115,7 @@ class FenwickMax:
 
 
 def chain(p: np.ndarray, h: np.ndarray, k: int) -> list[list[tuple[int, int, int]]]:
-    """Chains of matches (p ascending, one h for each p): lists of blocks
+    """Chains of matches (p ascending, then h): lists of blocks
     (start here, start there, words), each block on one diagonal.
 
     Matches that follow each other on a diagonal within REACH are one block from
@@ -144,16 +161,104 @@ def chain(p: np.ndarray, h: np.ndarray, k: int) -> list[list[tuple[int, int, int
     return out
 
 
+MATCH = "seed long, doc long, origin long, pos int, there int, kind int"
+#: Kinds of rows: a match; one whose origin, or whose neighbour, may stand in an
+#: earlier range; a range's last seed with its first (doc, pos) and last (origin, there).
+DONE, OPEN_ORIGIN, OPEN_NEIGHBOUR, RANGE_END = range(4)
+
+
+def linked(batches):
+    """MATCH rows of one range of seeds, which come sorted by seed, doc, pos: each
+    occurrence with its seed's first document and with the one before its own."""
+    names = ["seed", "doc", "origin", "pos", "there", "kind"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    rest, begin, origin, before = None, None, None, None  # begin: the range's first seed; origin, before: (doc, place) in the seed at hand
+
+    def links(seed, doc, pos):
+        nonlocal begin, origin, before, last
+        at = np.flatnonzero(np.concatenate([[True], (np.diff(seed) != 0) | (np.diff(doc) != 0)]))
+        size = np.diff(np.concatenate([at, [len(seed)]]))
+        s, d, there = seed[at], doc[at], pos[at + size - 1].astype(np.int64)  # the one place that is not below 0 comes last
+        begin = s[0] if begin is None else begin
+        known = [origin, before] if last == s[0] else []
+        s = np.concatenate([np.full(len(known), s[0]), s])
+        d, there = np.concatenate([np.array([x[0] for x in known], np.int64), d]), np.concatenate([np.array([x[1] for x in known], np.int64), there])
+        new = np.concatenate([[True], np.diff(s) != 0])
+        first = np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))
+        group = np.repeat(np.arange(len(known), len(s)), size)
+        place = np.where(pos < 0, -1 - pos, pos)
+        opens = s[group] == begin
+        near = ~new[group]
+        for rows, other, kind in ((np.flatnonzero(near | opens), first, np.where(opens, OPEN_ORIGIN, DONE)),
+                                  (np.flatnonzero(near & (opens | (group - 1 != first[group]))), np.arange(len(s)) - 1, np.full(len(group), DONE)),
+                                  (np.flatnonzero(opens & ~near), np.arange(len(s)), np.full(len(group), OPEN_NEIGHBOUR))):
+            to = other[group[rows]]
+            if len(rows):
+                yield pa.record_batch([pa.array(x, t) for x, t in zip((seed[rows], doc[rows], d[to], place[rows], there[to], kind[rows]), types, strict=True)], names=names)
+        last, origin, before = s[-1], (d[first[-1]], there[first[-1]]), (d[-1], there[-1])
+
+    last = None
+    for batch in batches:
+        now = [batch.column(c).to_numpy() for c in ("seed", "doc", "pos")]
+        if rest is not None:
+            now = [np.concatenate(x) for x in zip(rest, now, strict=True)]
+        if not len(now[0]):
+            continue
+        new = np.flatnonzero((np.diff(now[0]) != 0) | (np.diff(now[1]) != 0)) + 1
+        cut = new[-1] if len(new) else 0  # the last document's rows may go on
+        rest = [x[cut:] for x in now]
+        if cut:
+            yield from links(*(x[:cut] for x in now))
+    if rest is not None:
+        yield from links(*rest)
+        end = (last, origin[0], before[0], origin[1], before[1], RANGE_END)
+        yield pa.record_batch([pa.array([x], t) for x, t in zip(end, types, strict=True)], names=names)
+
+
 def matches_of(seeds: DataFrame) -> DataFrame:
-    """(doc, origin, pos, there): each seed of a document with the seed's place
-    in the first document that has it. A seed gives as many rows as occurrences."""
-    origin = (seeds.groupBy("seed")
-              .agg(F.min("doc").alias("origin"), F.max("doc").alias("last"),
-                   F.min_by("pos", F.when(F.col("pos") >= 0, F.col("doc"))).alias("there"))
-              .where("origin < last").select("seed", "origin", "there"))
-    origin = store(origin, "origins")  # a join of two plain shuffles: one that many occurrences share can then be split
-    return (seeds.join(origin, "seed").where("doc <> origin")
-            .select("doc", "origin", F.when(F.col("pos") < 0, -1 - F.col("pos")).otherwise(F.col("pos")).alias("pos"), "there"))
+    """(doc, origin, pos, there, long): each seed of a document with the seed's
+    place in the first document that has it, and in the last one before its own;
+    at most two rows for an occurrence. Ranges of (seed, doc) are worked on, so
+    that one that many documents share is dealt over tasks."""
+    ranges = seeds.repartitionByRange(shuffle_partitions(seeds.sparkSession), "seed", "doc").sortWithinPartitions("seed", "doc", "pos")
+    rows = store(ranges.mapInArrow(linked, MATCH), "matches")
+    ends = {}  # the seeds that ranges end with: a row for a range
+    for r in rows.where(F.col("kind") == RANGE_END).collect():
+        ends.setdefault(r.seed, set()).update([(r.doc, r.pos), (r.origin, r.there)])
+    ends = {s: tuple(np.array(x, np.int64) for x in zip(*sorted(e), strict=True)) for s, e in ends.items()}
+
+    def run(batches):
+        for batch in batches:
+            seed, doc, origin, pos, there, kind = (batch.column(c).to_numpy(zero_copy_only=False).copy() for c in ("seed", "doc", "origin", "pos", "there", "kind"))
+            opens = np.flatnonzero(kind != DONE)
+            for s in np.unique(seed[opens]):
+                docs, places = ends.get(int(s), (np.zeros(0, np.int64),) * 2)
+                if not len(docs):
+                    continue
+                at = opens[(seed[opens] == s) & (kind[opens] == OPEN_ORIGIN) & (origin[opens] > docs[0])]
+                origin[at], there[at] = docs[0], places[0]
+                at = opens[(seed[opens] == s) & (kind[opens] == OPEN_NEIGHBOUR) & (doc[opens] > docs[0])]
+                to = np.searchsorted(docs, doc[at]) - 1
+                origin[at], there[at] = docs[to], places[to]
+            keep = origin < doc
+            yield pa.record_batch([pa.array(x[keep], t) for x, t in ((doc, pa.int64()), (origin, pa.int64()), (pos, pa.int32()), (there, pa.int32()), ((seed & 1), pa.int32()))],
+                                  names=["doc", "origin", "pos", "there", "long"])
+
+    return rows.where(F.col("kind") != RANGE_END).mapInArrow(run, "doc long, origin long, pos int, there int, long int")
+
+
+def spelled(doc: np.ndarray, origin: np.ndarray, pos: np.ndarray, there: np.ndarray, long: np.ndarray, at: np.ndarray, k: int):
+    """Matches with long ones as their runs of k words, each once, and the groups' ends."""
+    group = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    far = np.flatnonzero(long)
+    rows = np.concatenate([np.arange(len(doc))] + [far] * (LONG - 1))
+    more = np.repeat(np.arange(LONG) * k, [len(doc)] + [len(far)] * (LONG - 1))
+    p, h = pos[rows].astype(np.int64) + more, there[rows].astype(np.int64) + more
+    order = np.lexsort((h, p, group[rows]))
+    group, p, h, rows = group[rows][order], p[order], h[order], rows[order]
+    one = np.concatenate([[True], (np.diff(group) != 0) | (np.diff(p) != 0) | (np.diff(h) != 0)])
+    group, p, h, rows = group[one], p[one], h[one], rows[one]
+    return doc[rows], origin[rows], p, h, np.searchsorted(group, np.arange(len(at)))
 
 
 def chains_of(matches: DataFrame, k: int) -> DataFrame:
@@ -165,7 +270,7 @@ def chains_of(matches: DataFrame, k: int) -> DataFrame:
         """Arrays of whole (doc, origin) groups; rows come sorted."""
         rest = None
         for batch in batches:
-            now = [batch.column(c).to_numpy() for c in ("doc", "origin", "pos", "there")]
+            now = [batch.column(c).to_numpy() for c in ("doc", "origin", "pos", "there", "long")]
             if rest is not None:
                 now = [np.concatenate(x) for x in zip(rest, now, strict=True)]
             if not len(now[0]):
@@ -179,15 +284,14 @@ def chains_of(matches: DataFrame, k: int) -> DataFrame:
             yield rest, np.array([0, len(rest[0])])
 
     def run(batches):
-        for (doc, origin, pos, there), at in groups(batches):
-            pos, there = pos.astype(np.int64), there.astype(np.int64)
+        for rows, at in groups(batches):
+            doc, origin, pos, there, at = spelled(*rows, at, k)
             wide = pos[at[1:] - 1] - pos[at[:-1]] + k >= least
             rows = []
             for g in np.flatnonzero(wide & (np.diff(at) > 1)):
                 lo, hi = at[g], at[g + 1]
-                p, first = np.unique(pos[lo:hi], return_index=True)
                 n = 0
-                for blocks in chain(p, there[lo:hi][first], k):
+                for blocks in chain(pos[lo:hi], there[lo:hi], k):
                     if blocks[-1][0] + blocks[-1][2] - blocks[0][0] >= least:
                         rows.append((doc[lo], origin[lo], n, [x for b in blocks for x in b]))
                         n += 1

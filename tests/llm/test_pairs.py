@@ -154,6 +154,30 @@ def test_fuzzy_passage_is_found_and_cut(spark):
     assert len(words_of(out[2])) <= 64 + 4
 
 
+def test_snippets_in_earlier_documents_hide_no_passage(spark):
+    """Each short run of the shared passage also stands in another earlier document."""
+    r = rng(21)
+    shared = prose(r, 60, 5000).split()
+    docs = [(i, prose(r, 30, 5000) + " " + " ".join(shared[7 * i:7 * i + 11]) + " " + prose(r, 30, 5000)) for i in range(8)]
+    docs += [(i, prose(r, 40, 5000) + " " + " ".join(shared) + " " + prose(r, 40, 5000)) for i in (100, 200)]
+    got = passages.op10_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert [(x.doc_id, x.first_id) for x in got] == [(200, 100)]
+    assert got[0].start_word <= 40 and got[0].stop_word >= 100
+
+
+def test_matches_do_not_depend_on_ranges(spark):
+    """A seed of many documents is dealt over ranges; each meets its first document and the one before its own."""
+    rows = [(7 if i % 2 else 8, i, i + 3) for i in range(500)] + [(s, d, 1) for s in range(100, 140) for d in (1, 5, 9)]
+    ranges = spark.createDataFrame(rows, "seed long, doc long, pos int")
+    got = {(x.long, x.doc, x.origin, x.pos, x.there) for x in passages.matches_of(ranges).collect()}
+    want = set()
+    for s in {x[0] for x in rows}:
+        of = sorted(x[1:] for x in rows if x[0] == s)
+        for i in range(1, len(of)):
+            want |= {(s & 1, of[i][0], of[j][0], of[i][1], of[j][1]) for j in (0, i - 1)}
+    assert got == want
+
+
 def test_chain_is_the_best_ordered_subset():
     r = np.random.default_rng(4)
     for _ in range(40):
