@@ -8,8 +8,10 @@ it) is its origin; every other occurrence is matched with the origin and with th
 last document before its own, however many documents share the seed: short runs
 that also stand in other texts hide no longer passage. The matches of a pair are
 chained: the best-scoring ordered subset under gap costs, found with a Fenwick
-tree over the origin's positions. Chains are then aligned word by word, and the
-pieces of a text that an earlier document has are joined into passages.
+tree over the origin's positions. Chains, of one seed too, are then aligned word
+by word and drawn out over unequal words as far as they hold up; only then must
+they have the length of a piece. The pieces of a text that an earlier document
+has are joined into passages.
 
 Edge cases: null, empty and blank texts have no words and no passages; a text
 with fewer than k words has no seeds; a null doc_id comes before all others;
@@ -26,12 +28,13 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratus.llm.common import Words, mix64, shuffle_partitions, signed, store, text_slices, window_hashes
 
-K, WINDOW = 5, 14
+K, WINDOW = 5, 8
 #: Runs of k words that a long seed has. Any PIECE words in a row have a long seed.
 LONG = 3
 #: Words that a passage has at least, and a piece of one; share of its words that are equal.
@@ -40,8 +43,8 @@ LEAST, PIECE, SAME = 50, 25, 0.8
 SEED_SCORE, GAP_COST = 5.0, 0.2
 #: Words between seeds beyond which chaining them never pays.
 REACH = int(SEED_SCORE / GAP_COST)
-#: Words that chains are looked at beyond their ends; spaces between pieces of one passage.
-MARGIN, JOIN = 2 * WINDOW, 3
+#: Words that chains are looked at beyond their ends, and that the sides may shift there; spaces between pieces of one passage.
+MARGIN, SHIFT, JOIN = 28, 6, 3
 #: Pieces of one text that a row asks for, about.
 REQUESTS = 64
 
@@ -262,10 +265,8 @@ def spelled(doc: np.ndarray, origin: np.ndarray, pos: np.ndarray, there: np.ndar
 
 
 def chains_of(matches: DataFrame, k: int) -> DataFrame:
-    """(doc, origin, n, blocks): chains that span at least PIECE - k words or so,
-    ``blocks`` flat triples of :func:`chain`."""
-    least = PIECE - k
-
+    """(doc, origin, n, blocks): all chains, of one seed too; ``blocks`` are flat
+    triples of :func:`chain`."""
     def groups(batches):
         """Arrays of whole (doc, origin) groups; rows come sorted."""
         rest = None
@@ -286,51 +287,61 @@ def chains_of(matches: DataFrame, k: int) -> DataFrame:
     def run(batches):
         for rows, at in groups(batches):
             doc, origin, pos, there, at = spelled(*rows, at, k)
-            wide = pos[at[1:] - 1] - pos[at[:-1]] + k >= least
-            rows = []
-            for g in np.flatnonzero(wide & (np.diff(at) > 1)):
-                lo, hi = at[g], at[g + 1]
-                n = 0
-                for blocks in chain(pos[lo:hi], there[lo:hi], k):
-                    if blocks[-1][0] + blocks[-1][2] - blocks[0][0] >= least:
-                        rows.append((doc[lo], origin[lo], n, [x for b in blocks for x in b]))
-                        n += 1
+            types = [pa.int64(), pa.int64(), pa.int32()]
+            names = ["doc", "origin", "n", "blocks"]
+            # groups of one block, without a loop
+            apart = (np.diff(pos - there) != 0) | (np.diff(pos) > REACH) | (np.diff(pos) <= 0)
+            cuts = np.concatenate([[0], np.cumsum(apart)])
+            single = cuts[at[1:] - 1] == cuts[at[:-1]]
+            lo, hi = at[:-1][single], at[1:][single] - 1
+            flat = np.stack([pos[lo], there[lo], pos[hi] - pos[lo] + k], axis=1).astype(np.int32).ravel()
+            if len(lo):
+                blocks = pa.ListArray.from_arrays(pa.array(np.arange(len(lo) + 1, dtype=np.int32) * 3), pa.array(flat))
+                yield pa.record_batch([*(pa.array(x, t) for x, t in zip((doc[lo], origin[lo], np.zeros(len(lo))), types, strict=True)), blocks], names=names)
+            rows = [(doc[at[g]], origin[at[g]], n, [x for b in blocks for x in b])
+                    for g in np.flatnonzero(~single) for n, blocks in enumerate(chain(pos[at[g]:at[g + 1]], there[at[g]:at[g + 1]], k))]
             if rows:
-                a, b, c, d = zip(*rows, strict=True)
-                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int32()), pa.array(d, pa.list_(pa.int32()))],
-                                      names=["doc", "origin", "n", "blocks"])
+                *own, blocks = zip(*rows, strict=True)
+                yield pa.record_batch([*(pa.array(x, t) for x, t in zip(own, types, strict=True)), pa.array(blocks, pa.list_(pa.int32()))], names=names)
 
     return (matches.repartition(shuffle_partitions(matches.sparkSession), "doc", "origin").sortWithinPartitions("doc", "origin", "pos", "there")
             .mapInArrow(run, "doc long, origin long, n int, blocks array<int>"))
 
 
+def word_bytes(hashes: np.ndarray) -> np.ndarray:
+    """(n, 3): 24 bits of each word's hash."""
+    return (hashes >> np.uint64(40)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+
+
 def slices_of(docs: DataFrame, chains: DataFrame) -> DataFrame:
-    """(doc, origin, n, side, lo, words): hashes of the words around each chain,
-    on both sides. A text is read once for every REQUESTS chains or so that need it."""
-    spark = docs.sparkSession
+    """(doc, origin, n, side, lo, words, blocks): hashes of the words around each
+    chain, on both sides. A text is read once for every REQUESTS chains or so that need it."""
     last = F.size("blocks")
     ends = lambda at: (F.greatest(F.lit(0), F.element_at("blocks", at + 1) - MARGIN).alias("lo"),
                        (F.element_at("blocks", last - 2 + at) + F.element_at("blocks", last) + MARGIN).alias("hi"))
-    wanted = (chains.select(F.col("doc").alias("text_of"), "doc", "origin", "n", F.lit(0).alias("side"), *ends(0))
-              .union(chains.select(F.col("origin").alias("text_of"), "doc", "origin", "n", F.lit(1).alias("side"), *ends(1))))
+    wanted = (chains.select(F.col("doc").alias("text_of"), "doc", "origin", "n", F.lit(0).alias("side"), *ends(0), "blocks")
+              .union(chains.select(F.col("origin").alias("text_of"), "doc", "origin", "n", F.lit(1).alias("side"), *ends(1), F.lit(None).cast("array<int>"))))
     parts = store(wanted.groupBy("text_of").agg(F.ceil(F.count("*") / REQUESTS).cast("int").alias("parts")), "parts")
     asked = (wanted.join(parts, "text_of").withColumn("part", F.pmod(F.xxhash64("doc", "origin", "n"), F.col("parts")))
-             .groupBy("text_of", "part").agg(F.collect_list(F.struct("doc", "origin", "n", "side", "lo", "hi")).alias("asked")))
+             .groupBy("text_of", "part").agg(F.collect_list(F.struct("doc", "origin", "n", "side", "lo", "hi", "blocks")).alias("asked")))
 
     def run(batches):
         for batch in text_slices(batches):
             words = Words(batch.column("text"))
-            hashes = (words.hashes() >> np.uint64(32)).astype(np.uint32)
-            rows = []
-            for i, asked in enumerate(batch.column("asked").to_pylist()):
-                own = hashes[words.offsets[i]:words.offsets[i + 1]]
-                rows += [(a["doc"], a["origin"], a["n"], a["side"], a["lo"], own[a["lo"]:a["hi"]].tobytes()) for a in asked]
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-                                  names=["doc", "origin", "n", "side", "lo", "words"])
+            known = word_bytes(words.hashes())
+            asked = batch.column("asked")
+            text = np.repeat(np.arange(batch.num_rows), asked.value_lengths().to_numpy())
+            doc, origin, n, side, lo, hi, blocks = asked.flatten().flatten()
+            begin, end = words.offsets[text], words.offsets[text + 1]
+            begin, end = np.minimum(begin + lo.to_numpy(), end), np.minimum(begin + hi.to_numpy(), end)
+            size = end - begin
+            at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            ends = np.concatenate([[0], np.cumsum(size * 3)]).astype(np.int32)
+            held = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(known[at]))])
+            yield pa.record_batch([doc, origin, n, side, lo, held, blocks], names=["doc", "origin", "n", "side", "lo", "words", "blocks"])
 
     return (docs.join(asked.withColumnRenamed("text_of", "doc"), "doc").select("text", "asked")
-            .mapInArrow(run, "doc long, origin long, n int, side int, lo int, words binary"))
+            .mapInArrow(run, "doc long, origin long, n int, side int, lo int, words binary, blocks array<int>"))
 
 
 def edit_matches(a: np.ndarray, b: np.ndarray) -> int:
@@ -344,57 +355,159 @@ def edit_matches(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def align(blocks: list[int], a: np.ndarray, a0: int, b: np.ndarray, b0: int) -> tuple[int, int, int, int, int]:
-    """Align a chain on the words a (from word a0 of the text) and b (from b0):
-    (start, stop, start there, stop there, equal words). Blocks are compared
-    word by word, gaps between them by their longest common subsequence, and
-    the ends are drawn out while words are equal."""
-    triples = [(blocks[i] - a0, blocks[i + 1] - b0, blocks[i + 2]) for i in range(0, len(blocks), 3)]
-    (p, h, _), same, pa_, hb_ = triples[0], 0, None, None
-    back = 0
-    while back < min(p, h) and a[p - back - 1] == b[h - back - 1]:
-        back += 1
-    same += back
-    start, there = p - back, h - back
-    for p, h, n in triples:
+def inside(blocks: np.ndarray, a: np.ndarray, b: np.ndarray) -> int:
+    """Equal words of a chain's blocks (start in a, start in b, words) and of the gaps
+    between them: blocks are compared word by word, gaps by their longest common subsequence."""
+    same, pa_, hb_ = 0, None, None
+    for p, h, n in blocks.reshape(-1, 3).tolist():
         if pa_ is not None:
             over = max(0, pa_ - p, hb_ - h)  # blocks may overlap by a seed's words
             p, h, n = p + over, h + over, n - over
             if n <= 0:
                 continue
             same += edit_matches(a[pa_:p], b[hb_:h])
-        x, y = a[p:p + n], b[h:h + n]
-        m = min(len(x), len(y))
-        same += int((x[:m] == y[:m]).sum())
+        same += int((a[p:p + n] == b[h:h + n]).sum())
         pa_, hb_ = p + n, h + n
-    while pa_ < len(a) and hb_ < len(b) and a[pa_] == b[hb_]:
-        pa_, hb_, same = pa_ + 1, hb_ + 1, same + 1
-    return start + a0, min(pa_, len(a)) + a0, there + b0, min(hb_, len(b)) + b0, same
-
-
-def aligned(chains: DataFrame, slices: DataFrame) -> DataFrame:
+    return same
+
+
+class Drawn:
+    """Ways to draw one end of many chains out over the words a and b (n, MARGIN)
+    beyond it; words that are not there are -1 and -2.
+
+    ``gain[:, i]`` is the best of equal words less SAME for each word, in
+    thousandths, when i words of a are taken: over all alignments whose sides
+    shift by at most SHIFT words. ``far`` and ``same`` are its words of b and equal words."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray):
+        n, steps = a.shape
+        shift = np.arange(-SHIFT, SHIFT + 1)
+        low = np.int32(-10_000)
+        equal = np.where(shift < 0, low, 0) + np.zeros((n, 1), np.int32)
+        b = np.concatenate([np.full((n, SHIFT), -2), b, np.full((n, SHIFT), -2)], axis=1)
+        self.gain, self.far, self.same = (np.zeros((n, steps + 1), np.int32) for _ in range(3))
+        rows = np.arange(n)
+        for i in range(1, steps + 1):
+            skip = np.concatenate([equal[:, 1:], np.full((n, 1), low)], axis=1)
+            equal = np.maximum(equal + (a[:, i - 1:i] == b[:, i - 1:i + 2 * SHIFT]), skip)
+            equal = np.maximum.accumulate(equal, axis=1)
+            gain = 1000 * equal - (int(1000 * SAME) * np.maximum(i, i + shift)).astype(np.int32)
+            best = gain.argmax(axis=1)
+            self.gain[:, i], self.far[:, i], self.same[:, i] = gain[rows, best], i + shift[best], equal[rows, best]
+        # ends on an equal word only
+        self.ends = np.concatenate([np.ones((n, 1), bool), np.diff(self.gain, axis=1) > 0], axis=1)
+
+    def best(self) -> np.ndarray:
+        """Words with the largest gain, the most of them."""
+        return self.gain.shape[1] - 1 - np.where(self.ends, self.gain, -10**9)[:, ::-1].argmax(axis=1)
+
+    def most(self, spare: np.ndarray) -> np.ndarray:
+        """The most words that cost at most ``spare``."""
+        return self.gain.shape[1] - 1 - (self.ends & (self.gain >= -spare[:, None]))[:, ::-1].argmax(axis=1)
+
+    def at(self, i: np.ndarray):
+        rows = np.arange(len(i))
+        return self.far[rows, i], self.same[rows, i], self.gain[rows, i]
+
+
+def align(blocks: np.ndarray, block_at: np.ndarray, a: np.ndarray, a_at: np.ndarray, a_to: np.ndarray, b: np.ndarray, b_at: np.ndarray, b_to: np.ndarray):
+    """Align many chains: (start, stop, start there, stop there, equal words), all
+    places within a and b. Chain i has the triples blocks[block_at[i]:block_at[i + 1]]
+    and the words a[a_at[i]:a_to[i]] and b[b_at[i]:b_to[i]]. Its ends are drawn out
+    as long as the share of equal words grows beyond SAME, and where that makes
+    less than a piece, as long as the whole has that share."""
+    first, last = block_at[:-1], block_at[1:] - 3
+    p, h = a_at + blocks[first], b_at + blocks[first + 1]
+    pe, he = a_at + blocks[last] + blocks[last + 2], b_at + blocks[last + 1] + blocks[last + 2]
+    same = np.zeros(len(p), np.int64)
+    one = np.flatnonzero(first == last)
+    size = blocks[first[one] + 2].astype(np.int64)
+    step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    if len(one):
+        hit = a[np.repeat(p[one], size) + step] == b[np.repeat(h[one], size) + step]
+        same[one] = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
+    for i in np.flatnonzero(first != last):
+        same[i] = inside(blocks[block_at[i]:block_at[i + 1]], a[a_at[i]:a_to[i]], b[b_at[i]:b_to[i]])
+    step = np.arange(MARGIN)
+
+    def beyond(words, begin, end, sign, none):
+        at = begin[:, None] + sign * step
+        real = (at >= end[:, None]) if sign < 0 else (at < end[:, None])
+        return np.where(real, words[np.clip(at, 0, len(words) - 1)], none)
+
+    left = Drawn(beyond(a, p - 1, a_at, -1, -1), beyond(b, h - 1, b_at, -1, -2))
+    right = Drawn(beyond(a, pe, a_to, 1, -1), beyond(b, he, b_to, 1, -2))
+    x, y = left.best(), right.best()
+    core = 1000 * same - int(1000 * SAME) * np.maximum(pe - p, he - h)
+    short = lambda: pe - p + x + y < PIECE
+    y = np.where(short(), np.maximum(y, right.most(np.maximum(0, core + left.at(x)[2]))), y)
+    x = np.where(short(), np.maximum(x, left.most(np.maximum(0, core + right.at(y)[2]))), x)
+    (xf, xs, _), (yf, ys, _) = left.at(x), right.at(y)
+    return p - x, pe + y, h - xf, he + yf, same + xs + ys
+
+
+def aligned(slices: DataFrame) -> DataFrame:
     """(doc, origin, start, stop, there, there_stop, same) of chains that hold up."""
-    keys = ["doc", "origin", "n"]
-    here = slices.where("side = 0").select(*keys, F.col("lo").alias("a0"), F.col("words").alias("a"))
-    far = slices.where("side = 1").select(*keys, F.col("lo").alias("b0"), F.col("words").alias("b"))
-    both = chains.join(here, keys).join(far, keys)
+    names = ["doc", "origin", "start", "stop", "there", "there_stop", "same"]
+
+    def pieces(rows: pa.RecordBatch, at: np.ndarray):
+        """Of whole (doc, origin, n) groups, which begin at the rows ``at``."""
+        side, lo = rows.column("side").to_numpy(), rows.column("lo").to_numpy().astype(np.int64)
+        size = np.diff(np.concatenate([at, [len(side)]]))
+        plain = (size == 2) & (side[at] == 0) & (side[np.minimum(at + 1, len(side) - 1)] == 1)
+        here, far = [at[plain]], [at[plain] + 1]
+        for g in np.flatnonzero(~plain):  # texts that share an id
+            of = np.arange(at[g], at[g] + size[g])
+            i, j = np.meshgrid(of[side[of] == 0], of[side[of] == 1], indexing="ij")
+            here.append(i.ravel())
+            far.append(j.ravel())
+        here, far = np.concatenate(here), np.concatenate(far)
+        held = rows.column("words")
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(held).to_numpy())]) // 3
+        words = np.zeros((ends[-1], 4), np.uint8)
+        words[:, :3] = np.frombuffer(b"".join(held.to_pylist()), np.uint8).reshape(-1, 3)
+        words = words.view("<u4").ravel().astype(np.int64)
+        lists = rows.column("blocks")
+        of = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
+        flat = lists.flatten().to_numpy().astype(np.int64)
+        within = np.repeat(here, of[here + 1] - of[here])
+        index = np.arange(len(within)) - np.repeat(np.cumsum(of[here + 1] - of[here]) - (of[here + 1] - of[here]), of[here + 1] - of[here])
+        blocks, block_at = flat[of[within] + index], np.concatenate([[0], np.cumsum(of[here + 1] - of[here])])
+        far_of = np.repeat(far, of[here + 1] - of[here])
+        blocks = blocks - np.where(index % 3 == 0, lo[within], np.where(index % 3 == 1, lo[far_of], 0))
+        last = block_at[1:] - 3
+        fits = ((blocks[last] + blocks[last + 2] <= ends[here + 1] - ends[here])
+                & (blocks[last + 1] + blocks[last + 2] <= ends[far + 1] - ends[far]))  # else another text of the same id
+        if not fits.all():
+            blocks = blocks[np.repeat(fits, np.diff(block_at))]
+            block_at = np.concatenate([[0], np.cumsum(np.diff(block_at)[fits])])
+            here, far = here[fits], far[fits]
+        if not len(here):
+            return
+        start, stop, there, there_stop, same = align(blocks, block_at, words, ends[here], ends[here + 1], words, ends[far], ends[far + 1])
+        good = (stop - start >= PIECE) & (1000 * same >= int(1000 * SAME) * np.maximum(stop - start, there_stop - there))
+        a, b = lo[here] - ends[here], lo[far] - ends[far]
+        doc, origin = rows.column("doc").to_numpy()[here], rows.column("origin").to_numpy()[here]
+        yield pa.record_batch([pa.array(doc[good]), pa.array(origin[good]), *(pa.array(x[good].astype(np.int32)) for x in (start + a, stop + a, there + b, there_stop + b, same))],
+                              names=names)
 
     def run(batches):
+        rest = None
         for batch in batches:
-            rows = []
-            for doc, origin, blocks, a0, a, b0, b in zip(*(batch.column(c).to_pylist() for c in ("doc", "origin", "blocks", "a0", "a", "b0", "b")), strict=True):
-                a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-                if blocks[-3] + blocks[-1] - a0 > len(a) or blocks[-2] + blocks[-1] - b0 > len(b):
-                    continue  # another text of the same id
-                start, stop, there, there_stop, same = align(blocks, a, a0, b, b0)
-                if stop - start >= PIECE and same >= SAME * max(stop - start, there_stop - there):
-                    rows.append((doc, origin, start, stop, there, there_stop, same))
-            if rows:
-                types = [pa.int64(), pa.int64()] + [pa.int32()] * 5
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-                                      names=["doc", "origin", "start", "stop", "there", "there_stop", "same"])
+            if not batch.num_rows:
+                continue
+            if rest is not None:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            keys = [batch.column(c).to_numpy() for c in ("doc", "origin", "n")]
+            at = np.flatnonzero(np.concatenate([[True], np.any([np.diff(x) != 0 for x in keys], axis=0)]))
+            rest = batch.take(pa.array(np.arange(at[-1], batch.num_rows)))  # its group may go on
+            if at[-1]:
+                yield from pieces(batch.take(pa.array(np.arange(at[-1]))), at[:-1])
+        if rest is not None:
+            yield from pieces(rest, np.array([0]))
 
-    return both.mapInArrow(run, "doc long, origin long, start int, stop int, there int, there_stop int, same int")
+    return (slices.repartition(shuffle_partitions(slices.sparkSession), "doc", "origin", "n").sortWithinPartitions("doc", "origin", "n", "side")
+            .mapInArrow(run, "doc long, origin long, start int, stop int, there int, there_stop int, same int"))
 
 
 def passages(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST) -> DataFrame:
@@ -404,8 +517,7 @@ def passages(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEA
     ``same`` the share of equal words in the passage's pieces."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"), "text")
     chains = store(chains_of(matches_of(seeds_of(docs, k, window)), k), "chains")
-    slices = store(slices_of(docs, chains), "slices")
-    pieces = aligned(chains, slices)
+    pieces = aligned(slices_of(docs, chains))
     by_start = Window.partitionBy("doc").orderBy("start", "stop", "origin")
     pieces = pieces.withColumn("reach", F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1)))
     pieces = pieces.withColumn("passage", F.sum(F.when(F.col("start") <= F.col("reach") + JOIN, 0).otherwise(1)).over(by_start))

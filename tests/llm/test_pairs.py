@@ -165,6 +165,23 @@ def test_snippets_in_earlier_documents_hide_no_passage(spark):
     assert got[0].start_word <= 40 and got[0].stop_word >= 100
 
 
+def edited_pairs(r, n, length, share):
+    """Documents 0 .. n - 1 and 1000 .. with a passage of which ``share`` of the words are other ones."""
+    docs = []
+    for i in range(n):
+        shared = prose(r, length, 5000).split()
+        other = [f"edit{r.random()}" if r.random() < share else w for w in shared]
+        docs += [(i, " ".join([prose(r, 30, 5000), *shared, prose(r, 30, 5000)])), (1000 + i, " ".join([prose(r, 40, 5000), *other, prose(r, 40, 5000)]))]
+    return docs
+
+
+@pytest.mark.parametrize("length, share, least", [(60, 0.05, 0.98), (60, 0.1, 0.9), (80, 0.1, 0.95)])
+def test_recall_of_fuzzy_passages(spark, length, share, least):
+    got = passages.passages(spark.createDataFrame(edited_pairs(rng(31), 100, length, share), "doc_id long, text string"), least=length // 2).collect()
+    assert all(x.first_id == x.doc_id - 1000 and x.same >= 0.8 and 35 <= x.start_word and x.stop_word <= 45 + length for x in got)
+    assert len({x.doc_id for x in got}) >= least * 100
+
+
 def test_matches_do_not_depend_on_ranges(spark):
     """A seed of many documents is dealt over ranges; each meets its first document and the one before its own."""
     rows = [(7 if i % 2 else 8, i, i + 3) for i in range(500)] + [(s, d, 1) for s in range(100, 140) for d in (1, 5, 9)]
