@@ -23,39 +23,39 @@ from stratus.llm.common import ascii_lower
 # The phrases and labels of the contract.
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
 
-#: (label, keyword, name, versions): a version v adds "-v" to the label; "" is the license without one.
+#: (label, keyword, name, versions), the keyword in every match of the name: a version v adds "-v" to the label; "" is the license without one.
 LICENSES = (
     ("gpl", "gnu general public", r"gnu general public licen[cs]e", ("", "1", "2", "3")),
     ("gpl", "gpl", r"(?:gnu )?gpl", ("", "1", "2", "3")),
-    ("lgpl", "lesser general public", r"(?:gnu )?(?:lesser|library) general public licen[cs]e", ("", "2", "2.1", "3")),
+    ("lgpl", "general public licen", r"(?:gnu )?(?:lesser|library) general public licen[cs]e", ("", "2", "2.1", "3")),
     ("lgpl", "lgpl", r"(?:gnu )?lgpl", ("", "2", "2.1", "3")),
     ("agpl", "affero", r"(?:gnu )?affero general public licen[cs]e", ("", "1", "3")),
     ("agpl", "agpl", r"(?:gnu )?agpl", ("", "3")),
     ("gfdl", "free documentation", r"(?:gnu )?free documentation licen[cs]e", ("", "1.1", "1.2", "1.3")),
     ("apache", "apache", r"apache (?:software )?licen[cs]e", ("", "1.0", "1.1", "2.0")),
-    ("mit", "mit license", r"(?:the )?mit licen[cs]e", ("",)),
+    ("mit", "mit licen", r"(?:the )?mit licen[cs]e", ("",)),
     ("mit", "expat", r"expat licen[cs]e", ("",)),
     ("bsd", "bsd", r"(?:modified |simplified |new |revised )?bsd licen[cs]e", ("",)),
     ("bsd-2-clause", "2 clause", r"(?:bsd 2 clause|2 clause bsd)(?: licen[cs]e)?", ("",)),
     ("bsd-3-clause", "3 clause", r"(?:bsd 3 clause|3 clause bsd)(?: licen[cs]e)?", ("",)),
     ("bsd-4-clause", "4 clause", r"(?:bsd 4 clause|4 clause bsd)(?: licen[cs]e)?", ("",)),
-    ("isc", "isc license", r"isc licen[cs]e", ("",)),
+    ("isc", "isc licen", r"isc licen[cs]e", ("",)),
     ("mpl", "mozilla public", r"mozilla public licen[cs]e", ("", "1.0", "1.1", "2.0")),
     ("epl", "eclipse public", r"eclipse public licen[cs]e", ("", "1.0", "2.0")),
     ("cddl", "common development", r"common development and distribution licen[cs]e", ("", "1.0", "1.1")),
     ("cpl", "common public", r"common public licen[cs]e", ("", "1.0")),
-    ("artistic", "artistic license", r"artistic licen[cs]e", ("", "1.0", "2.0")),
+    ("artistic", "artistic licen", r"artistic licen[cs]e", ("", "1.0", "2.0")),
     ("zlib", "zlib", r"zlib(?: libpng)? licen[cs]e", ("",)),
     ("bsl", "boost software", r"boost software licen[cs]e", ("", "1.0")),
     ("unlicense", "unlicense", r"(?:the )?unlicense", ("",)),
     ("wtfpl", "wtfpl", r"wtfpl", ("", "2")),
     ("ofl", "open font", r"(?:sil )?open font licen[cs]e", ("", "1.0", "1.1")),
     ("psf", "python software foundation", r"python software foundation licen[cs]e", ("", "2")),
-    ("php", "php license", r"php licen[cs]e", ("", "3.0", "3.01")),
+    ("php", "php licen", r"php licen[cs]e", ("", "3.0", "3.01")),
     ("eupl", "european union public", r"european union public licen[cs]e", ("", "1.0", "1.1", "1.2")),
     ("odbl", "open database", r"open database licen[cs]e", ("", "1.0")),
     ("ms-pl", "microsoft public", r"microsoft public licen[cs]e", ("",)),
-    ("osl", "open software license", r"open software licen[cs]e", ("", "2.1", "3.0")),
+    ("osl", "open software licen", r"open software licen[cs]e", ("", "2.1", "3.0")),
     ("cc0", "cc0", r"cc0", ("", "1.0")),
     ("cc-by", "cc by", r"cc by", ("", "2.0", "2.5", "3.0", "4.0")),
     ("cc-by-sa", "cc by sa", r"cc by sa", ("", "2.0", "2.5", "3.0", "4.0")),
@@ -89,9 +89,10 @@ SENTENCES = (
 #: Priorities: 4 identifier or license sentence, 3 grant with version, 2 grant or version, 1 bare name.
 NOTICE = r"(?:licen[cs]ed|released|distributed|available|provided|published|covered|shared) (?:to you )?(?:under|by|with) (?:the )?(?:terms of )?(?:the )?"
 
-#: One of these literals stands in every text in which a rule can match.
-STEMS = ("licens", "licenc", "gpl", "clause", "wtfpl", "cc0", "creative commons", "public domain", "rights reserved",
-         "permission", "redistribution", "spdx", "unencumbered", "express or implied", "fuck")
+#: One of these literals stands in every text in which a rule can match; none
+#: spans words, which any marks and line ends may part.
+STEMS = ("licens", "licenc", "gpl", "clause", "wtfpl", "cc0", "commons", "domain", "reserved",
+         "permission", "redistribution", "spdx", "unencumbered", "implied", "fuck")
 CC_BY = r"cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by"
 
 

@@ -176,6 +176,50 @@ def test_license_rules_and_suppression(spark):
     assert len(licenses.rules()) > 200
 
 
+def spelled_out(expression):
+    """Every text that an expression of alternatives and optional parts matches."""
+    parser = re._parser
+
+    def texts(items):
+        out = [""]
+        for op, value in items:
+            if op is parser.LITERAL:
+                more = [chr(value)]
+            elif op is parser.IN:
+                more = [chr(v) for o, v in value if o is parser.LITERAL]
+            elif op is parser.BRANCH:
+                more = [t for branch in value[1] for t in texts(branch)]
+            elif op is parser.SUBPATTERN:
+                more = texts(value[3])
+            elif op is parser.MAX_REPEAT:
+                assert value[:2] == (0, 1)
+                more = ["", *texts(value[2])]
+            else:
+                assert op is parser.ASSERT_NOT
+                more = [""]
+            out = [a + b for a in out for b in more]
+        return out
+
+    return texts(parser.parse(expression))
+
+
+def test_every_license_rule_passes_its_gates():
+    for label, keyword, expression, _, _ in licenses.rules():
+        for text in spelled_out(expression.removeprefix(licenses.NOTICE)):
+            assert re.fullmatch(expression.removeprefix(licenses.NOTICE), text)
+            assert f" {keyword}" in f" {text} ", (label, text)
+            raw = text.replace(" ", "\n")
+            assert any(stem in raw for stem in licenses.STEMS) or re.search(licenses.CC_BY, raw), (label, text)
+
+
+def test_license_spellings(spark):
+    texts = ["GNU Library General Public License version 2", "the MIT licence", "ISC licence", "Artistic Licence 2.0", "PHP licence", "Open Software Licence 3.0",
+             "all rights\nreserved", "Creative\nCommons Attribution", "in the public\ndomain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.labels for r in licenses.op8_licenses(docs).orderBy("doc_id").collect()] == [
+        "lgpl-2", "mit", "isc", "artistic-2.0", "php", "osl-3.0", "proprietary", "cc-by", "public-domain"]
+
+
 def test_license_odd_inputs(spark):
     assert len(licenses.op8_licenses(odd_docs(spark)).collect()) == 14
     assert licenses.op8_licenses(no_docs(spark)).collect() == []
