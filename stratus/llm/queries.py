@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratus.llm import ann, divergence, fill_middle, fingerprint, langid, licenses, mixing, neardup, packing, passages, token_counts, toxicity
+from stratus.llm import ann, divergence, fill_middle, fingerprint, html_text, langid, licenses, mixing, neardup, packing, passages, token_counts, toxicity
 from stratus.llm.common import table
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_licenses": lambda spark, sf_dir: licenses.op8_licenses(table(spark, sf_dir, "documents")),
     "op9_toxicity": lambda spark, sf_dir: toxicity.op9_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op10_passages": lambda spark, sf_dir: passages.op10_passages(table(spark, sf_dir, "documents")),
+    "op11_html": lambda spark, sf_dir: html_text.op11_html(table(spark, sf_dir, "pages")),
     "op12_divergence": lambda spark, sf_dir: divergence.op12_divergence(table(spark, sf_dir, "documents")),
     "op13_fill_middle": lambda spark, sf_dir: fill_middle.op13_fill_middle(table(spark, sf_dir, "documents")),
 }
@@ -23,6 +24,7 @@ QUERIES = {
 ORACLE = {
     "op3_neardup": neardup.ORACLE,
     "op7_mix": mixing.ORACLE,
+    "op11_html": lambda spark, sf_dir: html_text.op11_html(table(spark, sf_dir, "pages")),
     "op12_divergence": divergence.ORACLE,
     "op13_fill_middle": fill_middle.ORACLE,
 }
