@@ -873,16 +873,13 @@ SELECT row_id, CASE WHEN solar_radiation_wm2 IS NULL THEN 'null' ELSE 'double' E
   CASE WHEN solar_radiation_wm2 IS NULL THEN 'null' WHEN pos % 3 = 0 THEN 'int' ELSE 'double' END AS solar_core
 FROM chk""")
 def q_normalize_record(spark, sf):
-    from stratus.operators.validate import parse_documents, stage_variant_fields
+    from stratus.operators.validate import field_views, parse_documents
     from stratus.schema import WIDEN_CORE, WIDEN_STRICT
     from stratus.sources.jsonl import nonblank
-    d = parse_documents(nonblank(S.unified_lines(spark, sf))).filter(F.col("parse_error").isNull())
-    d = d.select("row_id", "doc")
-    f = "solar_radiation_wm2"
-    a, va = stage_variant_fields(d, "doc", [f], WIDEN_STRICT)
-    a = a.select("row_id", "doc", va[f].tag.alias("solar_strict"))
-    b, vb = stage_variant_fields(a, "doc", [f], WIDEN_CORE)
-    return b.select("row_id", "solar_strict", vb[f].tag.alias("solar_core"))
+    d = parse_documents(nonblank(S.unified_lines(spark, sf))).filter(F.col("parse_error").isNull()).select("row_id", "doc")
+    f = ["solar_radiation_wm2"]
+    d = field_views(field_views(d, f, WIDEN_STRICT, views="strict"), f, WIDEN_CORE, views="core")
+    return d.select("row_id", F.element_at("strict", 1)["tag"].alias("solar_strict"), F.element_at("core", 1)["tag"].alias("solar_core"))
 
 
 def _loaded_table(spark, sf, twice: bool = False):

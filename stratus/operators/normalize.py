@@ -14,6 +14,7 @@ from stratus.functions import (
     date_from_path, parse_measure, sheet_date, strip_blank, to_double, to_timestamp_coerce,
 )
 from stratus.functions.text import measure_token, token_to_double
+from stratus.sources.jsonl import last_values
 from stratus.schema import (
     INFOCLIMAT_FIELDS, SOURCE_INFOCLIMAT, SOURCE_WU, UNIFIED_COLUMNS, UNIFIED_SCHEMA,
     WU_FIELDS, WU_RAIN_RATE_KEYS, WU_STATIONS,
@@ -34,20 +35,52 @@ def unwrap(rec) -> Column:
     return F.when(F.map_contains_key(rec, F.lit(WRAPPER_KEY)), inner).otherwise(rec)
 
 
-def payload_quarantine(parsed: DataFrame, raw_chars: int = 200) -> DataFrame:
+NO_PAYLOAD = "payload is not an object"
+
+
+def with_payload(parsed: DataFrame) -> DataFrame:
+    """Parsed lines with ``payload`` (P1; of a repeated key the last value counts),
+    ``kind_code`` (P8, of the record by itself) and ``error``: why a line is unusable."""
+    out = parsed.withColumn("_payload", unwrap("rec"))
+    out = out.withColumn("payload", last_values(F.col("_payload"))).drop("_payload")
+    error = F.coalesce(F.col("parse_error"), F.when(F.col("payload").isNull(), F.lit(NO_PAYLOAD)))
+    return out.withColumn("kind_code", kind_code("payload")).withColumn("error", error)
+
+
+def payload_quarantine(parsed: DataFrame, raw_chars: int | None = None) -> DataFrame:
     """Parsed records whose wrapped payload is null or not an object."""
+    raw = F.col("value") if raw_chars is None else F.left("value", F.lit(raw_chars))
     return (parsed.filter(F.col("parse_error").isNull() & unwrap("rec").isNull())
-            .select("file_path", "split_start", "row_id", F.lit("payload is not an object").alias("error"),
-                    F.left("value", F.lit(raw_chars)).alias("raw")))
+            .select("file_path", "split_start", "row_id", F.lit(NO_PAYLOAD).alias("error"), raw.alias("raw")))
+
 
+KINDS = [UNKNOWN, SOURCE_INFOCLIMAT, SOURCE_WU]
 
-def record_kind(payload) -> Column:
-    """P8 on one record: nested-source keys -> infoclimat; sheet keys -> WU."""
+
+def kind_code(payload) -> Column:
+    """P8 on one record, as an index into ``KINDS``: nested-source keys -> infoclimat; sheet keys -> WU."""
     p = F.col(payload) if isinstance(payload, str) else payload
     has = lambda k: F.map_contains_key(p, F.lit(k))
-    return (F.when(has("id_station") & has("dh_utc"), F.lit(SOURCE_INFOCLIMAT))
-            .when(has("Temperature") | has("Dew Point") | has("Time"), F.lit(SOURCE_WU))
-            .otherwise(F.lit(UNKNOWN)))
+    code = lambda kind: F.lit(KINDS.index(kind))
+    return (F.when(has("id_station") & has("dh_utc"), code(SOURCE_INFOCLIMAT))
+            .when(has("Temperature") | has("Dew Point") | has("Time"), code(SOURCE_WU))
+            .otherwise(code(UNKNOWN)))
+
+
+def kind_name(code: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, KINDS)), code + 1)
+
+
+def file_kinds(records: DataFrame) -> DataFrame:
+    """The kind of each file's first record. Place in the split and kind are
+    packed into one long (then, per file, with the split into one decimal), so
+    that both minima are hash aggregates."""
+    step = F.lit("1" + "0" * 19).cast("decimal(20,0)")  # beyond any long, and a multiple of 4
+    splits = (records.groupBy("file_path", "rel_path", "split_start")
+              .agg(F.min(F.col("row_id") * 4 + F.col("kind_code")).alias("first")))
+    packed = (F.col("split_start").cast("decimal(17,0)") * step + F.col("first").cast("decimal(19,0)")).cast("decimal(38,0)")
+    files = splits.groupBy("file_path", "rel_path").agg(F.min(packed).alias("first"))
+    return files.select("file_path", "rel_path", kind_name((F.col("first") % 4).cast("int")).alias("kind"))
 
 
 def detect_source(records: DataFrame, payload: str = "payload", per: str = "file",
@@ -60,16 +93,14 @@ def detect_source(records: DataFrame, payload: str = "payload", per: str = "file
     That table has one row per file; AQE chooses its join from measured sizes.
     """
     attrs = file_attrs or {}
-    kinds = records.withColumn("_kind", record_kind(payload))
+    kinds = records if "kind_code" in records.columns else records.withColumn("kind_code", kind_code(payload))
     if per == "record":
-        out = kinds.withColumnRenamed("_kind", "kind")
+        out = kinds.withColumn("kind", kind_name(F.col("kind_code"))).drop("kind_code")
         for k, v in attrs.items():
             out = out.withColumn(k, v)
         return out
-    first = (kinds.groupBy("file_path", "rel_path")
-             .agg(F.min_by("_kind", F.struct("split_start", "row_id")).alias("kind")))
-    first = first.select("file_path", "kind", *[v.alias(k) for k, v in attrs.items()])
-    return kinds.drop("_kind").join(first, "file_path", "left")
+    first = file_kinds(kinds).select("file_path", "kind", *[v.alias(k) for k, v in attrs.items()])
+    return kinds.drop("kind_code").join(first, "file_path", "left")
 
 
 def infer_station(rel_path) -> Column:
@@ -173,11 +204,12 @@ def unified_select(cols: dict[str, Column]) -> list[Column]:
 
 def project_by_kind(records: DataFrame, payload: str = "payload", kind: str = "kind",
                     rel_path: str = "rel_path", date_order: str = "DMY",
-                    keep: tuple[str, ...] = ("file_path", "split_start", "row_id")) -> DataFrame:
+                    keep: tuple[str, ...] = ("file_path", "split_start", "row_id", "weather_code_number")) -> DataFrame:
     """P2+P3 in one pass: each row is projected by its kind; unknown kinds
     dropped. Uses per-file ``file_station`` / ``file_date`` when present."""
     p = F.col(payload)
     cols = records.columns
+    keep = tuple(c for c in keep if c in cols)
     station = F.col("file_station") if "file_station" in cols else infer_station(F.col(rel_path))
     day = F.col("file_date") if "file_date" in cols else date_from_path(F.col(rel_path), date_order)
     recs = records.filter(F.col(kind).isin(SOURCE_INFOCLIMAT, SOURCE_WU))
@@ -250,8 +282,12 @@ def sheet_rows(records: DataFrame, station_of_file: Column, payload: str = "payl
     known = F.col("_station").isin(*WU_STATIONS.keys())
     station = F.when(known, F.col("_station")).otherwise(
         F.raise_error(F.concat(F.lit("unknown sheet station: "), F.col("_station"))))
-    cols = wu_columns(p, station, F.col("_day"), "local")
-    return rows.select("file_path", "split_start", "row_id", *unified_select(cols))
+    keep = ("file_path", "split_start", "row_id")
+    staged_df, st = stage_fields(rows.select(*keep, "_day", station.alias("_station"), p.alias("_payload")), "_payload",
+                                 raw_keys=["Time", "Wind", "UV"], clean_keys=[],
+                                 token_keys=[f[0] for f in WU_FIELDS] + [WU_RAIN_RATE_KEYS["local"]])
+    cols = wu_columns(p, F.col("_station"), F.col("_day"), "local", staged=st)
+    return staged_df.select(*keep, *unified_select(cols))
 
 
 def drop_all_null(df: DataFrame, subset: list[str] | None = None) -> DataFrame:

@@ -1,71 +1,23 @@
 """Declarative rule sets -> per-row violations.
 
-Rules are checked over *field views*: for each field, whether it is present,
-its JSON/BSON type tag (``double``, ``int``, ``long``, ``string``, ``date``,
-``null``, ``bool``, ``object``, ``array``), its numeric value and its text.
-Views come either from a typed DataFrame (:func:`typed_views`) or from raw
-JSON documents parsed as VARIANT (:func:`variant_views`), so the same compiled
-rules serve both.
+A document is a ``MAP<STRING,VARIANT>``. Its fields become *views*, an array of
+(name, present, tag, num, text): whether the field is there, its JSON/BSON type
+tag (``double``, ``int``, ``long``, ``string``, ``date``, ``null``, ``bool``,
+``object``, ``array``), its numeric value and its text. A rule set is an array
+of rules as data, and one expression over views and rules gives the violations:
+plans do not grow with the number of fields or rules.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratus.functions.time import iso_timestamp
 from stratus.schema import RULESETS, UNIFIED_SCHEMA
-from stratus.sources.jsonl import in_array, only_value
+from stratus.sources.jsonl import in_array, last_values, only_element, parse_error
 
 INT32_MAX = 2**31 - 1
 
-
-@dataclass
-class FieldView:
-    present: Column
-    tag: Column
-    num: Column
-    text: Column
-
-
-def _tag_of_type(c: Column, dt: T.DataType) -> Column:
-    if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
-        t = "double"
-    elif isinstance(dt, (T.IntegerType, T.ShortType, T.ByteType)):
-        t = "int"
-    elif isinstance(dt, T.LongType):
-        return F.when(c.isNull(), "null").when(F.abs(c) > INT32_MAX, "long").otherwise("int")
-    elif isinstance(dt, T.StringType):
-        t = "string"
-    elif isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        t = "date"
-    elif isinstance(dt, T.BooleanType):
-        t = "bool"
-    elif isinstance(dt, T.StructType) or isinstance(dt, T.MapType):
-        t = "object"
-    elif isinstance(dt, T.ArrayType):
-        t = "array"
-    else:
-        t = "other"
-    return F.when(c.isNull(), F.lit("null")).otherwise(F.lit(t))
-
-
-def typed_views(df: DataFrame, fields: list[str]) -> dict[str, FieldView]:
-    """Views over typed columns; a column absent from ``df`` is an absent field."""
-    out = {}
-    for f in fields:
-        if f in df.columns:
-            c, dt = F.col(f"`{f}`"), df.schema[f].dataType
-            numeric = isinstance(dt, T.NumericType)
-            out[f] = FieldView(F.lit(True), _tag_of_type(c, dt),
-                               c.cast("double") if numeric else F.lit(None).cast("double"),
-                               c if isinstance(dt, T.StringType) else F.lit(None).cast("string"))
-        else:
-            out[f] = FieldView(F.lit(False), F.lit("null"), F.lit(None).cast("double"), F.lit(None).cast("string"))
-    return out
-
-
 # first letters of ``schema_of_variant`` -> JSON/BSON type tag
 _VARIANT_TYPE_TAGS = {
     "BIG": "int", "INT": "int", "SMA": "int", "TIN": "int",
@@ -73,96 +25,80 @@ _VARIANT_TYPE_TAGS = {
     "STR": "string", "VOI": "null", "BOO": "bool", "OBJ": "object", "ARR": "array",
 }
 
-_TAG_MAP_SQL = "map(" + ", ".join(f"'{k}', '{t}'" for k, t in _VARIANT_TYPE_TAGS.items()) + ")"
+NUMERIC = frozenset(f.name for f in UNIFIED_SCHEMA.fields if isinstance(f.dataType, T.NumericType))
 
 
-def _tag_sql(v: str) -> str:
-    """Type tag of a VARIANT value; null where the value is absent."""
-    return (f"coalesce(try_element_at({_TAG_MAP_SQL}, left(schema_of_variant({v}), 3)), "
-            f"CASE WHEN {v} IS NOT NULL THEN 'other' END)")
+def variant_tag(value: Column) -> Column:
+    """Type tag of a VARIANT value; ``null`` where there is none."""
+    tags = F.create_map(*(F.lit(x) for pair in _VARIANT_TYPE_TAGS.items() for x in pair))
+    tag = F.coalesce(F.try_element_at(tags, F.left(F.schema_of_variant(value), F.lit(3))), F.lit("other"))
+    return F.when(value.isNull(), F.lit("null")).otherwise(tag)
 
 
-def stage_variant_fields(df: DataFrame, doc: str, fields: list[str], widen: list[str],
-                         zone: str = "convert") -> tuple[DataFrame, dict[str, FieldView]]:
-    """Views over a parsed JSON document, after the loader's normalisation:
-    integers widened to double for ``widen`` fields (X14) and ``timestamp``
-    text parsed (X13; always present afterwards, null when unparseable).
+def field_views(docs: DataFrame, fields: list[str], widen: list[str], doc: str = "doc", views: str = "views") -> DataFrame:
+    """Add the views of ``fields`` (in their order) as an array column.
 
-    Computed in two staged projections of real columns (type tag, then the
-    view) so each VARIANT extraction runs once per row and the plan stays
-    small; the projections are generated as SQL text (one parse per stage).
+    Integers of ``widen`` fields count as double (X14); JSON integers beyond 32
+    bits of other numeric fields are ``long``. Each step is a column of its own,
+    so a value is looked up and tagged once.
     """
-    n = {f: f"_f{i}" for i, f in enumerate(fields)}
-    get = {f: f"variant_get(`{doc}`, '$.{f}', 'variant')" for f in fields}
-    df = df.selectExpr("*", *[f"{_tag_sql(get[f])} AS {n[f]}_t0" for f in fields])
-    exprs = []
-    numeric = {f.name for f in UNIFIED_SCHEMA.fields if isinstance(f.dataType, T.NumericType)}
-    for f in fields:
-        t0 = f"{n[f]}_t0"
-        # JSON integers beyond 32 bits are ``long``
-        wide = f"abs(try_variant_get(`{doc}`, '$.{f}', 'double')) > {INT32_MAX}"
-        num = f"CASE WHEN {t0} IN ('int', 'long', 'double') THEN try_variant_get(`{doc}`, '$.{f}', 'double') END"
-        text = f"CASE WHEN {t0} = 'string' THEN try_variant_get(`{doc}`, '$.{f}', 'string') END"
-        present = f"{t0} IS NOT NULL"
-        tag = t0
-        if f in widen:
-            tag = f"CASE WHEN {t0} IN ('int', 'long') THEN 'double' ELSE {t0} END"
-        elif f in numeric:
-            tag = f"CASE WHEN {t0} = 'int' AND {wide} THEN 'long' ELSE {t0} END"
-        if f == "timestamp":
-            exprs.append(f"{text} AS {n[f]}_txt")
-        exprs += [f"{present} AS {n[f]}_p", f"{tag} AS {n[f]}_t", f"{num} AS {n[f]}_n", f"{text} AS {n[f]}_s"]
-    df = df.selectExpr("*", *exprs).drop(*[f"{n[f]}_t0" for f in fields])
-    if "timestamp" in fields:
-        k = n["timestamp"]
-        ts = iso_timestamp(F.col(f"{k}_txt"), zone)
-        df = (df.withColumn(f"{k}_ts", ts)
-              .withColumn(f"{k}_p", F.lit(True))
-              .withColumn(f"{k}_t", F.when(F.col(f"{k}_ts").isNotNull(), F.lit("date")).otherwise(F.lit("null")))
-              .withColumn(f"{k}_s", F.when(F.col(f"{k}_ts").isNotNull(), F.col(f"{k}_txt")))
-              .drop(f"{k}_txt"))
-    views = {f: FieldView(F.col(f"{n[f]}_p"), F.col(f"{n[f]}_t"), F.col(f"{n[f]}_n"), F.col(f"{n[f]}_s"))
-             for f in fields}
-    return df, views
-
-
-def rule_columns(views: dict[str, FieldView], ruleset: str | dict = "strict") -> list[Column]:
-    """P9-P12 as a list of ``label-or-null`` columns, in rule order."""
+    if not fields:
+        return docs.withColumn(views, F.array().cast("array<struct<name:string,present:boolean,tag:string,num:double,text:string>>"))
+    spec = F.array(*(F.struct(F.lit(f).alias("name"), F.lit(f in widen).alias("widen"), F.lit(f in NUMERIC).alias("numeric")) for f in fields))
+    found = F.transform(spec, lambda s: F.struct(s["name"].alias("name"), s["widen"].alias("widen"), s["numeric"].alias("numeric"),
+                                                 F.map_contains_key(F.col(doc), s["name"]).alias("present"),
+                                                 F.try_element_at(F.col(doc), s["name"]).alias("value")))
+    tagged = F.transform("_found", lambda x: F.struct(x["name"].alias("name"), x["widen"].alias("widen"), x["numeric"].alias("numeric"),
+                                                      x["present"].alias("present"), x["value"].alias("value"), variant_tag(x["value"]).alias("tag")))
+
+    def valued(x):
+        number = x["tag"].isin("int", "double")
+        num = F.when(number, F.try_variant_get(x["value"], "$", "double"))
+        tag = (F.when(x["widen"] & number, F.lit("double"))
+               .when(x["numeric"] & (x["tag"] == "int") & (F.abs(num) > INT32_MAX), F.lit("long")).otherwise(x["tag"]))
+        text = F.when(x["tag"] == "string", F.try_variant_get(x["value"], "$", "string"))
+        return F.struct(x["name"].alias("name"), F.coalesce(x["present"], F.lit(False)).alias("present"), tag.alias("tag"), num.alias("num"), text.alias("text"))
+
+    return (docs.withColumn("_found", found).withColumn("_tagged", tagged).drop("_found")
+            .withColumn(views, F.transform("_tagged", valued)).drop("_tagged"))
+
+
+def violations(views: Column, fields: list[str], ruleset: str | dict = "strict") -> Column:
+    """The labels of all violated rules of a row, in rule order (empty
+    where it conforms): required fields, then types and limits by field, then enums."""
     rs = RULESETS[ruleset] if isinstance(ruleset, str) else ruleset
-    checks: list[Column] = []
-    for f in rs["required"]:                                           # P9
-        checks.append(F.when(~views[f].present, F.lit(f"required:{f}")))
-    for f, (types, lo, hi) in rs["properties"].items():
-        v = views[f]
-        checks.append(F.when(v.present & ~v.tag.isin(*types), F.lit(f"type:{f}")))  # P10
-        isnum = v.tag.isin("int", "long", "double")
-        if lo is not None:                                             # P11
-            checks.append(F.when(v.present & isnum & (v.num < F.lit(lo)), F.lit(f"minimum:{f}")))
-        if hi is not None:
-            checks.append(F.when(v.present & isnum & (v.num > F.lit(hi)), F.lit(f"maximum:{f}")))
-    for f, values in rs.get("enum", {}).items():                       # P12
-        v = views[f]
-        ok = (v.tag == "string") & v.text.isin(*values)
-        checks.append(F.when(v.present & ~F.coalesce(ok, F.lit(False)), F.lit(f"enum:{f}")))
-    return checks
-
-
-def violations(views: dict[str, FieldView], ruleset: str | dict = "strict") -> Column:
-    """Every violated rule of the row (empty array when the row conforms)."""
-    return F.array_compact(F.array(*rule_columns(views, ruleset)))
-
-
-def validate_frame(df: DataFrame, ruleset: str = "strict") -> DataFrame:
-    """Add ``violations`` to a typed frame."""
-    rs = RULESETS[ruleset]
-    fields = list(dict.fromkeys(rs["required"] + list(rs["properties"])))
-    return df.withColumn("violations", violations(typed_views(df, fields), ruleset))
-
-
-def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) by ``size(violations) == 0``."""
-    ok = F.size("violations") == 0
-    return df.filter(ok), df.filter(~ok)
+    at = {f: F.lit(i + 1).alias("at") for i, f in enumerate(fields)}
+    text = lambda v: F.lit(v).cast("string").alias
+    number = lambda v: F.lit(v).cast("double").alias
+    none = F.array().cast("array<string>")
+
+    def view(r):
+        return F.element_at(views, r["at"])
+
+    out = []
+    if rs["required"]:                                                 # P9
+        required = F.array(*(F.struct(at[f], text(f)("name")) for f in rs["required"]))
+        absent = F.filter(required, lambda r: ~view(r)["present"])
+        out.append(F.transform(absent, lambda r: F.concat(F.lit("required:"), r["name"])))
+    if rs["properties"]:                                               # P10, P11
+        rules = F.array(*(F.struct(at[f], text(f)("name"), F.array(*map(F.lit, types)).alias("types"), number(lo)("lo"), number(hi)("hi"))
+                          for f, (types, lo, hi) in rs["properties"].items()))
+
+        def broken(r):
+            v = view(r)
+            measured = v["present"] & v["tag"].isin("int", "long", "double")
+            return F.array_compact(F.array(
+                F.when(v["present"] & ~F.array_contains(r["types"], v["tag"]), F.concat(F.lit("type:"), r["name"])),
+                F.when(measured & (v["num"] < r["lo"]), F.concat(F.lit("minimum:"), r["name"])),
+                F.when(measured & (v["num"] > r["hi"]), F.concat(F.lit("maximum:"), r["name"]))))
+
+        out.append(F.flatten(F.transform(rules, broken)))
+    if rs.get("enum"):                                                 # P12
+        enums = F.array(*(F.struct(at[f], text(f)("name"), F.array(*map(F.lit, values)).alias("values")) for f, values in rs["enum"].items()))
+        other = F.filter(enums, lambda r: view(r)["present"] & ~F.coalesce(
+            (view(r)["tag"] == "string") & F.array_contains(r["values"], view(r)["text"]), F.lit(False)))
+        out.append(F.transform(other, lambda r: F.concat(F.lit("enum:"), r["name"])))
+    return F.concat(none, *out)
 
 
 def classify(violations_col: str = "violations", duplicate: Column | None = None,
@@ -177,35 +113,37 @@ def classify(violations_col: str = "violations", duplicate: Column | None = None
 
 
 def parse_documents(lines: DataFrame) -> DataFrame:
-    """S8 (raw form): each non-blank line as VARIANT ``doc``; ``parse_error``
-    for lines that are not JSON objects."""
-    # of a repeated key the last value counts, as in the reference's parser
-    lines.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    one = F.try_variant_get(F.try_parse_json(F.when(only_value("value"), in_array("value"))), "$", "array<variant>")
-    parsed = lines.withColumn("_one", one)
-    parsed = parsed.withColumn("doc", F.when(F.size("_one") == 1, F.element_at("_one", 1))).drop("_one")
-    kind = F.schema_of_variant(F.col("doc"))
-    return parsed.withColumn("parse_error", F.when(F.col("doc").isNull(), F.lit("invalid JSON"))
-                             .when(~kind.startswith("OBJECT"), F.lit("not a JSON object")))
+    """S8 (raw form): each non-blank line as ``doc``, a ``MAP<STRING,VARIANT>``;
+    ``parse_error`` for lines that are not JSON objects.
+
+    Of a repeated key the last value counts. An object *inside* a value that
+    repeats a key makes the line invalid, unless the session allows such values
+    (``spark.sql.variant.allowDuplicateKeys``).
+    """
+    parsed = lines.withColumn("_one", F.from_json(in_array("value"), "array<map<string,variant>>"))
+    parsed = parsed.withColumn("doc", F.when(only_element("_one"), last_values(F.get("_one", F.lit(0))))).drop("_one")
+    return parsed.withColumn("parse_error", parse_error("doc"))
 
 
 def normalize_documents(docs: DataFrame, ruleset: str = "strict", zone: str = "convert",
                         keep: tuple[str, ...] = ("pos",)) -> DataFrame:
     """X13 + X14 + P13 on parsed documents: typed unified columns plus
     ``violations``. Values of a wrong type become null in the typed columns
-    (the row is rejected anyway)."""
+    (the row is rejected anyway). ``timestamp`` text is parsed first: the field
+    is always present afterwards, a date or null."""
     rs = RULESETS[ruleset]
     fields = list(dict.fromkeys([f.name for f in UNIFIED_SCHEMA.fields] + rs["required"]))
-    staged, views = stage_variant_fields(docs.select(*keep, "doc"), "doc", fields, rs["widen"], zone)
-    cols = []
-    ts_col = f"_f{fields.index('timestamp')}_ts"
-    for f in UNIFIED_SCHEMA.fields:
-        v = views[f.name]
-        if f.name == "timestamp":
-            c = F.col(ts_col)
-        elif isinstance(f.dataType, T.StringType):
-            c = v.text
-        else:
-            c = v.num
-        cols.append(c.cast(f.dataType).alias(f.name))
-    return staged.select(*keep, *cols, violations(views, ruleset).alias("violations"))
+    rows = field_views(docs.select(*keep, "doc"), fields, rs["widen"]).drop("doc")
+    at = fields.index("timestamp") + 1
+    rows = rows.withColumn("_ts", iso_timestamp(F.element_at("views", at)["text"], zone))
+    parsed = F.struct(F.lit("timestamp").alias("name"), F.lit(True).alias("present"),
+                      F.when(F.col("_ts").isNotNull(), F.lit("date")).otherwise(F.lit("null")).alias("tag"),
+                      F.lit(None).cast("double").alias("num"), F.lit(None).cast("string").alias("text"))
+    rows = rows.withColumn("_views", F.transform("views", lambda v: F.when(v["name"] == "timestamp", parsed).otherwise(v)))
+
+    def typed(f: T.StructField) -> Column:
+        v = F.element_at("views", fields.index(f.name) + 1)
+        c = F.col("_ts") if f.name == "timestamp" else v["text"] if isinstance(f.dataType, T.StringType) else v["num"]
+        return c.cast(f.dataType).alias(f.name)
+
+    return rows.select(*keep, *map(typed, UNIFIED_SCHEMA.fields), violations(F.col("_views"), fields, ruleset).alias("violations"))

@@ -18,15 +18,15 @@ from stratus.functions.text import truncate
 from stratus.operators.dedup import dedup_keep_first
 from stratus.functions.time import date_from_path
 from stratus.operators.normalize import (
-    detect_source, infer_station, payload_quarantine, project_by_kind, sheet_rows, union_sources, unwrap,
+    WRAPPER_KEY, detect_source, infer_station, project_by_kind, sheet_rows, union_sources, with_payload,
 )
 from stratus.operators.quality import REPORT_SCHEMA, post_load_report, quality_report
 from stratus.operators.validate import classify, normalize_documents, parse_documents
-from stratus.schema import KEY_COLUMNS, UNIFIED_COLUMNS
+from stratus.schema import INFOCLIMAT_FIELDS, KEY_COLUMNS, UNIFIED_COLUMNS
 from stratus.session import cut_lineage
 from stratus.sinks.tables import insert_ignore_plan
 from stratus.sources.document import document_quarantine, explode_documents, read_documents
-from stratus.sources.jsonl import nonblank, parse_records, quarantine, scan_lines
+from stratus.sources.jsonl import nonblank, parse_records, scan_lines
 
 ORDER = ["file_path", "split_start", "row_id"]
 
@@ -34,22 +34,47 @@ ORDER = ["file_path", "split_start", "row_id"]
 # ---------------------------------------------------------------------------
 # E2
 
-def cloud_records(lines: DataFrame, detect: str = "file", date_order: str = "DMY") -> DataFrame:
-    """S1 blank drop -> S2 parse -> P1 unwrap -> P8 kind (per file by default),
-    with the per-file station (P20) and path date (X10)."""
-    parsed = parse_records(nonblank(lines))
-    good = parsed.filter(F.col("parse_error").isNull()).withColumn("payload", unwrap("rec"))
-    good = good.filter(F.col("payload").isNotNull())
+def numeric_code(text: Column, payload: Column) -> Column:
+    """True where the payload's weather code is a JSON number, which stays one in
+    the export. ``text`` is the payload as JSON; its last such key counts."""
+    key = next(k for k, v in INFOCLIMAT_FIELDS.items() if v == "weather_code")
+    first = F.regexp_extract(text, rf'(?s).*"{key}"\s*:\s*(.)', 1)
+    return F.when(payload.getItem(key).isNotNull(), first.rlike("[-0-9]")).otherwise(F.lit(False))
+
+
+def cloud_stage(lines: DataFrame) -> DataFrame:
+    """S1 blank drop -> S2 parse -> P1 unwrap, stored: every line is parsed once,
+    and every payload once, whatever reads the stage.
+
+    Columns: order columns, ``rel_path``, ``error`` (why a line is unusable) with
+    the line as ``raw``, else ``payload``, ``kind_code`` and ``weather_code_number``.
+    """
+    staged = with_payload(parse_records(nonblank(lines)))
+    text = F.coalesce(F.col("rec").getItem(WRAPPER_KEY), F.col("value"))
+    return cut_lineage(staged.select(*ORDER, "rel_path", "error", F.when(F.col("error").isNotNull(), F.col("value")).alias("raw"),
+                                     "payload", "kind_code", numeric_code(text, F.col("payload")).alias("weather_code_number")), "parsed")
+
+
+def unusable_lines(stage: DataFrame) -> DataFrame:
+    """The quarantine of a stored stage: position, reason and the whole line."""
+    return stage.filter(F.col("error").isNotNull()).select(*ORDER, "error", "raw")
+
+
+def cloud_records(lines: DataFrame, detect: str = "file", date_order: str = "DMY", stage: DataFrame | None = None) -> DataFrame:
+    """The usable records of :func:`cloud_stage` with their P8 kind (per file by
+    default), the per-file station (P20) and path date (X10)."""
+    stage = cloud_stage(lines) if stage is None else stage
+    good = stage.filter(F.col("error").isNull()).drop("error", "raw")
     attrs = {"file_station": infer_station(F.col("rel_path")),
              "file_date": date_from_path(F.col("rel_path"), date_order)}
     return detect_source(good, "payload", per=detect, file_attrs=attrs)
 
 
 def cloud_transform(lines: DataFrame, date_order: str = "DMY", dedup: bool = True,
-                    detect: str = "file") -> DataFrame:
+                    detect: str = "file", stage: DataFrame | None = None) -> DataFrame:
     """Lines (file_path, split_start, row_id, value, rel_path) -> unified
     rows, keep-first dedup on (station_id, timestamp) in input order."""
-    recs = cloud_records(lines, detect, date_order)
+    recs = cloud_records(lines, detect, date_order, stage)
     rows = project_by_kind(recs, "payload", "kind", "rel_path", date_order)
     if dedup:
         rows = dedup_keep_first(rows, KEY_COLUMNS, ORDER)
@@ -60,9 +85,9 @@ def run_cloud(spark: SparkSession, input_root: str, output_dir: str, date_order:
     """E2 end to end: scan the prefix, transform, write JSONL, the lines that
     could not be used, and the report."""
     lines = scan_lines(spark, input_root)
-    parsed = parse_records(nonblank(lines))
-    unusable = quarantine(parsed).unionByName(payload_quarantine(parsed))
-    return _export(spark, cloud_transform(lines, date_order), unusable, output_dir, "cloud", f"nothing parsed under {input_root}")
+    stage = cloud_stage(lines)
+    return _export(spark, cloud_transform(lines, date_order, stage=stage), unusable_lines(stage), output_dir, "cloud",
+                   f"nothing parsed under {input_root}")
 
 
 def _export(spark: SparkSession, out: DataFrame, unusable: DataFrame, output_dir: str, form: str, empty: str) -> DataFrame:
@@ -90,25 +115,33 @@ def _export(spark: SparkSession, out: DataFrame, unusable: DataFrame, output_dir
 # ---------------------------------------------------------------------------
 # E1
 
-def local_transform(docs: DataFrame, sheets: DataFrame, sheet_station=None) -> DataFrame:
+def sheet_stage(sheets: DataFrame) -> DataFrame:
+    """S2 on sheet lines, stored: the sheets' check and their rows read one parse."""
+    parsed = parse_records(nonblank(sheets))
+    return cut_lineage(parsed.select(*ORDER, F.col("parse_error").alias("error"),
+                                     F.when(F.col("parse_error").isNotNull(), F.col("value")).alias("raw"), F.col("rec").alias("payload")), "sheets")
+
+
+def local_transform(docs: DataFrame, sheets: DataFrame, sheet_station=None, stage: DataFrame | None = None) -> DataFrame:
     """Nested documents (file_path, value) + sheet lines -> unified rows,
     no dedup. ``sheet_station`` maps a sheet file to its station id (default:
     the name of the folder holding the sheet)."""
     ic = explode_documents(docs)
-    parsed = parse_records(nonblank(sheets))
-    good = parsed.filter(F.col("parse_error").isNull()).withColumnRenamed("rec", "payload")
+    stage = sheet_stage(sheets) if stage is None else stage
     if sheet_station is None:
         sheet_station = F.regexp_extract(F.col("file_path"), r"([^/]+)/[^/]+$", 1)
-    wu = sheet_rows(good, sheet_station, "payload")
+    wu = sheet_rows(stage.filter(F.col("error").isNull()), sheet_station, "payload")
     return union_sources(ic, wu).select("_part", *ORDER, *UNIFIED_COLUMNS)
 
 
 def run_local(spark: SparkSession, docs_root: str, sheets_root: str, output_dir: str) -> DataFrame:
     """E1 end to end: documents and sheets -> JSONL, what could not be used, the report."""
     docs, sheets = read_documents(spark, docs_root), scan_lines(spark, sheets_root)
-    unusable = (document_quarantine(docs).select("file_path", F.col("rec_pos").cast("long").alias("row_id"), "error", "raw")
-                .unionByName(quarantine(parse_records(nonblank(sheets))).drop("split_start")))
-    return _export(spark, local_transform(docs, sheets), unusable, output_dir, "local", "no input rows")
+    stage = sheet_stage(sheets)
+    unusable = (document_quarantine(docs).select("file_path", F.lit(None).cast("long").alias("split_start"),
+                                                 F.col("rec_pos").cast("long").alias("row_id"), "error", "raw")
+                .unionByName(unusable_lines(stage)))
+    return _export(spark, local_transform(docs, sheets, stage=stage), unusable, output_dir, "local", "no input rows")
 
 
 # ---------------------------------------------------------------------------

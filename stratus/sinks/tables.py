@@ -18,9 +18,14 @@ from stratus.session import cut_lineage
 
 
 def to_export_frame(df: DataFrame) -> DataFrame:
-    """K1 preparation: 23 columns, NaN/Inf -> null, timestamp as ISO text."""
-    out = sanitize_frame(df.select(*UNIFIED_COLUMNS))
-    return out.withColumn("timestamp", ts_to_iso(F.col("timestamp")))
+    """K1 preparation: 23 columns, NaN/Inf -> null, timestamp as ISO text. A
+    weather code marked in ``weather_code_number`` is written as a JSON number."""
+    numeric = "weather_code_number" in df.columns
+    out = sanitize_frame(df.select(*UNIFIED_COLUMNS, *(["weather_code_number"] if numeric else [])))
+    if numeric:
+        code = F.col("weather_code")
+        out = out.withColumn("weather_code", F.coalesce(F.when(F.col("weather_code_number"), F.try_parse_json(code)), code.cast("variant")))
+    return out.withColumn("timestamp", ts_to_iso(F.col("timestamp"))).select(*UNIFIED_COLUMNS)
 
 
 def export_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -67,29 +67,40 @@ def parse_records(lines: DataFrame, col: str = "rec") -> DataFrame:
 
     Nested objects stay as JSON text; of a repeated key the last value counts.
     A line that is not exactly one JSON object gives a null ``rec`` and
-    ``parse_error`` explains why.
+    ``parse_error`` explains why. The plan parses a line once; who uses the
+    result more than once stores it (:func:`stratus.plans.pipelines.cloud_stage`),
+    as the optimizer repeats the parse in every filter that it pushes down.
     """
-    one = F.from_json(F.when(only_value("value"), in_array("value")), "array<map<string,string>>")
-    parsed = lines.withColumn("_one", one)
-    rec = F.when(F.size("_one") == 1, last_values(F.element_at("_one", 1)))
-    err = (F.when(F.col(col).isNotNull(), F.lit(None).cast("string"))
-           .when(F.try_parse_json(in_array("value")).isNull() | (F.size("_one") > 1) | ~only_value("value"), F.lit("invalid JSON"))
-           .otherwise(F.lit("not a JSON object")))
-    return parsed.withColumn(col, rec).withColumn("parse_error", err).drop("_one")
+    parsed = lines.withColumn("_one", F.from_json(in_array("value"), "array<map<string,string>>"))
+    parsed = parsed.withColumn(col, F.when(only_element("_one"), last_values(F.get("_one", F.lit(0))))).drop("_one")
+    return parsed.withColumn("parse_error", parse_error(col))
+
+
+def parse_error(rec: str) -> Column:
+    """Why a line has no record: only such lines are looked at again."""
+    other = F.try_variant_get(F.try_parse_json(in_array("value")), "$", "array<variant>")
+    mark = F.try_variant_get(F.get(other, F.lit(1)), "$", "map<string,variant>")
+    json = F.coalesce((F.size(other) == 2) & F.map_contains_key(mark, line_mark("value")), F.lit(False))
+    is_object = F.coalesce(F.schema_of_variant(F.get(other, F.lit(0))).startswith("OBJECT"), F.lit(False))
+    return F.when(F.col(rec).isNull(), F.when(json & ~is_object, F.lit("not a JSON object")).otherwise(F.lit("invalid JSON")))
+
+
+def line_mark(value) -> Column:
+    """A key that the text itself does not hold: its own hash."""
+    return F.hex(F.xxhash64(value))
 
 
 def in_array(value) -> Column:
-    """The text as the only element of a JSON array: the parser reads to the
-    array's end, so text behind a first value is an error or a second element."""
-    return F.concat(F.lit("["), F.col(value), F.lit("]"))
+    """The text as first element of a JSON array, before an object that holds
+    its mark. Text behind a first value is an error or a further element, and a
+    text that ends the array early leaves the mark outside (:func:`only_element`)."""
+    return F.concat(F.lit("["), F.col(value), F.lit(',{"'), line_mark(value), F.lit('":null}]'))
 
 
-def only_value(value) -> Column:
-    """False for an object's text that would end the array of :func:`in_array`
-    early. The second parse runs only where an inner list of objects closes."""
-    v = F.trim(F.col(value))
-    alone = F.from_json(F.concat(F.lit('{"r":'), v, F.lit("}")), "struct<r:string>")["r"].isNotNull()
-    return ~v.startswith("{") | (v.endswith("}") & (~v.rlike(r"\}\s*\]\s*\S") | alone))
+def only_element(parsed: str) -> Column:
+    """True if an array of :func:`in_array`, read as maps, holds the text's value and the mark, no more."""
+    held = (F.size(parsed) == 2) & F.map_contains_key(F.get(parsed, F.lit(1)), line_mark("value"))
+    return F.coalesce(held, F.lit(False))
 
 
 def last_values(rec: Column) -> Column:
@@ -100,10 +111,10 @@ def last_values(rec: Column) -> Column:
     return F.when(F.size(own) == F.size(keys), rec).otherwise(F.map_from_arrays(own, F.transform(own, last)))
 
 
-def quarantine(parsed: DataFrame, raw_chars: int = 200) -> DataFrame:
-    """Rejected lines: position, reason and the first ``raw_chars`` characters."""
-    return parsed.filter(F.col("parse_error").isNotNull()).select(
-        *ORDER, F.col("parse_error").alias("error"), truncate("value", raw_chars).alias("raw"))
+def quarantine(parsed: DataFrame, raw_chars: int | None = None) -> DataFrame:
+    """Rejected lines: position, reason and the line (its first ``raw_chars`` characters)."""
+    raw = F.col("value") if raw_chars is None else truncate("value", raw_chars)
+    return parsed.filter(F.col("parse_error").isNotNull()).select(*ORDER, F.col("parse_error").alias("error"), raw.alias("raw"))
 
 
 def rows_per_file(parsed: DataFrame) -> DataFrame:
