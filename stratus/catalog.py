@@ -873,13 +873,13 @@ SELECT row_id, CASE WHEN solar_radiation_wm2 IS NULL THEN 'null' ELSE 'double' E
   CASE WHEN solar_radiation_wm2 IS NULL THEN 'null' WHEN pos % 3 = 0 THEN 'int' ELSE 'double' END AS solar_core
 FROM chk""")
 def q_normalize_record(spark, sf):
-    from stratus.operators.validate import field_views, parse_documents
+    from stratus.operators.validate import parse_documents, tags_sql, with_values
     from stratus.schema import WIDEN_CORE, WIDEN_STRICT
     from stratus.sources.jsonl import nonblank
-    d = parse_documents(nonblank(S.unified_lines(spark, sf))).filter(F.col("parse_error").isNull()).select("row_id", "doc")
     f = ["solar_radiation_wm2"]
-    d = field_views(field_views(d, f, WIDEN_STRICT, views="strict"), f, WIDEN_CORE, views="core")
-    return d.select("row_id", F.element_at("strict", 1)["tag"].alias("solar_strict"), F.element_at("core", 1)["tag"].alias("solar_core"))
+    d = parse_documents(nonblank(S.unified_lines(spark, sf)), f).filter(F.col("parse_error").isNull()).select("row_id", "doc")
+    tag = lambda widen: F.expr(f"{tags_sql(f, widen)}[0]")
+    return with_values(d, f).select("row_id", tag(WIDEN_STRICT).alias("solar_strict"), tag(WIDEN_CORE).alias("solar_core"))
 
 
 def _loaded_table(spark, sf, twice: bool = False):
@@ -1219,23 +1219,32 @@ def q_pipeline_load_cloud(spark, sf):
 # ===========================================================================
 # E2 on files: scan, transform, export, report
 
-def _landed_files(spark, sf) -> str:
-    """The raw lines as files under a fresh folder, one per path of the stand-in."""
+def _land(spark, frame, root: str) -> None:
+    """Files from rows (path, place, value): one folder of parts per path, moved to
+    ``root``/path; a path whose rows were dealt over several tasks keeps every part."""
     from stratus.session import shared_dir
-    root = shared_dir(spark, "landed")
-    lines = raw(spark, sf).withColumn("dir", F.regexp_replace(F.regexp_replace("file_path", r"^/raw/|\.jsonl?$", ""), "/", "__"))
-    (lines.repartition("dir").sortWithinPartitions("dir", "row_id").select("dir", "value")
-     .write.partitionBy("dir").text(f"{root}/parts"))
+    parts = shared_dir(spark, "landing")
+    lines = frame.withColumn("dir", F.replace(F.regexp_replace("path", "^/", ""), F.lit("/"), F.lit("__")))
+    (lines.repartition("dir").sortWithinPartitions("dir", "place").select("dir", "value").write.partitionBy("dir").text(parts))
     hadoop = spark._jvm.org.apache.hadoop.fs
-    fs = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs.listStatus(hadoop.Path(f"{root}/parts")):
+    fs = hadoop.Path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(hadoop.Path(parts)):
         name = status.getPath().getName()
         if name.startswith("dir="):
-            target = hadoop.Path(f"{root}/in raw/" + name[4:].replace("__", "/") + ".jsonl")
-            fs.mkdirs(target.getParent())
-            part = [f for f in fs.listStatus(status.getPath()) if f.getPath().getName().startswith("part-")]
-            fs.rename(part[0].getPath(), target)
-    return f"{root}/in raw"
+            target = f"{root}/" + name[4:].replace("__", "/")
+            fs.mkdirs(hadoop.Path(target).getParent())
+            stem, _, suffix = target.rpartition(".")
+            for i, part in enumerate(f for f in fs.listStatus(status.getPath()) if f.getPath().getName().startswith("part-")):
+                fs.rename(part.getPath(), hadoop.Path(target if not i else f"{stem}-{i}.{suffix}"))
+
+
+def _landed_files(spark, sf) -> str:
+    """The raw lines as files under a fresh folder, one per path of the stand-in."""
+    from stratus.session import shared_dir
+    root = shared_dir(spark, "landed") + "/in raw"
+    path = F.concat(F.regexp_replace("file_path", r"^/raw|\.jsonl?$", ""), F.lit(".jsonl"))
+    _land(spark, raw(spark, sf).select(path.alias("path"), F.col("row_id").alias("place"), "value"), root)
+    return root
 
 
 @query("job_cloud", f"""{RAW_SQL}, {PROJECTED_SQL}
@@ -1248,6 +1257,110 @@ def q_job_cloud(spark, sf):
     return run_cloud(spark, _landed_files(spark, sf), shared_dir(spark, "cloud-out"))
 
 
+@query("job_local", f"{DOC_ROWS_SQL}\nUNION ALL\n{SHEET_ROWS_SQL}")
+def q_job_local(spark, sf):
+    """E1 as users run it: document files and sheet files to a JSON-lines export, read back."""
+    from stratus.plans.pipelines import run_local
+    from stratus.session import shared_dir
+    root = shared_dir(spark, "landed")
+    place = F.lit(0)
+    # one document per day, with all stations of that day
+    pieces = S.documents(spark, sf).select(
+        F.regexp_extract("file_path", r"_(\d+)\.json", 1).alias("day"), F.col("file_path").alias("at"),
+        F.regexp_extract("value", r'^\{"stations": \[(.*)\], "hourly": \{', 1).alias("stations"),
+        F.regexp_extract("value", r', "hourly": \{(.*), "_params"', 1).alias("hourly"))
+    joined = lambda c: F.array_join(F.filter(F.transform(F.array_sort("own"), lambda o: o[c]), lambda t: t != ""), ", ")
+    days = pieces.groupBy("day").agg(F.collect_list(F.struct("at", "stations", "hourly")).alias("own")).select(
+        F.concat(F.lit("/docs/"), "day", F.lit(".json")).alias("path"), place.alias("place"),
+        F.concat(F.lit('{"stations": ['), joined("stations"), F.lit('], "hourly": {'), joined("hourly"), F.lit(', "_params": {"unit": "metric"}}}')).alias("value"))
+    _land(spark, days, root)
+    _land(spark, S.sheet_lines(spark, sf).select(F.col("file_path").alias("path"), F.col("row_id").alias("place"), "value"), root)
+    return run_local(spark, f"{root}/docs", f"{root}/sheets", shared_dir(spark, "local-out"))
+
+
+@query("numeric_weather_code", f"""{RAW_SQL}, {PROJECTED_SQL},
+kept AS (SELECT * FROM projected QUALIFY row_number() OVER (PARTITION BY station_id, "timestamp" ORDER BY file_path, row_id) = 1)
+SELECT station_id, "timestamp", weather_code, row_id % 100 = 0 AS is_number,
+  CASE WHEN row_id % 100 = 0 THEN 'type:weather_code' ELSE '' END AS violations
+FROM kept WHERE weather_code IS NOT NULL""")
+def q_numeric_code(spark, sf):
+    """A weather code that came as a JSON number is one in the export, which the loader rejects."""
+    from stratus.operators.validate import normalize_documents, parse_documents
+    from stratus.plans.pipelines import cloud_transform
+    from stratus.session import shared_dir
+    from stratus.sinks.tables import export_jsonl
+    number = F.regexp_replace("value", r'"temps_omm": ?"(\d+)"', r'"temps_omm":$1')
+    lines = raw(spark, sf).withColumn("value", F.when(F.col("row_id") % 100 == 0, number).otherwise(F.col("value")))
+    path = shared_dir(spark, "codes")
+    export_jsonl(cloud_transform(lines), path)
+    written = spark.read.text(path).filter(~F.col("value").contains('"weather_code":null'))
+    docs = parse_documents(written).withColumn("is_number", ~F.col("value").contains('"weather_code":"')).withColumn(
+        "code", F.regexp_extract("value", r'"weather_code":"?(\w+)', 1))
+    rows = normalize_documents(docs, "core", "drop", keep=("is_number", "code"))
+    broken = F.array_join(F.filter("violations", lambda v: v.contains("weather_code")), ", ")
+    return rows.select("station_id", "timestamp", F.col("code").alias("weather_code"), "is_number", broken.alias("violations"))
+
+
+@query("missing_sheet_columns", """
+WITH sheets AS (
+  SELECT '/sheets/' || CASE WHEN user_id % 4 = 0 THEN 'IICHTE19' ELSE 'ILAMAD25' END || '/' || strftime(ts, '%d%m%y') || '.jsonl' AS file_path,
+    bool_or(user_id % 5 <> 0) AS has_gust
+  FROM events WHERE event_id % 23 <> 0 GROUP BY file_path)
+SELECT file_path, CASE WHEN has_gust THEN 'Dew Point, Precip. Accum.' ELSE 'Dew Point, Gust, Precip. Accum.' END AS missing FROM sheets""")
+def q_missing_columns(spark, sf):
+    """P5: the required columns that a sheet's rows lack."""
+    from stratus.operators.normalize import missing_sheet_columns
+    from stratus.sources.jsonl import nonblank, parse_records
+    gust = F.when((F.col("row_id") % 23 != 0) & F.col("gusty"), F.regexp_replace("value", r"\}$", ',"Gust": null}')).otherwise(F.col("value"))
+    users = ev(spark, sf).select(F.col("event_id").alias("row_id"), (F.col("user_id") % 5 != 0).alias("gusty"))
+    lines = S.sheet_lines(spark, sf).join(users, "row_id").withColumn("value", gust)
+    records = parse_records(nonblank(lines)).filter(F.col("parse_error").isNull()).withColumnRenamed("rec", "payload")
+    return missing_sheet_columns(records).select("file_path", F.array_join("missing", ", ").alias("missing"))
+
+
+@query("parse_error_lines", f"""{LOAD_SQL},
+numbered AS (SELECT *, row_number() OVER (ORDER BY pos) AS line FROM ln)
+SELECT line, 'invalid JSON' AS error, '{{"source": "infoclimat", "station_id": ' AS raw FROM numbered WHERE is_bad ORDER BY line LIMIT 10""")
+def q_parse_error_lines(spark, sf):
+    """The first ten lines that the loader could not parse, with their line numbers."""
+    from stratus.plans.pipelines import parse_error_sample
+    return parse_error_sample(S.unified_lines(spark, sf), _outcome(spark, sf)).select("line", "error", "raw")
+
+
+@query("load_report_json", f"""{LOAD_SQL},
+acct AS ({ACCOUNTING_SQL.replace(LOAD_SQL, "")}),
+tbl AS (SELECT {LOADED_COLS_SQL} FROM outcome WHERE reject_type IS NULL)
+SELECT 'import.total_lines' AS key, CAST(total_lines AS VARCHAR) AS value FROM acct
+UNION ALL SELECT 'import.total_errors', CAST(total_errors AS VARCHAR) FROM acct
+UNION ALL SELECT 'import.error_types.schema_validation', CAST(schema_validation AS VARCHAR) FROM acct WHERE schema_validation > 0
+UNION ALL SELECT 'import.error_types.duplicate_key', CAST(duplicate_key AS VARCHAR) FROM acct WHERE duplicate_key > 0
+UNION ALL SELECT 'import.errors_sample.' || row_id, reject_type FROM (SELECT * FROM outcome WHERE reject_type IS NOT NULL ORDER BY pos LIMIT 15)
+UNION ALL SELECT 'import.parse_errors_sample.' || line, 'invalid JSON' FROM (
+  SELECT * FROM (SELECT *, row_number() OVER (ORDER BY pos) AS line FROM ln) WHERE is_bad ORDER BY line LIMIT 10)
+UNION ALL SELECT 'quality.total_documents', CAST(count(*) AS VARCHAR) FROM tbl
+UNION ALL SELECT 'quality.by_source.' || source, CAST(count(*) AS VARCHAR) FROM tbl GROUP BY source
+UNION ALL SELECT 'quality.date_range.min', strftime(min("timestamp"), '%Y-%m-%d %H:%M:%S') FROM tbl""")
+def q_load_report_json(spark, sf):
+    """The loader's JSON report with both samples, read back from its file."""
+    from stratus.plans.pipelines import run_load
+    from stratus.session import shared_dir
+    path = shared_dir(spark, "report")
+    run_load(spark, S.unified_lines(spark, sf), shared_dir(spark, "table"), report_path=path)
+    sample = lambda fields: f"array<struct<{fields}>>"
+    schema = (f"import struct<total_lines: string, total_errors: string, error_types: map<string,string>, "
+              f"errors_sample: {sample('row: string, type: string')}, parse_errors_sample: {sample('line: string, error: string')}>, "
+              f"quality struct<total_documents: string, by_source: map<string,string>, date_range: map<string,string>>")
+    doc = spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
+    fact = lambda k, v: F.struct(k.alias("key"), v.alias("value"))
+    of_map = lambda name: F.transform(F.map_entries(name), lambda e: fact(F.concat(F.lit(f"{name}."), e["key"]), e["value"]))
+    of_list = lambda name, k, v: F.transform(name, lambda e: fact(F.concat(F.lit(f"{name}."), e[k]), e[v]))
+    facts = F.concat(F.array(*(fact(F.lit(c), F.col(c)) for c in ("import.total_lines", "import.total_errors", "quality.total_documents"))),
+                     of_map("import.error_types"), of_list("import.errors_sample", "row", "type"),
+                     of_list("import.parse_errors_sample", "line", "error"), of_map("quality.by_source"),
+                     F.filter(of_map("quality.date_range"), lambda f: f["key"] == "quality.date_range.min"))
+    return doc.select(F.explode(facts).alias("f")).select("f.*")
+
+
 # ===========================================================================
 # K5, K6 on stored tables
 

@@ -24,23 +24,22 @@ def dedup_keep_first(df: DataFrame, keys: list[str] = KEY_COLUMNS,
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def first_arrival(df: DataFrame, keys: list[str] = KEY_COLUMNS, order: str = "pos",
-                  eligible=None) -> DataFrame:
-    """Flag ``is_first`` = this row is the earliest eligible row of its key.
+def same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> list:
+    """Null-safe equality of the keys of two frames."""
+    return [a[k].eqNullSafe(b[k]) for k in keys]
 
-    Per-key minima come from a partially aggregated group-by and are joined
-    back null-safely; no window holds a whole key group, so a hot key is split
-    by AQE's skew-join handling instead of landing in one task.
+
+def repeated_keys(df: DataFrame, keys: list[str] = KEY_COLUMNS, order: str = "pos") -> DataFrame:
+    """Keys that stand on several rows, with their first row's ``order``.
+
+    Keys are counted in a hash aggregate first; only rows of repeated keys are
+    looked at for the first, in a partial and a final step, so neither a key on
+    a third of the rows nor many keys on one row gather in a task.
     """
-    elig = F.lit(True) if eligible is None else eligible
-    # the condition stays inside the aggregate: no filter to push into the
-    # (possibly large) expressions that define eligibility
-    firsts = (df.withColumn("_elig", elig).groupBy(*keys)
-              .agg(F.min(F.when(F.col("_elig"), F.col(order))).alias("_first")))
-    cond = [df[k].eqNullSafe(firsts[k]) for k in keys]
-    out = df.join(firsts, cond, "left").select(df["*"], firsts["_first"])
-    return (out.withColumn("is_first", elig & (F.col(order) == F.col("_first")))
-            .drop("_first"))
+    many = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select(*keys)
+    rows = df.select(*keys, order)
+    rows = rows.join(many, same_keys(rows, many, keys), "left_semi")
+    return rows.groupBy(*keys).agg(F.min(order).alias("_first"))
 
 
 def key_counts(df: DataFrame, keys: list[str] = KEY_COLUMNS) -> DataFrame:

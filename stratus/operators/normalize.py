@@ -259,6 +259,29 @@ def stage_fields(df: DataFrame, payload: str, raw_keys: list[str], clean_keys: l
     return s2, _Staged(raw, clean, token)
 
 
+#: FIXED VALUES: columns that a sheet of the local variant must have beside ``Time``.
+SHEET_COLUMNS = ["Temperature", "Dew Point", "Humidity", "Wind", "Speed", "Gust", "Pressure", "Precip. Rate.", "Precip. Accum."]
+
+
+def missing_sheet_columns(records: DataFrame, payload: str = "payload") -> DataFrame:
+    """P5 on the input: per sheet file with a ``Time`` column, the required columns
+    that no row of it has (``missing``, in their order; empty where none is missing).
+    One aggregate of one flag per column."""
+    p = F.col(payload)
+    held = records.groupBy("file_path").agg(
+        F.bool_or(F.map_contains_key(p, F.lit("Time"))).alias("_time"),
+        *(F.bool_or(F.map_contains_key(p, F.lit(c))).alias(f"_{i}") for i, c in enumerate(SHEET_COLUMNS)))
+    missing = F.array_compact(F.array(*(F.when(~F.col(f"_{i}"), F.lit(c)) for i, c in enumerate(SHEET_COLUMNS))))
+    return held.filter("_time").select("file_path", missing.alias("missing"))
+
+
+def require_sheet_columns(records: DataFrame, payload: str = "payload") -> None:
+    """P5: raise when a sheet lacks a column, naming the first such sheet."""
+    bad = missing_sheet_columns(records, payload).filter(F.size("missing") > 0).orderBy("file_path").limit(1).collect()
+    if bad:
+        raise KeyError(f"missing columns in {bad[0].file_path}: {list(bad[0].missing)}")
+
+
 def sheet_rows(records: DataFrame, station_of_file: Column, payload: str = "payload",
                sheet_name: Column | None = None) -> DataFrame:
     """S5 + P3 (local): sheet files (one file = one day) -> unified rows.

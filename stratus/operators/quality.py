@@ -2,7 +2,7 @@
 
 Reports come in long form, one row per fact:
 ``(section STRING, key STRING, num DOUBLE, txt STRING)``; see
-:func:`report_struct` for the nested one-row form. All per-column metrics
+:func:`report_lines` for JSON text. All per-column metrics
 of a report are computed in one partial+final aggregation grouped by
 (source, station_id), which is then rolled up; the duplicate count is a
 second aggregation that reads only the key columns.
@@ -232,9 +232,46 @@ def quality_report(df: DataFrame, variant: str = "local") -> DataFrame:
     return main.unionByName(tail).select("f.*")
 
 
+def load_state(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Mergeable state of a table: per (source, station) the rows, the span of
+    times and the missing values of ``cols``, with one row of zeros, which
+    stands for a table without rows. States of parts are merged by the same
+    sums and extremes (:func:`post_load_sections`)."""
+    total = F.count(F.lit(1))
+    state = df.groupBy("source", "station_id").agg(
+        total.alias("n"), F.min("timestamp").alias("ts_min"), F.max("timestamp").alias("ts_max"),
+        *[(F.count_if(is_missing(df, c)) if c in df.columns else total).alias(f"m_{i}") for i, c in enumerate(cols)])
+    zeros = ["CAST(NULL AS string) AS source", "CAST(NULL AS string) AS station_id", "0L AS n",
+             "CAST(NULL AS timestamp_ntz) AS ts_min", "CAST(NULL AS timestamp_ntz) AS ts_max", *(f"0L AS m_{i}" for i in range(len(cols)))]
+    return state.unionByName(df.sparkSession.range(1).selectExpr(*zeros))
+
+
+def post_load_sections(state: DataFrame, cols: list[str], variant: str, required: list[str]) -> DataFrame:
+    """The sections of A18 from a :func:`load_state`, by one grouping-sets rollup."""
+    sets = [["source"], []] if variant == "strict" else [["source"], ["station_id"], []]
+    sums = [F.sum(f"m_{i}").alias(f"m_{i}") for i in range(len(cols))]
+    roll = state.groupingSets(sets, "source", "station_id").agg(
+        F.grouping_id().alias("_gid"), F.sum("n").alias("total"), F.min("ts_min").alias("ts_min"), F.max("ts_max").alias("ts_max"), *sums)
+    t, gid = F.col("total"), F.col("_gid")  # 1: by source, 2: by station, 3: all rows
+    missing = {c: F.col(f"m_{i}") for i, c in enumerate(cols)}
+    facts = [_fact("total_documents", None, t),
+             _fact("date_range", "min", None, ts_text(F.col("ts_min"))),
+             _fact("date_range", "max", None, ts_text(F.col("ts_max")))]
+    whole = F.array(*facts)
+    if variant == "strict":
+        lost = sum((missing[c] for c in required), F.lit(0))
+        rates = [_fact("schema_conformity_rate_pct", None, _pct(t - lost, t)),
+                 *(_fact("null_rates_pct", c, _pct(missing[c], t)) for c in MEASURE_COLUMNS)]
+        fields = F.filter(F.array(*[_fact("missing_required_fields", c, missing[c]) for c in required]), lambda f: f["num"] > 0)
+        whole = F.concat(whole, F.array(*rates), fields)
+    rows = (F.when(gid == 1, F.array(_fact("by_source", F.col("source"), t)))
+            .when(gid == 2, F.array(_fact("by_station", F.col("station_id"), t))).otherwise(whole))
+    return roll.filter((gid == 3) | (t > 0)).select(F.explode(rows).alias("f")).select("f.*")
+
+
 def post_load_report(df: DataFrame, variant: str = "strict",
                      required: list[str] | None = None) -> DataFrame:
-    """Report over a loaded table, long form.
+    """Report over a loaded table, long form, from one scan.
 
     ``strict`` (local loader): total, conformity %, non-zero missing counts of
     the required fields, null % of the 15 measures (0.0 when empty), counts by
@@ -243,57 +280,70 @@ def post_load_report(df: DataFrame, variant: str = "strict",
     """
     from stratus.schema import RULESETS
     req = required or RULESETS["strict"]["required"]
-    total = F.count(F.lit(1))
-    if variant == "strict":
-        miss = {c: F.count_if(is_missing(df, c)) if c in df.columns else total for c in req}
-        meas = {c: F.count_if(is_missing(df, c)) if c in df.columns else total for c in MEASURE_COLUMNS}
-        g = df.agg(total.alias("total"), F.min("timestamp").alias("ts_min"), F.max("timestamp").alias("ts_max"),
-                   *[v.alias(f"m_{i}") for i, v in enumerate(miss.values())],
-                   *[v.alias(f"z_{i}") for i, v in enumerate(meas.values())])
-        t = F.col("total")
-        miss_sum = sum((F.col(f"m_{i}") for i in range(len(req))), F.lit(0))
-        facts = [_fact("total_documents", None, t),
-                 _fact("schema_conformity_rate_pct", None, _pct(t - miss_sum, t)),
-                 _fact("date_range", "min", None, ts_text(F.col("ts_min"))),
-                 _fact("date_range", "max", None, ts_text(F.col("ts_max")))]
-        facts += [_fact("null_rates_pct", c, _pct(F.col(f"z_{i}"), t)) for i, c in enumerate(MEASURE_COLUMNS)]
-        missing = F.filter(F.array(*[_fact("missing_required_fields", c, F.col(f"m_{i}"))
-                                     for i, c in enumerate(req)]), lambda s: s["num"] > 0)
-        glob = g.select(F.explode(F.concat(F.array(*facts), missing)).alias("f"))
-        groups = [("by_source", "source")]
-    else:
-        g = df.agg(total.alias("total"), F.min("timestamp").alias("ts_min"), F.max("timestamp").alias("ts_max"))
-        glob = g.select(F.explode(F.array(
-            _fact("total_documents", None, F.col("total")),
-            _fact("date_range", "min", None, ts_text(F.col("ts_min"))),
-            _fact("date_range", "max", None, ts_text(F.col("ts_max"))))).alias("f"))
-        groups = [("by_source", "source"), ("by_station", "station_id")]
-    out = glob
-    for section, col in groups:
-        out = out.unionByName(df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-                              .select(_fact(section, F.col(col), F.col("n")).alias("f")))
-    return out.select("f.*")
-
-
-def report_struct(long: DataFrame) -> DataFrame:
-    """K2 helper: long-form report -> one row with nested maps, for JSON export."""
-    sec = F.col("section")
-
-    def m(name: str, valcol: str = "num") -> Column:
-        entry = F.struct(F.coalesce(F.col("key"), F.lit("null")).alias("k"), F.col(valcol).alias("v"))
-        return F.map_from_entries(F.collect_list(F.when(sec == name, entry)))
-
-    def scalar(name: str) -> Column:
-        return F.max(F.when(sec == name, F.col("num"))).cast("long")
-
-    return long.agg(
-        scalar("total_records").alias("total_records"),
-        m("records_per_source").alias("records_per_source"),
-        m("records_per_station").alias("records_per_station"),
-        m("date_range", "txt").alias("date_range"),
-        m("null_rates").alias("null_rates"),
-        scalar("duplicates").alias("duplicates"),
-        scalar("invalid_timestamp").alias("invalid_timestamp"),
-        scalar("missing_station_id").alias("missing_station_id"),
-        F.collect_list(F.when(sec == "anomalies", F.col("txt"))).alias("anomalies"),
-    )
+    cols = list(dict.fromkeys([*req, *MEASURE_COLUMNS])) if variant == "strict" else []
+    return post_load_sections(load_state(df, cols), cols, variant, req)
+
+
+# ---------------------------------------------------------------------------
+# K2: reports as JSON text
+
+#: What a section of a JSON report holds: counts, numbers or texts by key, one
+#: number, a list of texts, or a list of JSON objects.
+COUNTS, NUMBERS, TEXTS, COUNT, NUMBER, LIST, OBJECTS = "counts", "numbers", "texts", "count", "number", "list", "objects"
+
+QUALITY_LAYOUT = [
+    ("total_records", COUNT), ("records_per_source", COUNTS), ("records_per_station", COUNTS), ("date_range", TEXTS), ("null_rates", NUMBERS),
+    ("duplicates", COUNT), ("invalid_timestamp", COUNT), ("missing_station_id", COUNT), ("anomalies", LIST)]
+
+LOAD_LAYOUT = [
+    ("import", [("total_lines", COUNT), ("total_parsed", COUNT), ("total_submitted", COUNT), ("total_inserted", COUNT), ("total_errors", COUNT),
+                ("error_types", COUNTS), ("errors_sample", OBJECTS), ("parse_errors_sample", OBJECTS)]),
+    ("quality", [("total_documents", COUNT), ("schema_conformity_rate_pct", NUMBER), ("missing_required_fields", COUNTS),
+                 ("null_rates_pct", NUMBERS), ("by_source", COUNTS), ("by_station", COUNTS), ("date_range", TEXTS)])]
+
+
+def report_lines(facts: DataFrame, layout: list) -> DataFrame:
+    """K2: long-form facts (section, key, num, txt) as the lines of one JSON
+    document, ordered by (part, place, key): every fact is a line of its own, so a report
+    over any number of stations is never one row. A null key is written as
+    ``null``, together with a key of that name. Facts of a section without a
+    place in ``layout`` are left out; sections without facts are empty or null."""
+    static, places = [], []
+
+    def walk(items, depth):
+        for i, (name, kind) in enumerate(items):
+            pad, comma = "  " * depth, "," if i else ""
+            if isinstance(kind, list):
+                static.append((len(static) + len(places), 0, f'{pad}{comma}"{name}": {{'))
+                walk(kind, depth + 1)
+                static.append((len(static) + len(places), 0, f"{pad}}}"))
+            else:
+                places.append((name, kind, len(static) + len(places), pad, comma))
+
+    static.append((0, 0, "{"))
+    walk(layout, 1)
+    static.append((len(static) + len(places), 0, "}"))
+    schema = "part int, place int, line string, key string"
+    lines = facts.sparkSession.createDataFrame([(*row, None) for row in static], schema)
+    for name, kind, part, pad, comma in places:
+        own = facts.filter(F.col("section") == name)
+        quoted = lambda c: F.expr(f"substring(to_json(array({c})), 2, length(to_json(array({c}))) - 2)")
+        count = F.col("num").cast("decimal(38,0)").cast("string")
+        if kind in (COUNT, NUMBER):
+            value = F.max(count if kind == COUNT else F.col("num").cast("string"))
+            one = own.agg(F.coalesce(value, F.lit("null")).alias("value"))
+            lines = lines.union(one.select(F.lit(part), F.lit(0), F.concat(F.lit(f'{pad}{comma}"{name}": '), "value"), F.lit(None).cast("string")))
+            continue
+        if kind in (COUNTS, NUMBERS, TEXTS):
+            merged = own.groupBy(F.coalesce("key", F.lit("null")).alias("key")).agg(
+                F.sum("num").alias("num"), F.max("txt").alias("txt"))
+            value = count if kind == COUNTS else F.col("num").cast("string") if kind == NUMBERS else quoted("txt")
+            rows = merged.select("key", F.concat(quoted("key"), F.lit(": "), F.coalesce(value, F.lit("null"))).alias("line"))
+        else:
+            rows = own.select(F.coalesce("key", "txt").alias("key"), (quoted("txt") if kind == LIST else F.col("txt")).alias("line"))
+        first = rows.agg(F.min("key")).scalar()
+        ends = ("{", "}") if kind in (COUNTS, NUMBERS, TEXTS) else ("[", "]")
+        around = [(part, 0, f'{pad}{comma}"{name}": {ends[0]}', None), (part, 2, pad + ends[1], None)]
+        entries = rows.select(F.lit(part), F.lit(1), F.concat(F.lit(f"{pad}  "), F.when(F.col("key") == first, "").otherwise(","), "line"), "key")
+        lines = lines.union(facts.sparkSession.createDataFrame(around, schema)).union(entries)
+    return lines

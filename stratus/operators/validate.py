@@ -1,11 +1,11 @@
 """Declarative rule sets -> per-row violations.
 
-A document is a ``MAP<STRING,VARIANT>``. Its fields become *views*, an array of
-(name, present, tag, num, text): whether the field is there, its JSON/BSON type
-tag (``double``, ``int``, ``long``, ``string``, ``date``, ``null``, ``bool``,
-``object``, ``array``), its numeric value and its text. A rule set is an array
-of rules as data, and one expression over views and rules gives the violations:
-plans do not grow with the number of fields or rules.
+A document is a struct with one VARIANT per field (SQL null: the field is
+absent). From it come three arrays, in the order of the fields: ``codes`` (the
+first letters of each value's type), ``nums`` (of numeric fields) and ``texts``
+(of the others). A rule set is
+checked twice over: one compiled condition tells rows that conform, and only the
+other rows are walked through with the rules as data, to name what they break.
 """
 
 from __future__ import annotations
@@ -14,91 +14,112 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from stratus.functions.time import iso_timestamp
 from stratus.schema import RULESETS, UNIFIED_SCHEMA
-from stratus.sources.jsonl import in_array, last_values, only_element, parse_error
+from stratus.sources.jsonl import in_array, line_mark, parse_error
 
 INT32_MAX = 2**31 - 1
 
 # first letters of ``schema_of_variant`` -> JSON/BSON type tag
-_VARIANT_TYPE_TAGS = {
+_TYPE_TAGS = {
     "BIG": "int", "INT": "int", "SMA": "int", "TIN": "int",
     "DEC": "double", "DOU": "double", "FLO": "double",
     "STR": "string", "VOI": "null", "BOO": "bool", "OBJ": "object", "ARR": "array",
 }
+_NUMBERS = [code for code, tag in _TYPE_TAGS.items() if tag in ("int", "double")]
+_INTEGERS = [code for code, tag in _TYPE_TAGS.items() if tag == "int"]
 
+UNIFIED_FIELDS = [f.name for f in UNIFIED_SCHEMA.fields]
 NUMERIC = frozenset(f.name for f in UNIFIED_SCHEMA.fields if isinstance(f.dataType, T.NumericType))
 
 
-def variant_tag(value: Column) -> Column:
-    """Type tag of a VARIANT value; ``null`` where there is none."""
-    tags = F.create_map(*(F.lit(x) for pair in _VARIANT_TYPE_TAGS.items() for x in pair))
-    tag = F.coalesce(F.try_element_at(tags, F.left(F.schema_of_variant(value), F.lit(3))), F.lit("other"))
-    return F.when(value.isNull(), F.lit("null")).otherwise(tag)
+def parse_documents(lines: DataFrame, fields: list[str] = UNIFIED_FIELDS) -> DataFrame:
+    """S8 (raw form): each non-blank line as ``doc``, its ``fields`` as VARIANT;
+    ``parse_error`` for lines that are not JSON objects.
 
+    Of a repeated key the last value counts. An object *inside* a value that
+    repeats a key makes the line invalid, unless the session allows such values
+    (``spark.sql.variant.allowDuplicateKeys``).
+    """
+    schema = "array<struct<" + ", ".join(f"`{f}`: variant" for f in fields) + ", `_mark`: string>>"
+    parsed = lines.withColumn("_one", F.from_json(in_array("value", "_mark"), schema))
+    alone = F.coalesce((F.size("_one") == 2) & (F.get("_one", F.lit(1))["_mark"] == line_mark("value")), F.lit(False))
+    parsed = parsed.withColumn("doc", F.when(alone, F.get("_one", F.lit(0)))).drop("_one")
+    return parsed.withColumn("parse_error", parse_error("doc"))
 
-def field_views(docs: DataFrame, fields: list[str], widen: list[str], doc: str = "doc", views: str = "views") -> DataFrame:
-    """Add the views of ``fields`` (in their order) as an array column.
 
-    Integers of ``widen`` fields count as double (X14); JSON integers beyond 32
-    bits of other numeric fields are ``long``. Each step is a column of its own,
-    so a value is looked up and tagged once.
-    """
-    if not fields:
-        return docs.withColumn(views, F.array().cast("array<struct<name:string,present:boolean,tag:string,num:double,text:string>>"))
-    spec = F.array(*(F.struct(F.lit(f).alias("name"), F.lit(f in widen).alias("widen"), F.lit(f in NUMERIC).alias("numeric")) for f in fields))
-    found = F.transform(spec, lambda s: F.struct(s["name"].alias("name"), s["widen"].alias("widen"), s["numeric"].alias("numeric"),
-                                                 F.map_contains_key(F.col(doc), s["name"]).alias("present"),
-                                                 F.try_element_at(F.col(doc), s["name"]).alias("value")))
-    tagged = F.transform("_found", lambda x: F.struct(x["name"].alias("name"), x["widen"].alias("widen"), x["numeric"].alias("numeric"),
-                                                      x["present"].alias("present"), x["value"].alias("value"), variant_tag(x["value"]).alias("tag")))
-
-    def valued(x):
-        number = x["tag"].isin("int", "double")
-        num = F.when(number, F.try_variant_get(x["value"], "$", "double"))
-        tag = (F.when(x["widen"] & number, F.lit("double"))
-               .when(x["numeric"] & (x["tag"] == "int") & (F.abs(num) > INT32_MAX), F.lit("long")).otherwise(x["tag"]))
-        text = F.when(x["tag"] == "string", F.try_variant_get(x["value"], "$", "string"))
-        return F.struct(x["name"].alias("name"), F.coalesce(x["present"], F.lit(False)).alias("present"), tag.alias("tag"), num.alias("num"), text.alias("text"))
-
-    return (docs.withColumn("_found", found).withColumn("_tagged", tagged).drop("_found")
-            .withColumn(views, F.transform("_tagged", valued)).drop("_tagged"))
-
-
-def violations(views: Column, fields: list[str], ruleset: str | dict = "strict") -> Column:
-    """The labels of all violated rules of a row, in rule order (empty
-    where it conforms): required fields, then types and limits by field, then enums."""
-    rs = RULESETS[ruleset] if isinstance(ruleset, str) else ruleset
-    at = {f: F.lit(i + 1).alias("at") for i, f in enumerate(fields)}
-    text = lambda v: F.lit(v).cast("string").alias
-    number = lambda v: F.lit(v).cast("double").alias
-    none = F.array().cast("array<string>")
+# The expressions below are written as SQL text: there are hundreds of them, and
+# one call to the parser is cheaper than a call to the JVM for every node.
+
+def _list(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+def with_values(docs: DataFrame, fields: list[str], doc: str = "doc") -> DataFrame:
+    """Add ``codes``, ``nums`` and ``texts`` of the fields of ``doc``."""
+    def only(codes, f, i, kind, wanted):
+        # numbers by their text: a VARIANT decimal is cast to double through a new expression per value
+        text = f"try_variant_get({doc}.`{f}`, '$', 'string')"
+        return f"CASE WHEN codes[{i}] IN ({_list(codes)}) THEN CAST({text} AS {kind}) END" if wanted else f"CAST(NULL AS {kind})"
+
+    docs = docs.withColumn("codes", F.expr("array(" + ", ".join(f"left(schema_of_variant({doc}.`{f}`), 3)" for f in fields) + ")"))
+    nums = ", ".join(only(_NUMBERS, f, i, "double", f in NUMERIC) for i, f in enumerate(fields))
+    texts = ", ".join(only(["STR"], f, i, "string", f not in NUMERIC) for i, f in enumerate(fields))
+    return docs.withColumns({"nums": F.expr(f"array({nums})"), "texts": F.expr(f"array({texts})")})
+
 
-    def view(r):
-        return F.element_at(views, r["at"])
+def tags_sql(fields: list[str], widen: list[str]) -> str:
+    """The JSON/BSON type tags of all fields (null: absent), from ``codes`` and
+    ``nums``. Integers of ``widen`` fields count as double (X14); integers
+    beyond 32 bits of other numeric fields are ``long``."""
+    spec = ", ".join(f"struct({i} AS at, {f in widen} AS widen, {f in NUMERIC} AS numeric)" for i, f in enumerate(fields))
+    tags = "map(" + ", ".join(f"'{code}', '{tag}'" for code, tag in _TYPE_TAGS.items()) + ")"
+    integer = f"codes[s.at] IN ({_list(_INTEGERS)})"
+    return (f"transform(array({spec}), s -> CASE WHEN codes[s.at] IS NULL THEN NULL WHEN s.widen AND {integer} THEN 'double' "
+            f"WHEN s.numeric AND {integer} AND abs(nums[s.at]) > {INT32_MAX} THEN 'long' "
+            f"ELSE coalesce(try_element_at({tags}, codes[s.at]), 'other') END)")
 
-    out = []
+
+def conforms_sql(fields: list[str], ruleset: str | dict, timestamp: str) -> str:
+    """True where a row breaks no rule. ``timestamp`` names the parsed field,
+    which is always present, as a date or null."""
+    rs = RULESETS[ruleset] if isinstance(ruleset, str) else ruleset
+    at = fields.index
+    checks = [f"codes[{at(f)}] IS NOT NULL" for f in rs["required"] if f != "timestamp"]
+    for f, (types, lo, hi) in rs["properties"].items():
+        i = at(f)
+        if f == "timestamp":
+            checks += [] if "null" in types else [f"{timestamp} IS NOT NULL"]
+            continue
+        allowed = [c for c, t in _TYPE_TAGS.items() if t in types or (t == "int" and f in rs["widen"] and "double" in types)]
+        checks.append(f"(codes[{i}] IS NULL OR codes[{i}] IN ({_list(allowed)}))")
+        if f in NUMERIC and f not in rs["widen"] and "int" in types and "long" not in types:
+            checks.append(f"coalesce(codes[{i}] NOT IN ({_list(_INTEGERS)}) OR abs(nums[{i}]) <= {INT32_MAX}, true)")
+        checks += [f"coalesce(nums[{i}] {op} double({limit}), true)" for op, limit in ((">=", lo), ("<=", hi)) if limit is not None]
+    checks += [f"(codes[{at(f)}] IS NULL OR coalesce(texts[{at(f)}] IN ({_list(values)}), false))" for f, values in rs.get("enum", {}).items()]
+    return " AND ".join(checks) or "true"
+
+
+def violations_sql(tags: str, fields: list[str], ruleset: str | dict = "strict") -> str:
+    """The labels of all violated rules of a row, in rule order:
+    required fields, then types and limits by field, then enums."""
+    rs = RULESETS[ruleset] if isinstance(ruleset, str) else ruleset
+    out = ["CAST(array() AS array<string>)"]
     if rs["required"]:                                                 # P9
-        required = F.array(*(F.struct(at[f], text(f)("name")) for f in rs["required"]))
-        absent = F.filter(required, lambda r: ~view(r)["present"])
-        out.append(F.transform(absent, lambda r: F.concat(F.lit("required:"), r["name"])))
+        rules = ", ".join(f"struct({fields.index(f)} AS at, '{f}' AS name)" for f in rs["required"])
+        out.append(f"transform(filter(array({rules}), r -> {tags}[r.at] IS NULL), r -> 'required:' || r.name)")
     if rs["properties"]:                                               # P10, P11
-        rules = F.array(*(F.struct(at[f], text(f)("name"), F.array(*map(F.lit, types)).alias("types"), number(lo)("lo"), number(hi)("hi"))
-                          for f, (types, lo, hi) in rs["properties"].items()))
-
-        def broken(r):
-            v = view(r)
-            measured = v["present"] & v["tag"].isin("int", "long", "double")
-            return F.array_compact(F.array(
-                F.when(v["present"] & ~F.array_contains(r["types"], v["tag"]), F.concat(F.lit("type:"), r["name"])),
-                F.when(measured & (v["num"] < r["lo"]), F.concat(F.lit("minimum:"), r["name"])),
-                F.when(measured & (v["num"] > r["hi"]), F.concat(F.lit("maximum:"), r["name"]))))
-
-        out.append(F.flatten(F.transform(rules, broken)))
+        limit = lambda v: "CAST(NULL AS double)" if v is None else f"double({v})"
+        rules = ", ".join(f"struct({fields.index(f)} AS at, '{f}' AS name, array({_list(types)}) AS types, {limit(lo)} AS lo, {limit(hi)} AS hi)"
+                          for f, (types, lo, hi) in rs["properties"].items())
+        number = f"{tags}[r.at] IN ('int', 'long', 'double')"
+        out.append(f"flatten(transform(array({rules}), r -> array_compact(array("
+                   f"CASE WHEN NOT array_contains(r.types, {tags}[r.at]) THEN 'type:' || r.name END, "
+                   f"CASE WHEN {number} AND nums[r.at] < r.lo THEN 'minimum:' || r.name END, "
+                   f"CASE WHEN {number} AND nums[r.at] > r.hi THEN 'maximum:' || r.name END))))")
     if rs.get("enum"):                                                 # P12
-        enums = F.array(*(F.struct(at[f], text(f)("name"), F.array(*map(F.lit, values)).alias("values")) for f, values in rs["enum"].items()))
-        other = F.filter(enums, lambda r: view(r)["present"] & ~F.coalesce(
-            (view(r)["tag"] == "string") & F.array_contains(r["values"], view(r)["text"]), F.lit(False)))
-        out.append(F.transform(other, lambda r: F.concat(F.lit("enum:"), r["name"])))
-    return F.concat(none, *out)
+        rules = ", ".join(f"struct({fields.index(f)} AS at, '{f}' AS name, array({_list(values)}) AS values)" for f, values in rs["enum"].items())
+        out.append(f"transform(filter(array({rules}), r -> {tags}[r.at] IS NOT NULL AND NOT coalesce("
+                   f"{tags}[r.at] = 'string' AND array_contains(r.values, texts[r.at]), false)), r -> 'enum:' || r.name)")
+    return f"concat({', '.join(out)})"
 
 
 def classify(violations_col: str = "violations", duplicate: Column | None = None,
@@ -112,38 +133,24 @@ def classify(violations_col: str = "violations", duplicate: Column | None = None
     return c
 
 
-def parse_documents(lines: DataFrame) -> DataFrame:
-    """S8 (raw form): each non-blank line as ``doc``, a ``MAP<STRING,VARIANT>``;
-    ``parse_error`` for lines that are not JSON objects.
-
-    Of a repeated key the last value counts. An object *inside* a value that
-    repeats a key makes the line invalid, unless the session allows such values
-    (``spark.sql.variant.allowDuplicateKeys``).
-    """
-    parsed = lines.withColumn("_one", F.from_json(in_array("value"), "array<map<string,variant>>"))
-    parsed = parsed.withColumn("doc", F.when(only_element("_one"), last_values(F.get("_one", F.lit(0))))).drop("_one")
-    return parsed.withColumn("parse_error", parse_error("doc"))
-
-
 def normalize_documents(docs: DataFrame, ruleset: str = "strict", zone: str = "convert",
                         keep: tuple[str, ...] = ("pos",)) -> DataFrame:
     """X13 + X14 + P13 on parsed documents: typed unified columns plus
     ``violations``. Values of a wrong type become null in the typed columns
-    (the row is rejected anyway). ``timestamp`` text is parsed first: the field
-    is always present afterwards, a date or null."""
+    (the row is rejected anyway)."""
     rs = RULESETS[ruleset]
-    fields = list(dict.fromkeys([f.name for f in UNIFIED_SCHEMA.fields] + rs["required"]))
-    rows = field_views(docs.select(*keep, "doc"), fields, rs["widen"]).drop("doc")
-    at = fields.index("timestamp") + 1
-    rows = rows.withColumn("_ts", iso_timestamp(F.element_at("views", at)["text"], zone))
-    parsed = F.struct(F.lit("timestamp").alias("name"), F.lit(True).alias("present"),
-                      F.when(F.col("_ts").isNotNull(), F.lit("date")).otherwise(F.lit("null")).alias("tag"),
-                      F.lit(None).cast("double").alias("num"), F.lit(None).cast("string").alias("text"))
-    rows = rows.withColumn("_views", F.transform("views", lambda v: F.when(v["name"] == "timestamp", parsed).otherwise(v)))
-
-    def typed(f: T.StructField) -> Column:
-        v = F.element_at("views", fields.index(f.name) + 1)
-        c = F.col("_ts") if f.name == "timestamp" else v["text"] if isinstance(f.dataType, T.StringType) else v["num"]
-        return c.cast(f.dataType).alias(f.name)
-
-    return rows.select(*keep, *map(typed, UNIFIED_SCHEMA.fields), violations(F.col("_views"), fields, ruleset).alias("violations"))
+    fields = UNIFIED_FIELDS
+    rows = with_values(docs.select(*keep, "doc"), fields).drop("doc")
+    at = fields.index("timestamp")
+    rows = rows.withColumn("_ts", iso_timestamp(F.get("texts", F.lit(at)), zone))
+    rows = rows.withColumn("_ok", F.expr(conforms_sql(fields, ruleset, "_ts")))
+    date = "CASE WHEN _ts IS NULL THEN 'null' ELSE 'date' END"
+    rows = rows.withColumn("_tags", F.expr(f"CASE WHEN NOT _ok THEN transform({tags_sql(fields, rs['widen'])}, (t, i) -> CASE WHEN i = {at} THEN {date} ELSE t END) END"))
+
+    def typed(f: T.StructField) -> str:
+        i = fields.index(f.name)
+        c = "_ts" if i == at else f"{'nums' if f.name in NUMERIC else 'texts'}[{i}]"
+        return f"CAST({c} AS {f.dataType.simpleString()}) AS `{f.name}`"
+
+    broken = f"CASE WHEN _ok THEN CAST(array() AS array<string>) ELSE {violations_sql('_tags', fields, ruleset)} END AS violations"
+    return rows.selectExpr(*keep, *map(typed, UNIFIED_SCHEMA.fields), broken)

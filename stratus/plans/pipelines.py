@@ -18,15 +18,17 @@ from stratus.functions.text import truncate
 from stratus.operators.dedup import dedup_keep_first
 from stratus.functions.time import date_from_path
 from stratus.operators.normalize import (
-    WRAPPER_KEY, detect_source, infer_station, project_by_kind, sheet_rows, union_sources, with_payload,
+    WRAPPER_KEY, detect_source, infer_station, project_by_kind, require_sheet_columns, sheet_rows, union_sources, with_payload,
 )
-from stratus.operators.quality import REPORT_SCHEMA, post_load_report, quality_report
+from stratus.operators.quality import LOAD_LAYOUT, QUALITY_LAYOUT, REPORT_SCHEMA, post_load_report, quality_report
 from stratus.operators.validate import classify, normalize_documents, parse_documents
 from stratus.schema import INFOCLIMAT_FIELDS, KEY_COLUMNS, UNIFIED_COLUMNS
 from stratus.session import cut_lineage
-from stratus.sinks.tables import insert_ignore_plan
-from stratus.sources.document import document_quarantine, explode_documents, read_documents
-from stratus.sources.jsonl import nonblank, parse_records, scan_lines
+from stratus.sinks.tables import (
+    _existing_keys, export_jsonl, insert_ignore_plan, read_unified, replace_path, scan_table, write_layout, write_report,
+)
+from stratus.sources.document import document_quarantine, document_stage, explode_documents, read_documents
+from stratus.sources.jsonl import line_numbers, nonblank, parse_records, require_rows, scan_lines
 
 ORDER = ["file_path", "split_start", "row_id"]
 
@@ -91,24 +93,18 @@ def run_cloud(spark: SparkSession, input_root: str, output_dir: str, date_order:
 
 
 def _export(spark: SparkSession, out: DataFrame, unusable: DataFrame, output_dir: str, form: str, empty: str) -> DataFrame:
-    """Write the export aside and put it in place only if it has rows; an
-    earlier export stays when there is nothing to write. The report reads the
-    written export, so the transform runs once."""
-    from stratus.operators.quality import report_struct
-    from stratus.sinks.tables import delete_path, export_jsonl, read_unified, replace_path, write_report
-    from stratus.sources.jsonl import require_rows
+    """Write the export aside, in input order, and put it in place only if there
+    are rows; an earlier export stays when there is nothing to write. The rows
+    are stored first: the ranges of the order, the export and the guard read
+    them, so the transform runs once. The report reads the written export."""
     target = f"{output_dir}/weather_data"
+    rows = require_rows(cut_lineage(out, "transformed"), empty)
     aside = f"{target}.{uuid.uuid4().hex[:12]}"
-    export_jsonl(out, aside)
-    try:
-        require_rows(read_unified(spark, aside), empty)
-    except ValueError:
-        delete_path(spark, aside)
-        raise
+    export_jsonl(rows, aside, order=tuple(c for c in ("_part", *ORDER) if c in rows.columns))
     replace_path(spark, aside, target)
     written = read_unified(spark, target)
     unusable.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{target}.quarantine")
-    write_report(report_struct(quality_report(written, form)), f"{target}.quality")
+    write_report(quality_report(written, form), f"{target}.quality", QUALITY_LAYOUT)
     return written
 
 
@@ -122,11 +118,12 @@ def sheet_stage(sheets: DataFrame) -> DataFrame:
                                      F.when(F.col("parse_error").isNotNull(), F.col("value")).alias("raw"), F.col("rec").alias("payload")), "sheets")
 
 
-def local_transform(docs: DataFrame, sheets: DataFrame, sheet_station=None, stage: DataFrame | None = None) -> DataFrame:
+def local_transform(docs: DataFrame, sheets: DataFrame, sheet_station=None, stage: DataFrame | None = None,
+                    elements: DataFrame | None = None) -> DataFrame:
     """Nested documents (file_path, value) + sheet lines -> unified rows,
     no dedup. ``sheet_station`` maps a sheet file to its station id (default:
     the name of the folder holding the sheet)."""
-    ic = explode_documents(docs)
+    ic = explode_documents(docs, elements)
     stage = sheet_stage(sheets) if stage is None else stage
     if sheet_station is None:
         sheet_station = F.regexp_extract(F.col("file_path"), r"([^/]+)/[^/]+$", 1)
@@ -134,14 +131,20 @@ def local_transform(docs: DataFrame, sheets: DataFrame, sheet_station=None, stag
     return union_sources(ic, wu).select("_part", *ORDER, *UNIFIED_COLUMNS)
 
 
-def run_local(spark: SparkSession, docs_root: str, sheets_root: str, output_dir: str) -> DataFrame:
-    """E1 end to end: documents and sheets -> JSONL, what could not be used, the report."""
+def run_local(spark: SparkSession, docs_root: str, sheets_root: str, output_dir: str, require_columns: bool = False) -> DataFrame:
+    """E1 end to end: documents and sheets -> JSONL, what could not be used, the report.
+
+    ``require_columns``: a sheet that lacks a column is an error (sheets that
+    were landed without their empty cells lose the columns of them)."""
     docs, sheets = read_documents(spark, docs_root), scan_lines(spark, sheets_root)
     stage = sheet_stage(sheets)
-    unusable = (document_quarantine(docs).select("file_path", F.lit(None).cast("long").alias("split_start"),
+    if require_columns:
+        require_sheet_columns(stage.filter(F.col("error").isNull()))
+    elements = document_stage(docs)
+    unusable = (document_quarantine(docs, stage=elements).select("file_path", F.lit(None).cast("long").alias("split_start"),
                                                  F.col("rec_pos").cast("long").alias("row_id"), "error", "raw")
                 .unionByName(unusable_lines(stage)))
-    return _export(spark, local_transform(docs, sheets, stage=stage), unusable, output_dir, "local", "no input rows")
+    return _export(spark, local_transform(docs, sheets, stage=stage, elements=elements), unusable, output_dir, "local", "no input rows")
 
 
 # ---------------------------------------------------------------------------
@@ -198,25 +201,54 @@ def rejection_messages(outcome: DataFrame, chars: int = 250) -> DataFrame:
             .withColumn("message", truncate(msg, chars)))
 
 
+def parse_error_sample(lines: DataFrame, outcome: DataFrame, n: int = 10, chars: int = 200) -> DataFrame:
+    """T5: the first ``n`` lines in input order that are no JSON objects, with
+    their line numbers in the file (blank lines counted)."""
+    bad = outcome.filter(F.col("status") == "parse_error").orderBy(*ORDER).limit(n).select(*ORDER, F.col("parse_error").alias("error"))
+    at = [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ORDER]
+    found = bad.alias("b").join(lines.alias("l"), at).select("b.*", truncate("l.value", chars).alias("raw"))
+    return line_numbers(lines, found).select(*ORDER, F.col("line_no").alias("line"), "error", "raw")
+
+
+def load_facts(lines: DataFrame, outcome: DataFrame, table: DataFrame, names: str, variant: str, samples: bool = True) -> DataFrame:
+    """The import and post-load report of E3 in long form; with both error samples as JSON objects."""
+    acct = import_accounting(outcome, names)
+    types = {"schema_validation", "duplicate_key", "validation", "duplicate", "other"}
+    facts = acct.select(F.explode(F.array(*[
+        F.struct(F.lit("error_types" if samples and c in types else c if samples else "import").alias("section"), F.lit(c).alias("key"),
+                 F.col(c).cast("double").alias("num"), F.lit(None).cast("string").alias("txt"))
+        for c in acct.columns])).alias("f")).select("f.*")
+    facts = facts.unionByName(post_load_report(table, variant))
+    if not samples:
+        return facts
+    place = F.concat_ws(" ", F.col("file_path"), F.lpad(F.col("split_start").cast("string"), 20, "0"), F.lpad(F.col("row_id").cast("string"), 20, "0"))
+    rejects = rejection_messages(outcome).orderBy("pos").limit(15)
+    rejects = rejects.select(F.lit("errors_sample").alias("section"), place.alias("key"), F.lit(None).cast("double").alias("num"),
+                             F.to_json(F.struct(F.col("row_id").alias("row"), F.col("reject_type").alias("type"), "message")).alias("txt"))
+    parse = parse_error_sample(lines, outcome)
+    parse = parse.select(F.lit("parse_errors_sample").alias("section"), place.alias("key"), F.lit(None).cast("double").alias("num"),
+                         F.to_json(F.struct("line", "error", "raw")).alias("txt"))
+    # types without an error are not listed
+    return facts.filter((F.col("section") != "error_types") | (F.col("num") > 0)).unionByName(rejects).unionByName(parse)
+
+
 def run_load(spark: SparkSession, lines: DataFrame, table_path: str, mode: str = "reset",
-             ruleset: str = "strict", zone: str = "convert", names: str = "local") -> DataFrame:
+             ruleset: str = "strict", zone: str = "convert", names: str = "local", report_path: str | None = None) -> DataFrame:
     """E3 end to end: validate, insert (reset = overwrite, append = insert-or-
-    ignore vs stored keys), return the long-form import + post-load report.
+    ignore vs stored keys), return the long-form import + post-load report; with
+    ``report_path`` also written as one JSON file with both error samples.
     The cloud loader is ``ruleset="core", zone="drop", names="cloud"``."""
-    from stratus.sinks.tables import _existing_keys, scan_table, write_layout
     existing = None if mode == "reset" else _existing_keys(spark, table_path)
-    # the validated stage inside ``load`` is already stored, so the key join is
-    # re-run from it for the accounting instead of writing the outcome again
-    ckpt = load(lines, ruleset, zone, existing=existing, names=names)
-    inserted = ckpt.filter(F.col("status") == "inserted").select(*UNIFIED_COLUMNS)
+    # the validated stage and the marked keys inside ``load`` are already stored,
+    # so reading the outcome again joins them, no more
+    outcome = load(lines, ruleset, zone, existing=existing, names=names)
+    inserted = outcome.filter(F.col("status") == "inserted").select(*UNIFIED_COLUMNS)
     write_layout(inserted, table_path, "overwrite" if mode == "reset" else "append")
     table = scan_table(spark, table_path).select(*UNIFIED_COLUMNS)  # declared schema: an empty table is one too
-    acct = import_accounting(ckpt, names)
-    acct_long = acct.select(F.explode(F.array(*[
-        F.struct(F.lit("import").alias("section"), F.lit(c).alias("key"),
-                 F.col(c).cast("double").alias("num"), F.lit(None).cast("string").alias("txt"))
-        for c in acct.columns])).alias("f")).select("f.*")
-    return acct_long.unionByName(post_load_report(table, "strict" if ruleset == "strict" else "core"))
+    variant = "strict" if ruleset == "strict" else "core"
+    if report_path:
+        write_report(load_facts(lines, outcome, table, names, variant), report_path, LOAD_LAYOUT)
+    return load_facts(lines, outcome, table, names, variant, samples=False)
 
 
 # ---------------------------------------------------------------------------

@@ -16,6 +16,10 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # no Python stack trace per column expression: plans here have thousands
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # wide projections beyond what HotSpot compiles run as split functions instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Local runs only: the driver is the executor, so it gets the memory.

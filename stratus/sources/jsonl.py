@@ -90,11 +90,12 @@ def line_mark(value) -> Column:
     return F.hex(F.xxhash64(value))
 
 
-def in_array(value) -> Column:
+def in_array(value, key: str | None = None) -> Column:
     """The text as first element of a JSON array, before an object that holds
-    its mark. Text behind a first value is an error or a further element, and a
+    its mark, as a key or as the value of ``key``. Text behind a first value is an error or a further element, and a
     text that ends the array early leaves the mark outside (:func:`only_element`)."""
-    return F.concat(F.lit("["), F.col(value), F.lit(',{"'), line_mark(value), F.lit('":null}]'))
+    mark = (F.lit(',{"'), line_mark(value), F.lit('":null}]')) if key is None else (F.lit(f',{{"{key}":"'), line_mark(value), F.lit('"}]'))
+    return F.concat(F.lit("["), F.col(value), *mark)
 
 
 def only_element(parsed: str) -> Column:

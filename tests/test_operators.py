@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from stratus.operators.dedup import first_arrival, unique_key_violations
+from stratus.operators.dedup import repeated_keys, unique_key_violations
 from stratus.operators.joins import enrich_stations, enrich_stations_default
 from stratus.operators.queries import latest_n, share_by
 from stratus.sinks.tables import delete_where, update_where, upsert
@@ -35,11 +35,10 @@ def test_upsert_replaces_keys_last_update_wins(spark):
     assert out == {("a", T0): 1.0, ("a", T1): 21.0, ("b", T0): 5.0, (None, None): 8.0}
 
 
-def test_first_arrival_null_keys_equal(spark):
+def test_repeated_keys_null_keys_equal(spark):
     df = spark.createDataFrame([(None, None, 1), (None, None, 2), ("a", T0, 3)],
                                "station_id string, timestamp timestamp_ntz, pos long")
-    flags = {r.pos: r.is_first for r in first_arrival(df, order="pos").collect()}
-    assert flags == {1: True, 2: False, 3: True}
+    assert [(r.station_id, r.timestamp, r["_first"]) for r in repeated_keys(df, order="pos").collect()] == [(None, None, 1)]
     v = unique_key_violations(df).collect()
     assert len(v) == 1 and v[0].n == 2
 
