@@ -19,8 +19,9 @@ from stratus.session import cut_lineage
 #: Java pattern of one word of the contracts: no blank and no ASCII control blank.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Bytes of text that a Python task works on at once.
+#: Bytes of text that a Python task works on at once; fewer where the work takes many times the text.
 SLICE_BYTES = 8 << 20
+SMALL_SLICE_BYTES = 2 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -62,8 +63,8 @@ def doc_bucket(doc_id, n: int):
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
-def text_slices(batches, column: str = "text"):
-    """Cut record batches so that each part holds about SLICE_BYTES of text
+def text_slices(batches, column: str = "text", limit: int = SLICE_BYTES):
+    """Cut record batches so that each part holds about ``limit`` bytes of text
     (one longer text is a part of its own)."""
     for batch in batches:
         if not batch.num_rows:
@@ -73,10 +74,11 @@ def text_slices(batches, column: str = "text"):
         at = 0
         while at < batch.num_rows:
             done = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
+            to = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
             # a copy: some of pyarrow's string functions misread slices
             yield batch if to - at == batch.num_rows else batch.take(pa.array(np.arange(at, to)))
             at = to
+    pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
 
 class Words:

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratus.llm.common import Words, doc_bucket, mix64, text_slices
+from stratus.llm.common import SMALL_SLICE_BYTES, Words, doc_bucket, mix64, text_slices
 
 #: Hash buckets of letter trigrams, hence the size of the model: languages x buckets.
 BUCKETS = 1 << 15
@@ -181,7 +181,7 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
 
     def count(batches):
         counts = {}
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SMALL_SLICE_BYTES):
             words = Words(batch.column("text"))
             if not len(words.codes):
                 continue
@@ -212,7 +212,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(model)  # languages x BUCKETS
 
     def run(batches):
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SMALL_SLICE_BYTES):
             lang, score, spans = judge(batch.column("text"), model.value)
             yield pa.record_batch([batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), spans],
                                   names=["doc_id", "lang_pred", "score", "spans"])
@@ -226,7 +226,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SMALL_SLICE_BYTES):
             lang, score, _ = judge(batch.column("text"), model.value)
             yield batch.filter(pa.array([x != UNKNOWN for x in lang]) if least <= 0 else pa.array((score >= least) & (np.array(lang) != UNKNOWN)))
 

@@ -26,10 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.llm.common import Words, store, text_slices
+from stratus.llm.common import SMALL_SLICE_BYTES, Words, store, text_slices
 
-#: Distinct words whose ids a Python worker remembers before it starts anew (speed only).
-REMEMBERED = 1_000_000
+#: Bytes of words and ids that a Python worker remembers before it starts anew (speed only); an entry counts for ENTRY_BYTES more.
+REMEMBERED_BYTES, ENTRY_BYTES = 24 << 20, 150
 
 #: Pieces whose rank one window orders, about.
 ROWS_PER_BUCKET = 2000
@@ -54,9 +54,11 @@ class WordEncoder:
 
     def reset(self):
         self.known, self.starts, self.ids = {"": 0}, array("q", [0, 0]), array("I")
+        self.held = 0
 
     def add(self, part: str, ids: list[int]):
         self.known[part] = len(self.starts) - 1
+        self.held += len(part) + ENTRY_BYTES
         self.ids.extend(ids)
         self.starts.append(len(self.ids))
 
@@ -91,7 +93,7 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text begins, with the end)."""
         words = Words(texts)
-        if len(self.known) > REMEMBERED:
+        if self.held + 4 * len(self.ids) > REMEMBERED_BYTES:
             self.reset()
         if not len(words.codes):
             return np.zeros(0, np.uint32), np.zeros(len(words.offsets), np.int64)
@@ -195,7 +197,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> Da
     """(doc_id, piece, start, length, ids_crc32) of every document."""
     def run(batches):
         encoder = encoder_of(tokenizer)
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SMALL_SLICE_BYTES):
             ids, at = encoder.encode(batch.column("text"))
             doc, piece, start, length, crc = [], [], [], [], []
             for d, a, b in zip(batch.column("doc_id").to_pylist(), at[:-1], at[1:], strict=True):

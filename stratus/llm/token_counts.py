@@ -38,8 +38,8 @@ from stratus.llm.common import text_slices
 
 AHEAD, CONTEXT = 3, 48
 
-#: Distinct pre-tokens whose counts a Python worker remembers before it starts anew (speed only).
-REMEMBERED = 1_000_000
+#: Distinct pre-tokens whose counts a Python worker remembers before it starts anew (speed only): about 20 MB.
+REMEMBERED = 150_000
 
 SCHEMA = "doc_id long, n_tokens long, n_pretokens long, edited_tokens long, recounted long"
 
