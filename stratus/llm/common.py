@@ -63,9 +63,10 @@ def doc_bucket(doc_id, n: int):
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
-def text_slices(batches, column: str = "text", limit: int = SLICE_BYTES):
+def text_slices(batches, column: str = "text", limit: int | None = None):
     """Cut record batches so that each part holds about ``limit`` bytes of text
-    (one longer text is a part of its own)."""
+    (one longer text is a part of its own); SLICE_BYTES where none is given."""
+    limit = SLICE_BYTES if limit is None else limit
     for batch in batches:
         if not batch.num_rows:
             continue

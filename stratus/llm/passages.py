@@ -47,6 +47,8 @@ REACH = int(SEED_SCORE / GAP_COST)
 MARGIN, SHIFT, JOIN = 28, 6, 3
 #: Pieces of one text that a row asks for, about.
 REQUESTS = 64
+#: Documents whose seeds give the ranges that all seeds are dealt by.
+RANGE_SAMPLE = 4096
 
 FIRST = -2**63  # stands for a null doc_id
 
@@ -63,9 +65,37 @@ def chosen_of(rank: np.ndarray, count: np.ndarray, ends: np.ndarray, of: np.ndar
     return np.unique(np.concatenate(chosen))
 
 
-def seeds_of(docs: DataFrame, k: int, window: int) -> DataFrame:
-    """(seed, doc, pos); pos is -1 - pos where the text has the seed before. Odd
-    seeds stand for runs of LONG * k words, even ones for runs of k."""
+def ranges_of(docs: DataFrame, k: int, window: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """n - 1 points (seed, doc) that part all seeds in about equal ranges, from
+    the seeds of about RANGE_SAMPLE documents; a seed that many documents share
+    may hold several. The texts of all others are not cut for it."""
+    share = min(1.0, RANGE_SAMPLE / max(1, docs.count()))
+    some = docs.where(F.pmod(F.xxhash64("doc"), F.lit(1_000_000)) < share * 1_000_000)
+    kept = seeds_of(some, k, window).where(F.pmod(F.xxhash64("seed", "doc", "pos"), F.lit(16)) == 0) if share < 1 else seeds_of(some, k, window)
+    rows = kept.select("seed", "doc").toArrow()
+    seed, doc = rows["seed"].to_numpy(), rows["doc"].to_numpy()
+    order = np.lexsort((doc, seed))
+    at = order[(np.arange(1, n) * len(order)) // n] if len(order) else order
+    return seed[at], doc[at]
+
+
+def range_of(seed: np.ndarray, doc: np.ndarray, ranges: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How many points of ``ranges`` come before each (seed, doc)."""
+    seeds, docs = ranges
+    low, high = np.searchsorted(seeds, seed, side="left"), np.searchsorted(seeds, seed, side="right")
+    out = low.copy()
+    tied = np.flatnonzero(low < high)
+    for a in np.unique(low[tied]):
+        rows = tied[low[tied] == a]
+        out[rows] = a + np.searchsorted(docs[a:high[rows[0]]], doc[rows], side="left")
+    return out
+
+
+def seeds_of(docs: DataFrame, k: int, window: int, ranges: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """(seed, doc, pos, range); pos is -1 - pos where the text has the seed before.
+    Odd seeds stand for runs of LONG * k words, even ones for runs of k."""
+    ranges = (np.zeros(0, np.int64),) * 2 if ranges is None else ranges
+
     def run(batches):
         for batch in text_slices(batches):
             words = Words(batch.column("text"))
@@ -88,10 +118,11 @@ def seeds_of(docs: DataFrame, k: int, window: int) -> DataFrame:
             order = np.lexsort((pos, seed, of))
             again = np.zeros(len(at), bool)
             again[order[1:]] = (seed[order[1:]] == seed[order[:-1]]) & (of[order[1:]] == of[order[:-1]])
-            yield pa.record_batch([pa.array(signed(seed)), pa.array(batch.column("doc").to_numpy()[of]),
-                                   pa.array(np.where(again, -1 - pos, pos).astype(np.int32))], names=["seed", "doc", "pos"])
+            seed, doc = signed(seed), batch.column("doc").to_numpy()[of]
+            yield pa.record_batch([pa.array(seed), pa.array(doc), pa.array(np.where(again, -1 - pos, pos).astype(np.int32)),
+                                   pa.array(range_of(seed, doc, ranges).astype(np.int32))], names=["seed", "doc", "pos", "range"])
 
-    return docs.mapInArrow(run, "seed long, doc long, pos int")
+    return docs.mapInArrow(run, "seed long, doc long, pos int, range int")
 
 
 class FenwickMax:
@@ -197,7 +228,8 @@ def linked(batches):
                                   (np.flatnonzero(opens & ~near), np.arange(len(s)), np.full(len(group), OPEN_NEIGHBOUR))):
             to = other[group[rows]]
             if len(rows):
-                yield pa.record_batch([pa.array(x, t) for x, t in zip((seed[rows], doc[rows], d[to], place[rows], there[to], kind[rows]), types, strict=True)], names=names)
+                named = np.where(kind[rows] == DONE, seed[rows] & 1, seed[rows])  # which seed matters at the ends of ranges only
+                yield pa.record_batch([pa.array(x, t) for x, t in zip((named, doc[rows], d[to], place[rows], there[to], kind[rows]), types, strict=True)], names=names)
         last, origin, before = s[-1], (d[first[-1]], there[first[-1]]), (d[-1], there[-1])
 
     last = None
@@ -218,12 +250,24 @@ def linked(batches):
         yield pa.record_batch([pa.array([x], t) for x, t in zip(end, types, strict=True)], names=names)
 
 
+def packed(pos: np.ndarray, there: np.ndarray, long: np.ndarray) -> np.ndarray:
+    """Both places of a match and whether its seed is long, as one number that sorts like them."""
+    return (pos.astype(np.int64) << 32) | (there.astype(np.int64) << 1) | long
+
+
+def unpacked(at: np.ndarray) -> list[np.ndarray]:
+    return [at >> 32, (at >> 1) & 0x7FFFFFFF, at & 1]
+
+
 def matches_of(seeds: DataFrame) -> DataFrame:
-    """(doc, origin, pos, there, long): each seed of a document with the seed's
-    place in the first document that has it, and in the last one before its own;
-    at most two rows for an occurrence. Ranges of (seed, doc) are worked on, so
-    that one that many documents share is dealt over tasks."""
-    ranges = seeds.repartitionByRange(shuffle_partitions(seeds.sparkSession), "seed", "doc").sortWithinPartitions("seed", "doc", "pos")
+    """(doc, origin, at): each seed of a document with the seed's place in the
+    first document that has it, and in the last one before its own (``at``:
+    :func:`packed`); at most two rows for an occurrence. Ranges of (seed, doc)
+    are worked on, so that one that many documents share is dealt over tasks;
+    ``seeds`` name theirs in the column ``range``, below the number of shuffle
+    partitions."""
+    n = shuffle_partitions(seeds.sparkSession)
+    ranges = seeds.repartitionById(n, F.col("range")).sortWithinPartitions("seed", "doc", "pos").select("seed", "doc", "pos")
     rows = store(ranges.mapInArrow(linked, MATCH), "matches")
     ends = {}  # the seeds that ranges end with: a row for a range
     for r in rows.where(F.col("kind") == RANGE_END).collect():
@@ -244,10 +288,9 @@ def matches_of(seeds: DataFrame) -> DataFrame:
                 to = np.searchsorted(docs, doc[at]) - 1
                 origin[at], there[at] = docs[to], places[to]
             keep = origin < doc
-            yield pa.record_batch([pa.array(x[keep], t) for x, t in ((doc, pa.int64()), (origin, pa.int64()), (pos, pa.int32()), (there, pa.int32()), ((seed & 1), pa.int32()))],
-                                  names=["doc", "origin", "pos", "there", "long"])
+            yield pa.record_batch([pa.array(x[keep], pa.int64()) for x in (doc, origin, packed(pos, there, seed & 1))], names=["doc", "origin", "at"])
 
-    return rows.where(F.col("kind") != RANGE_END).mapInArrow(run, "doc long, origin long, pos int, there int, long int")
+    return rows.where(F.col("kind") != RANGE_END).mapInArrow(run, "doc long, origin long, at long")
 
 
 def spelled(doc: np.ndarray, origin: np.ndarray, pos: np.ndarray, there: np.ndarray, long: np.ndarray, at: np.ndarray, k: int):
@@ -271,7 +314,7 @@ def chains_of(matches: DataFrame, k: int) -> DataFrame:
         """Arrays of whole (doc, origin) groups; rows come sorted."""
         rest = None
         for batch in batches:
-            now = [batch.column(c).to_numpy() for c in ("doc", "origin", "pos", "there", "long")]
+            now = [batch.column(c).to_numpy() for c in ("doc", "origin", "at")]
             if rest is not None:
                 now = [np.concatenate(x) for x in zip(rest, now, strict=True)]
             if not len(now[0]):
@@ -286,7 +329,7 @@ def chains_of(matches: DataFrame, k: int) -> DataFrame:
 
     def run(batches):
         for rows, at in groups(batches):
-            doc, origin, pos, there, at = spelled(*rows, at, k)
+            doc, origin, pos, there, at = spelled(*rows[:2], *unpacked(rows[2]), at, k)
             types = [pa.int64(), pa.int64(), pa.int32()]
             names = ["doc", "origin", "n", "blocks"]
             # groups of one block, without a loop
@@ -304,13 +347,13 @@ def chains_of(matches: DataFrame, k: int) -> DataFrame:
                 *own, blocks = zip(*rows, strict=True)
                 yield pa.record_batch([*(pa.array(x, t) for x, t in zip(own, types, strict=True)), pa.array(blocks, pa.list_(pa.int32()))], names=names)
 
-    return (matches.repartition(shuffle_partitions(matches.sparkSession), "doc", "origin").sortWithinPartitions("doc", "origin", "pos", "there")
+    return (matches.repartition(shuffle_partitions(matches.sparkSession), "doc", "origin").sortWithinPartitions("doc", "origin", "at")
             .mapInArrow(run, "doc long, origin long, n int, blocks array<int>"))
 
 
 def word_bytes(hashes: np.ndarray) -> np.ndarray:
-    """(n, 3): 24 bits of each word's hash."""
-    return (hashes >> np.uint64(40)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+    """(n, 2): 16 bits of each word's hash. Unequal words look equal once in 65536 times."""
+    return (hashes >> np.uint64(48)).astype("<u2").view(np.uint8).reshape(-1, 2)
 
 
 def slices_of(docs: DataFrame, chains: DataFrame) -> DataFrame:
@@ -336,7 +379,7 @@ def slices_of(docs: DataFrame, chains: DataFrame) -> DataFrame:
             begin, end = np.minimum(begin + lo.to_numpy(), end), np.minimum(begin + hi.to_numpy(), end)
             size = end - begin
             at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            ends = np.concatenate([[0], np.cumsum(size * 3)]).astype(np.int32)
+            ends = np.concatenate([[0], np.cumsum(size * 2)]).astype(np.int32)
             held = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(known[at]))])
             yield pa.record_batch([doc, origin, n, side, lo, held, blocks], names=["doc", "origin", "n", "side", "lo", "words", "blocks"])
 
@@ -463,10 +506,8 @@ def aligned(slices: DataFrame) -> DataFrame:
             far.append(j.ravel())
         here, far = np.concatenate(here), np.concatenate(far)
         held = rows.column("words")
-        ends = np.concatenate([[0], np.cumsum(pc.binary_length(held).to_numpy())]) // 3
-        words = np.zeros((ends[-1], 4), np.uint8)
-        words[:, :3] = np.frombuffer(b"".join(held.to_pylist()), np.uint8).reshape(-1, 3)
-        words = words.view("<u4").ravel().astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(held).to_numpy())]) // 2
+        words = np.frombuffer(b"".join(held.to_pylist()), "<u2").astype(np.int64)
         lists = rows.column("blocks")
         of = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
         flat = lists.flatten().to_numpy().astype(np.int64)
@@ -516,7 +557,8 @@ def passages(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEA
     ids; words count from 0, ``first_id`` is the smallest id of those documents,
     ``same`` the share of equal words in the passage's pieces."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"), "text")
-    chains = store(chains_of(matches_of(seeds_of(docs, k, window)), k), "chains")
+    seeds = seeds_of(docs, k, window, ranges_of(docs, k, window, shuffle_partitions(docs.sparkSession)))
+    chains = store(chains_of(matches_of(seeds), k), "chains")
     pieces = aligned(slices_of(docs, chains))
     by_start = Window.partitionBy("doc").orderBy("start", "stop", "origin")
     pieces = pieces.withColumn("reach", F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1)))

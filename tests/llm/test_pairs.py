@@ -185,8 +185,14 @@ def test_recall_of_fuzzy_passages(spark, length, share, least):
 def test_matches_do_not_depend_on_ranges(spark):
     """A seed of many documents is dealt over ranges; each meets its first document and the one before its own."""
     rows = [(7 if i % 2 else 8, i, i + 3) for i in range(500)] + [(s, d, 1) for s in range(100, 140) for d in (1, 5, 9)]
-    ranges = spark.createDataFrame(rows, "seed long, doc long, pos int")
-    got = {(x.long, x.doc, x.origin, x.pos, x.there) for x in passages.matches_of(ranges).collect()}
+    places = sorted(x[:2] for x in rows)
+    points = [places[i * len(places) // 4] for i in (1, 2, 3)]  # two of them within a seed's documents
+    points = tuple(np.array(x, np.int64) for x in zip(*points, strict=True))
+    seed, doc = (np.array([x[i] for x in rows], np.int64) for i in (0, 1))
+    dealt = passages.range_of(seed, doc, points).tolist()
+    assert dealt == [sum(p < x[:2] for p in zip(*(p.tolist() for p in points), strict=True)) for x in rows] and len(set(dealt)) == 4
+    ranges = spark.createDataFrame([(*x, at) for x, at in zip(rows, dealt, strict=True)], "seed long, doc long, pos int, range int")
+    got = {(int(long), x.doc, x.origin, int(pos), int(there)) for x in passages.matches_of(ranges).collect() for pos, there, long in [passages.unpacked(np.int64(x.at))]}
     want = set()
     for s in {x[0] for x in rows}:
         of = sorted(x[1:] for x in rows if x[0] == s)
