@@ -115,7 +115,8 @@ def seeds_of(docs: DataFrame, k: int, window: int, ranges: tuple[np.ndarray, np.
                 far = chosen_of(mix64(runs ^ np.uint64(0x51ED2701)), count, np.cumsum(count), doc[begins], max(1, PIECE - LONG * k + 1))
                 at, seed = np.concatenate([at, begins[far]]), np.concatenate([seed, runs[far] | np.uint64(1)])
             of, pos = doc[at], first[at] - words.offsets[doc[at]]
-            order = np.lexsort((pos, seed, of))
+            # by text and seed, and, as places ascend, by place: one stable sort of a mixed key
+            order = np.argsort(seed ^ mix64(of.astype(np.uint64) + np.uint64(1)), kind="stable")
             again = np.zeros(len(at), bool)
             again[order[1:]] = (seed[order[1:]] == seed[order[:-1]]) & (of[order[1:]] == of[order[:-1]])
             seed, doc = signed(seed), batch.column("doc").to_numpy()[of]
@@ -357,16 +358,18 @@ def word_bytes(hashes: np.ndarray) -> np.ndarray:
 
 
 def slices_of(docs: DataFrame, chains: DataFrame) -> DataFrame:
-    """(doc, origin, n, side, lo, words, blocks): hashes of the words around each
-    chain, on both sides. A text is read once for every REQUESTS chains or so that need it."""
+    """(doc, origin, turn, lo, words, blocks): hashes of the words around each chain,
+    on both sides; ``turn`` is twice the chain's number, one more on the origin's
+    side. A text is read once for every REQUESTS chains or so that need it."""
     last = F.size("blocks")
     ends = lambda at: (F.greatest(F.lit(0), F.element_at("blocks", at + 1) - MARGIN).alias("lo"),
                        (F.element_at("blocks", last - 2 + at) + F.element_at("blocks", last) + MARGIN).alias("hi"))
-    wanted = (chains.select(F.col("doc").alias("text_of"), "doc", "origin", "n", F.lit(0).alias("side"), *ends(0), "blocks")
-              .union(chains.select(F.col("origin").alias("text_of"), "doc", "origin", "n", F.lit(1).alias("side"), *ends(1), F.lit(None).cast("array<int>"))))
+    turn = lambda side: (F.col("n") * 2 + side).alias("turn")
+    wanted = (chains.select(F.col("doc").alias("text_of"), F.col("origin").alias("other"), turn(0), *ends(0), "blocks")
+              .union(chains.select(F.col("origin").alias("text_of"), F.col("doc").alias("other"), turn(1), *ends(1), F.lit(None).cast("array<int>"))))
     parts = store(wanted.groupBy("text_of").agg(F.ceil(F.count("*") / REQUESTS).cast("int").alias("parts")), "parts")
-    asked = (wanted.join(parts, "text_of").withColumn("part", F.pmod(F.xxhash64("doc", "origin", "n"), F.col("parts")))
-             .groupBy("text_of", "part").agg(F.collect_list(F.struct("doc", "origin", "n", "side", "lo", "hi", "blocks")).alias("asked")))
+    asked = (wanted.join(parts, "text_of").withColumn("part", F.pmod(F.xxhash64("other", "turn"), F.col("parts")))
+             .groupBy("text_of", "part").agg(F.collect_list(F.struct("other", "turn", "lo", "hi", "blocks")).alias("asked")))
 
     def run(batches):
         for batch in text_slices(batches):
@@ -374,17 +377,20 @@ def slices_of(docs: DataFrame, chains: DataFrame) -> DataFrame:
             known = word_bytes(words.hashes())
             asked = batch.column("asked")
             text = np.repeat(np.arange(batch.num_rows), asked.value_lengths().to_numpy())
-            doc, origin, n, side, lo, hi, blocks = asked.flatten().flatten()
+            other, turn, lo, hi, blocks = asked.flatten().flatten()
+            own, other = batch.column("doc").to_numpy()[text], other.to_numpy()
+            there = (turn.to_numpy() & 1) == 1
             begin, end = words.offsets[text], words.offsets[text + 1]
             begin, end = np.minimum(begin + lo.to_numpy(), end), np.minimum(begin + hi.to_numpy(), end)
             size = end - begin
             at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
             ends = np.concatenate([[0], np.cumsum(size * 2)]).astype(np.int32)
             held = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(known[at]))])
-            yield pa.record_batch([doc, origin, n, side, lo, held, blocks], names=["doc", "origin", "n", "side", "lo", "words", "blocks"])
+            yield pa.record_batch([pa.array(np.where(there, other, own)), pa.array(np.where(there, own, other)), turn, lo, held, blocks],
+                                  names=["doc", "origin", "turn", "lo", "words", "blocks"])
 
-    return (docs.join(asked.withColumnRenamed("text_of", "doc"), "doc").select("text", "asked")
-            .mapInArrow(run, "doc long, origin long, n int, side int, lo int, words binary, blocks array<int>"))
+    return (docs.join(asked.withColumnRenamed("text_of", "doc"), "doc").select("doc", "text", "asked")
+            .mapInArrow(run, "doc long, origin long, turn int, lo int, words binary, blocks array<int>"))
 
 
 def edit_matches(a: np.ndarray, b: np.ndarray) -> int:
@@ -495,7 +501,7 @@ def aligned(slices: DataFrame) -> DataFrame:
 
     def pieces(rows: pa.RecordBatch, at: np.ndarray):
         """Of whole (doc, origin, n) groups, which begin at the rows ``at``."""
-        side, lo = rows.column("side").to_numpy(), rows.column("lo").to_numpy().astype(np.int64)
+        side, lo = rows.column("turn").to_numpy() & 1, rows.column("lo").to_numpy().astype(np.int64)
         size = np.diff(np.concatenate([at, [len(side)]]))
         plain = (size == 2) & (side[at] == 0) & (side[np.minimum(at + 1, len(side) - 1)] == 1)
         here, far = [at[plain]], [at[plain] + 1]
@@ -539,7 +545,7 @@ def aligned(slices: DataFrame) -> DataFrame:
                 continue
             if rest is not None:
                 batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
-            keys = [batch.column(c).to_numpy() for c in ("doc", "origin", "n")]
+            keys = [batch.column("doc").to_numpy(), batch.column("origin").to_numpy(), batch.column("turn").to_numpy() >> 1]
             at = np.flatnonzero(np.concatenate([[True], np.any([np.diff(x) != 0 for x in keys], axis=0)]))
             rest = batch.take(pa.array(np.arange(at[-1], batch.num_rows)))  # its group may go on
             if at[-1]:
@@ -547,7 +553,7 @@ def aligned(slices: DataFrame) -> DataFrame:
         if rest is not None:
             yield from pieces(rest, np.array([0]))
 
-    return (slices.repartition(shuffle_partitions(slices.sparkSession), "doc", "origin", "n").sortWithinPartitions("doc", "origin", "n", "side")
+    return (slices.repartition(shuffle_partitions(slices.sparkSession), "doc", "origin", F.expr("turn div 2")).sortWithinPartitions("doc", "origin", "turn")
             .mapInArrow(run, "doc long, origin long, start int, stop int, there int, there_stop int, same int"))
 
 
