@@ -45,8 +45,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back."""
-    return cut_lineage(df, f"llm-{name}")
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    What ``df`` was made of is done with then. Spark deletes shuffle files of
+    plans that the driver's collector has found unreachable, by itself only
+    every half hour; so it is asked to look now."""
+    stored = cut_lineage(df, f"llm-{name}")
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return stored
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
