@@ -46,6 +46,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back."""
+    ship(df.sparkSession)
     return cut_lineage(df, f"llm-{name}")
 
 

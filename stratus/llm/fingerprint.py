@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratus.llm.common import shuffle_partitions, text_slices
+from stratus.llm.common import ship, shuffle_partitions, text_slices
 
 LANES = 128
 #: A blank behind one of these ends a unit: every few words, in any language with blanks.
@@ -124,6 +124,7 @@ def op4_fingerprint(docs: DataFrame) -> DataFrame:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), TYPES, strict=True)],
                                       names=[c.split()[0] for c in SCHEMA.split(", ")])
 
+    ship(docs.sparkSession)
     rows = in_order(docs)
     return (rows.repartition(shuffle_partitions(docs.sparkSession), "bucket")
             .sortWithinPartitions("bucket", "guest", F.desc("key"), "text")

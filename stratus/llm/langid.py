@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratus.llm.common import SMALL_SLICE_BYTES, Words, doc_bucket, mix64, text_slices
+from stratus.llm.common import SMALL_SLICE_BYTES, Words, doc_bucket, mix64, text_slices, ship
 
 #: Hash buckets of letter trigrams, hence the size of the model: languages x buckets.
 BUCKETS = 1 << 15
@@ -171,6 +171,7 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
     """Fit on at most about ``per_lang`` documents of each language, chosen by a
     hash of the id; counts are summed in Spark, and what reaches the driver is
     one row per language and bucket."""
+    ship(docs.sparkSession)
     able = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     sizes = {r[0]: r[1] for r in able.groupBy("lang").count().collect()}  # one row per language
     if not sizes:
@@ -209,6 +210,7 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score, spans) of every document, from its text alone."""
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(model)  # languages x BUCKETS
 
     def run(batches):
@@ -223,6 +225,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: Model, least: float) -> DataFrame:
     """The rows of ``docs`` whose language is known with a score of at least ``least``."""
+    ship(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

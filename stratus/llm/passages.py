@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.llm.common import Words, mix64, shuffle_partitions, signed, store, text_slices, window_hashes
+from stratus.llm.common import Words, mix64, ship, shuffle_partitions, signed, store, text_slices, window_hashes
 
 K, WINDOW = 5, 8
 #: Runs of k words that a long seed has. Any PIECE words in a row have a long seed.
@@ -69,6 +69,7 @@ def ranges_of(docs: DataFrame, k: int, window: int, n: int) -> tuple[np.ndarray,
     """n - 1 points (seed, doc) that part all seeds in about equal ranges, from
     the seeds of about RANGE_SAMPLE documents; a seed that many documents share
     may hold several. The texts of all others are not cut for it."""
+    ship(docs.sparkSession)
     share = min(1.0, RANGE_SAMPLE / max(1, docs.count()))
     some = docs.where(F.pmod(F.xxhash64("doc"), F.lit(1_000_000)) < share * 1_000_000)
     kept = seeds_of(some, k, window).where(F.pmod(F.xxhash64("seed", "doc", "pos"), F.lit(16)) == 0) if share < 1 else seeds_of(some, k, window)

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratus.llm.common import Words, doc_bucket, text_slices
+from stratus.llm.common import Words, doc_bucket, ship, text_slices
 
 #: Labelled documents that the model is fitted on, about (chosen by a hash of the id).
 LABELLED = 20_000
@@ -129,6 +129,7 @@ def mine(sample: DataFrame, positives: int, negatives: int) -> tuple[list[str],
                 yield pa.record_batch([pa.array([size] * len(at), pa.int32()), coded.dictionary.cast(pa.string()).take(pa.array(at)),
                                        pa.array(bad[at]), pa.array((total - bad)[at])], names=["size", "entry", "bad", "good"])
 
+    ship(sample.sparkSession)
     rows = (sample.select("text", F.col("toxic").cast("long").alias("toxic")).mapInArrow(count, "size int, entry string, bad long, good long")
             .groupBy("size", "entry").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
             .where((F.col("bad") >= SUPPORT)))
