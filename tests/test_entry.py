@@ -26,3 +26,14 @@ def test_registry_consistent():
     from stratus.catalog import QUERIES
     for name in QUERIES:  # the numbered names belong to the training-data operators
         assert not name.startswith("op")
+
+
+def test_other_queries_stand_without_a_module_of_the_operators(monkeypatch):
+    import sys
+
+    from stratus.catalog import QUERIES
+    for name in [m for m in sys.modules if m.startswith("stratus.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "xxhash", None)  # as if it were not installed
+    monkeypatch.setitem(sys.modules, "tiktoken", None)
+    assert set(load_entry().queries()) == set(QUERIES)
