@@ -186,7 +186,7 @@ def test_run_cloud_end_to_end(spark, tmp_path):
     out_dir = str(tmp_path / "out")
     written = P.run_cloud(spark, root, out_dir)
     assert written.count() == 2
-    rep = spark.read.json(f"{out_dir}/weather_data.quality").first()
+    rep = spark.read.option("multiLine", True).json(f"{out_dir}/weather_data.quality").first()  # one JSON document
     assert rep.total_records == 2 and rep.duplicates == 0
     exported = [json.loads(line) for f in os.listdir(f"{out_dir}/weather_data") if f.endswith(".json")
                 for line in open(f"{out_dir}/weather_data/{f}")]
