@@ -99,4 +99,4 @@ def test_run_returns_the_last_stage(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
