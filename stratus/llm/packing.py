@@ -26,10 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.llm.common import SMALL_SLICE_BYTES, Words, store, text_slices
+from stratus.llm.common import Words, store, text_slices
 
 #: Bytes of words and ids that a Python worker remembers before it starts anew (speed only); an entry counts for ENTRY_BYTES more.
-REMEMBERED_BYTES, ENTRY_BYTES = 24 << 20, 150
+REMEMBERED_BYTES, ENTRY_BYTES = 64 << 20, 150
 
 #: Pieces whose rank one window orders, about.
 ROWS_PER_BUCKET = 2000
@@ -197,7 +197,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -> Da
     """(doc_id, piece, start, length, ids_crc32) of every document."""
     def run(batches):
         encoder = encoder_of(tokenizer)
-        for batch in text_slices(batches, limit=SMALL_SLICE_BYTES):
+        for batch in text_slices(batches):
             ids, at = encoder.encode(batch.column("text"))
             doc, piece, start, length, crc = [], [], [], [], []
             for d, a, b in zip(batch.column("doc_id").to_pylist(), at[:-1], at[1:], strict=True):
