@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratus.llm.common import Words, mix64, ship, shuffle_partitions, signed, store, text_slices, window_hashes
+from stratus.llm.common import Words, mix64, ship, shuffle_partitions, store, text_slices, window_hashes
 
 K, WINDOW = 5, 8
 #: Runs of k words that a long seed has. Any PIECE words in a row have a long seed.
@@ -45,10 +45,14 @@ SEED_SCORE, GAP_COST = 5.0, 0.2
 REACH = int(SEED_SCORE / GAP_COST)
 #: Words that chains are looked at beyond their ends, and that the sides may shift there; spaces between pieces of one passage.
 MARGIN, SHIFT, JOIN = 28, 6, 3
-#: Pieces of one text that a row asks for, about.
-REQUESTS = 64
-#: Documents whose seeds give the ranges that all seeds are dealt by.
+#: Slices of one text that one task answers, about; a text that more are asked of goes to several.
+REQUESTS = 4096
+#: Words of slices that a task hands on at once, about.
+ANSWER_WORDS = 4 << 20
+#: Documents whose seeds give the ranges that all seeds are dealt by, at least.
 RANGE_SAMPLE = 4096
+#: Seeds that a range has, about: so many are sorted at once.
+RANGE_SEEDS = 1 << 20
 
 FIRST = -2**63  # stands for a null doc_id
 
@@ -65,19 +69,23 @@ def chosen_of(rank: np.ndarray, count: np.ndarray, ends: np.ndarray, of: np.ndar
     return np.unique(np.concatenate(chosen))
 
 
-def ranges_of(docs: DataFrame, k: int, window: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """n - 1 points (seed, doc) that part all seeds in about equal ranges, from
-    the seeds of about RANGE_SAMPLE documents; a seed that many documents share
-    may hold several. The texts of all others are not cut for it."""
+def ranges_of(docs: DataFrame, k: int, window: int, n: int) -> tuple[tuple[np.ndarray, np.ndarray], int]:
+    """Points (seed, doc) that part all seeds in about equal ranges, ``parts`` for
+    each of n tasks and of about RANGE_SEEDS seeds at most, and ``parts``. They
+    come from the seeds of about RANGE_SAMPLE documents, or 16 for a task; a seed
+    that many documents share may hold several. The texts of all others are not
+    cut for it."""
     ship(docs.sparkSession)
-    share = min(1.0, RANGE_SAMPLE / max(1, docs.count()))
-    some = docs.where(F.pmod(F.xxhash64("doc"), F.lit(1_000_000)) < share * 1_000_000)
-    kept = seeds_of(some, k, window).where(F.pmod(F.xxhash64("seed", "doc", "pos"), F.lit(16)) == 0) if share < 1 else seeds_of(some, k, window)
-    rows = kept.select("seed", "doc").toArrow()
+    share = min(1.0, max(RANGE_SAMPLE, 16 * n) / max(1, docs.count()))
+    some, kept = docs, 1
+    if share < 1:
+        some, kept = docs.where(F.pmod(F.xxhash64("doc"), F.lit(1_000_000)) < share * 1_000_000), 16
+    rows = some.mapInArrow(seeds_in(k, window, kept), SEED).toArrow()
+    parts = max(1, -int(-len(rows) * kept / share // (n * RANGE_SEEDS)))
     seed, doc = rows["seed"].to_numpy(), rows["doc"].to_numpy()
     order = np.lexsort((doc, seed))
-    at = order[(np.arange(1, n) * len(order)) // n] if len(order) else order
-    return seed[at], doc[at]
+    at = order[(np.arange(1, n * parts) * len(order)) // (n * parts)] if len(order) else order
+    return (seed[at], doc[at]), parts
 
 
 def range_of(seed: np.ndarray, doc: np.ndarray, ranges: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -92,39 +100,87 @@ def range_of(seed: np.ndarray, doc: np.ndarray, ranges: tuple[np.ndarray, np.nda
     return out
 
 
-def seeds_of(docs: DataFrame, k: int, window: int, ranges: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
-    """(seed, doc, pos, range); pos is -1 - pos where the text has the seed before.
-    Odd seeds stand for runs of LONG * k words, even ones for runs of k."""
-    ranges = (np.zeros(0, np.int64),) * 2 if ranges is None else ranges
+SEED = "seed long, doc long, pos int"
+BLOCK = "range int, n int, held binary"
+
+
+def seeds_in_slice(batch: pa.RecordBatch, k: int, window: int):
+    """Arrays (seed, doc, pos) of a batch of texts, by text and place; pos is
+    -1 - pos where the text has the seed before. Seeds have 56 bits: two
+    unequal runs meet seldom, and are told apart when their chain is aligned. Odd
+    seeds stand for runs of LONG * k words, even ones for runs of k."""
+    words = Words(batch.column("text"))
+    hashes, first = window_hashes(words.hashes(), words.offsets, k)
+    if not len(hashes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+    doc = np.searchsorted(words.offsets, first, side="right") - 1
+    count = np.bincount(doc, minlength=batch.num_rows)
+    at = chosen_of(mix64(hashes ^ np.uint64(0x51ED2701)), count, np.cumsum(count), doc, window)
+    seed = (hashes[at] >> np.uint64(8)) & ~np.uint64(1)
+    begins = np.flatnonzero(np.arange(len(hashes)) + (LONG - 1) * k < np.cumsum(count)[doc])
+    if len(begins):
+        runs = np.zeros(len(begins), np.uint64)
+        for i in range(LONG):
+            runs = mix64(runs ^ hashes[begins + i * k]) + np.uint64(0x9E3779B97F4A7C15)
+        count = np.maximum(count - (LONG - 1) * k, 0)
+        far = chosen_of(mix64(runs ^ np.uint64(0x51ED2701)), count, np.cumsum(count), doc[begins], max(1, PIECE - LONG * k + 1))
+        at, seed = np.concatenate([at, begins[far]]), np.concatenate([seed, (runs[far] >> np.uint64(8)) | np.uint64(1)])
+    order = np.argsort(at, kind="stable")
+    at, seed = at[order], seed[order]
+    of, pos = doc[at], first[at] - words.offsets[doc[at]]
+    # by text and seed, and, as places ascend, by place: one stable sort of a mixed key
+    order = np.argsort(seed ^ mix64(of.astype(np.uint64) + np.uint64(1)), kind="stable")
+    again = np.zeros(len(at), bool)
+    again[order[1:]] = (seed[order[1:]] == seed[order[:-1]]) & (of[order[1:]] == of[order[:-1]])
+    return seed.view(np.int64), batch.column("doc").to_numpy()[of], np.where(again, -1 - pos, pos).astype(np.int32)
+
+
+def seeds_in(k: int, window: int, share: int = 1):
+    """Rows SEED of texts; of each 16 or so (``share``) places one."""
+    def run(batches):
+        for batch in text_slices(batches):
+            seed, doc, pos = seeds_in_slice(batch, k, window)
+            kept = mix64(seed.view(np.uint64) ^ mix64(doc.view(np.uint64)) ^ pos.astype(np.uint64)) % np.uint64(share) == 0
+            yield pa.record_batch([pa.array(x[kept]) for x in (seed, doc, pos)], names=["seed", "doc", "pos"])
+
+    return run
+
+
+def planes(x: np.ndarray) -> np.ndarray:
+    """All first bytes of the numbers, then all second ones, and so on: equal ones stand together."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).ravel()
+
+
+def block_of(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> bytes:
+    """Seeds as bytes: documents and places as differences from the row before, compressed."""
+    held = np.concatenate([planes(seed), planes(np.diff(doc, prepend=np.int64(0))), planes(np.diff(pos, prepend=np.int32(0)))])
+    return pa.Codec("zstd", compression_level=1).compress(held.tobytes(), asbytes=True)
+
+
+def rows_of(n: int, held: bytes) -> list[np.ndarray]:
+    """(seed, doc, pos) of :func:`block_of`."""
+    raw = np.frombuffer(pa.Codec("zstd").decompress(held, decompressed_size=20 * n, asbytes=True), np.uint8)
+    seed, doc, pos = (np.ascontiguousarray(raw[lo * n:hi * n].reshape(hi - lo, n).T).ravel().view(t) for lo, hi, t in ((0, 8, np.int64), (8, 16, np.int64), (16, 20, np.int32)))
+    return [seed, np.cumsum(doc, dtype=np.int64), np.cumsum(pos, dtype=np.int32)]
+
 
+def blocks_in(seed: np.ndarray, doc: np.ndarray, pos: np.ndarray, range_: np.ndarray) -> pa.RecordBatch:
+    """Rows BLOCK: the seeds of each range, in the order given."""
+    order = np.argsort(range_, kind="stable")
+    range_, seed, doc, pos = range_[order], seed[order], doc[order], pos[order]
+    at = np.concatenate([np.flatnonzero(np.diff(range_, prepend=-1)), [len(range_)]])
+    held = [block_of(seed[a:b], doc[a:b], pos[a:b]) for a, b in zip(at, at[1:], strict=False)]
+    return pa.record_batch([pa.array(range_[at[:-1]].astype(np.int32)), pa.array(np.diff(at).astype(np.int32)), pa.array(held, pa.binary())], names=["range", "n", "held"])
+
+
+def seeds_of(docs: DataFrame, k: int, window: int, ranges: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """All seeds of ``docs`` as rows BLOCK: a row for a slice of texts and a range."""
     def run(batches):
         for batch in text_slices(batches):
-            words = Words(batch.column("text"))
-            hashes, first = window_hashes(words.hashes(), words.offsets, k)
-            if not len(hashes):
-                continue
-            doc = np.searchsorted(words.offsets, first, side="right") - 1
-            count = np.bincount(doc, minlength=batch.num_rows)
-            at = chosen_of(mix64(hashes ^ np.uint64(0x51ED2701)), count, np.cumsum(count), doc, window)
-            seed = hashes[at] & ~np.uint64(1)
-            begins = np.flatnonzero(np.arange(len(hashes)) + (LONG - 1) * k < np.cumsum(count)[doc])
-            if len(begins):
-                runs = np.zeros(len(begins), np.uint64)
-                for i in range(LONG):
-                    runs = mix64(runs ^ hashes[begins + i * k]) + np.uint64(0x9E3779B97F4A7C15)
-                count = np.maximum(count - (LONG - 1) * k, 0)
-                far = chosen_of(mix64(runs ^ np.uint64(0x51ED2701)), count, np.cumsum(count), doc[begins], max(1, PIECE - LONG * k + 1))
-                at, seed = np.concatenate([at, begins[far]]), np.concatenate([seed, runs[far] | np.uint64(1)])
-            of, pos = doc[at], first[at] - words.offsets[doc[at]]
-            # by text and seed, and, as places ascend, by place: one stable sort of a mixed key
-            order = np.argsort(seed ^ mix64(of.astype(np.uint64) + np.uint64(1)), kind="stable")
-            again = np.zeros(len(at), bool)
-            again[order[1:]] = (seed[order[1:]] == seed[order[:-1]]) & (of[order[1:]] == of[order[:-1]])
-            seed, doc = signed(seed), batch.column("doc").to_numpy()[of]
-            yield pa.record_batch([pa.array(seed), pa.array(doc), pa.array(np.where(again, -1 - pos, pos).astype(np.int32)),
-                                   pa.array(range_of(seed, doc, ranges).astype(np.int32))], names=["seed", "doc", "pos", "range"])
-
-    return docs.mapInArrow(run, "seed long, doc long, pos int, range int")
+            seed, doc, pos = seeds_in_slice(batch, k, window)
+            yield blocks_in(seed, doc, pos, range_of(seed, doc, ranges))
+
+    return docs.mapInArrow(run, BLOCK)
 
 
 class FenwickMax:
@@ -203,6 +259,34 @@ MATCH = "seed long, doc long, origin long, pos int, there int, kind int"
 DONE, OPEN_ORIGIN, OPEN_NEIGHBOUR, RANGE_END = range(4)
 
 
+def sorted_ranges(batches):
+    """Rows SEED from rows BLOCK, which come sorted by range: a batch for each
+    range, by seed, doc, pos. Seeds that stand alone go, but for those at the
+    range's ends: there they may stand in the next one."""
+    def of(blocks):
+        seed, doc, pos = (np.concatenate(x) for x in zip(*blocks, strict=True))
+        order = np.argsort(seed)
+        ranked = seed[order]
+        same = np.flatnonzero(ranked[1:] == ranked[:-1])
+        tied = np.zeros(len(seed), bool)
+        tied[same] = tied[same + 1] = True
+        tied[(ranked == ranked[0]) | (ranked == ranked[-1])] = True
+        order = order[tied]
+        order = order[np.lexsort((pos[order], doc[order], seed[order]))]
+        return pa.record_batch([pa.array(x[order]) for x in (seed, doc, pos)], names=["seed", "doc", "pos"])
+
+    now, blocks = None, []
+    for batch in batches:
+        for range_, n, held in zip(*(batch.column(c).to_pylist() for c in ("range", "n", "held")), strict=True):
+            if range_ != now and blocks:
+                yield of(blocks)
+                blocks = []
+            now = range_
+            blocks.append(rows_of(n, held))
+    if blocks:
+        yield of(blocks)
+
+
 def linked(batches):
     """MATCH rows of one range of seeds, which come sorted by seed, doc, pos: each
     occurrence with its seed's first document and with the one before its own."""
@@ -262,15 +346,23 @@ def unpacked(at: np.ndarray) -> list[np.ndarray]:
 
 
 def matches_of(seeds: DataFrame) -> DataFrame:
+    """:func:`matched` of seeds as rows (seed, doc, pos, range)."""
+    def run(batches):
+        for batch in batches:
+            yield blocks_in(*(batch.column(c).to_numpy() for c in ("seed", "doc", "pos", "range")))
+
+    return matched(seeds.mapInArrow(run, BLOCK), 1)
+
+
+def matched(blocks: DataFrame, parts: int) -> DataFrame:
     """(doc, origin, at): each seed of a document with the seed's place in the
     first document that has it, and in the last one before its own (``at``:
     :func:`packed`); at most two rows for an occurrence. Ranges of (seed, doc)
     are worked on, so that one that many documents share is dealt over tasks;
-    ``seeds`` name theirs in the column ``range``, below the number of shuffle
-    partitions."""
-    n = shuffle_partitions(seeds.sparkSession)
-    ranges = seeds.repartitionById(n, F.col("range")).sortWithinPartitions("seed", "doc", "pos").select("seed", "doc", "pos")
-    rows = store(ranges.mapInArrow(linked, MATCH), "matches")
+    ``blocks`` name theirs in the column ``range``, ``parts`` of them for a task."""
+    n = shuffle_partitions(blocks.sparkSession)
+    ranges = blocks.repartitionById(n, F.expr(f"range div {parts}").cast("int")).sortWithinPartitions("range")
+    rows = store(ranges.mapInArrow(lambda batches: linked(sorted_ranges(batches)), MATCH), "matches")
     ends = {}  # the seeds that ranges end with: a row for a range
     for r in rows.where(F.col("kind") == RANGE_END).collect():
         ends.setdefault(r.seed, set()).update([(r.doc, r.pos), (r.origin, r.there)])
@@ -354,43 +446,85 @@ def chains_of(matches: DataFrame, k: int) -> DataFrame:
 
 
 def word_bytes(hashes: np.ndarray) -> np.ndarray:
-    """(n, 2): 16 bits of each word's hash. Unequal words look equal once in 65536 times."""
-    return (hashes >> np.uint64(48)).astype("<u2").view(np.uint8).reshape(-1, 2)
+    """16 bits of each word's hash. Unequal words look equal once in 65536 times."""
+    return (hashes >> np.uint64(48)).astype("<u2")
+
+
+def binaries(known: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Words ``known`` as one binary for each text or slice; ``ends`` count words, from 0."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * 2).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(known))])
+
+
+def words_of(docs: DataFrame) -> DataFrame:
+    """(text_of, words): 16 bits for each word of a text; texts without words go."""
+    def run(batches):
+        for batch in text_slices(batches):
+            words = Words(batch.column("text"))
+            rows = pa.record_batch([batch.column("doc"), binaries(word_bytes(words.hashes()), words.offsets)], names=["text_of", "words"])
+            yield rows.filter(pa.array(np.diff(words.offsets) > 0))
+
+    return docs.mapInArrow(run, "text_of long, words binary")
 
 
 def slices_of(docs: DataFrame, chains: DataFrame) -> DataFrame:
-    """(doc, origin, turn, lo, words, blocks): hashes of the words around each chain,
-    on both sides; ``turn`` is twice the chain's number, one more on the origin's
-    side. A text is read once for every REQUESTS chains or so that need it."""
+    """(doc, origin, turn, lo, words, blocks): the words around each chain, on both
+    sides; ``turn`` is twice the chain's number, one more on the origin's side.
+
+    Texts go to tasks as 16 bits a word, beside what is asked of them, in one
+    shuffle. A text that more than REQUESTS slices are asked of goes to several
+    tasks, up to the last word asked for; to fewer where it is long, so that the
+    copies take no more room than what is asked."""
     last = F.size("blocks")
     ends = lambda at: (F.greatest(F.lit(0), F.element_at("blocks", at + 1) - MARGIN).alias("lo"),
                        (F.element_at("blocks", last - 2 + at) + F.element_at("blocks", last) + MARGIN).alias("hi"))
     turn = lambda side: (F.col("n") * 2 + side).alias("turn")
     wanted = (chains.select(F.col("doc").alias("text_of"), F.col("origin").alias("other"), turn(0), *ends(0), "blocks")
               .union(chains.select(F.col("origin").alias("text_of"), F.col("doc").alias("other"), turn(1), *ends(1), F.lit(None).cast("array<int>"))))
-    parts = store(wanted.groupBy("text_of").agg(F.ceil(F.count("*") / REQUESTS).cast("int").alias("parts")), "parts")
-    asked = (wanted.join(parts, "text_of").withColumn("part", F.pmod(F.xxhash64("other", "turn"), F.col("parts")))
-             .groupBy("text_of", "part").agg(F.collect_list(F.struct("other", "turn", "lo", "hi", "blocks")).alias("asked")))
+    many = (wanted.groupBy("text_of").agg(F.count("*").alias("asked"), F.max("hi").alias("reach"))
+            .select("text_of", "reach", F.ceil(F.col("asked") / F.greatest(F.lit(REQUESTS), F.col("reach") / 8)).cast("int").alias("parts")).where("parts > 1"))
+    many = store(many, "parts")
+    texts = (words_of(docs).join(many, "text_of", "left")
+             .select("text_of", F.explode(F.expr("sequence(0, coalesce(parts, 1) - 1)")).alias("part"), F.lit(None).cast("long").alias("other"), F.lit(-1).alias("turn"),
+                     F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.lit(None).cast("array<int>").alias("blocks"),
+                     F.expr("if(parts is null, words, substring(words, 1, 2 * reach))").alias("words")))
+    asked = (wanted.join(many, "text_of", "left")
+             .select("text_of", F.expr("coalesce(pmod(xxhash64(other, turn), parts), 0)").cast("int").alias("part"), "other", "turn", "lo", "hi", "blocks",
+                     F.lit(None).cast("binary").alias("words")))
 
     def run(batches):
-        for batch in text_slices(batches):
-            words = Words(batch.column("text"))
-            known = word_bytes(words.hashes())
-            asked = batch.column("asked")
-            text = np.repeat(np.arange(batch.num_rows), asked.value_lengths().to_numpy())
-            other, turn, lo, hi, blocks = asked.flatten().flatten()
-            own, other = batch.column("doc").to_numpy()[text], other.to_numpy()
-            there = (turn.to_numpy() & 1) == 1
-            begin, end = words.offsets[text], words.offsets[text + 1]
-            begin, end = np.minimum(begin + lo.to_numpy(), end), np.minimum(begin + hi.to_numpy(), end)
-            size = end - begin
-            at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            ends = np.concatenate([[0], np.cumsum(size * 2)]).astype(np.int32)
-            held = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(known[at]))])
-            yield pa.record_batch([pa.array(np.where(there, other, own)), pa.array(np.where(there, own, other)), turn, lo, held, blocks],
-                                  names=["doc", "origin", "turn", "lo", "words", "blocks"])
-
-    return (docs.join(asked.withColumnRenamed("text_of", "doc"), "doc").select("doc", "text", "asked")
+        held = None  # the texts of the group at hand
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            text_of, part, turn, lo, hi = (batch.column(c).to_numpy() for c in ("text_of", "part", "turn", "lo", "hi"))
+            group = np.cumsum(np.concatenate([[False], (np.diff(text_of) != 0) | (np.diff(part) != 0)]))
+            texts, asked = np.flatnonzero(turn < 0), np.flatnonzero(turn >= 0)
+            begins, stops = (np.searchsorted(group[texts], group[asked], side=x) for x in ("left", "right"))
+            size = stops - begins  # one; more where rows share an id
+            rows = np.repeat(asked, size)
+            text = np.repeat(begins, size) + np.arange(len(rows)) - np.repeat(np.cumsum(size) - size, size)
+            words = batch.column("words").take(pa.array(texts))
+            offsets = np.concatenate([[0], np.cumsum(pc.binary_length(words).to_numpy())]).astype(np.int64) // 2
+            known = np.frombuffer(b"".join(words.to_pylist()), "<u2")
+            begin, end = (np.minimum(offsets[text] + x[rows], offsets[text + 1]) for x in (lo, hi)) if len(rows) else (rows, rows)
+            done = np.cumsum(end - begin)
+            at = 0
+            while at < len(rows):
+                to = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + ANSWER_WORDS, side="right")))
+                size = (end - begin)[at:to]
+                stop = np.concatenate([[0], np.cumsum(size)])
+                own = rows[at:to]
+                there = (turn[own] & 1) == 1
+                other = batch.column("other").take(pa.array(own)).to_numpy()
+                place = np.repeat(begin[at:to] - stop[:-1], size) + np.arange(stop[-1])
+                yield pa.record_batch([pa.array(np.where(there, other, text_of[own])), pa.array(np.where(there, text_of[own], other)), pa.array(turn[own]), pa.array(lo[own]),
+                                       binaries(known[place], stop), batch.column("blocks").take(pa.array(own))], names=["doc", "origin", "turn", "lo", "words", "blocks"])
+                at = to
+            held = batch.take(pa.array(texts[group[texts] == group[-1]]))
+
+    return (texts.union(asked).repartition(shuffle_partitions(docs.sparkSession), "text_of", "part").sortWithinPartitions("text_of", "part", "turn")
             .mapInArrow(run, "doc long, origin long, turn int, lo int, words binary, blocks array<int>"))
 
 
@@ -564,8 +698,8 @@ def passages(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEA
     ids; words count from 0, ``first_id`` is the smallest id of those documents,
     ``same`` the share of equal words in the passage's pieces."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"), "text")
-    seeds = seeds_of(docs, k, window, ranges_of(docs, k, window, shuffle_partitions(docs.sparkSession)))
-    chains = store(chains_of(matches_of(seeds), k), "chains")
+    ranges, parts = ranges_of(docs, k, window, shuffle_partitions(docs.sparkSession))
+    chains = store(chains_of(matched(seeds_of(docs, k, window, ranges), parts), k), "chains")
     pieces = aligned(slices_of(docs, chains))
     by_start = Window.partitionBy("doc").orderBy("start", "stop", "origin")
     pieces = pieces.withColumn("reach", F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1)))
@@ -606,6 +740,7 @@ def cut_passages(docs: DataFrame, **options) -> DataFrame:
              .agg(F.array_sort(F.collect_list(F.struct("start_word", "stop_word"))).alias("__cuts")))  # bounded by the text
     columns = docs.columns
     place = columns.index("text")
+    found = store(found, "cuts")  # of known size: while it is small, the texts stay where they are
     joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__cut_id")), "left").select(*columns, "__cuts")
 
     def run(batches):
