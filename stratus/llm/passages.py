@@ -47,8 +47,8 @@ REACH = int(SEED_SCORE / GAP_COST)
 MARGIN, SHIFT, JOIN = 28, 6, 3
 #: Slices of one text that one task answers, about; a text that more are asked of goes to several.
 REQUESTS = 4096
-#: Words of slices that a task hands on at once, about.
-ANSWER_WORDS = 4 << 20
+#: Words of slices that a task hands on at once, about; slices that are sorted at once, and aligned at once.
+ANSWER_WORDS, BUCKET_SLICES, ALIGNED_SLICES = 4 << 20, 1 << 17, 1 << 14
 #: Documents whose seeds give the ranges that all seeds are dealt by, at least.
 RANGE_SAMPLE = 4096
 #: Seeds that a range has, about: so many are sorted at once.
@@ -466,9 +466,56 @@ def words_of(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "text_of long, words binary")
 
 
-def slices_of(docs: DataFrame, chains: DataFrame) -> DataFrame:
-    """(doc, origin, turn, lo, words, blocks): the words around each chain, on both
-    sides; ``turn`` is twice the chain's number, one more on the origin's side.
+class Slices:
+    """Words around chains, on one side each: ``fixed`` has the columns doc, origin,
+    turn, lo, words and block numbers in it; ``turn`` is twice the chain's number,
+    one more on the origin's side. ``words`` and ``blocks`` are all of theirs in turn."""
+
+    def __init__(self, fixed: np.ndarray, words: np.ndarray, blocks: np.ndarray):
+        self.fixed, self.words, self.blocks = fixed, words, blocks
+
+    @staticmethod
+    def joined(all_: list[Slices]) -> Slices:
+        return Slices(*(np.concatenate([getattr(x, c) for x in all_], axis=a) for c, a in (("fixed", 1), ("words", 0), ("blocks", 0))))
+
+    def ends(self, column: int) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(self.fixed[column])])
+
+    def take(self, rows: np.ndarray) -> Slices:
+        held = []
+        for column, values in ((4, self.words), (5, self.blocks)):
+            size = self.fixed[column, rows]
+            held.append(values[np.repeat(self.ends(column)[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())])
+        return Slices(self.fixed[:, rows], *held)
+
+    def pack(self) -> bytes:
+        raw = b"".join([*(planes(np.diff(x, prepend=np.int64(0))).tobytes() for x in self.fixed), planes(self.blocks).tobytes(), self.words.tobytes()])
+        return pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+    @staticmethod
+    def unpack(n: int, words: int, blocks: int, held: bytes) -> Slices:
+        raw = np.frombuffer(pa.Codec("zstd").decompress(held, decompressed_size=48 * n + 4 * blocks + 2 * words, asbytes=True), np.uint8)
+        fixed = np.ascontiguousarray(raw[:48 * n].reshape(6, 8, n).transpose(0, 2, 1)).view(np.int64).reshape(6, n)
+        own = np.ascontiguousarray(raw[48 * n:48 * n + 4 * blocks].reshape(4, blocks).T).view(np.int32).ravel()
+        return Slices(np.cumsum(fixed, axis=1, dtype=np.int64), raw[48 * n + 4 * blocks:].view("<u2"), own)
+
+    def in_buckets(self, buckets: int) -> pa.RecordBatch:
+        """Rows SLICES: a chain's slices meet in one bucket."""
+        doc, origin, turn = (x.view(np.uint64) for x in self.fixed[:3])
+        bucket = (mix64(doc + mix64(origin + mix64(turn >> np.uint64(1)))) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        at = np.concatenate([np.flatnonzero(np.diff(bucket[order], prepend=-1)), [len(order)]])
+        held = [self.take(order[a:b]) for a, b in zip(at, at[1:], strict=False)]
+        columns = (bucket[order[at[:-1]]], np.diff(at), [len(x.words) for x in held], [len(x.blocks) for x in held], [x.pack() for x in held])
+        types = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+        return pa.record_batch([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["bucket", "n", "words", "blocks", "held"])
+
+
+SLICES = "bucket int, n int, words int, blocks int, held binary"
+
+
+def slices_of(docs: DataFrame, chains: DataFrame, buckets: int) -> DataFrame:
+    """Rows SLICES: the words around each chain, on both sides.
 
     Texts go to tasks as 16 bits a word, beside what is asked of them, in one
     shuffle. A text that more than REQUESTS slices are asked of goes to several
@@ -493,6 +540,7 @@ def slices_of(docs: DataFrame, chains: DataFrame) -> DataFrame:
 
     def run(batches):
         held = None  # the texts of the group at hand
+        answers, ready = [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -513,19 +561,24 @@ def slices_of(docs: DataFrame, chains: DataFrame) -> DataFrame:
             at = 0
             while at < len(rows):
                 to = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + ANSWER_WORDS, side="right")))
-                size = (end - begin)[at:to]
-                stop = np.concatenate([[0], np.cumsum(size)])
-                own = rows[at:to]
+                own, size = rows[at:to], (end - begin)[at:to]
                 there = (turn[own] & 1) == 1
                 other = batch.column("other").take(pa.array(own)).to_numpy()
-                place = np.repeat(begin[at:to] - stop[:-1], size) + np.arange(stop[-1])
-                yield pa.record_batch([pa.array(np.where(there, other, text_of[own])), pa.array(np.where(there, text_of[own], other)), pa.array(turn[own]), pa.array(lo[own]),
-                                       binaries(known[place], stop), batch.column("blocks").take(pa.array(own))], names=["doc", "origin", "turn", "lo", "words", "blocks"])
+                place = np.repeat(begin[at:to] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                blocks = batch.column("blocks").take(pa.array(own))
+                fixed = [np.where(there, other, text_of[own]), np.where(there, text_of[own], other), turn[own], lo[own], size, blocks.value_lengths().fill_null(0).to_numpy()]
+                answers.append(Slices(np.stack([x.astype(np.int64) for x in fixed]), known[place], blocks.flatten().to_numpy().astype(np.int32)))
+                ready += len(place)
                 at = to
+                if ready >= ANSWER_WORDS:
+                    yield Slices.joined(answers).in_buckets(buckets)
+                    answers, ready = [], 0
             held = batch.take(pa.array(texts[group[texts] == group[-1]]))
+        if answers:
+            yield Slices.joined(answers).in_buckets(buckets)
 
     return (texts.union(asked).repartition(shuffle_partitions(docs.sparkSession), "text_of", "part").sortWithinPartitions("text_of", "part", "turn")
-            .mapInArrow(run, "doc long, origin long, turn int, lo int, words binary, blocks array<int>"))
+            .mapInArrow(run, SLICES))
 
 
 def edit_matches(a: np.ndarray, b: np.ndarray) -> int:
@@ -630,13 +683,15 @@ def align(blocks: np.ndarray, block_at: np.ndarray, a: np.ndarray, a_at: np.ndar
     return p - x, pe + y, h - xf, he + yf, same + xs + ys
 
 
-def aligned(slices: DataFrame) -> DataFrame:
-    """(doc, origin, start, stop, there, there_stop, same) of chains that hold up."""
+def aligned(slices: DataFrame, parts: int) -> DataFrame:
+    """(doc, origin, start, stop, there, there_stop, same) of chains that hold up;
+    ``parts`` buckets of ``slices`` go to a task, which sorts one at a time."""
     names = ["doc", "origin", "start", "stop", "there", "there_stop", "same"]
 
-    def pieces(rows: pa.RecordBatch, at: np.ndarray):
+    def pieces(rows: Slices, at: np.ndarray):
         """Of whole (doc, origin, n) groups, which begin at the rows ``at``."""
-        side, lo = rows.column("turn").to_numpy() & 1, rows.column("lo").to_numpy().astype(np.int64)
+        doc, origin, turn, lo, _, count = rows.fixed
+        side = turn & 1
         size = np.diff(np.concatenate([at, [len(side)]]))
         plain = (size == 2) & (side[at] == 0) & (side[np.minimum(at + 1, len(side) - 1)] == 1)
         here, far = [at[plain]], [at[plain] + 1]
@@ -646,16 +701,12 @@ def aligned(slices: DataFrame) -> DataFrame:
             here.append(i.ravel())
             far.append(j.ravel())
         here, far = np.concatenate(here), np.concatenate(far)
-        held = rows.column("words")
-        ends = np.concatenate([[0], np.cumsum(pc.binary_length(held).to_numpy())]) // 2
-        words = np.frombuffer(b"".join(held.to_pylist()), "<u2").astype(np.int64)
-        lists = rows.column("blocks")
-        of = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
-        flat = lists.flatten().to_numpy().astype(np.int64)
-        within = np.repeat(here, of[here + 1] - of[here])
-        index = np.arange(len(within)) - np.repeat(np.cumsum(of[here + 1] - of[here]) - (of[here + 1] - of[here]), of[here + 1] - of[here])
-        blocks, block_at = flat[of[within] + index], np.concatenate([[0], np.cumsum(of[here + 1] - of[here])])
-        far_of = np.repeat(far, of[here + 1] - of[here])
+        ends, of = rows.ends(4), rows.ends(5)
+        words, flat = rows.words.astype(np.int64), rows.blocks.astype(np.int64)
+        within = np.repeat(here, count[here])
+        index = np.arange(len(within)) - np.repeat(np.cumsum(count[here]) - count[here], count[here])
+        blocks, block_at = flat[of[within] + index], np.concatenate([[0], np.cumsum(count[here])])
+        far_of = np.repeat(far, count[here])
         blocks = blocks - np.where(index % 3 == 0, lo[within], np.where(index % 3 == 1, lo[far_of], 0))
         last = block_at[1:] - 3
         fits = ((blocks[last] + blocks[last + 2] <= ends[here + 1] - ends[here])
@@ -669,26 +720,36 @@ def aligned(slices: DataFrame) -> DataFrame:
         start, stop, there, there_stop, same = align(blocks, block_at, words, ends[here], ends[here + 1], words, ends[far], ends[far + 1])
         good = (stop - start >= PIECE) & (1000 * same >= int(1000 * SAME) * np.maximum(stop - start, there_stop - there))
         a, b = lo[here] - ends[here], lo[far] - ends[far]
-        doc, origin = rows.column("doc").to_numpy()[here], rows.column("origin").to_numpy()[here]
-        yield pa.record_batch([pa.array(doc[good]), pa.array(origin[good]), *(pa.array(x[good].astype(np.int32)) for x in (start + a, stop + a, there + b, there_stop + b, same))],
+        yield pa.record_batch([pa.array(doc[here][good]), pa.array(origin[here][good]), *(pa.array(x[good].astype(np.int32)) for x in (start + a, stop + a, there + b, there_stop + b, same))],
                               names=names)
 
+    def bucket_of(held: list[Slices]):
+        rows = Slices.joined(held)
+        order = np.lexsort((rows.fixed[2], rows.fixed[1], rows.fixed[0]))
+        keys = rows.fixed[:3, order]
+        keys[2] >>= 1
+        at = np.flatnonzero(np.concatenate([[True], (np.diff(keys, axis=1) != 0).any(axis=0)]))
+        lo = 0
+        while lo < len(at):
+            to = max(lo + 1, int(np.searchsorted(at, at[lo] + ALIGNED_SLICES)))
+            stop = at[to] if to < len(at) else len(order)
+            yield from pieces(rows.take(order[at[lo]:stop]), at[lo:to] - at[lo])
+            lo = to
+
     def run(batches):
-        rest = None
+        now, held = None, []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            if rest is not None:
-                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
-            keys = [batch.column("doc").to_numpy(), batch.column("origin").to_numpy(), batch.column("turn").to_numpy() >> 1]
-            at = np.flatnonzero(np.concatenate([[True], np.any([np.diff(x) != 0 for x in keys], axis=0)]))
-            rest = batch.take(pa.array(np.arange(at[-1], batch.num_rows)))  # its group may go on
-            if at[-1]:
-                yield from pieces(batch.take(pa.array(np.arange(at[-1]))), at[:-1])
-        if rest is not None:
-            yield from pieces(rest, np.array([0]))
-
-    return (slices.repartition(shuffle_partitions(slices.sparkSession), "doc", "origin", F.expr("turn div 2")).sortWithinPartitions("doc", "origin", "turn")
+            for bucket, *own in zip(*(batch.column(c).to_pylist() for c in ("bucket", "n", "words", "blocks", "held")), strict=True):
+                if bucket != now and held:
+                    yield from bucket_of(held)
+                    held = []
+                now = bucket
+                held.append(Slices.unpack(*own))
+        if held:
+            yield from bucket_of(held)
+
+    n = shuffle_partitions(slices.sparkSession)
+    return (slices.repartitionById(n, F.expr(f"bucket div {parts}").cast("int")).sortWithinPartitions("bucket")
             .mapInArrow(run, "doc long, origin long, start int, stop int, there int, there_stop int, same int"))
 
 
@@ -698,9 +759,11 @@ def passages(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEA
     ids; words count from 0, ``first_id`` is the smallest id of those documents,
     ``same`` the share of equal words in the passage's pieces."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST)).alias("doc"), "text")
-    ranges, parts = ranges_of(docs, k, window, shuffle_partitions(docs.sparkSession))
+    n = shuffle_partitions(docs.sparkSession)
+    ranges, parts = ranges_of(docs, k, window, n)
     chains = store(chains_of(matched(seeds_of(docs, k, window, ranges), parts), k), "chains")
-    pieces = aligned(slices_of(docs, chains))
+    parts = max(1, -(-2 * chains.count() // (n * BUCKET_SLICES)))
+    pieces = aligned(slices_of(docs, chains, n * parts), parts)
     by_start = Window.partitionBy("doc").orderBy("start", "stop", "origin")
     pieces = pieces.withColumn("reach", F.max("stop").over(by_start.rowsBetween(Window.unboundedPreceding, -1)))
     pieces = pieces.withColumn("passage", F.sum(F.when(F.col("start") <= F.col("reach") + JOIN, 0).otherwise(1)).over(by_start))
