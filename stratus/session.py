@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -65,6 +66,19 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/stratus/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def split_methods(spark: SparkSession):
+    """Plans run inside have their wide projections as functions that HotSpot
+    compiles, also in a session that was not made by :func:`get_session`."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BASE_CONF[name])
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def cut_lineage(df, name: str = "stage"):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     continue from the written table.
@@ -76,5 +90,6 @@ def cut_lineage(df, name: str = "stage"):
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    with split_methods(spark):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

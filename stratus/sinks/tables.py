@@ -81,28 +81,31 @@ def interleaved(a, b, bits: int = LAYOUT_BITS):
     return out
 
 
-def layout_key(df: DataFrame, bits: int = LAYOUT_BITS):
-    """A number per row that keeps rows of near stations *and* near times together.
+def with_place(df: DataFrame, bits: int = LAYOUT_BITS) -> DataFrame:
+    """Add ``_place``: a number per row that keeps rows of near stations *and* near times together.
 
     Both axes are cut at quantiles of the data (approximate; 2**bits - 1 numbers
     each reach the driver): stations by their first seven bytes as a number,
     which keeps their order, times by their seconds. A station or an hour with many
-    rows gets as many ranges as it fills quantiles."""
+    rows gets as many ranges as it fills quantiles. A row's range on an axis is
+    found by halving, a projection a step, so that nothing is computed twice."""
     station = F.conv(F.rpad(F.hex(F.coalesce("station_id", F.lit(""))), 14, "0"), 16, 10).cast("long")
     time = F.coalesce(F.unix_seconds(F.col("timestamp").cast("timestamp")), F.lit(0))
     shares = [i / 2**bits for i in range(1, 2**bits)]
     cuts = df.agg(F.percentile_approx(station, shares, 100 * 2**bits).alias("s"), F.percentile_approx(time, shares, 100 * 2**bits).alias("t")).first()
+    points = {axis: F.array(*(F.lit(p).cast("long") for p in at or [])).cast("array<long>") for axis, at in (("_s", cuts.s), ("_t", cuts.t))}
 
-    def place(x, at):
-        points = F.array(*(F.lit(p).cast("long") for p in at or []))
-        return F.size(F.filter(points.cast("array<long>"), lambda p: p < x))
-
-    return interleaved(place(station, cuts.s), place(time, cuts.t), bits)
+    # the number of points below a value: no points (an empty table) give 0
+    out = df.withColumns({"_s": station, "_t": time, "_s_at": F.lit(0), "_t_at": F.lit(0)})
+    for step in (2**i for i in reversed(range(bits))):
+        below = lambda axis: F.get(points[axis], F.col(f"{axis}_at") + (step - 1)) < F.col(axis)  # noqa: E731, B023
+        out = out.withColumns({f"{axis}_at": F.col(f"{axis}_at") + F.when(below(axis), step).otherwise(0) for axis in points})
+    return out.withColumn("_place", interleaved(F.col("_s_at"), F.col("_t_at"), bits)).drop("_s", "_t", "_s_at", "_t_at")
 
 
 def write_layout(df: DataFrame, path: str, mode: str = "overwrite", keep: tuple[str, ...] = ()) -> None:
     """K7: partition by source; rows go to files by the interleaved key of station
-    and time (:func:`layout_key`), so Parquet statistics prune files for a
+    and time (:func:`with_place`), so Parquet statistics prune files for a
     station's rows, for a time slice over all stations, and for both.
 
     Range partitioning samples the key distribution, so a station holding a
@@ -111,7 +114,7 @@ def write_layout(df: DataFrame, path: str, mode: str = "overwrite", keep: tuple[
     statistics of row groups and pages. Columns of ``keep`` are stored too.
     """
     rows = df.select(*UNIFIED_COLUMNS, *keep)
-    (rows.withColumn("_place", layout_key(rows)).repartitionByRange("_place", "station_id", "timestamp").drop("_place")
+    (with_place(rows).repartitionByRange("_place", "station_id", "timestamp").drop("_place")
      # the partition column first: the writer sorts by it anyway, and keeps this order
      .sortWithinPartitions("source", "station_id", "timestamp")
      .write.mode(mode).partitionBy("source").parquet(path))

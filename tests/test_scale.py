@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import stratus.plans.pipelines as P
 from stratus.operators.quality import QUALITY_LAYOUT, quality_report, report_lines
 from stratus.schema import KEY_COLUMNS, UNIFIED_COLUMNS, UNIFIED_SCHEMA
+from stratus.session import split_methods
 from stratus.sinks import tables as T
 from stratus.sources.document import explode_documents
 from stratus.sources.jsonl import scan_lines
@@ -212,3 +213,37 @@ def test_sheets_without_columns(spark):
     assert [(r.file_path, len(r.missing)) for r in missing_sheet_columns(rows).collect()] == [("a", 7)]
     with pytest.raises(KeyError, match="missing columns in a"):
         require_sheet_columns(rows)
+
+
+def test_layout_place_is_found_by_halving(spark):
+    """The place of a row is computed once: no function over all quantiles, twelve times a row."""
+    rows = spark.range(500).select(*(F.lit(None).cast(f.dataType).alias(f.name) if f.name not in ("station_id", "timestamp") else
+                                     F.expr("CASE WHEN id % 50 <> 3 THEN 's' || id % 7 END").alias(f.name) if f.name == "station_id" else
+                                     F.expr("CASE WHEN id % 60 <> 4 THEN TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, 0, int(id * id % 997)) END").alias(f.name)
+                                     for f in UNIFIED_SCHEMA.fields))
+    placed = T.with_place(rows, bits=3)
+    assert "lambda" not in placed._jdf.queryExecution().optimizedPlan().toString()
+    station = lambda r: int.from_bytes((r.station_id or "").encode().ljust(7, b"\0")[:7])
+    time = lambda r: int(r.timestamp.replace(tzinfo=dt.timezone.utc).timestamp()) if r.timestamp else 0
+    found = placed.collect()
+    cuts = [[sorted(map(x, found))[-(-i * len(found) // 8) - 1] for i in range(1, 8)] for x in (station, time)]
+    for r in found:
+        a, b = (sum(p < x(r) for p in c) for x, c in zip((station, time), cuts, strict=True))
+        assert r._place == sum((a >> i & 1) << 2 * i + 1 | (b >> i & 1) << 2 * i for i in range(3))
+    assert T.with_place(rows.limit(0)).count() == 0
+
+
+def test_stored_stages_run_as_compiled_functions(spark):
+    """Wide projections of a stored stage are split into functions in any session, whose setting comes back."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "65535")
+    try:
+        with split_methods(spark):
+            assert spark.conf.get(name) == "8000"
+        assert spark.conf.get(name) == "65535"
+        with pytest.raises(ZeroDivisionError), split_methods(spark):
+            raise ZeroDivisionError
+        assert spark.conf.get(name) == "65535"
+    finally:
+        spark.conf.set(name, before)
