@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import stratus.plans.pipelines as P
+from stratus.operators.normalize import sheet_rows
 from stratus.operators.quality import QUALITY_LAYOUT, quality_report, report_lines
 from stratus.schema import KEY_COLUMNS, UNIFIED_COLUMNS, UNIFIED_SCHEMA
 from stratus.session import split_methods
@@ -247,3 +248,18 @@ def test_stored_stages_run_as_compiled_functions(spark):
         assert spark.conf.get(name) == "65535"
     finally:
         spark.conf.set(name, before)
+
+
+def test_sheet_rows_read_a_path_once_per_file(spark):
+    """Day and station of a sheet come from the table of files, and a time cell is cleaned once a row."""
+    lines = [("/in/IICHTE19/010324.jsonl", 0, i, json.dumps({"Time": t, "UV": "1"})) for i, t in enumerate(["1:05  PM", " 13:05:06 ", "2024-03-01 07:08:09", "x", None])]
+    lines += [("/in/ILAMAD25/notes.jsonl", 0, 9, '{"Time": "1:05 PM"}'), ("/in/ILAMAD25/020324.jsonl", 0, 10, '{"UV": "1"}')]
+    sheets = spark.createDataFrame(lines, "file_path string, split_start long, row_id long, value string").repartition(2)
+    stage = P.sheet_stage(sheets)
+    rows = sheet_rows(stage, F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1))
+    got = {r.row_id: r for r in rows.collect()}
+    at = lambda *hms: dt.datetime(2024, 3, 1, *hms)
+    assert {k: r.timestamp for k, r in got.items()} == {0: at(13, 5), 1: at(13, 5, 6), 2: at(7, 8, 9), 3: None, 4: None}
+    assert {r.station_id for r in got.values()} == {"IICHTE19"}
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_has_time" in line for line in plan.splitlines() if "[^/]" in line) and plan.count("(?U)") == 1
