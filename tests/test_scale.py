@@ -12,13 +12,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import stratus.plans.pipelines as P
+from stratus.functions.text import BLANKS, is_blank, strip_blank
 from stratus.operators.normalize import sheet_rows
 from stratus.operators.quality import QUALITY_LAYOUT, quality_report, report_lines
 from stratus.schema import KEY_COLUMNS, UNIFIED_COLUMNS, UNIFIED_SCHEMA
 from stratus.session import split_methods
 from stratus.sinks import tables as T
 from stratus.sources.document import explode_documents
-from stratus.sources.jsonl import scan_lines
+from stratus.sources.jsonl import nonblank, scan_lines
 from tests.test_losses import lines_of
 
 DAY = dt.datetime(2024, 3, 1)
@@ -263,3 +264,13 @@ def test_sheet_rows_read_a_path_once_per_file(spark):
     assert {r.station_id for r in got.values()} == {"IICHTE19"}
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert all("_has_time" in line for line in plan.splitlines() if "[^/]" in line) and plan.count("(?U)") == 1
+
+
+def test_blank_check_stops_at_first_character(spark):
+    """A long line is not rewritten to tell that it is not blank; what counts as blank is as before."""
+    texts = [None, "", " ", BLANKS, BLANKS[::-1] + " ", "x", " x", "x ", " é ", "　​", "   \U0001f600", "﻿"]
+    texts += [" " + b for b in BLANKS]
+    rows = spark.createDataFrame([(t,) for t in texts], "value string")
+    checked = rows.select("value", is_blank("value").alias("now"), (strip_blank("value") == "").alias("plain"))
+    assert all(r.now is r.plain for r in checked.collect())
+    assert "translate" not in nonblank(rows)._jdf.queryExecution().optimizedPlan().toString()
