@@ -344,10 +344,11 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, **options) -> DataFrame:
     doc_id and, of rows that repeat it, the smallest text. Texts without
     shingles stay, but for repeated rows."""
     marked = store(mark(docs, k=k, **options).select("doc_id", "cls", "root", "kept"), "marked")
-    ids = store(marked.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"), F.max("kept").alias("__any")).where("__any"), "kept")
+    # ids that do not simply stay: far fewer than those that do, so that the texts stay where they are for longer
+    ids = store(marked.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"), F.max("kept").alias("__any")).where("__n > 1 or not __any"), "dropped")
     same = F.col("doc_id").eqNullSafe(F.col("__id"))
-    out = docs.join(ids.where("__n = 1"), same, "left_semi")
-    repeated = ids.where("__n > 1")
+    out = docs.join(ids, same, "left_anti")
+    repeated = ids.where("__any")
     if repeated.isEmpty():
         return out
     # an id on several rows: their classes tell which of them stay

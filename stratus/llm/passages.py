@@ -500,9 +500,9 @@ class Slices:
         return Slices(np.cumsum(fixed, axis=1, dtype=np.int64), raw[48 * n + 4 * blocks:].view("<u2"), own)
 
     def in_buckets(self, buckets: int) -> pa.RecordBatch:
-        """Rows SLICES: a chain's slices meet in one bucket."""
-        doc, origin, turn = (x.view(np.uint64) for x in self.fixed[:3])
-        bucket = (mix64(doc + mix64(origin + mix64(turn >> np.uint64(1)))) % np.uint64(buckets)).astype(np.int32)
+        """Rows SLICES: a document's chains, which its length bounds, meet in one
+        bucket. Its own slices lie over each other, so they take little room there."""
+        bucket = (mix64(self.fixed[0].view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         at = np.concatenate([np.flatnonzero(np.diff(bucket[order], prepend=-1)), [len(order)]])
         held = [self.take(order[a:b]) for a, b in zip(at, at[1:], strict=False)]
@@ -577,7 +577,7 @@ def slices_of(docs: DataFrame, chains: DataFrame, buckets: int) -> DataFrame:
         if answers:
             yield Slices.joined(answers).in_buckets(buckets)
 
-    return (texts.union(asked).repartition(shuffle_partitions(docs.sparkSession), "text_of", "part").sortWithinPartitions("text_of", "part", "turn")
+    return (texts.union(asked).repartition(shuffle_partitions(docs.sparkSession), "text_of", "part").sortWithinPartitions("text_of", "part", "turn", "lo")
             .mapInArrow(run, SLICES))
 
 

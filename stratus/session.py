@@ -67,18 +67,29 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def split_methods(spark: SparkSession):
-    """Plans run inside have their wide projections as functions that HotSpot
-    compiles, also in a session that was not made by :func:`get_session`."""
-    name = "spark.sql.codegen.hugeMethodLimit"
+def set_within(spark: SparkSession, name: str, value: str):
+    """A setting of the session that holds for what is run inside."""
     before = spark.conf.get(name)
-    spark.conf.set(name, BASE_CONF[name])
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def split_methods(spark: SparkSession):
+    """Plans run inside have their wide projections as functions that HotSpot
+    compiles, also in a session that was not made by :func:`get_session`."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    return set_within(spark, name, BASE_CONF[name])
+
+
+def drop_shuffles(spark: SparkSession):
+    """What is written inside leaves no shuffle files: Spark drops them when the
+    write ends, not when the driver happens to collect its garbage."""
+    return set_within(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def cut_lineage(df, name: str = "stage"):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     continue from the written table.
@@ -86,10 +97,11 @@ def cut_lineage(df, name: str = "stage"):
     Used after wide, expression-heavy stages (validation): later joins plan
     against a plain scan, and a lost executor does not recompute the stage.
     (A written table rather than ``checkpoint()``, which would carry over
-    and recompute the constraints of the large projections.)
+    and recompute the constraints of the large projections.) Its shuffles go, as
+    nothing reads them once the table stands.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    with split_methods(spark):
+    with split_methods(spark), drop_shuffles(spark):
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

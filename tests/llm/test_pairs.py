@@ -1,5 +1,6 @@
 import re
 import string
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratus.llm import ann, neardup, passages
-from stratus.llm.common import components
+from stratus.llm.common import components, store
 from tests.llm.helpers import SCHEMA, no_docs, odd_docs, prose, rng, row
 
 SF = "/root/testdata/sf0.01"
@@ -99,6 +100,24 @@ def test_near_duplicates_odd_inputs(spark):
     assert kept.where("text like 'another%'").count() == 1
 
 
+def test_few_copies_leave_the_texts_where_they_are(spark):
+    ids = [x * 7_919_999_999 for x in range(1, 2001)]
+    docs = spark.createDataFrame([(d, f"text {d % 991 if d > ids[-21] else d} of some words") for d in ids] + [(None, "no id")], "doc_id long, text string")
+    texts = {}
+    for d, text in sorted((r.doc_id, r.text) for r in docs.where("doc_id is not null").collect()):
+        texts.setdefault(text, d)
+    docs = docs.union(docs.where(F.col("doc_id") <= ids[19]).withColumn("doc_id", F.col("doc_id") + ids[-1]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")  # the ids that stay take more, those that go less
+    try:
+        out = neardup.drop_near_duplicates(docs)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert {r.doc_id for r in out.collect()} == {None, *texts.values()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_sketch_weight_estimates_similarity():
     r = np.random.default_rng(2)
     for share in (0.95, 0.85, 0.7):
@@ -201,6 +220,32 @@ def test_matches_do_not_depend_on_ranges(spark):
     assert got == want
 
 
+def test_slices_of_one_document_share_the_room():
+    words = np.random.default_rng(3).integers(0, 1 << 16, 3000).astype("<u2")
+    lo = np.arange(0, 2900, 5)
+    rows = passages.Slices(np.stack([np.full(len(lo), 77), np.arange(len(lo)), np.zeros(len(lo), np.int64), lo, np.full(len(lo), 61), np.zeros(len(lo), np.int64)]),
+                           words[(lo[:, None] + np.arange(61)).ravel()], np.zeros(0, np.int32))
+    out = rows.in_buckets(16)
+    assert out.num_rows == 1  # not one for each of the 16 buckets
+    assert len(out.column("held")[0].as_py()) < 2 * words.nbytes < rows.words.nbytes / 5
+    again = passages.Slices.unpack(*(out.column(c)[0].as_py() for c in ("n", "words", "blocks", "held")))
+    assert (again.fixed == rows.fixed).all() and (again.words == rows.words).all()
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    held = lambda: {str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(name), held()
+    out = store(spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count(), "test")
+    for _ in range(50):
+        if not held() - before:
+            break
+        time.sleep(0.1)
+    assert not held() - before
+    assert sorted(r["count"] for r in out.collect()) == [142, 143, 143, 143, 143, 143, 143]
+    assert spark.conf.get(name) == setting
+
+
 def test_chain_is_the_best_ordered_subset():
     r = np.random.default_rng(4)
     for _ in range(40):
